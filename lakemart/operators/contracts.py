@@ -16,13 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import half_up, holds, is_blank, text
+from lakemart.functions.scalars import half_up, text
 from lakemart.sources.lake import Workspace
 from lakemart.sources.model import TableContract
 
 ISSUES = "_issues"
 CLEAN = "_is_clean"
-_ISSUE_TYPE = "array<struct<column_name:string,issue_type:string,value:string>>"
+_NO_ISSUES = "cast(array() as array<struct<column_name:string,issue_type:string,value:string>>)"
 
 
 @dataclass(frozen=True)
@@ -34,22 +34,22 @@ class Validation:
     row_order: tuple[str, ...]
     missing_columns: tuple[str, ...] = ()
 
-    def _failed(self) -> Column:
+    def failed(self) -> Column:
         if CLEAN in self.annotated.columns:
             return ~F.col(CLEAN)
         return F.lit(True) if self.missing_columns else F.size(ISSUES) > 0
 
     def clean(self) -> DataFrame:
-        return self.annotated.where(~self._failed()).drop(ISSUES, CLEAN)
+        return self.annotated.where(~self.failed()).drop(ISSUES, CLEAN)
 
     def rejected(self) -> DataFrame:
-        rows = self.annotated.where(self._failed()).drop(ISSUES, CLEAN)
+        rows = self.annotated.where(self.failed()).drop(ISSUES, CLEAN)
         return rows.select(F.lit(self.table).alias("rejected_from"), "*")
 
     def issues(self, *keys: str) -> DataFrame:
         """One row per violated rule; ``keys`` names columns that tell the row (the row order if empty)."""
         keep = keys or self.row_order
-        rows = self.annotated.where(F.size(ISSUES) > 0).select(*keep, F.explode(ISSUES).alias("i"))
+        rows = self.annotated.where(self.failed() & (F.size(ISSUES) > 0)).select(*keep, F.explode(ISSUES).alias("i"))
         log = rows.select(F.lit(self.table).alias("table_name"), "i.column_name", "i.issue_type", *keep, "i.value")
         spark = self.annotated.sparkSession
         for column in self.missing_columns:
@@ -68,7 +68,7 @@ class Validation:
         raw, clean = F.col("raw_rows"), F.col("clean_rows")
         counted = self.annotated.agg(
             F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(~self._failed()).alias("clean_rows"),
+            F.count_if(~self.failed()).alias("clean_rows"),
             (F.coalesce(F.sum(F.size(ISSUES).cast("bigint")), F.lit(0)) + F.lit(len(self.missing_columns)))
             .cast("bigint")
             .alias("validation_issues"),
@@ -96,104 +96,130 @@ def annotate(
     ``row_order`` names the columns whose values order the rows of the table totally (file position or a business
     order); it decides which copy of a duplicate key comes first.
     """
-    present = set(frame.columns)
-    checks: list[tuple[str, str, Column]] = []
+    keys = offending_keys(frame, contract, parents, row_order)
+    if workspace:
+        keys = workspace.save_all(keys)
+    return mark(frame, contract, row_order, keys)
+
+
+def offending_keys(
+    frame: DataFrame, contract: TableContract, parents: Mapping[str, DataFrame], row_order: Sequence[str]
+) -> dict[str, DataFrame]:
+    """The key sets behind the rules that look at other rows, one narrow frame per rule."""
+    found = {}
+    for name in contract.unique:
+        if name in frame.columns:
+            found[_set_name(contract, name, "repeated")] = repeated_keys(frame, name, row_order)
+    for name, (parent, column) in contract.foreign_keys.items():
+        if name in frame.columns and parent in parents and column in parents[parent].columns:
+            found[_set_name(contract, name, "orphans")] = missing_parents(frame, name, parents[parent], column)
+    return found
 
-    for name in contract.required:
-        if name in present:
-            checks.append((name, "missing_required_value", is_blank(F.col(name))))
 
+def mark(
+    frame: DataFrame, contract: TableContract, row_order: Sequence[str], keys: Mapping[str, DataFrame]
+) -> Validation:
+    """Attach to every row the list of rules it breaks."""
     wide = frame
+    repeats, orphans = {}, {}
     for name in contract.unique:
-        if name in present:
-            wide, mask = _duplicates(wide, frame, contract.table, name, row_order, workspace)
-            checks.append((name, "duplicate_key", mask))
+        repeated = keys.get(_set_name(contract, name, "repeated"))
+        if repeated is not None:
+            wide, repeats[name] = _join_repeated(wide, repeated, name, row_order)
+    for name in contract.foreign_keys:
+        missing = keys.get(_set_name(contract, name, "orphans"))
+        if missing is not None:
+            wide, orphans[name] = _join_orphans(wide, missing, name)
+
+    # Concatenated one-element arrays instead of a filtered array: lambdas would leave generated code.
+    broken = [
+        f"if({condition}, array({_entry(name, kind)}), {_NO_ISSUES})"
+        for name, kind, condition in _rules(contract, set(frame.columns), repeats, orphans)
+    ]
+    issues = f"concat({', '.join(broken)})" if broken else _NO_ISSUES
+    annotated = wide.select(*frame.columns, F.expr(issues).alias(ISSUES))
+    absent = tuple(name for name in contract.required if name not in frame.columns)
+    return Validation(contract.table, annotated, tuple(row_order), absent)
+
 
+def _rules(
+    contract: TableContract, present: set[str], repeats: Mapping[str, str], orphans: Mapping[str, str]
+) -> list[tuple[str, str, str]]:
+    """Column, issue type and SQL condition of every rule that applies; unknown never counts as broken."""
+    rules = []
+    for name in contract.required:
+        blank = f"{_quoted(name)} is null or length(string({_quoted(name)})) = 0"
+        rules.append((name, "missing_required_value", blank))
+    for name, condition in repeats.items():
+        rules.append((name, "duplicate_key", condition))
     for name in contract.positive:
-        if name in present:
-            checks.append((name, "not_positive", holds(F.col(name).try_cast("double") <= 0)))
+        rules.append((name, "not_positive", f"coalesce(try_cast({_quoted(name)} as double) <= 0, false)"))
     for name in contract.non_negative:
-        if name in present:
-            checks.append((name, "negative_value", holds(F.col(name).try_cast("double") < 0)))
+        rules.append((name, "negative_value", f"coalesce(try_cast({_quoted(name)} as double) < 0, false)"))
     for name, values in contract.allowed.items():
-        if name in present:
-            checks.append((name, "invalid_allowed_value", ~holds(F.col(name).isin(*values))))
-
-    for name, (parent, parent_column) in contract.foreign_keys.items():
-        if name in present and parent in parents and parent_column in parents[parent].columns:
-            wide, mask = _orphans(wide, frame, contract.table, name, parents[parent], parent_column, workspace)
-            checks.append((name, f"missing_fk:{parent}.{parent_column}", mask))
-
-    hits = [
-        F.when(
-            mask,
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(kind).alias("issue_type"),
-                text(F.col(name)).alias("value"),
-            ),
-        )
-        for name, kind, mask in checks
-    ]
-    found = F.array_compact(F.array(*hits)) if hits else F.array()
-    annotated = wide.select(*frame.columns, found.cast(_ISSUE_TYPE).alias(ISSUES))
-    missing = tuple(name for name in contract.required if name not in present)
-    return Validation(contract.table, annotated, tuple(row_order), missing)
+        listed = ", ".join(_literal(value) for value in values)
+        rules.append((name, "invalid_allowed_value", f"not coalesce(string({_quoted(name)}) in ({listed}), false)"))
+    for name, condition in orphans.items():
+        parent, column = contract.foreign_keys[name]
+        rules.append((name, f"missing_fk:{parent}.{column}", condition))
+    return [rule for rule in rules if rule[0] in present]
 
 
-def _settle(keys: DataFrame, name: str, workspace: Workspace | None) -> DataFrame:
-    return workspace.save(keys, name) if workspace else keys
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _duplicates(
-    wide: DataFrame,
-    frame: DataFrame,
-    table: str,
-    name: str,
-    row_order: Sequence[str],
-    workspace: Workspace | None,
-) -> tuple[DataFrame, Column]:
-    key, first, copies = f"_dup_key_{name}", f"_dup_first_{name}", f"_dup_n_{name}"
-    position = F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
-    repeated = (
-        frame.groupBy(F.col(name).alias(key))
-        .agg(F.count(F.lit(1)).alias(copies), F.min(position).alias(first))
-        .where(F.col(copies) > 1)
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _entry(name: str, kind: str) -> str:
+    value = f"string({_quoted(name)})"
+    return f"named_struct('column_name', {_literal(name)}, 'issue_type', {_literal(kind)}, 'value', {value})"
+
+
+def _set_name(contract: TableContract, name: str, kind: str) -> str:
+    return f"{contract.table}_{name}_{kind}"
+
+
+def _position(row_order: Sequence[str]) -> Column:
+    return F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
+
+
+def repeated_keys(frame: DataFrame, name: str, row_order: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their count and first position; nulls count as one key."""
+    return (
+        frame.groupBy(name)
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(_position(row_order)).alias("first"))
+        .where("copies > 1")
     )
-    repeated = _settle(repeated, f"{table}_{name}_repeated", workspace)
-    joined = wide.join(repeated, F.col(name).eqNullSafe(F.col(key)), "left")
-    # Order columns may hold nulls, hence the null-safe comparison; the count tells matched rows apart.
-    return joined, F.col(copies).isNotNull() & ~position.eqNullSafe(F.col(first))
 
 
-def _orphans(
-    wide: DataFrame,
-    frame: DataFrame,
-    table: str,
-    name: str,
-    parent: DataFrame,
-    parent_column: str,
-    workspace: Workspace | None,
-) -> tuple[DataFrame, Column]:
-    key = f"_orphan_{name}"
-    missing = missing_parents(frame, name, parent, parent_column).select(F.col(name).alias(key))
-    missing = _settle(missing, f"{table}_{name}_orphans", workspace)
-    joined = wide.join(missing, _comparable(wide, name, missing, key), "left")
-    return joined, F.col(name).isNull() | F.col(key).isNotNull()
+def _join_repeated(
+    wide: DataFrame, repeated: DataFrame, name: str, row_order: Sequence[str]
+) -> tuple[DataFrame, str]:
+    key, copies, first, later = (f"_{part}_{name}" for part in ("key", "copies", "first", "later"))
+    joined = wide.join(repeated.toDF(key, copies, first), F.col(name).eqNullSafe(F.col(key)), "left")
+    # Order columns may hold nulls, hence the null-safe comparison; the count tells matched rows apart.
+    is_later = F.col(copies).isNotNull() & ~_position(row_order).eqNullSafe(F.col(first))
+    return joined.withColumn(later, is_later), _quoted(later)
 
 
 def missing_parents(child: DataFrame, name: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct non-null child keys that the parent lacks. The distinct runs first, so hot keys shrink map-side."""
     keys = child.where(F.col(name).isNotNull()).select(name).distinct()
     known = parent.select(F.col(parent_column).alias("_known"))
-    return keys.join(known, _comparable(keys, name, known, "_known"), "left_anti")
+    if child.schema[name].dataType == known.schema["_known"].dataType:
+        same = F.col(name) == F.col("_known")
+    else:
+        same = text(F.col(name)) == text(F.col("_known"))
+    return keys.join(known, same, "left_anti")
 
 
-def _comparable(left: DataFrame, left_name: str, right: DataFrame, right_name: str) -> Column:
-    """Equality, as text when the two columns have different types."""
-    if left.schema[left_name].dataType == right.schema[right_name].dataType:
-        return F.col(left_name) == F.col(right_name)
-    return text(F.col(left_name)) == text(F.col(right_name))
+def _join_orphans(wide: DataFrame, missing: DataFrame, name: str) -> tuple[DataFrame, str]:
+    key = f"_orphan_{name}"
+    joined = wide.join(missing.toDF(key), F.col(name) == F.col(key), "left")
+    return joined, f"{_quoted(name)} is null or {_quoted(key)} is not null"
 
 
 def validate_all(
@@ -203,31 +229,44 @@ def validate_all(
     workspace: Workspace | None = None,
     target: Workspace | None = None,
 ) -> dict[str, Validation]:
-    """Validate tables in contract order; children see only the clean rows of their parents.
+    """Validate tables after their parents; children see only the clean rows of their parents.
 
-    Each table is written once, to ``target`` or else to the workspace, which cuts the lineage for its children.
-    Without either the whole cascade stays one lazy plan.
+    With a workspace, the key sets and then the tables of one generation are written side by side, which cuts the
+    lineage for their children. Tables go to ``target`` where given. Without a workspace the whole cascade stays one
+    lazy plan.
     """
-    store = target or workspace
     done: dict[str, Validation] = {}
     clean: dict[str, DataFrame] = {}
-    for table, contract in contracts.items():
-        if table not in raw:
-            continue
-        result = annotate(raw[table], contract, clean, row_order[table], workspace)
-        done[table] = settle(result, store) if store else result
-        clean[table] = done[table].clean()
-    return done
-
-
-def settle(result: Validation, store: Workspace) -> Validation:
-    """Write the annotated table once, split into clean and rejected partitions.
+    for tables in generations({name: contracts[name] for name in contracts if name in raw}):
+        keys = {t: offending_keys(raw[t], contracts[t], clean, row_order[t]) for t in tables}
+        if workspace:
+            saved = workspace.save_all({name: frame for sets in keys.values() for name, frame in sets.items()})
+            keys = {t: {name: saved[name] for name in keys[t]} for t in tables}
+        marked = [mark(raw[t], contracts[t], row_order[t], keys[t]) for t in tables]
+        if workspace:
+            marked = settle(marked, target or workspace)
+        done.update({result.table: result for result in marked})
+        clean.update({result.table: result.clean() for result in marked})
+    return {name: done[name] for name in contracts if name in done}
+
+
+def generations(contracts: Mapping[str, TableContract]) -> list[list[str]]:
+    """Tables grouped so that every parent stands in an earlier group than its children."""
+    depth: dict[str, int] = {}
+    for name, contract in contracts.items():
+        parents = [parent for parent, _ in contract.foreign_keys.values()]
+        depth[name] = 1 + max((depth.get(parent, -1) for parent in parents), default=-1)
+    return [[name for name in depth if depth[name] == level] for level in sorted(set(depth.values()))]
+
+
+def settle(results: Sequence[Validation], store: Workspace) -> list[Validation]:
+    """Write each annotated table once, split into a clean and a rejected partition.
 
     Clean rows, rejects, issues and counts are then pruned scans of that one table.
     """
-    split = result.annotated.withColumn(CLEAN, ~result._failed())
-    written = store.save(split, result.table, (CLEAN,))
-    return Validation(result.table, written, result.row_order, result.missing_columns)
+    split = {r.table: r.annotated.withColumn(CLEAN, ~r.failed()) for r in results}
+    written = store.save_all(split, (CLEAN,))
+    return [Validation(r.table, written[r.table], r.row_order, r.missing_columns) for r in results]
 
 
 def union_rejected(results: Sequence[Validation]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import TOTAL, ratio
+from lakemart.sources.lake import Workspace
 
 Tables = Mapping[str, DataFrame]
 
@@ -329,11 +330,15 @@ def ordered(frame: DataFrame, mart: str) -> DataFrame:
     return frame.orderBy(*sort_keys(mart))
 
 
-def build_all(silver: Tables, profile: str, run_partition: str, settle=lambda frame, name: frame) -> dict:
-    """All nine marts. ``settle`` may write each mart and return its scan, so that later marts read the table."""
-    gold = {name: settle(build(silver), name) for name, build in ENTITY_MARTS.items()}
-    fresh = data_freshness(silver, profile, run_partition)
-    gold["mart_data_freshness"] = settle(fresh, "mart_data_freshness")
+def build_all(silver: Tables, profile: str, run_partition: str, store: Workspace | None = None) -> dict[str, DataFrame]:
+    """All nine marts, in their fixed order.
+
+    With a store the entity marts are written side by side, and the run mart reads the written tables.
+    """
+    gold = {name: build(silver) for name, build in ENTITY_MARTS.items()}
+    gold["mart_data_freshness"] = data_freshness(silver, profile, run_partition)
+    if store:
+        gold = store.save_all(gold)
     runs = pipeline_runs(silver, gold, profile, run_partition)
-    gold["mart_pipeline_runs"] = settle(runs, "mart_pipeline_runs")
+    gold["mart_pipeline_runs"] = store.save(runs, "mart_pipeline_runs") if store else runs
     return gold

@@ -39,10 +39,11 @@ class Run:
     def path(self, zone: str, table: str) -> str:
         return f"{self.zone(zone)}/{table}"
 
+    def store(self, zone: str) -> lake.Workspace:
+        return lake.Workspace(self.spark, self.zone(zone))
+
     def write(self, frame: DataFrame, zone: str, table: str) -> DataFrame:
-        target = self.path(zone, table)
-        frame.write.mode("overwrite").parquet(target)
-        return self.spark.read.schema(frame.schema).parquet(target)
+        return self.store(zone).save(frame, table)
 
     def workspace(self) -> lake.Workspace:
         return lake.Workspace(self.spark)
@@ -50,15 +51,14 @@ class Run:
 
 def land_raw(run: Run, batch_dir: str) -> tuple[dict[str, DataFrame], dict[str, Sequence[str]]]:
     """Raw files as text tables with a fixed file position, which serves as the row order."""
-    space = run.workspace()
     raw = {}
     for table in TABLES:
         if table == "web_events":
             rows = lake.read_jsonl(run.spark, f"{batch_dir}/{table}.jsonl", raw_schema(table))
         else:
             rows = lake.read_csv(run.spark, f"{batch_dir}/{table}.csv")
-        raw[table] = space.save(lake.with_position(rows), f"raw_{table}")
-    return raw, dict.fromkeys(raw, lake.POSITION)
+        raw[table] = lake.with_position(rows)
+    return run.workspace().save_all(raw), dict.fromkeys(raw, lake.POSITION)
 
 
 def bronze(
@@ -69,8 +69,7 @@ def bronze(
 ) -> dict[str, Validation]:
     """Validate every table into the bronze zone, each in one write with a clean and a rejected partition."""
     tagged = {table: lake.ingest_metadata(frame, run.profile, run.run_date) for table, frame in raw.items()}
-    zone = lake.Workspace(run.spark, run.zone("bronze"))
-    results = validate_all(tagged, contracts, row_order, run.workspace(), zone)
+    results = validate_all(tagged, contracts, row_order, run.workspace(), run.store("bronze"))
     found = list(results.values())
     run.write(union_rejected(found), "observability", "rejected_rows")
     run.write(issue_log(found, raw), "observability", "contract_issues")
@@ -104,7 +103,7 @@ def build_silver(
     late_before: str = "2025-01-01 00:00:00",
 ) -> dict[str, DataFrame]:
     built = silver.build_all(clean, row_order, stream, late_before)
-    written = {table: run.write(frame, "silver", table) for table, frame in built.items()}
+    written = run.store("silver").save_all(built)
     counts = lake.manifest(written, run.profile, run.partition, "table_name", "silver_rows")
     run.write(counts, "observability", "silver_manifest")
     return written
@@ -112,7 +111,7 @@ def build_silver(
 
 def build_gold(run: Run, entities: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All marts; each is written once, and later marts, exports and counts read the written table."""
-    gold = marts.build_all(entities, run.profile, run.partition, lambda frame, name: run.write(frame, "gold", name))
+    gold = marts.build_all(entities, run.profile, run.partition, run.store("gold"))
     for name, frame in gold.items():
         lake.write_csv(marts.ordered(frame, name), f"{run.root}/exports/{name}")
     counts = lake.manifest(gold, run.profile, run.partition, "mart_name", "row_count")

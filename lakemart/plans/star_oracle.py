@@ -103,7 +103,7 @@ _PARTS: dict[str, str] = {
         from numbered_items""",
     "good_items": "select * from flagged_items where not repeated and not orphan",
     "table_counts": """
-        select 'customers' as table_name, count(*) as raw_rows, count_if(not bad) as clean_rows,
+        select 'customers' as table_name, count(*) as raw_rows, count(*) filter (where not bad) as clean_rows,
                count_if(bad) as validation_issues from flagged_customers
         union all select 'products', count(*), count(*), 0 from products
         union all select 'warehouses', count(*), count(*), 0 from warehouses
@@ -120,7 +120,8 @@ _PARTS: dict[str, str] = {
         union all select 'web_events', count(*), count_if(kept), count_if(not kept)
                   from (select customer_id in (select customer_id from good_customers) as kept from web_events)""",
     "summary": """
-        select table_name, raw_rows, clean_rows, raw_rows - clean_rows as rejected_rows,
+        select table_name, raw_rows, cast(clean_rows as bigint) as clean_rows,
+               cast(raw_rows - clean_rows as bigint) as rejected_rows,
                cast(validation_issues as bigint) as validation_issues,
                floor(clean_rows / raw_rows::double * 100 * 100 + 0.5) / 100 as quality_score
         from table_counts""",
@@ -143,13 +144,13 @@ _PARTS: dict[str, str] = {
         join products p on i.product_id = p.product_id""",
     "funnel": """
         select event_date, campaign, count(*) as events, count(distinct session_id) as sessions,
-               count_if(event_type = 'product_view') as product_views,
-               count_if(event_type = 'add_to_cart') as add_to_cart,
-               count_if(event_type = 'checkout_start') as checkout_starts,
-               count_if(event_type = 'purchase') as purchase_events,
+               count(*) filter (where event_type = 'product_view') as product_views,
+               count(*) filter (where event_type = 'add_to_cart') as add_to_cart,
+               count(*) filter (where event_type = 'checkout_start') as checkout_starts,
+               count(*) filter (where event_type = 'purchase') as purchase_events,
                floor(count_if(event_type = 'purchase')::double / nullif(count(distinct session_id), 0) * 1e4 + 0.5)
                    / 1e4 as session_purchase_rate,
-               count_if(is_late_event) as late_events
+               count(*) filter (where is_late_event) as late_events
         from silver_events group by event_date, campaign""",
     "sla": """
         select cast(order_ts as date) as order_date, carrier, count(*) as shipments,
@@ -461,7 +462,7 @@ _BODIES: dict[str, str] = {
     # quality
     "quality_checks": "select * from checks",
     "platform_scorecard": """
-        select count(*) as checks_total, count_if(passed) as checks_passed, count_if(not passed) as checks_failed,
+        select count(*) as checks_total, count(*) filter (where passed) as checks_passed, count(*) filter (where not passed) as checks_failed,
                floor(count_if(passed) / count(*)::double * 100 * 100 + 0.5) / 100 as platform_score from checks""",
     "failed_checks": "select * from checks where not passed",
     "check_contract_floor": """
@@ -473,8 +474,8 @@ _BODIES: dict[str, str] = {
     "check_sla_bounds": "select * from checks where check_name = 'sla_rate_bounds'",
     "not_null_test": """
         select 'mart_revenue_daily' as table_name, column_name, null_rows, null_rows = 0 as passed
-        from (select 'order_date' as column_name, count_if(order_date is null) as null_rows from revenue_daily
-              union all select 'revenue', count_if(revenue is null) from revenue_daily)""",
+        from (select 'order_date' as column_name, count(*) filter (where order_date is null) as null_rows from revenue_daily
+              union all select 'revenue', count(*) filter (where revenue is null) from revenue_daily)""",
     # streaming
     "stream_land": f"select {_EVENT_COLUMNS} from web_events",
     "stream_bronze_scan": f"select {_EVENT_COLUMNS} from web_events",
@@ -488,7 +489,7 @@ _BODIES: dict[str, str] = {
                count(*) as events_consumed, count(*) as checkpoint from events""",
     "stream_dedup": "select * from silver_events",
     "late_events": """
-        select event_date, count(*) as events, count_if(is_late_event) as late_events
+        select event_date, count(*) as events, count(*) filter (where is_late_event) as late_events
         from silver_events group by event_date""",
 }
 

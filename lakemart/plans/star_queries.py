@@ -67,17 +67,25 @@ class Silver(Mapping):
         return silver.ENTITIES[table](getattr(self._star, table))
 
 
+def raw_table(star: StarTables, table: str) -> DataFrame:
+    """A raw entity; returns are taken from deduplicated lines."""
+    if table == "returns":
+        return star.returns(silver.order_items(star.order_items, ROW_ORDER["order_items"]))
+    return getattr(star, table)
+
+
 def raw_tables(star: StarTables) -> dict[str, DataFrame]:
-    """Raw entities; returns are taken from deduplicated lines."""
-    lines = silver.order_items(star.order_items, ROW_ORDER["order_items"])
-    return {table: star.returns(lines) if table == "returns" else getattr(star, table) for table in TABLES}
+    return {table: raw_table(star, table) for table in TABLES}
 
 
 def validated(star: StarTables, *tables: str) -> dict[str, Validation]:
     """The named tables and their parents, validated table by table through the shared work folder."""
     chosen = {name: STAR_CONTRACTS[name] for name in STAR_CONTRACTS if name in tables}
-    raw = {name: frame for name, frame in raw_tables(star).items() if name in chosen}
-    return contracts.validate_all(raw, chosen, ROW_ORDER, Workspace(star.spark))
+    space = Workspace(star.spark)
+    raw = {name: raw_table(star, name) for name in chosen}
+    if "returns" in raw:
+        raw["returns"] = space.save(raw["returns"], "raw_returns")
+    return contracts.validate_all(raw, chosen, ROW_ORDER, space)
 
 
 # --- scans, sinks, manifests -------------------------------------------------------------------------------------
@@ -153,7 +161,7 @@ def _gold(star: StarTables, space: Workspace) -> dict[str, DataFrame]:
     lines = space.save(entities["order_items"], "silver_order_items")
     entities["order_items"] = lines
     entities["returns"] = silver.returns(star.returns(lines))
-    return marts.build_all(entities, PROFILE, RUN, space.save)
+    return marts.build_all(entities, PROFILE, RUN, space)
 
 
 @query
@@ -324,7 +332,7 @@ def silver_shipments(star: StarTables) -> DataFrame:
 
 @query
 def silver_returns(star: StarTables) -> DataFrame:
-    return silver.returns(raw_tables(star)["returns"], ROW_ORDER["returns"])
+    return silver.returns(raw_table(star, "returns"), ROW_ORDER["returns"])
 
 
 @query
@@ -563,10 +571,11 @@ def adhoc_sql(star: StarTables) -> DataFrame:
     entities = Silver(star)
     gold = {name: marts.ENTITY_MARTS[name](entities) for name in ("mart_revenue_daily", "mart_customer_ltv")}
     text = """
-        select region, count(*) as days, max(total_orders) as most_orders, cast(sum(revenue) as decimal(28, 2)) as revenue,
-               (select count(*) from mart_customer_ltv l where l.region = r.region) as customers
-        from mart_revenue_daily r
-        group by region
+        with homes as (select region, count(*) as customers from mart_customer_ltv group by region)
+        select r.region, count(*) as days, max(total_orders) as most_orders,
+               cast(sum(revenue) as decimal(28, 2)) as revenue, max(customers) as customers
+        from mart_revenue_daily r join homes on r.region = homes.region
+        group by r.region
     """
     return kpi.sql(star.spark, text, gold)
 

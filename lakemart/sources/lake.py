@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -57,6 +58,14 @@ class Workspace:
         frame.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
+    def save_all(self, frames: Mapping[str, DataFrame], partition_by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+        """Save independent tables side by side, so that small ones do not leave the cluster idle."""
+        if not frames:
+            return {}
+        with ThreadPoolExecutor(min(len(frames), 8)) as pool:
+            saved = pool.map(lambda item: self.save(item[1], item[0], partition_by), frames.items())
+            return dict(zip(frames, saved, strict=True))
+
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV as text columns, with the usual null markers read as null.
