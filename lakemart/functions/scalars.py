@@ -1,96 +1,119 @@
-"""Column helpers. All are built-in expressions, so they stay inside whole-stage codegen."""
+"""SQL snippets for the scalar functions of the plans.
+
+Helpers take and return SQL text for ``selectExpr``/``expr``: one string per column is far cheaper to send to the JVM
+than a tree of column objects. All of them are built-in functions, so they stay inside whole-stage codegen.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(12, 2)  # one unit
-AMOUNT = T.DecimalType(18, 2)  # one line or document
-TOTAL = T.DecimalType(28, 2)  # a sum of lines
-RATE = T.DecimalType(5, 4)
+PRICE = "decimal(12,2)"  # one unit
+AMOUNT = "decimal(18,2)"  # one line or document
+TOTAL = "decimal(28,2)"  # a sum of lines
+RATE = "decimal(5,4)"
+
+# Characters that trimming removes (blank, tab, line feed, return, vertical tab, form feed).
+_BLANKS = r" \t\n\r\u000B\u000C"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-_BLANKS = " \t\n\r\x0b\x0c"
 
+def literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def text(column: Column) -> Column:
-    return column.cast("string")
 
+def listed(values: Sequence[str]) -> str:
+    return ", ".join(literal(value) for value in values)
 
-def parse_decimal(frame: DataFrame, name: str, to: T.DecimalType) -> Column:
+
+def assign(frame: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Replace or append columns by SQL snippets over the columns of ``frame``, in one projection."""
+    kept = [
+        f"{columns[name]} as {quoted(name)}" if name in columns else quoted(name) for name in frame.columns
+    ]
+    new = [f"{text} as {quoted(name)}" for name, text in columns.items() if name not in frame.columns]
+    return frame.selectExpr(*kept, *new)
+
+
+def parse_decimal(name: str, to: str) -> str:
     """Number or null; text that is no number becomes null, extra digits round half up."""
-    return F.col(name).try_cast(to)
+    return f"try_cast({quoted(name)} as {to})"
 
 
-def parse_long(frame: DataFrame, name: str) -> Column:
-    """Whole number or null. Text goes through double, so that ``"12.0"`` and ``"1e3"`` are read too."""
-    source = frame.schema[name].dataType
-    if isinstance(source, T.IntegralType):
-        return F.col(name).cast("bigint")
-    if isinstance(source, T.StringType):
-        return F.coalesce(F.col(name).try_cast("bigint"), F.col(name).try_cast("double").try_cast("bigint"))
-    return F.col(name).try_cast("bigint")
+def parse_long(frame: DataFrame, name: str) -> str:
+    """Whole number or null. Text that is no integer goes through double, so ``"12.0"`` and ``"1e3"`` are read too."""
+    if isinstance(frame.schema[name].dataType, T.StringType):
+        return f"coalesce(try_cast({quoted(name)} as bigint), try_cast(try_cast({quoted(name)} as double) as bigint))"
+    return f"try_cast({quoted(name)} as bigint)"
 
 
-def parse_bool(frame: DataFrame, name: str) -> Column:
-    return F.col(name).try_cast("boolean")
+def parse_bool(name: str) -> str:
+    return f"try_cast({quoted(name)} as boolean)"
 
 
-def parse_date(frame: DataFrame, name: str) -> Column:
-    return F.col(name).try_cast("date")
+def parse_date(name: str) -> str:
+    return f"try_cast({quoted(name)} as date)"
 
 
-def parse_timestamp(frame: DataFrame, name: str) -> Column:
-    """A point in time. Zone-less test columns stay zone-less; text is read in the session zone (UTC)."""
+def parse_timestamp(frame: DataFrame, name: str) -> str:
+    """A point in time. Zone-less columns stay zone-less; text is read in the session zone (UTC)."""
     if isinstance(frame.schema[name].dataType, T.TimestampNTZType):
-        return F.col(name)
-    return F.col(name).try_cast("timestamp")
+        return quoted(name)
+    return f"try_cast({quoted(name)} as timestamp)"
 
 
-def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+def month_of(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM')"
 
 
-def pii_hash(value: Column) -> Column:
+def pii_hash(value: str) -> str:
     """SHA-256 hex of the trimmed, lower-cased text; null stays null."""
-    return F.sha2(F.lower(F.trim(text(value), F.lit(_BLANKS))), 256)
+    return f"sha2(lower(trim(both '{_BLANKS}' from string({value}))), 256)"
 
 
-def half_up(value: Column, digits: int) -> Column:
+def half_up(value: str, digits: int) -> str:
     """Round a double half up by scaling and flooring; any engine with IEEE doubles gives the same bits."""
-    scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scale = f"{10**digits}.0D"
+    return f"(floor(({value}) * {scale} + 0.5D) / {scale})"
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio(numerator: str, denominator: str, digits: int) -> str:
     """``numerator / denominator`` rounded, null when the denominator is zero or null."""
-    below = F.nullif(denominator.cast("double"), F.lit(0.0))
-    return half_up(numerator.cast("double") / below, digits)
+    return half_up(f"double({numerator}) / nullif(double({denominator}), 0.0D)", digits)
 
 
-def hours_between(start: Column, end: Column) -> Column:
+def hours_between(start: str, end: str) -> str:
     """Hours with two digits, exact to the microsecond before rounding."""
-    micros = F.timestamp_diff("MICROSECOND", start, end).cast("double")
-    return half_up(micros / F.lit(3.6e9), 2).cast(AMOUNT)
+    return f"cast({half_up(f'timestampdiff(MICROSECOND, {start}, {end}) / 3.6e9D', 2)} as {AMOUNT})"
 
 
-def shift(unit: str, count: Column, ts: Column) -> Column:
-    return F.timestamp_add(unit, count.cast("int"), ts)
+def shift(unit: str, count: str, ts: str) -> str:
+    return f"timestampadd({unit}, int({count}), {ts})"
 
 
-def sku(category: Column, number: Column, prefix: int = 3, width: int = 6) -> Column:
+def sku(category: str, number: str, prefix: int = 3, width: int = 6) -> str:
     """``ELE-000042``: category prefix in capitals and a zero-padded number (never cut when longer)."""
-    digits = text(number)
-    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
-    return F.concat(F.upper(F.left(category, F.lit(prefix))), F.lit("-"), padded)
+    digits = f"string({number})"
+    padded = f"if(length({digits}) < {width}, lpad({digits}, {width}, '0'), {digits})"
+    return f"concat(upper(left({category}, {prefix})), '-', {padded})"
 
 
-def is_blank(column: Column) -> Column:
+def is_blank(name: str) -> str:
     """Null or empty text. White space counts as a value."""
-    return column.isNull() | (F.length(text(column)) == 0)
+    return f"({quoted(name)} is null or length(string({quoted(name)})) = 0)"
 
 
-def holds(condition: Column) -> Column:
+def holds(condition: str) -> str:
     """A condition with unknown read as false."""
-    return F.coalesce(condition, F.lit(False))
+    return f"coalesce({condition}, false)"
+
+
+def one_of(index: str, values: Sequence[str]) -> str:
+    """The value at a zero-based index."""
+    return f"element_at(array({listed(values)}), int({index}) + 1)"

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import half_up, text
+from lakemart.functions.scalars import half_up, holds, is_blank, listed, literal, quoted
 from lakemart.sources.lake import Workspace
 from lakemart.sources.model import TableContract
 
@@ -65,22 +65,20 @@ class Validation:
 
     def summary(self) -> DataFrame:
         """Row counts and score of this table, in one pass over the annotated frame."""
-        raw, clean = F.col("raw_rows"), F.col("clean_rows")
+        found = f"bigint(coalesce(sum(size({ISSUES})), 0) + {len(self.missing_columns)})"
         counted = self.annotated.agg(
             F.count(F.lit(1)).alias("raw_rows"),
             F.count_if(~self.failed()).alias("clean_rows"),
-            (F.coalesce(F.sum(F.size(ISSUES).cast("bigint")), F.lit(0)) + F.lit(len(self.missing_columns)))
-            .cast("bigint")
-            .alias("validation_issues"),
+            F.expr(found).alias("validation_issues"),
         )
-        score = half_up(clean.cast("double") / F.nullif(raw, F.lit(0)).cast("double") * F.lit(100.0), 2)
-        return counted.select(
-            F.lit(self.table).alias("table_name"),
-            raw,
-            clean,
-            (raw - clean).alias("rejected_rows"),
+        score = half_up("double(clean_rows) / nullif(double(raw_rows), 0.0D) * 100.0D", 2)
+        return counted.selectExpr(
+            f"{literal(self.table)} as table_name",
+            "raw_rows",
+            "clean_rows",
+            "raw_rows - clean_rows as rejected_rows",
             "validation_issues",
-            F.coalesce(score, F.lit(100.0)).alias("quality_score"),
+            f"coalesce({score}, 100.0D) as quality_score",
         )
 
 
@@ -146,80 +144,65 @@ def _rules(
     contract: TableContract, present: set[str], repeats: Mapping[str, str], orphans: Mapping[str, str]
 ) -> list[tuple[str, str, str]]:
     """Column, issue type and SQL condition of every rule that applies; unknown never counts as broken."""
-    rules = []
-    for name in contract.required:
-        blank = f"{_quoted(name)} is null or length(string({_quoted(name)})) = 0"
-        rules.append((name, "missing_required_value", blank))
-    for name, condition in repeats.items():
-        rules.append((name, "duplicate_key", condition))
+    rules = [(name, "missing_required_value", is_blank(name)) for name in contract.required]
+    rules += [(name, "duplicate_key", condition) for name, condition in repeats.items()]
     for name in contract.positive:
-        rules.append((name, "not_positive", f"coalesce(try_cast({_quoted(name)} as double) <= 0, false)"))
+        rules.append((name, "not_positive", holds(f"try_cast({quoted(name)} as double) <= 0")))
     for name in contract.non_negative:
-        rules.append((name, "negative_value", f"coalesce(try_cast({_quoted(name)} as double) < 0, false)"))
+        rules.append((name, "negative_value", holds(f"try_cast({quoted(name)} as double) < 0")))
     for name, values in contract.allowed.items():
-        listed = ", ".join(_literal(value) for value in values)
-        rules.append((name, "invalid_allowed_value", f"not coalesce(string({_quoted(name)}) in ({listed}), false)"))
+        inside = holds(f"string({quoted(name)}) in ({listed(values)})")
+        rules.append((name, "invalid_allowed_value", f"not {inside}"))
     for name, condition in orphans.items():
         parent, column = contract.foreign_keys[name]
         rules.append((name, f"missing_fk:{parent}.{column}", condition))
     return [rule for rule in rules if rule[0] in present]
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _literal(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _entry(name: str, kind: str) -> str:
-    value = f"string({_quoted(name)})"
-    return f"named_struct('column_name', {_literal(name)}, 'issue_type', {_literal(kind)}, 'value', {value})"
+    value = f"string({quoted(name)})"
+    return f"named_struct('column_name', {literal(name)}, 'issue_type', {literal(kind)}, 'value', {value})"
 
 
 def _set_name(contract: TableContract, name: str, kind: str) -> str:
     return f"{contract.table}_{name}_{kind}"
 
 
-def _position(row_order: Sequence[str]) -> Column:
-    return F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
+def position(row_order: Sequence[str]) -> str:
+    """The row order as one comparable value."""
+    return quoted(row_order[0]) if len(row_order) == 1 else f"struct({', '.join(map(quoted, row_order))})"
 
 
 def repeated_keys(frame: DataFrame, name: str, row_order: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count and first position; nulls count as one key."""
-    return (
-        frame.groupBy(name)
-        .agg(F.count(F.lit(1)).alias("copies"), F.min(_position(row_order)).alias("first"))
-        .where("copies > 1")
-    )
+    first = F.expr(f"min({position(row_order)})").alias("first")
+    return frame.groupBy(name).agg(F.count(F.lit(1)).alias("copies"), first).where("copies > 1")
 
 
 def _join_repeated(
     wide: DataFrame, repeated: DataFrame, name: str, row_order: Sequence[str]
 ) -> tuple[DataFrame, str]:
-    key, copies, first, later = (f"_{part}_{name}" for part in ("key", "copies", "first", "later"))
-    joined = wide.join(repeated.toDF(key, copies, first), F.col(name).eqNullSafe(F.col(key)), "left")
+    key, copies, first = (f"_{part}_{name}" for part in ("key", "copies", "first"))
+    same = F.expr(f"{quoted(name)} <=> {quoted(key)}")
+    joined = wide.join(repeated.toDF(key, copies, first), same, "left")
     # Order columns may hold nulls, hence the null-safe comparison; the count tells matched rows apart.
-    is_later = F.col(copies).isNotNull() & ~_position(row_order).eqNullSafe(F.col(first))
-    return joined.withColumn(later, is_later), _quoted(later)
+    return joined, f"{quoted(copies)} is not null and not ({position(row_order)} <=> {quoted(first)})"
 
 
 def missing_parents(child: DataFrame, name: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct non-null child keys that the parent lacks. The distinct runs first, so hot keys shrink map-side."""
-    keys = child.where(F.col(name).isNotNull()).select(name).distinct()
-    known = parent.select(F.col(parent_column).alias("_known"))
-    if child.schema[name].dataType == known.schema["_known"].dataType:
-        same = F.col(name) == F.col("_known")
-    else:
-        same = text(F.col(name)) == text(F.col("_known"))
-    return keys.join(known, same, "left_anti")
+    keys = child.where(f"{quoted(name)} is not null").select(name).distinct()
+    known = parent.selectExpr(f"{quoted(parent_column)} as _known")
+    same = f"{quoted(name)} = _known"
+    if child.schema[name].dataType != parent.schema[parent_column].dataType:
+        same = f"string({quoted(name)}) = string(_known)"
+    return keys.join(known, F.expr(same), "left_anti")
 
 
 def _join_orphans(wide: DataFrame, missing: DataFrame, name: str) -> tuple[DataFrame, str]:
     key = f"_orphan_{name}"
-    joined = wide.join(missing.toDF(key), F.col(name) == F.col(key), "left")
-    return joined, f"{_quoted(name)} is null or {_quoted(key)} is not null"
+    joined = wide.join(missing.toDF(key), F.expr(f"{quoted(name)} = {quoted(key)}"), "left")
+    return joined, f"{quoted(name)} is null or {quoted(key)} is not null"
 
 
 def validate_all(

@@ -23,21 +23,21 @@ def executive(
     are averaged as exact decimals.
     """
 
-    def number(frame: DataFrame, value: Column) -> Column:
-        return F.coalesce(frame.agg(value.cast("double")).scalar(), F.lit(0.0))
+    def number(frame: DataFrame, value: str) -> Column:
+        return F.coalesce(frame.agg(F.expr(f"double({value})")).scalar(), F.lit(0.0))
 
-    rate = F.col("on_time_rate").cast("decimal(9,4)")
+    rate = "cast(on_time_rate as decimal(9,4))"
     return revenue.sparkSession.range(1).select(
-        number(revenue, F.sum("revenue").cast(TOTAL)).alias("revenue"),
-        number(revenue, F.sum("total_orders")).alias("orders"),
-        number(ltv, F.count(F.lit(1))).alias("customers"),
-        number(sla, ratio(F.sum(rate), F.count(rate), digits)).alias("on_time_rate"),
-        number(scorecard, F.max("platform_score")).alias("platform_score"),
+        number(revenue, f"cast(sum(revenue) as {TOTAL})").alias("revenue"),
+        number(revenue, "sum(total_orders)").alias("orders"),
+        number(ltv, "count(1)").alias("customers"),
+        number(sla, ratio(f"sum({rate})", f"count({rate})", digits)).alias("on_time_rate"),
+        number(scorecard, "max(platform_score)").alias("platform_score"),
     )
 
 
 def daily_revenue(revenue: DataFrame) -> DataFrame:
-    return revenue.groupBy("order_date").agg(F.sum("revenue").cast(TOTAL).alias("revenue"))
+    return revenue.groupBy("order_date").agg(F.expr(f"cast(sum(revenue) as {TOTAL})").alias("revenue"))
 
 
 def funnel_stages(funnel: DataFrame) -> DataFrame:

@@ -9,56 +9,53 @@ sorts one for reading or export.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import TOTAL, ratio
+from lakemart.functions.scalars import TOTAL, literal, ratio
 from lakemart.sources.lake import Workspace
 
 Tables = Mapping[str, DataFrame]
 
 
-def _total(name: str) -> Column:
-    return F.sum(name).cast(TOTAL)
-
-
-def _mean(total: Column, count: Column, digits: int) -> Column:
-    return ratio(total, count, digits)
+def _sum(value: str) -> Column:
+    return F.expr(f"cast(sum({value}) as {TOTAL})")
 
 
 def revenue_daily(silver: Tables) -> DataFrame:
     """Revenue, profit and reach per order date and region, without cancelled orders."""
     costs = silver["products"].select("product_id", "unit_cost")
     items = silver["order_items"].select("order_id", "product_id", "quantity", "net_sales").join(costs, "product_id")
-    cost = F.col("quantity").cast("decimal(10,0)") * F.col("unit_cost")
     per_order = items.groupBy("order_id").agg(
-        _total("net_sales").alias("net"),
-        F.sum(F.col("net_sales") - cost).cast(TOTAL).alias("profit"),
+        _sum("net_sales").alias("net"),
+        _sum("net_sales - cast(quantity as decimal(10,0)) * unit_cost").alias("profit"),
         F.count("net_sales").alias("items"),
     )
-    kept = silver["orders"].where(F.col("status") != "cancelled")
     grouped = (
-        kept.select("order_id", "customer_id", "order_date", "region")
+        silver["orders"]
+        .where("status <> 'cancelled'")
+        .select("order_id", "customer_id", "order_date", "region")
         .join(per_order, "order_id")
         .groupBy("order_date", "region")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.count_distinct("customer_id").alias("active_customers"),
-            _total("net").alias("revenue"),
-            _total("profit").alias("gross_profit"),
-            F.sum("items").alias("_items"),
+            _sum("net").alias("revenue"),
+            _sum("profit").alias("gross_profit"),
+            F.sum("items").alias("items"),
         )
     )
-    return grouped.select(
+    return grouped.selectExpr(
         "order_date",
         "region",
         "total_orders",
         "active_customers",
         "revenue",
         "gross_profit",
-        ratio(F.col("gross_profit"), F.col("revenue"), 4).alias("gross_margin_pct"),
-        _mean(F.col("revenue"), F.col("_items"), 2).alias("avg_item_revenue"),
+        f"{ratio('gross_profit', 'revenue', 4)} as gross_margin_pct",
+        f"{ratio('revenue', 'items', 2)} as avg_item_revenue",
     )
 
 
@@ -73,44 +70,41 @@ def product_performance(silver: Tables) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("orders"),
             F.sum("quantity").alias("units_sold"),
-            _total("net_sales").alias("revenue"),
-            F.sum("discount_pct").alias("_discount"),
-            F.count("discount_pct").alias("_lines"),
+            _sum("net_sales").alias("revenue"),
+            F.sum("discount_pct").alias("discount"),
+            F.count("discount_pct").alias("lines"),
         )
     )
-    cost = F.col("units_sold").cast("decimal(18,0)") * F.col("unit_cost")
     return (
         silver["products"]
+        .select("product_id", "sku", "category", "unit_cost")
         .join(sold, "product_id", "left")
-        .select(
+        .selectExpr(
             "product_id",
             "sku",
             "category",
-            F.coalesce("orders", F.lit(0)).alias("orders"),
+            "coalesce(orders, 0) as orders",
             "units_sold",
             "revenue",
-            (F.col("revenue") - cost).cast(TOTAL).alias("gross_profit"),
-            _mean(F.col("_discount"), F.col("_lines"), 4).alias("avg_discount_pct"),
+            f"cast(revenue - cast(units_sold as decimal(18,0)) * unit_cost as {TOTAL}) as gross_profit",
+            f"{ratio('discount', 'lines', 4)} as avg_discount_pct",
         )
     )
 
 
 def inventory_risk(silver: Tables) -> DataFrame:
-    """Stock rows with their risk band."""
-    on_hand, reorder = F.col("on_hand_units"), F.col("reorder_point")
-    band = (
-        F.when(on_hand == 0, "stockout")
-        .when(F.col("inventory_risk"), "reorder")
-        .when(on_hand < reorder * 2, "watch")
-        .otherwise("healthy")
-    )
+    """Stock rows with their risk band; the first band that fits counts."""
     homes = silver["warehouses"].select("warehouse_id", "region")
     kinds = silver["products"].select("product_id", "category")
+    band = (
+        "case when on_hand_units = 0 then 'stockout' when inventory_risk then 'reorder'"
+        " when on_hand_units < reorder_point * 2 then 'watch' else 'healthy' end"
+    )
     return (
         silver["inventory"]
         .join(homes, "warehouse_id")
         .join(kinds, "product_id")
-        .select(
+        .selectExpr(
             "snapshot_date",
             "warehouse_id",
             "region",
@@ -119,7 +113,7 @@ def inventory_risk(silver: Tables) -> DataFrame:
             "on_hand_units",
             "reorder_point",
             "inventory_risk",
-            band.alias("risk_band"),
+            f"{band} as risk_band",
         )
     )
 
@@ -129,15 +123,15 @@ def customer_ltv(silver: Tables) -> DataFrame:
     per_order = (
         silver["order_items"]
         .groupBy("order_id")
-        .agg(_total("net_sales").alias("net"), F.count("net_sales").alias("items"))
+        .agg(_sum("net_sales").alias("net"), F.count("net_sales").alias("items"))
     )
-    kept = silver["orders"].where(F.col("status") != "cancelled").select("order_id", "customer_id", "order_date")
+    kept = silver["orders"].where("status <> 'cancelled'").select("order_id", "customer_id", "order_date")
     per_customer = (
         kept.join(per_order, "order_id", "left")
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("orders"),
-            _total("net").alias("net"),
+            _sum("net").alias("net"),
             F.sum("items").alias("items"),
             F.max("order_date").alias("last_order_date"),
         )
@@ -146,14 +140,14 @@ def customer_ltv(silver: Tables) -> DataFrame:
         silver["customers"]
         .select("customer_id", "region", "acquisition_channel", "loyalty_tier")
         .join(per_customer, "customer_id", "left")
-        .select(
+        .selectExpr(
             "customer_id",
             "region",
             "acquisition_channel",
             "loyalty_tier",
-            F.coalesce("orders", F.lit(0)).alias("orders"),
-            F.coalesce("net", F.lit(0).cast(TOTAL)).alias("lifetime_revenue"),
-            F.coalesce(_mean(F.col("net"), F.col("items"), 2), F.lit(0.0)).alias("avg_item_revenue"),
+            "coalesce(orders, 0) as orders",
+            f"coalesce(net, cast(0 as {TOTAL})) as lifetime_revenue",
+            f"coalesce({ratio('net', 'items', 2)}, 0.0D) as avg_item_revenue",
             "last_order_date",
         )
     )
@@ -161,34 +155,29 @@ def customer_ltv(silver: Tables) -> DataFrame:
 
 def funnel_conversion(silver: Tables) -> DataFrame:
     """Funnel stages per event date and campaign."""
-
-    def stage(kind: str) -> Column:
-        return F.count_if(F.col("event_type") == kind)
-
+    stages = {
+        "product_views": "product_view",
+        "add_to_cart": "add_to_cart",
+        "checkout_starts": "checkout_start",
+        "purchase_events": "purchase",
+    }
     grouped = (
         silver["web_events"]
         .groupBy("event_date", "campaign")
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.count_distinct("session_id").alias("sessions"),
-            stage("product_view").alias("product_views"),
-            stage("add_to_cart").alias("add_to_cart"),
-            stage("checkout_start").alias("checkout_starts"),
-            stage("purchase").alias("purchase_events"),
+            *[F.expr(f"count_if(event_type = '{kind}')").alias(name) for name, kind in stages.items()],
             F.count_if("is_late_event").alias("late_events"),
         )
     )
-    rate = ratio(F.col("purchase_events"), F.col("sessions"), 4)
-    return grouped.select(
+    return grouped.selectExpr(
         "event_date",
         "campaign",
         "events",
         "sessions",
-        "product_views",
-        "add_to_cart",
-        "checkout_starts",
-        "purchase_events",
-        rate.alias("session_purchase_rate"),
+        *stages,
+        f"{ratio('purchase_events', 'sessions', 4)} as session_purchase_rate",
         "late_events",
     )
 
@@ -203,18 +192,18 @@ def fulfillment_sla(silver: Tables) -> DataFrame:
         .groupBy("order_date", "carrier")
         .agg(
             F.count(F.lit(1)).alias("shipments"),
-            _total("delivery_hours").alias("_hours"),
-            F.count("delivery_hours").alias("_delivered"),
-            F.count_if("delivered_on_time").alias("_on_time"),
-            _total("shipping_cost").alias("shipping_cost"),
+            _sum("delivery_hours").alias("hours"),
+            F.count("delivery_hours").alias("delivered"),
+            F.count_if("delivered_on_time").alias("on_time"),
+            _sum("shipping_cost").alias("shipping_cost"),
         )
     )
-    return grouped.select(
+    return grouped.selectExpr(
         "order_date",
         "carrier",
         "shipments",
-        _mean(F.col("_hours"), F.col("_delivered"), 2).alias("avg_delivery_hours"),
-        ratio(F.col("_on_time"), F.col("shipments"), 4).alias("on_time_rate"),
+        f"{ratio('hours', 'delivered', 2)} as avg_delivery_hours",
+        f"{ratio('on_time', 'shipments', 4)} as on_time_rate",
         "shipping_cost",
     )
 
@@ -229,7 +218,7 @@ def returns(silver: Tables) -> DataFrame:
         .groupBy("product_id", "reason")
         .agg(
             F.count(F.lit(1)).alias("returns"),
-            _total("refund_amount").alias("refunded"),
+            _sum("refund_amount").alias("refunded"),
             F.count("refund_amount").alias("refunds"),
         )
     )
@@ -238,15 +227,15 @@ def returns(silver: Tables) -> DataFrame:
         .groupBy("category", "reason")
         .agg(
             F.sum("returns").alias("returns"),
-            _total("refunded").alias("refunded_amount"),
-            F.sum("refunds").alias("_refunds"),
+            _sum("refunded").alias("refunded_amount"),
+            F.sum("refunds").alias("refunds"),
         )
-        .select(
+        .selectExpr(
             "category",
             "reason",
             "returns",
             "refunded_amount",
-            _mean(F.col("refunded_amount"), F.col("_refunds"), 2).alias("avg_refund"),
+            f"{ratio('refunded_amount', 'refunds', 2)} as avg_refund",
         )
     )
 
@@ -257,16 +246,16 @@ def data_freshness(silver: Tables, profile: str, run_partition: str) -> DataFram
     parts = [
         silver[name]
         .agg(F.max(ts).alias("max_observed_ts"), F.count(F.lit(1)).alias("rows_loaded"))
-        .select(
-            F.lit(profile).alias("profile"),
-            F.lit(run_partition).alias("run_partition"),
-            F.lit(name).alias("source_name"),
+        .selectExpr(
+            f"{literal(profile)} as profile",
+            f"{literal(run_partition)} as run_partition",
+            f"{literal(name)} as source_name",
             "max_observed_ts",
             "rows_loaded",
         )
         for name, ts in sources.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def pipeline_runs(silver: Tables, gold: Tables, profile: str, run_partition: str) -> DataFrame:
@@ -275,7 +264,6 @@ def pipeline_runs(silver: Tables, gold: Tables, profile: str, run_partition: str
     def rows(frame: DataFrame) -> Column:
         return frame.agg(F.count(F.lit(1))).scalar()
 
-    revenue = gold["mart_revenue_daily"].agg(F.sum("revenue").cast(TOTAL)).scalar()
     spark = silver["orders"].sparkSession
     return spark.range(1).select(
         F.lit(profile).alias("profile"),
@@ -283,9 +271,9 @@ def pipeline_runs(silver: Tables, gold: Tables, profile: str, run_partition: str
         F.current_timestamp().alias("built_at"),
         rows(silver["orders"]).alias("silver_orders"),
         rows(silver["web_events"]).alias("silver_events"),
-        revenue.alias("gold_revenue"),
+        gold["mart_revenue_daily"].agg(_sum("revenue")).scalar().alias("gold_revenue"),
         rows(gold["mart_inventory_risk"].where("inventory_risk")).alias("inventory_risk_items"),
-        rows(gold["mart_funnel_conversion"].where(F.col("late_events") > 0)).alias("late_event_partitions"),
+        rows(gold["mart_funnel_conversion"].where("late_events > 0")).alias("late_event_partitions"),
     )
 
 

@@ -58,7 +58,7 @@ def land_raw(run: Run, batch_dir: str) -> tuple[dict[str, DataFrame], dict[str,
         else:
             rows = lake.read_csv(run.spark, f"{batch_dir}/{table}.csv")
         raw[table] = lake.with_position(rows)
-    return run.workspace().save_all(raw), dict.fromkeys(raw, lake.POSITION)
+    return run.workspace().save_all(raw), dict.fromkeys(raw, (lake.ROW,))
 
 
 def bronze(
@@ -86,11 +86,10 @@ def issue_log(results: Sequence[Validation], raw: Mapping[str, DataFrame]) -> Da
     """All issues in one table, with the zero-based row number in the source file where the position is known."""
     logs = []
     for result in results:
-        log = result.issues()
-        if tuple(result.row_order) == lake.POSITION:
-            log = lake.row_numbers(log, raw[result.table])
+        if set(lake.POSITION) <= set(result.annotated.columns):
+            log = lake.row_numbers(result.issues(*lake.POSITION), raw[result.table])
         else:
-            log = log.withColumn("row_number", F.lit(None).cast("bigint"))
+            log = result.issues().withColumn("row_number", F.lit(None).cast("bigint"))
         logs.append(log.select("table_name", "column_name", "issue_type", "row_number", "value"))
     return reduce(DataFrame.unionByName, logs)
 
@@ -100,7 +99,7 @@ def build_silver(
     clean: Mapping[str, DataFrame],
     row_order: Mapping[str, Sequence[str]],
     stream: DataFrame | None = None,
-    late_before: str = "2025-01-01 00:00:00",
+    late_before: str = silver.LATE_BEFORE,
 ) -> dict[str, DataFrame]:
     built = silver.build_all(clean, row_order, stream, late_before)
     written = run.store("silver").save_all(built)

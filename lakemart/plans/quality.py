@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import TOTAL, half_up, holds, text
+from lakemart.functions.scalars import TOTAL, half_up, holds, literal, quoted
 
 
 # Thresholds and outputs a run must meet.
@@ -29,82 +29,61 @@ class Rules:
     )
 
 
-def _row(name: str, passed: Column, observed: Column, expected: str) -> list[Column]:
+def _row(name: str, passed: str, observed: str, expected: str) -> list[str]:
     return [
-        F.lit(name).alias("check_name"),
-        holds(passed).alias("passed"),
-        observed.alias("observed"),
-        F.lit(expected).alias("expected"),
+        f"{literal(name)} as check_name",
+        f"{holds(passed)} as passed",
+        f"{observed} as observed",
+        f"{literal(expected)} as expected",
     ]
 
 
-def _number(value: Column) -> Column:
+def _number(value: str) -> str:
     """A number as plain text without trailing zeros."""
-    return F.regexp_replace(text(value.cast("decimal(28,4)")), r"\.?0+$", "")
+    return f"regexp_replace(string(cast({value} as decimal(28,4))), '[.]?0+$', '')"
 
 
 def contract_floor(summary: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    low = F.coalesce(F.col("low"), F.lit(0.0))
-    return summary.agg(F.min("quality_score").alias("low")).select(
-        *_row(
-            "contract_quality_floor",
-            low >= rules.minimum_contract_score,
-            _number(low),
-            f">= {rules.minimum_contract_score}",
-        )
-    )
+    limit = rules.minimum_contract_score
+    low = summary.agg(F.expr("coalesce(min(quality_score), 0.0D)").alias("low"))
+    return low.selectExpr(*_row("contract_quality_floor", f"low >= {limit}", _number("low"), f">= {limit}"))
 
 
 def required_outputs(spark: SparkSession, present: Sequence[str], rules: Rules = Rules()) -> DataFrame:
     """One row per required output; ``present`` names the tables that exist (a list of names, not of rows)."""
-    names = spark.createDataFrame([(n, n in set(present)) for n in rules.required_outputs], "name string, found boolean")
-    return names.select(
-        F.concat(F.lit("required_export:"), F.col("name")).alias("check_name"),
-        F.col("found").alias("passed"),
-        F.col("name").alias("observed"),
-        F.lit("present").alias("expected"),
+    rows = [(name, name in set(present)) for name in rules.required_outputs]
+    return spark.createDataFrame(rows, "name string, found boolean").selectExpr(
+        "concat('required_export:', name) as check_name",
+        "found as passed",
+        "name as observed",
+        "'present' as expected",
     )
 
 
 def mart_count(gold_manifest: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    return gold_manifest.agg(F.count(F.lit(1)).alias("n")).select(
-        *_row(
-            "gold_mart_count",
-            F.col("n") >= rules.minimum_gold_marts,
-            text(F.col("n")),
-            f">= {rules.minimum_gold_marts}",
-        )
-    )
+    limit = rules.minimum_gold_marts
+    counted = gold_manifest.agg(F.count(F.lit(1)).alias("n"))
+    return counted.selectExpr(*_row("gold_mart_count", f"n >= {limit}", "string(n)", f">= {limit}"))
 
 
 def late_event_rate(funnel: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The unrounded rate is compared, the rounded one reported; no events means a rate of zero."""
-    sums = funnel.agg(F.sum("late_events").alias("late"), F.sum("events").alias("events"))
-    late, events = F.col("late").cast("double"), F.nullif(F.col("events"), F.lit(0)).cast("double")
-    rate = F.coalesce(late / events, F.lit(0.0))
-    return sums.select(
-        *_row(
-            "late_event_rate",
-            rate <= rules.maximum_late_event_rate,
-            _number(half_up(rate, 4)),
-            f"<= {rules.maximum_late_event_rate}",
-        )
+    limit = rules.maximum_late_event_rate
+    rate = F.expr("coalesce(double(sum(late_events)) / nullif(double(sum(events)), 0.0D), 0.0D)")
+    return funnel.agg(rate.alias("rate")).selectExpr(
+        *_row("late_event_rate", f"rate <= {limit}D", _number(half_up("rate", 4)), f"<= {limit}")
     )
 
 
 def positive_revenue(revenue: DataFrame) -> DataFrame:
-    total = F.coalesce(F.col("total"), F.lit(0).cast(TOTAL))
-    return revenue.agg(F.sum("revenue").cast(TOTAL).alias("total")).select(
-        *_row("positive_revenue", total > 0, _number(total), "> 0")
-    )
+    total = revenue.agg(F.expr(f"coalesce(cast(sum(revenue) as {TOTAL}), 0)").alias("total"))
+    return total.selectExpr(*_row("positive_revenue", "total > 0", _number("total"), "> 0"))
 
 
 def sla_bounds(sla: DataFrame) -> DataFrame:
     """Every rate lies in [0, 1]; a null rate fails, and so does an empty mart."""
-    inside = F.bool_and(holds(F.col("on_time_rate").between(0, 1)))
-    return sla.agg(inside.alias("inside")).select(
-        *_row("sla_rate_bounds", F.col("inside"), F.lit("0..1"), "all rows")
-    )
+    inside = F.expr(f"bool_and({holds('on_time_rate between 0 and 1')})")
+    return sla.agg(inside.alias("inside")).selectExpr(*_row("sla_rate_bounds", "inside", "'0..1'", "all rows"))
 
 
 def checks(
@@ -130,24 +109,22 @@ def checks(
 
 def scorecard(results: DataFrame) -> DataFrame:
     counted = results.agg(F.count(F.lit(1)).alias("checks_total"), F.count_if("passed").alias("checks_passed"))
-    total, passed = F.col("checks_total"), F.col("checks_passed")
-    share = passed.cast("double") / F.nullif(total, F.lit(0)).cast("double")
-    return counted.select(
-        total,
-        passed,
-        (total - passed).alias("checks_failed"),
-        F.coalesce(half_up(share * F.lit(100.0), 2), F.lit(0.0)).alias("platform_score"),
+    score = half_up("double(checks_passed) / nullif(double(checks_total), 0.0D) * 100.0D", 2)
+    return counted.selectExpr(
+        "checks_total",
+        "checks_passed",
+        "checks_total - checks_passed as checks_failed",
+        f"coalesce({score}, 0.0D) as platform_score",
     )
 
 
 def failed(results: DataFrame) -> DataFrame:
-    return results.where(~F.col("passed"))
+    return results.where("not passed")
 
 
 def not_null(table: str, frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null count per column in one pass, one row per column."""
-    counts = frame.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = counts.unpivot([], list(columns), "column_name", "null_rows")
-    return long.select(
-        F.lit(table).alias("table_name"), "column_name", "null_rows", (F.col("null_rows") == 0).alias("passed")
+    counts = frame.agg(*[F.expr(f"count_if({quoted(c)} is null)").alias(c) for c in columns])
+    return counts.unpivot([], list(columns), "column_name", "null_rows").selectExpr(
+        f"{literal(table)} as table_name", "column_name", "null_rows", "null_rows = 0 as passed"
     )

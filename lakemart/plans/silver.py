@@ -9,14 +9,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import (
     AMOUNT,
     PRICE,
     RATE,
+    assign,
     holds,
     hours_between,
+    listed,
+    literal,
     month_of,
     parse_bool,
     parse_date,
@@ -24,6 +26,7 @@ from lakemart.functions.scalars import (
     parse_long,
     parse_timestamp,
     pii_hash,
+    quoted,
     ratio,
 )
 from lakemart.operators.dedup import keep_first
@@ -33,7 +36,9 @@ Order = Sequence[str] | None
 
 METADATA = ("ingest_profile", "ingest_run_date")
 BATCH, STREAM = 0, 1
-_PRIORITY = "_source_priority"
+# Fixed value: events before this moment count as late.
+LATE_BEFORE = "2025-01-01 00:00:00"
+_PRIORITY, _OFFSET = "_source_priority", "_stream_offset"
 
 
 def _first_copies(frame: DataFrame, table: str, order_by: Order) -> DataFrame:
@@ -42,135 +47,140 @@ def _first_copies(frame: DataFrame, table: str, order_by: Order) -> DataFrame:
 
 def customers(frame: DataFrame, order_by: Order = None) -> DataFrame:
     """Fixed column list; the e-mail leaves only as a hash."""
-    rows = _first_copies(frame, "customers", order_by)
-    return rows.select(
+    return _first_copies(frame, "customers", order_by).selectExpr(
         "customer_id",
-        pii_hash(F.col("email")).alias("email_hash"),
+        f"{pii_hash('email')} as email_hash",
         "region",
         "acquisition_channel",
-        parse_date(frame, "signup_date").alias("signup_date"),
+        f"{parse_date('signup_date')} as signup_date",
         "loyalty_tier",
         *[name for name in METADATA if name in frame.columns],
     )
 
 
 def products(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    typed = _first_copies(frame, "products", order_by).withColumns(
+    typed = assign(
+        _first_copies(frame, "products", order_by),
         {
-            "unit_cost": parse_decimal(frame, "unit_cost", PRICE),
-            "unit_price": parse_decimal(frame, "unit_price", PRICE),
-            "active": parse_bool(frame, "active"),
-        }
+            "unit_cost": parse_decimal("unit_cost", PRICE),
+            "unit_price": parse_decimal("unit_price", PRICE),
+            "active": parse_bool("active"),
+        },
     )
-    price = F.col("unit_price")
-    return typed.withColumn("gross_margin_pct", ratio(price - F.col("unit_cost"), price, 4))
+    return assign(typed, {"gross_margin_pct": ratio("unit_price - unit_cost", "unit_price", 4)})
 
 
 def warehouses(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    return _first_copies(frame, "warehouses", order_by).withColumns(
-        {name: parse_long(frame, name) for name in ("capacity_units", "priority")}
-    )
+    whole = {name: parse_long(frame, name) for name in ("capacity_units", "priority")}
+    return assign(_first_copies(frame, "warehouses", order_by), whole)
 
 
 def inventory(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    typed = _first_copies(frame, "inventory", order_by).withColumns(
-        {name: parse_long(frame, name) for name in ("on_hand_units", "reorder_point")}
-    )
-    return typed.withColumn("inventory_risk", holds(F.col("on_hand_units") <= F.col("reorder_point")))
+    whole = {name: parse_long(frame, name) for name in ("on_hand_units", "reorder_point")}
+    typed = assign(_first_copies(frame, "inventory", order_by), whole)
+    return assign(typed, {"inventory_risk": holds("on_hand_units <= reorder_point")})
 
 
 def orders(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    typed = _first_copies(frame, "orders", order_by).withColumn("order_ts", parse_timestamp(frame, "order_ts"))
-    return typed.withColumns({"order_date": F.to_date("order_ts"), "order_month": month_of(F.col("order_ts"))})
+    typed = assign(_first_copies(frame, "orders", order_by), {"order_ts": parse_timestamp(frame, "order_ts")})
+    return assign(typed, {"order_date": "date(order_ts)", "order_month": month_of("order_ts")})
 
 
 def order_items(frame: DataFrame, order_by: Order = None) -> DataFrame:
     """Net sales start from the rounded gross sales."""
-    typed = _first_copies(frame, "order_items", order_by).withColumns(
+    typed = assign(
+        _first_copies(frame, "order_items", order_by),
         {
             "quantity": parse_long(frame, "quantity"),
-            "unit_price": parse_decimal(frame, "unit_price", PRICE),
-            "discount_pct": F.coalesce(parse_decimal(frame, "discount_pct", RATE), F.lit(0).cast(RATE)),
-        }
+            "unit_price": parse_decimal("unit_price", PRICE),
+            "discount_pct": f"coalesce({parse_decimal('discount_pct', RATE)}, cast(0 as {RATE}))",
+        },
     )
-    gross = (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")).cast(AMOUNT)
-    net = (F.col("gross_sales") * (F.lit(1).cast(RATE) - F.col("discount_pct"))).cast(AMOUNT)
-    return typed.withColumn("gross_sales", gross).withColumn("net_sales", net)
+    gross = assign(typed, {"gross_sales": f"cast(cast(quantity as decimal(10,0)) * unit_price as {AMOUNT})"})
+    return assign(gross, {"net_sales": f"cast(gross_sales * (cast(1 as {RATE}) - discount_pct) as {AMOUNT})"})
 
 
 def payments(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    return _first_copies(frame, "payments", order_by).withColumns(
+    return assign(
+        _first_copies(frame, "payments", order_by),
         {
             "payment_ts": parse_timestamp(frame, "payment_ts"),
-            "amount": parse_decimal(frame, "amount", AMOUNT),
-            "is_successful_payment": holds(F.col("payment_status").isin(*SUCCESSFUL_PAYMENTS)),
-        }
+            "amount": parse_decimal("amount", AMOUNT),
+            "is_successful_payment": holds(f"payment_status in ({listed(SUCCESSFUL_PAYMENTS)})"),
+        },
     )
 
 
 def shipments(frame: DataFrame, order_by: Order = None) -> DataFrame:
     """An undelivered shipment has no hours and is not on time."""
     times = ("ship_ts", "promised_delivery_ts", "delivered_ts")
-    typed = _first_copies(frame, "shipments", order_by).withColumns(
+    typed = assign(
+        _first_copies(frame, "shipments", order_by),
         {
             **{name: parse_timestamp(frame, name) for name in times},
-            "shipping_cost": parse_decimal(frame, "shipping_cost", PRICE),
-        }
+            "shipping_cost": parse_decimal("shipping_cost", PRICE),
+        },
     )
-    return typed.withColumns(
+    return assign(
+        typed,
         {
-            "delivery_hours": hours_between(F.col("ship_ts"), F.col("delivered_ts")),
-            "delivered_on_time": holds(F.col("delivered_ts") <= F.col("promised_delivery_ts")),
-        }
+            "delivery_hours": hours_between("ship_ts", "delivered_ts"),
+            "delivered_on_time": holds("delivered_ts <= promised_delivery_ts"),
+        },
     )
 
 
 def returns(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    return _first_copies(frame, "returns", order_by).withColumns(
+    return assign(
+        _first_copies(frame, "returns", order_by),
         {
             "return_ts": parse_timestamp(frame, "return_ts"),
-            "refund_amount": parse_decimal(frame, "refund_amount", AMOUNT),
-        }
+            "refund_amount": parse_decimal("refund_amount", AMOUNT),
+        },
     )
 
 
-def web_events(frame: DataFrame, late_before: str = "2025-01-01 00:00:00", order_by: Order = None) -> DataFrame:
+def web_events(frame: DataFrame, late_before: str = LATE_BEFORE, order_by: Order = None) -> DataFrame:
     """Events before ``late_before`` are flagged late and kept."""
-    typed = _first_copies(frame, "web_events", order_by).withColumn("event_ts", parse_timestamp(frame, "event_ts"))
-    cutoff = F.lit(late_before).cast(typed.schema["event_ts"].dataType)
-    return typed.withColumns(
+    typed = assign(_first_copies(frame, "web_events", order_by), {"event_ts": parse_timestamp(frame, "event_ts")})
+    cutoff = f"cast({literal(late_before)} as {typed.schema['event_ts'].dataType.simpleString()})"
+    return assign(
+        typed,
         {
-            "event_date": F.to_date("event_ts"),
-            "event_month": month_of(F.col("event_ts")),
-            "is_late_event": holds(F.col("event_ts") < cutoff),
-        }
+            "event_date": "date(event_ts)",
+            "event_month": month_of("event_ts"),
+            "is_late_event": holds(f"event_ts < {cutoff}"),
+        },
     )
 
 
 def union_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
     """Batch events followed by streamed ones, on the batch columns; absent stream columns are null.
 
-    Stream rows have passed no contract. The added priority column makes the batch copy of an event id come first.
+    Stream rows have passed no contract. The added priority column makes the batch copy of an event id come first, the
+    offset column orders the copies within the stream by their batch.
     """
     aligned = []
     for field in batch.schema:
+        kind, name = field.dataType.simpleString(), quoted(field.name)
         if field.name == "ingest_run_date":
-            column = F.lit("stream")
+            aligned.append(f"'stream' as {name}")
         elif field.name in stream.columns:
-            column = F.col(field.name).try_cast(field.dataType)
+            aligned.append(f"try_cast({name} as {kind}) as {name}")
         else:
-            column = F.lit(None).cast(field.dataType)
-        aligned.append(column.alias(field.name))
-    first = batch.withColumn(_PRIORITY, F.lit(BATCH))
-    return first.unionByName(stream.select(*aligned, F.lit(STREAM).alias(_PRIORITY)))
+            aligned.append(f"cast(null as {kind}) as {name}")
+    offset = "stream_offset_start" if "stream_offset_start" in stream.columns else "cast(null as bigint)"
+    first = batch.selectExpr("*", f"{BATCH} as {_PRIORITY}", f"cast(null as bigint) as {_OFFSET}")
+    return first.unionByName(stream.selectExpr(*aligned, f"{STREAM} as {_PRIORITY}", f"{offset} as {_OFFSET}"))
 
 
 def web_events_with_stream(
-    batch: DataFrame, stream: DataFrame, row_order: Sequence[str], late_before: str = "2025-01-01 00:00:00"
+    batch: DataFrame, stream: DataFrame, row_order: Sequence[str], late_before: str = LATE_BEFORE
 ) -> DataFrame:
     """Union of both sources with exact deduplication by event id; the batch copy wins."""
     both = union_stream(batch, stream)
-    return web_events(both, late_before, order_by=(_PRIORITY, *row_order)).drop(_PRIORITY)
+    order = (_PRIORITY, *row_order, _OFFSET, "event_ts")
+    return web_events(both, late_before, order_by=order).drop(_PRIORITY, _OFFSET)
 
 
 ENTITIES = {
@@ -191,7 +201,7 @@ def build_all(
     clean: Mapping[str, DataFrame],
     row_order: Mapping[str, Sequence[str]],
     stream: DataFrame | None = None,
-    late_before: str = "2025-01-01 00:00:00",
+    late_before: str = LATE_BEFORE,
 ) -> dict[str, DataFrame]:
     """Silver entities from contract-clean tables; only keys that no contract checks are deduplicated."""
     built = {}

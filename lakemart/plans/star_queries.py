@@ -95,27 +95,24 @@ def validated(star: StarTables, *tables: str) -> dict[str, Validation]:
 def scan_csv_roundtrip(star: StarTables) -> DataFrame:
     space = Workspace(star.spark)
     lake.write_csv(star.products, space.path("products_csv"))
-    return silver.products(lake.read_csv(star.spark, space.path("products_csv")).withColumn(
-        "product_id", F.col("product_id").cast("bigint")
-    ))
+    rows = lake.read_csv(star.spark, space.path("products_csv"))
+    return silver.products(scalars.assign(rows, {"product_id": "bigint(product_id)"}))
 
 
 def _event_lines(star: StarTables) -> DataFrame:
     """Events as topic messages: every value as text, like a JSON producer writes them."""
-    return star.web_events.select(
-        *[scalars.text(F.col(name)).alias(name) for name in star.web_events.columns],
-        F.lit("stream").alias("event_source"),
-    )
+    texts = [f"string({name}) as {name}" for name in star.web_events.columns]
+    return star.web_events.selectExpr(*texts, "'stream' as event_source")
 
 
 def _typed_events(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        F.col("event_id").cast("bigint").alias("event_id"),
-        F.col("customer_id").cast("bigint").alias("customer_id"),
+    return rows.selectExpr(
+        "bigint(event_id) as event_id",
+        "bigint(customer_id) as customer_id",
         "session_id",
-        F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
+        "cast(event_ts as timestamp_ntz) as event_ts",
         "event_type",
-        F.col("product_id").cast("bigint").alias("product_id"),
+        "bigint(product_id) as product_id",
         "device",
         "campaign",
     )
@@ -131,7 +128,7 @@ def scan_jsonl_roundtrip(star: StarTables) -> DataFrame:
 @query
 def latest_partition(star: StarTables) -> DataFrame:
     space = Workspace(star.spark)
-    rows = star.orders.withColumn("run_date", scalars.month_of(F.col("order_ts")))
+    rows = scalars.assign(star.orders, {"run_date": scalars.month_of("order_ts")})
     table = space.save(rows.repartition("run_date"), "orders_by_month", ("run_date",))
     return lake.latest_partition(table)
 
@@ -183,15 +180,12 @@ def contract_missing_column(star: StarTables) -> DataFrame:
 
 @query
 def contract_required(star: StarTables) -> DataFrame:
-    key = F.col("order_id")
     currency = (
-        F.when(key % 97 == 0, F.lit(None).cast("string"))
-        .when(key % 89 == 0, "")
-        .when(key % 83 == 0, " ")
-        .otherwise(F.col("currency"))
+        "case when order_id % 97 = 0 then null when order_id % 89 = 0 then '' when order_id % 83 = 0 then ' '"
+        " else currency end"
     )
     contract = TableContract("orders", required=CONTRACTS["orders"].required)
-    rows = star.orders.withColumn("currency", currency)
+    rows = scalars.assign(star.orders, {"currency": currency})
     return contracts.annotate(rows, contract, {}, ROW_ORDER["orders"]).issues("order_id")
 
 
@@ -203,16 +197,12 @@ def contract_unique(star: StarTables) -> DataFrame:
 
 @query
 def contract_positive(star: StarTables) -> DataFrame:
-    key = F.col("order_id")
     quantity = (
-        F.when(key % 13 == 0, "n/a")
-        .when(key % 11 == 0, "-3")
-        .when(key % 7 == 0, "0")
-        .when(key % 17 == 0, F.lit(None).cast("string"))
-        .otherwise(scalars.text(F.col("quantity")))
+        "case when order_id % 13 = 0 then 'n/a' when order_id % 11 = 0 then '-3' when order_id % 7 = 0 then '0'"
+        " when order_id % 17 = 0 then null else string(quantity) end"
     )
     contract = TableContract("order_items", positive=("quantity", "unit_price"))
-    rows = star.order_items.withColumn("quantity", quantity)
+    rows = scalars.assign(star.order_items, {"quantity": quantity})
     result = contracts.annotate(rows, contract, {}, ROW_ORDER["order_items"])
     return result.issues("order_item_id", "product_id", "ship_date", "extended_price")
 
@@ -221,13 +211,13 @@ def contract_positive(star: StarTables) -> DataFrame:
 def contract_non_negative(star: StarTables) -> DataFrame:
     contract = TableContract("customers", non_negative=("account_balance",))
     issues = contracts.annotate(star.customers, contract, {}, ROW_ORDER["customers"]).issues("customer_id")
-    return issues.withColumn("value", F.col("value").cast("double"))
+    return scalars.assign(issues, {"value": "double(value)"})
 
 
 @query
 def contract_allowed(star: StarTables) -> DataFrame:
-    kind = F.when(F.col("event_id") % 41 == 0, F.lit(None).cast("string")).otherwise(F.col("event_type"))
-    rows = star.table("events").select("event_id", kind.alias("event_type"))
+    kind = "if(event_id % 41 = 0, null, event_type) as event_type"
+    rows = star.table("events").selectExpr("event_id", kind)
     contract = TableContract("web_events", allowed={"event_type": EVENT_TYPES})
     return contracts.annotate(rows, contract, {}, ("event_id",)).issues("event_id")
 
@@ -344,11 +334,8 @@ def silver_web_events(star: StarTables) -> DataFrame:
 def silver_events_union(star: StarTables) -> DataFrame:
     """Stream copies carry doubled ids, so the even ids meet a batch row and the rest are new."""
     batch = lake.ingest_metadata(star.web_events, PROFILE, "2026-05-18")
-    stream = (
-        star.web_events.withColumn("event_id", F.col("event_id") * 2)
-        .withColumn("event_source", F.lit("stream"))
-        .drop("campaign")
-    )
+    doubled = scalars.assign(star.web_events, {"event_id": "event_id * 2", "event_source": "'stream'"})
+    stream = doubled.drop("campaign")
     return silver.web_events_with_stream(batch, stream, ROW_ORDER["web_events"], LATE_CUTOFF)
 
 
@@ -363,53 +350,47 @@ def dedup_keep_first(star: StarTables) -> DataFrame:
 
 @query
 def dedup_composite(star: StarTables) -> DataFrame:
-    rows = star.table("lineitem").select(
-        "l_suppkey", "l_partkey", F.to_date("l_shipdate").alias("ship_day"), "l_orderkey", "l_linenumber"
+    rows = star.table("lineitem").selectExpr(
+        "l_suppkey", "l_partkey", "date(l_shipdate) as ship_day", "l_orderkey", "l_linenumber"
     )
     return keep_first(rows, ("l_suppkey", "l_partkey", "ship_day"), ("l_orderkey", "l_linenumber"))
 
 
 @query
 def fn_try_numeric(star: StarTables) -> DataFrame:
-    key = F.col("product_id")
-    dirty = (
-        F.when(key % 5 == 0, "n/a").when(key % 7 == 0, "").otherwise(scalars.text(F.col("unit_price")))
-    )
-    rows = star.products.select("product_id", dirty.alias("price_text"))
-    return rows.withColumn("price", scalars.parse_decimal(rows, "price_text", scalars.PRICE))
+    dirty = "case when product_id % 5 = 0 then 'n/a' when product_id % 7 = 0 then '' else string(unit_price) end"
+    rows = star.products.selectExpr("product_id", f"{dirty} as price_text")
+    return scalars.assign(rows, {"price": scalars.parse_decimal("price_text", scalars.PRICE)})
 
 
 @query
 def fn_try_date(star: StarTables) -> DataFrame:
-    key = F.col("customer_id")
     dirty = (
-        F.when(key % 5 == 0, "soon").when(key % 7 == 0, "2024-13-45").otherwise(scalars.text(F.col("signup_date")))
+        "case when customer_id % 5 = 0 then 'soon' when customer_id % 7 = 0 then '2024-13-45'"
+        " else string(signup_date) end"
     )
-    rows = star.customers.select("customer_id", dirty.alias("signup_text"))
-    return rows.withColumn("signup_date", scalars.parse_date(rows, "signup_text"))
+    rows = star.customers.selectExpr("customer_id", f"{dirty} as signup_text")
+    return scalars.assign(rows, {"signup_date": scalars.parse_date("signup_text")})
 
 
 @query
 def fn_pii_hash(star: StarTables) -> DataFrame:
-    padded = F.concat(F.lit(" \t"), F.upper("email"), F.lit(" \n"))
-    return star.customers.select("customer_id", scalars.pii_hash(padded).alias("email_hash"))
+    padded = r"concat(' \t', upper(email), ' \n')"
+    return star.customers.selectExpr("customer_id", f"{scalars.pii_hash(padded)} as email_hash")
 
 
 @query
 def fn_json_field(star: StarTables) -> DataFrame:
-    return star.table("events").select(
-        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k")
-    )
+    return star.table("events").selectExpr("event_id", "bigint(get_json_object(props, '$.k')) as k")
 
 
 @query
 def fn_ts_add(star: StarTables) -> DataFrame:
-    key, placed = F.col("o_orderkey"), F.col("o_orderdate")
-    return star.table("orders").select(
+    return star.table("orders").selectExpr(
         "o_orderkey",
-        scalars.shift("MINUTE", key % 180, placed).alias("plus_minutes"),
-        scalars.shift("HOUR", key % 113, placed).alias("plus_hours"),
-        scalars.shift("DAY", key % 5, placed).alias("plus_days"),
+        f"{scalars.shift('MINUTE', 'o_orderkey % 180', 'o_orderdate')} as plus_minutes",
+        f"{scalars.shift('HOUR', 'o_orderkey % 113', 'o_orderdate')} as plus_hours",
+        f"{scalars.shift('DAY', 'o_orderkey % 5', 'o_orderdate')} as plus_days",
     )
 
 
@@ -423,12 +404,12 @@ def fn_sku(star: StarTables) -> DataFrame:
 
 @query
 def shippable_orders(star: StarTables) -> DataFrame:
-    return star.orders.where(F.col("status").isin(*SHIPPABLE_STATUSES))
+    return star.orders.where(f"status in ({scalars.listed(SHIPPABLE_STATUSES)})")
 
 
 @query
 def returned_items_semi(star: StarTables) -> DataFrame:
-    returned = star.orders.where(F.col("status") == "returned")
+    returned = star.orders.where("status = 'returned'")
     return joins.members(star.order_items, "order_id", returned, "order_id")
 
 
@@ -445,9 +426,8 @@ def item_price_lookup(star: StarTables) -> DataFrame:
 
 @query
 def order_net_totals(star: StarTables) -> DataFrame:
-    gross = F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")
-    net = gross * (F.lit(1).cast(scalars.RATE) - F.col("discount_pct"))
-    return star.order_items.groupBy("order_id").agg(F.sum(net).cast("decimal(28,6)").alias("net_total"))
+    net = f"cast(quantity as decimal(10,0)) * unit_price * (cast(1 as {scalars.RATE}) - discount_pct)"
+    return star.order_items.groupBy("order_id").agg(F.expr(f"cast(sum({net}) as decimal(28,6))").alias("net_total"))
 
 
 # --- marts -------------------------------------------------------------------------------------------------------
@@ -467,7 +447,7 @@ def mart_product_performance(star: StarTables) -> DataFrame:
 def mart_product_performance_recent(star: StarTables) -> DataFrame:
     """Only lines of the newest orders, which leaves most products unsold."""
     entities = dict(Silver(star))
-    late = entities["orders"].where(F.col("order_ts") >= F.lit("2001-07-01").cast("timestamp_ntz"))
+    late = entities["orders"].where("order_ts >= timestamp_ntz '2001-07-01 00:00:00'")
     entities["order_items"] = joins.members(entities["order_items"], "order_id", late, "order_id")
     return marts.product_performance(entities)
 
@@ -486,8 +466,7 @@ def mart_customer_ltv(star: StarTables) -> DataFrame:
 def mart_customer_ltv_recent(star: StarTables) -> DataFrame:
     """Only the orders of the newest year, which leaves half of the customers without any."""
     entities = dict(Silver(star))
-    newest = F.col("order_ts") >= F.lit("2001-01-01").cast("timestamp_ntz")
-    entities["orders"] = entities["orders"].where(newest)
+    entities["orders"] = entities["orders"].where("order_ts >= timestamp_ntz '2001-01-01 00:00:00'")
     return marts.customer_ltv(entities)
 
 
@@ -588,7 +567,8 @@ def _checked(star: StarTables) -> DataFrame:
     summary = space.save(contract_summary(star), "contract_summary")
     gold = _gold(star, space)
     counts = space.save(lake.manifest(gold, PROFILE, RUN, "mart_name", "row_count"), "gold_manifest")
-    present = [*gold, "contract_summary", "gold_manifest"]
+    space.save(silver_manifest(star), "silver_manifest")
+    present = [*gold, "contract_summary", "silver_manifest", "gold_manifest"]
     results = quality.checks(
         summary,
         counts,

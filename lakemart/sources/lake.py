@@ -89,9 +89,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def with_position(rows: DataFrame) -> DataFrame:
-    """Add the place of each row in its source file: file, start of the split, rank inside the split.
+    """Add the place of each row: source file, start of its split, and a rank that serves as the row order.
 
-    Write the result before using it as a row order (``Workspace.save``): the written values stay fixed.
+    The rank is one long, unique, and rises along every file; files follow each other in the order in which Spark
+    packed their splits. Write the result before use (``Workspace.save``), which fixes the values.
     """
     return rows.select(
         "*",

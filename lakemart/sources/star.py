@@ -9,10 +9,10 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import AMOUNT, PRICE, RATE, shift, sku, text
+from lakemart.functions.scalars import AMOUNT, PRICE, RATE, listed, one_of, shift, sku
 from lakemart.sources.model import CHANNELS, CONTRACTS, SHIPPABLE_STATUSES, TableContract
 
 # First day and hour that counts as on time for the test events, which span January 2024.
@@ -39,8 +39,27 @@ STAR_CONTRACTS: dict[str, TableContract] = {
 }
 
 
-def _one_of(column: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), column.cast("int") + 1)
+# Columns of the tables that are read, as SQL schemas (saves a footer read per table).
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+_STATUS = """
+    case when o_orderpriority = '4-NOT SPECIFIED' then 'cancelled'
+         when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'returned'
+         when o_orderstatus = 'F' then 'delivered'
+         when o_orderstatus = 'O' then 'shipped'
+         else 'paid' end"""
 
 
 class StarTables:
@@ -49,185 +68,167 @@ class StarTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._tables[name]
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def _regions(self) -> DataFrame:
         # 25 nations and 5 regions at every scale, hence safe to broadcast.
-        nation, region = self.table("nation"), self.table("region")
-        named = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-        return F.broadcast(named.select("n_nationkey", F.col("r_name").alias("region")))
+        named = self.table("nation").join(F.broadcast(self.table("region")), F.expr("n_regionkey = r_regionkey"))
+        return F.broadcast(named.selectExpr("n_nationkey", "r_name as region"))
 
     @cached_property
     def customers(self) -> DataFrame:
-        balance = F.col("c_acctbal")
-        tier = (
-            F.when(balance < 2500, "standard")
-            .when(balance < 5000, "silver")
-            .when(balance < 8000, "gold")
-            .otherwise("platinum")
-        )
-        rows = self.table("customer").join(self._regions, F.col("c_nationkey") == F.col("n_nationkey"))
-        return rows.select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("email"),
-            "region",
-            F.col("c_mktsegment").alias("acquisition_channel"),
-            F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
-            tier.alias("loyalty_tier"),
-            balance.alias("account_balance"),
+        return (
+            self.table("customer")
+            .join(self._regions, F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(
+                "c_custkey as customer_id",
+                "c_name as email",
+                "region",
+                "c_mktsegment as acquisition_channel",
+                "date_add(date '1994-01-01', int(c_custkey % 365)) as signup_date",
+                "case when c_acctbal < 2500 then 'standard' when c_acctbal < 5000 then 'silver'"
+                " when c_acctbal < 8000 then 'gold' else 'platinum' end as loyalty_tier",
+                "c_acctbal as account_balance",
+            )
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast(PRICE)
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            sku(F.col("p_type"), F.col("p_partkey")).alias("sku"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("brand"),
-            (price * F.lit("0.60").cast("decimal(3,2)")).cast(PRICE).alias("unit_cost"),
-            price.alias("unit_price"),
-            (F.col("p_partkey") % 25 != 0).alias("active"),
+        price = f"cast(p_retailprice as {PRICE})"
+        return self.table("part").selectExpr(
+            "p_partkey as product_id",
+            f"{sku('p_type', 'p_partkey')} as sku",
+            "p_type as category",
+            "p_brand as brand",
+            f"cast({price} * 0.60BD as {PRICE}) as unit_cost",
+            f"{price} as unit_price",
+            "p_partkey % 25 <> 0 as active",
         )
 
     @cached_property
     def warehouses(self) -> DataFrame:
-        rows = self.table("supplier").join(self._regions, F.col("s_nationkey") == F.col("n_nationkey"))
-        key = F.col("s_suppkey")
-        return rows.select(
-            key.alias("warehouse_id"),
-            "region",
-            (F.lit(25000) + key * 7919 % 155001).alias("capacity_units"),
-            (F.lit(1) + key % 3).alias("priority"),
+        return (
+            self.table("supplier")
+            .join(self._regions, F.expr("s_nationkey = n_nationkey"))
+            .selectExpr(
+                "s_suppkey as warehouse_id",
+                "region",
+                "25000 + s_suppkey * 7919 % 155001 as capacity_units",
+                "1 + s_suppkey % 3 as priority",
+            )
         )
 
     @cached_property
     def inventory(self) -> DataFrame:
         stocked = (
             self.table("lineitem")
-            .groupBy(F.col("l_suppkey").alias("warehouse_id"), F.col("l_partkey").alias("product_id"))
-            .agg(F.max("l_shipdate").cast("date").alias("snapshot_date"))
+            .selectExpr("l_suppkey as warehouse_id", "l_partkey as product_id", "l_shipdate")
+            .groupBy("warehouse_id", "product_id")
+            .agg(F.max("l_shipdate").alias("newest"))
         )
-        part, supplier = F.col("product_id"), F.col("warehouse_id")
-        return stocked.select(
+        return stocked.selectExpr(
             "warehouse_id",
             "product_id",
-            "snapshot_date",
-            ((part * 31 + supplier * 17) % 600).alias("on_hand_units"),
-            (F.lit(25) + (part * 13 + supplier * 7) % 226).alias("reorder_point"),
+            "date(newest) as snapshot_date",
+            "(product_id * 31 + warehouse_id * 17) % 600 as on_hand_units",
+            "25 + (product_id * 13 + warehouse_id * 7) % 226 as reorder_point",
         )
 
-    @cached_property
-    def _order_facts(self) -> DataFrame:
-        state, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        status = (
-            F.when(priority == "4-NOT SPECIFIED", "cancelled")
-            .when((state == "F") & (priority == "5-LOW"), "returned")
-            .when(state == "F", "delivered")
-            .when(state == "O", "shipped")
-            .otherwise("paid")
-        )
-        return self.table("orders").select("*", status.alias("status"))
-
     @cached_property
     def orders(self) -> DataFrame:
-        homes = self.customers.select("customer_id", "region")
-        return self._order_facts.join(homes, F.col("o_custkey") == F.col("customer_id"), "left").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").alias("order_ts"),
-            "status",
-            "region",
-            F.lit("USD").alias("currency"),
+        homes = self.customers.selectExpr("customer_id as home_of", "region")
+        return (
+            self.table("orders")
+            .join(homes, F.expr("o_custkey = home_of"), "left")
+            .selectExpr(
+                "o_orderkey as order_id",
+                "o_custkey as customer_id",
+                "o_orderdate as order_ts",
+                f"{_STATUS} as status",
+                "region",
+                "'USD' as currency",
+            )
         )
 
     @cached_property
     def order_items(self) -> DataFrame:
-        prices = self.products.select(F.col("product_id").alias("_product"), "unit_price")
-        rows = self.table("lineitem").join(prices, F.col("l_partkey") == F.col("_product"), "left")
-        return rows.select(
-            F.concat(text(F.col("l_orderkey")), F.lit("-"), text(F.col("l_linenumber"))).alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("warehouse_id"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            "unit_price",
-            F.col("l_discount").cast(RATE).alias("discount_pct"),
-            F.col("l_extendedprice").alias("extended_price"),
-            F.col("l_returnflag").alias("return_flag"),
-            F.col("l_shipdate").alias("ship_date"),
+        prices = self.products.selectExpr("product_id as priced", "unit_price")
+        return (
+            self.table("lineitem")
+            .join(prices, F.expr("l_partkey = priced"), "left")
+            .selectExpr(
+                "concat(l_orderkey, '-', l_linenumber) as order_item_id",
+                "l_orderkey as order_id",
+                "l_partkey as product_id",
+                "l_suppkey as warehouse_id",
+                "bigint(l_quantity) as quantity",
+                "unit_price",
+                f"cast(l_discount as {RATE}) as discount_pct",
+                "l_extendedprice as extended_price",
+                "l_returnflag as return_flag",
+                "l_shipdate as ship_date",
+            )
         )
 
     @cached_property
     def payments(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        share = key % 100
-        status = (
-            F.when(share < 8, "authorized")
-            .when(share < 90, "captured")
-            .when(share < 97, "failed")
-            .otherwise("refunded")
-        )
-        return self.table("orders").select(
-            key.alias("payment_id"),
-            key.alias("order_id"),
-            shift("MINUTE", key % 180, F.col("o_orderdate")).alias("payment_ts"),
-            _one_of(key % 4, ("card", "wallet", "cash_on_delivery", "bank_transfer")).alias("payment_method"),
-            status.alias("payment_status"),
-            F.col("o_totalprice").cast(AMOUNT).alias("amount"),
+        methods = ("card", "wallet", "cash_on_delivery", "bank_transfer")
+        return self.table("orders").selectExpr(
+            "o_orderkey as payment_id",
+            "o_orderkey as order_id",
+            f"{shift('MINUTE', 'o_orderkey % 180', 'o_orderdate')} as payment_ts",
+            f"{one_of('o_orderkey % 4', methods)} as payment_method",
+            "case when o_orderkey % 100 < 8 then 'authorized' when o_orderkey % 100 < 90 then 'captured'"
+            " when o_orderkey % 100 < 97 then 'failed' else 'refunded' end as payment_status",
+            f"cast(o_totalprice as {AMOUNT}) as amount",
         )
 
     @cached_property
     def shipments(self) -> DataFrame:
-        key, placed = F.col("o_orderkey"), F.col("o_orderdate")
         suppliers = self.table("supplier").agg(F.count(F.lit(1))).scalar()
-        shipped = shift("HOUR", F.lit(4) + key % 69, placed)
-        cost = F.lit(2500) + key % 22501
-        return self._order_facts.where(F.col("status").isin(*SHIPPABLE_STATUSES)).select(
-            key.alias("shipment_id"),
-            key.alias("order_id"),
-            (key % suppliers).alias("warehouse_id"),
-            shipped.alias("ship_ts"),
-            shift("DAY", F.lit(2) + key % 4, placed).alias("promised_delivery_ts"),
-            shift("HOUR", F.lit(8) + key * 7 % 113, shipped).alias("delivered_ts"),
-            _one_of(key % 4, ("Bosta", "Aramex", "DHL", "Internal Fleet")).alias("carrier"),
-            (cost.cast(PRICE) * F.lit("0.01").cast("decimal(3,2)")).cast(PRICE).alias("shipping_cost"),
+        sent = shift("HOUR", "4 + o_orderkey % 69", "o_orderdate")
+        carriers = ("Bosta", "Aramex", "DHL", "Internal Fleet")
+        return (
+            self.table("orders")
+            .where(f"{_STATUS} in ({listed(SHIPPABLE_STATUSES)})")
+            .withColumn("warehouse_id", F.col("o_orderkey") % suppliers)
+            .selectExpr(
+                "o_orderkey as shipment_id",
+                "o_orderkey as order_id",
+                "warehouse_id",
+                f"{sent} as ship_ts",
+                f"{shift('DAY', '2 + o_orderkey % 4', 'o_orderdate')} as promised_delivery_ts",
+                f"{shift('HOUR', '8 + o_orderkey * 7 % 113', sent)} as delivered_ts",
+                f"{one_of('o_orderkey % 4', carriers)} as carrier",
+                f"cast(cast(2500 + o_orderkey % 22501 as {PRICE}) * 0.01BD as {PRICE}) as shipping_cost",
+            )
         )
 
     def returns(self, items: DataFrame) -> DataFrame:
         """Returned lines of the deduplicated ``items``."""
         reasons = ("damaged", "wrong_item", "late_delivery", "changed_mind", "quality")
-        return items.where(F.col("return_flag") == "R").select(
-            F.col("order_item_id").alias("return_id"),
+        return items.where("return_flag = 'R'").selectExpr(
+            "order_item_id as return_id",
             "order_item_id",
-            shift("DAY", F.lit(7), F.col("ship_date")).alias("return_ts"),
-            _one_of(F.col("product_id") % 5, reasons).alias("reason"),
-            F.col("net_sales").alias("refund_amount"),
+            f"{shift('DAY', '7', 'ship_date')} as return_ts",
+            f"{one_of('product_id % 5', reasons)} as reason",
+            "net_sales as refund_amount",
         )
 
     @cached_property
     def web_events(self) -> DataFrame:
-        kind = F.col("event_type")
-        mapped = (
-            F.when(kind == "view", "product_view")
-            .when(kind == "click", "add_to_cart")
-            .when(kind == "signup", "checkout_start")
-            .when(kind == "error", "search")
-            .otherwise(kind)
-        )
-        return self.table("events").select(
+        campaign = f"bigint(get_json_object(props, '$.k')) % {len(CHANNELS)}"
+        return self.table("events").selectExpr(
             "event_id",
-            F.col("user_id").alias("customer_id"),
-            F.concat(text(F.col("user_id")), F.lit("-"), text(F.to_date("ts"))).alias("session_id"),
-            F.col("ts").alias("event_ts"),
-            mapped.alias("event_type"),
-            (F.col("event_id") % 200).alias("product_id"),
-            _one_of(F.col("event_id") % 4, ("ios", "android", "web", "mobile_web")).alias("device"),
-            _one_of(F.get_json_object("props", "$.k").cast("bigint") % len(CHANNELS), CHANNELS).alias("campaign"),
+            "user_id as customer_id",
+            "concat(user_id, '-', date(ts)) as session_id",
+            "ts as event_ts",
+            "case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart'"
+            " when 'signup' then 'checkout_start' when 'error' then 'search' else event_type end as event_type",
+            "event_id % 200 as product_id",
+            f"{one_of('event_id % 4', ('ios', 'android', 'web', 'mobile_web'))} as device",
+            f"{one_of(campaign, CHANNELS)} as campaign",
         )

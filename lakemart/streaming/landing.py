@@ -72,14 +72,14 @@ class Landing:
     def consume(self, events: DataFrame, timeout: int | None = None) -> None:
         """Land everything that is new since the last call, then stop; without new data nothing is written."""
         query = (
-            events.writeStream.foreachBatch(self._land)
+            events.writeStream.foreachBatch(self.land)
             .option("checkpointLocation", f"{self.folder}/checkpoint")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination(timeout)
 
-    def _land(self, batch: DataFrame, batch_id: int) -> None:
+    def land(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{self.data_path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
