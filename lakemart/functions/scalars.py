@@ -48,7 +48,7 @@ def parse_decimal(name: str, to: str) -> str:
 
 def parse_long(frame: DataFrame, name: str) -> str:
     """Whole number or null. Text that is no integer goes through double, so ``"12.0"`` and ``"1e3"`` are read too."""
-    if isinstance(frame.schema[name].dataType, T.StringType):
+    if _is_text(frame, name):
         return f"coalesce(try_cast({quoted(name)} as bigint), try_cast(try_cast({quoted(name)} as double) as bigint))"
     return f"try_cast({quoted(name)} as bigint)"
 
@@ -104,9 +104,21 @@ def sku(category: str, number: str, prefix: int = 3, width: int = 6) -> str:
     return f"concat(upper(left({category}, {prefix})), '-', {padded})"
 
 
-def is_blank(name: str) -> str:
-    """Null or empty text. White space counts as a value."""
-    return f"({quoted(name)} is null or length(string({quoted(name)})) = 0)"
+def is_blank(frame: DataFrame, name: str) -> str:
+    """Null or empty text. White space counts as a value; numbers and times are never empty."""
+    missing = f"{quoted(name)} is null"
+    return f"({missing} or {quoted(name)} = '')" if _is_text(frame, name) else f"({missing})"
+
+
+def number(frame: DataFrame, name: str) -> str:
+    """The column as a number; text that is none becomes null."""
+    if isinstance(frame.schema[name].dataType, T.NumericType):
+        return quoted(name)
+    return f"try_cast({quoted(name)} as double)"
+
+
+def _is_text(frame: DataFrame, name: str) -> bool:
+    return isinstance(frame.schema[name].dataType, T.StringType)
 
 
 def holds(condition: str) -> str:

@@ -1,8 +1,9 @@
 """Contract validation: clean rows, rejected rows and a row-level issue log.
 
-Row-local rules become one array column. Rules that look at other rows (unique, foreign key) are first reduced to the
-small set of *offending keys* with narrow, map-side combined aggregates; the wide table then meets that set in a left
-join. Given a ``Workspace`` the key sets are written before use, so the planner knows their real size: it broadcasts
+The rules a row breaks are kept as the bits of one long, so that clean rows, the bulk of every table, cost next to
+nothing; the log is spelled out for rejected rows only. Rules that look at other rows (unique, foreign key) are first
+reduced to the small set of *offending keys* with narrow, map-side combined aggregates; the wide table then meets that
+set in a left join. Given a ``Workspace`` the key sets are written before use, so the planner knows their real size: it broadcasts
 the small ones, leaving the wide table unshuffled, and otherwise falls back to a sort-merge join that AQE splits on
 hot keys.
 """
@@ -10,65 +11,80 @@ hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import half_up, holds, is_blank, listed, literal, quoted
+from lakemart.functions.scalars import half_up, holds, is_blank, listed, literal, number, quoted
 from lakemart.sources.lake import Workspace
 from lakemart.sources.model import TableContract
 
 ISSUES = "_issues"
 CLEAN = "_is_clean"
-_NO_ISSUES = "cast(array() as array<struct<column_name:string,issue_type:string,value:string>>)"
+_MAX_RULES = 63
 
 
 @dataclass(frozen=True)
 class Validation:
-    """One validated table; every view of it is derived from the same annotated frame."""
+    """One validated table; every view of it is derived from the same annotated frame.
+
+    Bit ``i`` of the issue column tells that a row breaks ``rules[i]``, a pair of column name and issue type.
+    """
 
     table: str
     annotated: DataFrame
     row_order: tuple[str, ...]
+    rules: tuple[tuple[str, str], ...] = ()
     missing_columns: tuple[str, ...] = ()
 
-    def failed(self) -> Column:
+    def failed(self) -> str:
         if CLEAN in self.annotated.columns:
-            return ~F.col(CLEAN)
-        return F.lit(True) if self.missing_columns else F.size(ISSUES) > 0
+            return f"not {CLEAN}"
+        return "true" if self.missing_columns else f"{ISSUES} <> 0"
 
     def clean(self) -> DataFrame:
-        return self.annotated.where(~self.failed()).drop(ISSUES, CLEAN)
+        return self.annotated.where(f"not ({self.failed()})").drop(ISSUES, CLEAN)
 
     def rejected(self) -> DataFrame:
         rows = self.annotated.where(self.failed()).drop(ISSUES, CLEAN)
-        return rows.select(F.lit(self.table).alias("rejected_from"), "*")
+        return rows.selectExpr(f"{literal(self.table)} as rejected_from", "*")
 
     def issues(self, *keys: str) -> DataFrame:
         """One row per violated rule; ``keys`` names columns that tell the row (the row order if empty)."""
-        keep = keys or self.row_order
-        rows = self.annotated.where(self.failed() & (F.size(ISSUES) > 0)).select(*keep, F.explode(ISSUES).alias("i"))
-        log = rows.select(F.lit(self.table).alias("table_name"), "i.column_name", "i.issue_type", *keep, "i.value")
-        spark = self.annotated.sparkSession
+        keep = [quoted(name) for name in keys or self.row_order]
+        entries = [
+            f"if(({ISSUES} & {1 << bit}L) <> 0, named_struct('column_name', {literal(name)}, 'issue_type',"
+            f" {literal(kind)}, 'value', string({quoted(name)})), null)"
+            for bit, (name, kind) in enumerate(self.rules)
+        ]
+        table = f"{literal(self.table)} as table_name"
+        if entries:
+            rows = self.annotated.where(self.failed()).where(f"{ISSUES} <> 0")
+            listed_issues = rows.selectExpr(*keep, f"explode(array_compact(array({', '.join(entries)}))) as i")
+            log = listed_issues.selectExpr(table, "i.column_name", "i.issue_type", *keep, "i.value")
+        else:
+            none = self.annotated.where("false")
+            log = none.selectExpr(table, "'' as column_name", "'' as issue_type", *keep, "'' as value")
+        kinds = {field.name: field.dataType.simpleString() for field in log.schema}
         for column in self.missing_columns:
-            whole = spark.range(1).select(
-                F.lit(self.table).alias("table_name"),
-                F.lit(column).alias("column_name"),
-                F.lit("missing_required_column").alias("issue_type"),
-                *[F.lit(None).cast(log.schema[name].dataType).alias(name) for name in keep],
-                F.lit(None).cast("string").alias("value"),
+            whole = self.annotated.sparkSession.range(1).selectExpr(
+                table,
+                f"{literal(column)} as column_name",
+                "'missing_required_column' as issue_type",
+                *[f"cast(null as {kinds[name]}) as {quoted(name)}" for name in keys or self.row_order],
+                "cast(null as string) as value",
             )
             log = log.unionByName(whole)
         return log
 
     def summary(self) -> DataFrame:
         """Row counts and score of this table, in one pass over the annotated frame."""
-        found = f"bigint(coalesce(sum(size({ISSUES})), 0) + {len(self.missing_columns)})"
+        found = f"bigint(coalesce(sum(bit_count({ISSUES})), 0) + {len(self.missing_columns)})"
         counted = self.annotated.agg(
             F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(~self.failed()).alias("clean_rows"),
+            F.expr(f"count_if(not ({self.failed()}))").alias("clean_rows"),
             F.expr(found).alias("validation_issues"),
         )
         score = half_up("double(clean_rows) / nullif(double(raw_rows), 0.0D) * 100.0D", 2)
@@ -129,39 +145,41 @@ def mark(
         if missing is not None:
             wide, orphans[name] = _join_orphans(wide, missing, name)
 
-    # Concatenated one-element arrays instead of a filtered array: lambdas would leave generated code.
-    broken = [
-        f"if({condition}, array({_entry(name, kind)}), {_NO_ISSUES})"
-        for name, kind, condition in _rules(contract, set(frame.columns), repeats, orphans)
-    ]
-    issues = f"concat({', '.join(broken)})" if broken else _NO_ISSUES
-    annotated = wide.select(*frame.columns, F.expr(issues).alias(ISSUES))
+    rules = _rules(frame, contract, repeats, orphans)
+    if len(rules) > _MAX_RULES:
+        raise ValueError(f"{contract.table}: {len(rules)} rules do not fit into one long; split the contract")
+    bits = [f"if({condition}, {1 << bit}L, 0L)" for bit, (_, _, condition) in enumerate(rules)]
+    columns = [quoted(name) for name in frame.columns]
+    annotated = wide.selectExpr(*columns, f"{' + '.join(bits) or '0L'} as {ISSUES}")
     absent = tuple(name for name in contract.required if name not in frame.columns)
-    return Validation(contract.table, annotated, tuple(row_order), absent)
+    return Validation(
+        contract.table, annotated, tuple(row_order), tuple((name, kind) for name, kind, _ in rules), absent
+    )
 
 
 def _rules(
-    contract: TableContract, present: set[str], repeats: Mapping[str, str], orphans: Mapping[str, str]
+    frame: DataFrame, contract: TableContract, repeats: Mapping[str, str], orphans: Mapping[str, str]
 ) -> list[tuple[str, str, str]]:
-    """Column, issue type and SQL condition of every rule that applies; unknown never counts as broken."""
-    rules = [(name, "missing_required_value", is_blank(name)) for name in contract.required]
+    """Column, issue type and SQL condition of every rule whose column exists; unknown never counts as broken."""
+    present = set(frame.columns)
+    rules = [
+        (name, "missing_required_value", is_blank(frame, name)) for name in contract.required if name in present
+    ]
     rules += [(name, "duplicate_key", condition) for name, condition in repeats.items()]
     for name in contract.positive:
-        rules.append((name, "not_positive", holds(f"try_cast({quoted(name)} as double) <= 0")))
+        if name in present:
+            rules.append((name, "not_positive", holds(f"{number(frame, name)} <= 0")))
     for name in contract.non_negative:
-        rules.append((name, "negative_value", holds(f"try_cast({quoted(name)} as double) < 0")))
+        if name in present:
+            rules.append((name, "negative_value", holds(f"{number(frame, name)} < 0")))
     for name, values in contract.allowed.items():
-        inside = holds(f"string({quoted(name)}) in ({listed(values)})")
-        rules.append((name, "invalid_allowed_value", f"not {inside}"))
+        if name in present:
+            inside = holds(f"string({quoted(name)}) in ({listed(values)})")
+            rules.append((name, "invalid_allowed_value", f"not {inside}"))
     for name, condition in orphans.items():
         parent, column = contract.foreign_keys[name]
         rules.append((name, f"missing_fk:{parent}.{column}", condition))
-    return [rule for rule in rules if rule[0] in present]
-
-
-def _entry(name: str, kind: str) -> str:
-    value = f"string({quoted(name)})"
-    return f"named_struct('column_name', {literal(name)}, 'issue_type', {literal(kind)}, 'value', {value})"
+    return rules
 
 
 def _set_name(contract: TableContract, name: str, kind: str) -> str:
@@ -247,9 +265,9 @@ def settle(results: Sequence[Validation], store: Workspace) -> list[Validation]:
 
     Clean rows, rejects, issues and counts are then pruned scans of that one table.
     """
-    split = {r.table: r.annotated.withColumn(CLEAN, ~r.failed()) for r in results}
+    split = {r.table: r.annotated.selectExpr("*", f"not ({r.failed()}) as {CLEAN}") for r in results}
     written = store.save_all(split, (CLEAN,))
-    return [Validation(r.table, written[r.table], r.row_order, r.missing_columns) for r in results]
+    return [replace(r, annotated=written[r.table]) for r in results]
 
 
 def union_rejected(results: Sequence[Validation]) -> DataFrame:
