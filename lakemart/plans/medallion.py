@@ -49,6 +49,17 @@ class Run:
         return lake.Workspace(self.spark)
 
 
+def latest_run(spark: SparkSession, root: str, zone: str, profile: str) -> Run:
+    """The newest run of a profile that has reached ``zone``."""
+    folder = lake.latest_folder(spark, f"{root}/lake/{zone}/profile={profile}")
+    return Run(spark, root, profile, folder.rsplit("run_date=", 1)[1])
+
+
+def read_export(run: Run, mart: str) -> DataFrame:
+    """The CSV export of a mart as text columns; empty when there is none."""
+    return lake.read_csv_or_empty(run.spark, f"{run.root}/exports/{mart}")
+
+
 def land_raw(run: Run, batch_dir: str) -> tuple[dict[str, DataFrame], dict[str, Sequence[str]]]:
     """Raw files as text tables with a fixed file position, which serves as the row order."""
     raw = {}

@@ -126,6 +126,25 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def read_csv_or_empty(spark: SparkSession, path: str) -> DataFrame:
+    """CSV export, or a frame without columns and rows when nothing has been written there yet."""
+    try:
+        return read_csv(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType([]))
+
+
+def latest_folder(spark: SparkSession, base: str, column: str = "run_date") -> str:
+    """Path of the greatest ``column=value`` folder below ``base``; only folder names are listed."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{column}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    if not found:
+        raise FileNotFoundError(f"no {column} folder below {base}")
+    return max(str(status.getPath()) for status in found)
+
+
 def ingest_metadata(frame: DataFrame, profile: str, run_date: str) -> DataFrame:
     return frame.withColumns({"ingest_profile": F.lit(profile), "ingest_run_date": F.lit(run_date)})
 

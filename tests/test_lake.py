@@ -57,6 +57,19 @@ def test_read_or_empty(spark, tmp_path):
     assert rows(lake.read_or_empty(spark, str(tmp_path / "some"), schema)) == [(1, "a")]
 
 
+def test_latest_folder_is_the_greatest_name(spark, tmp_path):
+    for day in ("2026-05-09", "2026-05-18", "2026-04-30"):
+        (tmp_path / f"run_date={day}").mkdir()
+    (tmp_path / "other=9999").mkdir()
+    assert lake.latest_folder(spark, str(tmp_path)).endswith("run_date=2026-05-18")
+    with pytest.raises(FileNotFoundError):
+        lake.latest_folder(spark, str(tmp_path / "none"))
+
+
+def test_absent_export_is_empty(spark, tmp_path):
+    assert lake.read_csv_or_empty(spark, str(tmp_path / "none")).columns == []
+
+
 def test_export_and_catalog_table(spark, tmp_path):
     frame = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
     lake.write_export(frame, str(tmp_path / "mart"))

@@ -5,7 +5,6 @@ import json
 import pytest
 
 from lakemart.plans import medallion
-from lakemart.sources.lake import read_csv
 from lakemart.sources.model import stream_schema
 from lakemart.streaming.landing import Landing, file_topic
 from tests.conftest import rows
@@ -137,7 +136,7 @@ def test_gold_exports_agree_with_the_written_marts(done):
     run, _, _, gold, _ = done
     assert observed(run, "gold_manifest").count() == 9
     revenue = gold["mart_revenue_daily"]
-    exported = read_csv(run.spark, f"{run.root}/exports/mart_revenue_daily")
+    exported = medallion.read_export(run, "mart_revenue_daily")
     assert exported.selectExpr("sum(cast(revenue as decimal(28,2)))").first()[0] == (
         revenue.selectExpr("cast(sum(revenue) as decimal(28,2))").first()[0]
     )
@@ -148,3 +147,10 @@ def test_all_checks_pass(done):
     *_, quality = done
     assert rows(quality["failed_checks"]) == []
     assert rows(quality["platform_scorecard"]) == [(12, 12, 0, 100.0)]
+
+
+def test_latest_run_is_found_by_zone(done):
+    run, *_ = done
+    assert medallion.latest_run(run.spark, run.root, "silver", "ci").run_date == "2026-05-18"
+    with pytest.raises(FileNotFoundError):
+        medallion.latest_run(run.spark, run.root, "silver", "other")
