@@ -40,10 +40,12 @@ class Silver(Mapping):
     """Silver entities over the star tables, each built when first asked for.
 
     All source keys but those of the order lines are unique in the tables, so only the lines are deduplicated here.
+    Plans that do not read the region of an order leave it out and save the join that derives it.
     """
 
-    def __init__(self, star: StarTables):
+    def __init__(self, star: StarTables, order_region: bool = True):
         self._star = star
+        self._order_region = order_region
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -64,6 +66,8 @@ class Silver(Mapping):
             return silver.returns(self._star.returns(self["order_items"]))
         if table == "web_events":
             return silver.web_events(self._star.web_events, LATE_CUTOFF)
+        if table == "orders" and not self._order_region:
+            return silver.orders(self._star.placed_orders)
         return silver.ENTITIES[table](getattr(self._star, table))
 
 
@@ -74,10 +78,6 @@ def raw_table(star: StarTables, table: str) -> DataFrame:
     return getattr(star, table)
 
 
-def raw_tables(star: StarTables) -> dict[str, DataFrame]:
-    return {table: raw_table(star, table) for table in TABLES}
-
-
 def validated(star: StarTables, *tables: str) -> dict[str, Validation]:
     """The named tables and their parents, validated table by table through the shared work folder."""
     chosen = {name: STAR_CONTRACTS[name] for name in STAR_CONTRACTS if name in tables}
@@ -145,20 +145,22 @@ def ingest_metadata(star: StarTables) -> DataFrame:
 
 @query
 def raw_manifest(star: StarTables) -> DataFrame:
-    return lake.manifest(raw_tables(star), PROFILE, RUN, "table_name", "raw_rows")
+    tables = {table: raw_table(star, table) for table in TABLES} | {"orders": star.placed_orders}
+    return lake.manifest(tables, PROFILE, RUN, "table_name", "raw_rows")
 
 
 @query
 def silver_manifest(star: StarTables) -> DataFrame:
-    return lake.manifest(Silver(star), PROFILE, RUN, "table_name", "silver_rows")
+    return lake.manifest(Silver(star, order_region=False), PROFILE, RUN, "table_name", "silver_rows")
 
 
 def _gold(star: StarTables, space: Workspace) -> dict[str, DataFrame]:
-    """All marts, written once each, over order lines that are deduplicated once."""
+    """All marts, written once each, over order tables that are derived once."""
     entities = dict(Silver(star))
-    lines = space.save(entities["order_items"], "silver_order_items")
-    entities["order_items"] = lines
-    entities["returns"] = silver.returns(star.returns(lines))
+    entities |= space.save_all({f"silver_{name}": entities[name] for name in ("orders", "order_items")})
+    entities["orders"] = entities.pop("silver_orders")
+    entities["order_items"] = entities.pop("silver_order_items")
+    entities["returns"] = silver.returns(star.returns(entities["order_items"]))
     return marts.build_all(entities, PROFILE, RUN, space)
 
 
@@ -410,7 +412,7 @@ def shippable_orders(star: StarTables) -> DataFrame:
 
 @query
 def returned_items_semi(star: StarTables) -> DataFrame:
-    returned = star.orders.where("status = 'returned'")
+    returned = star.placed_orders.where("status = 'returned'")
     return joins.members(star.order_items, "order_id", returned, "order_id")
 
 
@@ -447,7 +449,7 @@ def mart_product_performance(star: StarTables) -> DataFrame:
 @query
 def mart_product_performance_recent(star: StarTables) -> DataFrame:
     """Only lines of the newest orders, which leaves most products unsold."""
-    entities = dict(Silver(star))
+    entities = dict(Silver(star, order_region=False))
     late = entities["orders"].where("order_ts >= timestamp_ntz '2001-07-01 00:00:00'")
     entities["order_items"] = joins.members(entities["order_items"], "order_id", late, "order_id")
     return marts.product_performance(entities)
@@ -460,13 +462,13 @@ def mart_inventory_risk(star: StarTables) -> DataFrame:
 
 @query
 def mart_customer_ltv(star: StarTables) -> DataFrame:
-    return marts.customer_ltv(Silver(star))
+    return marts.customer_ltv(Silver(star, order_region=False))
 
 
 @query
 def mart_customer_ltv_recent(star: StarTables) -> DataFrame:
     """Only the orders of the newest year, which leaves half of the customers without any."""
-    entities = dict(Silver(star))
+    entities = dict(Silver(star, order_region=False))
     entities["orders"] = entities["orders"].where("order_ts >= timestamp_ntz '2001-01-01 00:00:00'")
     return marts.customer_ltv(entities)
 
@@ -478,7 +480,7 @@ def mart_funnel_conversion(star: StarTables) -> DataFrame:
 
 @query
 def mart_fulfillment_sla(star: StarTables) -> DataFrame:
-    return marts.fulfillment_sla(Silver(star))
+    return marts.fulfillment_sla(Silver(star, order_region=False))
 
 
 @query
@@ -488,7 +490,7 @@ def mart_returns(star: StarTables) -> DataFrame:
 
 @query
 def mart_data_freshness(star: StarTables) -> DataFrame:
-    return marts.data_freshness(Silver(star), PROFILE, RUN)
+    return marts.data_freshness(Silver(star, order_region=False), PROFILE, RUN)
 
 
 @query
@@ -497,7 +499,7 @@ def mart_pipeline_runs(star: StarTables) -> DataFrame:
     gold = {name: marts.ENTITY_MARTS[name](entities) for name in (
         "mart_revenue_daily", "mart_inventory_risk", "mart_funnel_conversion"
     )}
-    return marts.pipeline_runs(entities, gold, PROFILE, RUN).drop("built_at")
+    return marts.pipeline_runs(Silver(star, order_region=False), gold, PROFILE, RUN).drop("built_at")
 
 
 # --- console reads -----------------------------------------------------------------------------------------------
@@ -505,10 +507,10 @@ def mart_pipeline_runs(star: StarTables) -> DataFrame:
 
 @query
 def executive_kpis(star: StarTables) -> DataFrame:
-    entities = Silver(star)
-    revenue, sla = marts.revenue_daily(entities), marts.fulfillment_sla(entities)
+    entities, placed = Silver(star), Silver(star, order_region=False)
+    revenue, sla = marts.revenue_daily(entities), marts.fulfillment_sla(placed)
     bounds = quality.sla_bounds(sla).unionByName(quality.positive_revenue(revenue))
-    return kpi.executive(revenue, marts.customer_ltv(entities), sla, quality.scorecard(bounds))
+    return kpi.executive(revenue, marts.customer_ltv(placed), sla, quality.scorecard(bounds))
 
 
 @query
@@ -609,7 +611,7 @@ def check_late_rate(star: StarTables) -> DataFrame:
 
 @query
 def check_sla_bounds(star: StarTables) -> DataFrame:
-    return quality.sla_bounds(marts.fulfillment_sla(Silver(star)))
+    return quality.sla_bounds(marts.fulfillment_sla(Silver(star, order_region=False)))
 
 
 @query

@@ -137,21 +137,22 @@ class StarTables:
             "25 + (product_id * 13 + warehouse_id * 7) % 226 as reorder_point",
         )
 
+    @cached_property
+    def placed_orders(self) -> DataFrame:
+        """Orders without their region, for plans that do not need it and so can do without the customer join."""
+        return self.table("orders").selectExpr(
+            "o_orderkey as order_id",
+            "o_custkey as customer_id",
+            "o_orderdate as order_ts",
+            f"{_STATUS} as status",
+            "'USD' as currency",
+        )
+
     @cached_property
     def orders(self) -> DataFrame:
         homes = self.customers.selectExpr("customer_id as home_of", "region")
-        return (
-            self.table("orders")
-            .join(homes, F.expr("o_custkey = home_of"), "left")
-            .selectExpr(
-                "o_orderkey as order_id",
-                "o_custkey as customer_id",
-                "o_orderdate as order_ts",
-                f"{_STATUS} as status",
-                "region",
-                "'USD' as currency",
-            )
-        )
+        columns = ("order_id", "customer_id", "order_ts", "status", "region", "currency")
+        return self.placed_orders.join(homes, F.expr("customer_id = home_of"), "left").select(*columns)
 
     @cached_property
     def order_items(self) -> DataFrame:

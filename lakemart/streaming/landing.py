@@ -69,7 +69,7 @@ class Landing:
     def ledger_path(self) -> str:
         return f"{self.folder}/ledger"
 
-    def consume(self, events: DataFrame, timeout: int | None = None) -> None:
+    def consume(self, events: DataFrame) -> None:
         """Land everything that is new since the last call, then stop; without new data nothing is written."""
         query = (
             events.writeStream.foreachBatch(self.land)
@@ -77,7 +77,7 @@ class Landing:
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination(timeout)
+        query.awaitTermination()
 
     def land(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
