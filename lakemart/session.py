@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,12 +28,19 @@ def get_spark(app: str = "lakemart", master: str | None = None, **conf: str) ->
 def work_folder(spark: SparkSession) -> str:
     """A new folder for one run, below the shared folder named in ``spark.checkpoint.dir``.
 
-    Every executor must reach what is written here, so a machine-local temporary folder is used only
-    where the setting is absent and the session itself is local (tests).
+    Where that is not set, the folder lies in the session's warehouse, the other place that every executor reaches.
+    It is deleted when the session's JVM ends, because results are lazy and may be read until then; tables that are
+    no longer needed go earlier (``Workspace.drop``).
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lakemart-")
-    return f"{base.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    folder = f"{base.rstrip('/')}/lakemart-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

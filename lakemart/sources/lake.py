@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.session import work_folder
+from lakemart.session import delete_folder, work_folder
 
 # Cell texts that CSV files use for "no value".
 NULL_TOKENS = (
@@ -66,6 +66,15 @@ class Workspace:
             saved = pool.map(lambda item: self.save(item[1], item[0], partition_by), frames.items())
             return dict(zip(frames, saved, strict=True))
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing will read again."""
+        for name in names:
+            delete_folder(self.spark, self.path(name))
+
+    def close(self) -> None:
+        """Delete the whole folder."""
+        delete_folder(self.spark, self.folder)
+
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV as text columns, with the usual null markers read as null.

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from lakemart.plans.star_oracle import ORACLES
+from lakemart.plans.star_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -29,19 +31,21 @@ def plain(value):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - REPEATS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - REPEATS))
 def test_query_matches(spark, duck, name):
-    frame = entry_point.queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     names = sorted(frame.columns)
     got = sorted(tuple(plain(row[c]) for c in names) for row in frame.collect())
-    cursor = duck.execute(entry_point.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     header = [d[0] for d in cursor.description]
     assert sorted(header) == names
     places = [header.index(c) for c in names]
