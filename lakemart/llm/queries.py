@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat_format, exact_dedup, mixing
+from lakemart.llm import chat_format, exact_dedup, minhash, mixing, quality, toxicity
 from lakemart.llm.oracle import ORACLES
 from lakemart.llm.tables import table, workspace
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents"), workspace(spark))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    workspace(spark)
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), workspace(spark))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    workspace(spark)
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.score(docs, quality.train(docs, labels))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), workspace(spark))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -30,7 +46,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
 }
