@@ -77,7 +77,7 @@ def bounds_hash(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((prefix[ends] - prefix[starts]) * _INV[starts] + (ends - starts).astype(np.uint64))
 
 
-def _chunks(texts: Sequence[bytes], is_separator: np.ndarray, glue: bytes) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
+def buffers(texts: Sequence[bytes], is_separator: np.ndarray, glue: bytes) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
     """Buffers of whole pieces, with (text number, end of its part) for each; a text may take several buffers."""
     parts, ends, size = [], [], 0
     for number, text in enumerate(texts):
@@ -121,7 +121,7 @@ def piece_hashes(
     glue = bytes([int(np.flatnonzero(is_separator)[0])])
     counts = np.zeros(len(texts), np.int64)
     out = []
-    for data, ends in _chunks(texts, is_separator, glue):
+    for data, ends in buffers(texts, is_separator, glue):
         buffer = fold[np.frombuffer(data, np.uint8)]
         starts, stops = piece_bounds(buffer, is_separator)
         if len(buffer) <= CHUNK:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import chat_format, exact_dedup, minhash, mixing, quality, toxicity
+from lakemart.llm import chat_format, exact_dedup, line_chunks, minhash, mixing, nbest, quality, spotsigs, token_files, toxicity
 from lakemart.llm.oracle import ORACLES
 from lakemart.llm.tables import table, workspace
 
@@ -13,6 +14,22 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents"), workspace(spark))
 
 
+def op2_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.with_next(table(spark, folder, "documents"), workspace(spark))
+
+
+def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_chunks.without_repeats(table(spark, folder, "documents"), workspace(spark))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "removed_lines",
+        "removed_chunks",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     workspace(spark)
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -23,12 +40,29 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), workspace(spark))
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    work = workspace(spark)
+    files = work.path("shards")
+    token_files.write_shards(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), files)
+    return token_files.read_documents(spark.read.schema(token_files.SHARD_ROWS).parquet(files), work)
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     workspace(spark)
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality.score(docs, quality.train(docs, labels))
 
 
+def op8_nbest(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    workspace(spark)
+    encoded = nbest.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return nbest.digests(encoded, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), workspace(spark))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -47,9 +81,13 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_spotsigs": op2_spotsigs,
+    "op3_line_chunks": op3_line_chunks,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
+    "op8_nbest": op8_nbest,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
 }
