@@ -235,46 +235,37 @@ def segmenter(path: str, n: int = N_BEST, others: bool = False) -> Segmenter:
     return _SEGMENTERS[key]
 
 
-_ENCODED = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("text", pa.string()),
-        ("ids", pa.list_(pa.int32())),
-        ("scores", pa.list_(pa.float64())),
-        ("others", pa.list_(pa.list_(pa.int32()))),
-    ]
-)
-
-
-def encode(docs: DataFrame, path: str, n: int = N_BEST, others: bool = False) -> DataFrame:
+_ENCODED = [("ids", pa.list_(pa.int32())), ("scores", pa.list_(pa.float64())), ("others", pa.list_(pa.list_(pa.int32())))]
+
+
+def encode(docs: DataFrame, path: str, n: int = N_BEST, others: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, ids (of the best segmentation), scores (of the n best) and, if wanted, the other n - 1 id lists.
 
-    One row per row of ``docs`` (doc_id, text). A null or empty text has no ids and the one score 0; a text with fewer
-    than n segmentations has as many scores as it has segmentations. Every other text decodes exactly. Equal scores
-    are ordered by the places they differ in. An empty table gives no rows; other columns are ignored.
+    One row per row of ``docs`` (doc_id, text, and the columns named in ``carry``). A null or empty text has no ids
+    and the one score 0; a text with fewer than n segmentations has as many scores as it has segmentations. Every
+    other text decodes exactly. Equal scores are ordered by the places they differ in. An empty table gives no rows;
+    other columns are ignored.
     """
+    names = ["doc_id", *carry, "text"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path, n, others)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column("text").to_pylist()
-                found = list(own.segment(texts))
+                found = list(own.segment(part.column("text").to_pylist()))
                 ids = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum([len(f[0]) for f in found])), pa.int32()),
                     pa.array(np.concatenate([f[0] for f in found]), pa.int32()),
                 )
-                rest = [[x.tolist() for x in f[2][1:]] for f in found]
-                columns = [part.column("doc_id"), part.column("text"), ids, [f[1] for f in found], rest]
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ENCODED, strict=True)],
-                    schema=_ENCODED,
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    schema = "doc_id long, text string, ids array<int>, scores array<double>, others array<array<int>>"
-    return rows.mapInArrow(task, schema)
+                scores = pa.array([f[1] for f in found], _ENCODED[1][1])
+                rest = pa.array([[x.tolist() for x in f[2][1:]] for f in found], _ENCODED[2][1])
+                columns = [part.column(name) for name in names]
+                yield pa.RecordBatch.from_arrays([*columns, ids, scores, rest], [*names, *[f[0] for f in _ENCODED]])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, text_or_empty().alias("text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(task, f"{kinds}, ids array<int>, scores array<double>, others array<array<int>>")
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:

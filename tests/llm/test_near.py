@@ -1,0 +1,252 @@
+"""MinHash, SpotSigs and line chunks against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from lakemart.llm import components, hashing, line_chunks, minhash, spotsigs
+from tests.llm.conftest import edited, words
+
+
+def shingles(text):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(parts[k : k + 5]) for k in range(len(parts) - 4)} if len(parts) >= 5 else ({tuple(parts)} if parts else set())
+
+
+def classes(sets, linked):
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in linked:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def brute_near(rows, threshold=85):
+    sets = {i: shingles(t) for i, t in rows}
+    linked = [
+        (a, b)
+        for a, b in itertools.combinations(sets, 2)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])
+    ]
+    return sets, classes(sets, linked)
+
+
+def family(seed, first, copies, length=150, changes=3):
+    base = words(seed, length, 5000)
+    return [(first + k, base if k % 5 == 0 else edited(base, seed * 1000 + k, k % (changes + 1))) for k in range(copies)]
+
+
+def corpus():
+    rows = [(i, words(i, 30 + i % 200)) for i in range(100)]
+    for k, changes in enumerate((1, 2, 3, 4, 6)):
+        rows += family(50 + k, 1000 + 100 * k, 30, changes=changes)
+    chain = words(77, 200, 9000)
+    for k in range(15):  # each close to the next, the ends far apart
+        rows.append((2000 - k, chain))
+        chain = edited(chain, k, 3)
+    rows += [(3000, None), (3001, ""), (3002, " \t\n"), (3003, "one two"), (3004, "ONE  two"), (3005, "two one"), (3006, "a b c d e")]
+    rows += [(3007, "A b C\nd e"), (3008, "É b c d e"), (3009, "é b c d e"), (4000, words(5, 60_000, 900)), (4001, words(5, 60_000, 900) + " end")]
+    return rows
+
+
+def test_near_groups(documents, work):
+    rows = corpus()
+    sets, label = brute_near(rows)
+    got = minhash.near_groups(documents(rows), work).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {
+        i: (len(sets[i]), label[i], label[i] == i) for i in sets
+    }
+
+
+def test_links_between_components_of_one_band_are_found(documents, work, monkeypatch):
+    """With one-row bands nearly all documents share bands, so the rounds behind the hubs have the work to do."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "QUOTAS", (1, None))
+    rows = corpus()[:100] + [r for k in range(3) for r in family(90 + k, 500 + 100 * k, 40, 60, 6)]
+    _, label = brute_near(rows)
+    got = minhash.near_groups(documents(rows), work).collect()
+    assert {r.doc_id: r.component_id for r in got} == label
+
+
+def test_near_groups_of_odd_rows(documents, work):
+    same = words(1, 40)
+    rows = [(None, same), (4, same), (4, same), (4, words(2, 40)), (None, words(3, 40)), (None, None), (9, "")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_groups(documents(rows), work).collect()), key=str)
+    assert got == sorted(
+        [(None, 36, 4, False), (4, 36, 4, True), (4, 36, 4, True), (4, 36, 4, True), (None, 36, None, True), (None, 0, None, True), (9, 0, 9, True)],
+        key=str,
+    )
+    assert minhash.near_groups(documents([]), work).count() == 0
+    assert minhash.distinct_docs(documents(rows[:1]), work).columns == documents([]).columns
+
+
+def test_distinct_docs_leaves_one_of_each_group(documents, work):
+    rows = corpus()
+    _, label = brute_near(rows)
+    kept = {r.doc_id for r in minhash.distinct_docs(documents(rows), work).collect()}
+    assert kept == {i for i, c in label.items() if i == c}
+
+
+def test_circulant_signature_estimates_similarity():
+    rng = np.random.default_rng(1)
+    for share in (0.3, 0.85):
+        errors = []
+        for _ in range(60):
+            both = rng.integers(0, 2**63, 400, dtype=np.uint64)
+            n = int(400 * (1 - share) / (1 + share))
+            a = np.concatenate([both[: 400 - n], rng.integers(0, 2**63, n, dtype=np.uint64)])
+            b = np.concatenate([both[: 400 - n], rng.integers(0, 2**63, n, dtype=np.uint64)])
+            true = (400 - n) / (400 + n)
+            errors.append((minhash.signature(a) == minhash.signature(b)).mean() - true)
+        assert abs(np.mean(errors)) < 0.02
+        assert np.std(errors) < 0.06
+
+
+def test_shift_is_circular():
+    table = minhash._shifted()
+    size = 1 << minhash.UNIVERSE_BITS
+    assert (table[:-1, 1:] == table[1:, :-1]).all()
+    assert table[size - 1, 1] == table[0, 0]
+    assert len(np.unique(table[:, 0])) == size
+
+
+def test_components(spark, work):
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 560)] + [(rng.randrange(900, 990), rng.randrange(900, 990)) for _ in range(50)]
+    label = classes({n: None for e in edges for n in e}, edges)
+    got = components.components(spark.createDataFrame(edges, "a long, b long"), work).collect()
+    assert {r.node: r.label for r in got} == {n: v for n, v in label.items() if any(n in e and e[0] != e[1] for e in edges)}
+
+
+@pytest.mark.parametrize("text", [b"", b"  a bb\tccc\n", b"x" * 3_000_000 + b" yy", b"word " * 300_000, "é ü".encode()])
+def test_piece_hashes_split_like_python(text):
+    hashes, counts = hashing.piece_hashes([text, b"bb", text])
+    parts = text.lower().split()
+    assert counts.tolist() == [len(parts), 1, len(parts)]
+    assert (hashes[: len(parts)] == hashes[len(parts) + 1 :]).all()
+    assert len(set(hashes.tolist())) == len({*parts, b"bb"})
+
+
+def plain_signatures(text):
+    parts = [w for w in re.split(r"[^\w]|_", (text or "").lower()) if w]
+    content, anchored, mark = [], [], True
+    for w in parts:
+        if w in spotsigs.ANCHORS:
+            mark = True
+        else:
+            content.append(w)
+            anchored.append(mark)
+            mark = False
+    return {" ".join(content[i : i + spotsigs.CHAIN]) for i, m in enumerate(anchored) if m} or ({(text or "").lower()} if text else set())
+
+
+PROSE = ["the cat sat on the mat", "dogs of the north and a wind", "the of and", "!!!", None, "", "La casa de mi padre, y el perro!", "x1 the 22 of_y"]
+
+
+def test_spotsigs_of_next(documents, work):
+    rng = random.Random(5)
+    vocabulary = ["the", "of", "and", "is", "to", *[f"v{k}" for k in range(40)]]
+    rows = [(7 * k, t) for k, t in enumerate(PROSE)] + [(1000 + k, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 80)))) for k in range(80)]
+    rows.append((5000, "the " + words(3, 20_000)))
+    got = {r.doc_id: r for r in spotsigs.with_next(documents(rows), work).collect()}
+    order = sorted(rows, reverse=True)
+    for (i, text), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        text, after = text or "", after or ""
+        third = len(text) // 3
+        changed = text[: len(text) - third] + after[:third]
+        assert got[i].n_chars == len(text)
+        assert got[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        own, new, other = map(plain_signatures, (text, changed, after))
+        assert got[i].n_signatures == len(own)
+        for value, x in ((got[i].near_edited, new), (got[i].near_next, other)):
+            assert value == pytest.approx(len(own & x) / len(own | x) if own | x else 1.0)
+        assert (got[i].fingerprint == got[i].edited_fingerprint) == (own == new)
+
+
+def test_spotsigs_of_odd_rows(documents, work):
+    assert spotsigs.with_next(documents([]), work).count() == 0
+    (one,) = spotsigs.with_next(documents([(1, "the only text here")]), work).collect()
+    assert one.near_next == 1.0
+    rows = [(1, "a b c"), (1, "a b c"), (1, "d e f"), (None, "g h"), (None, None)]
+    got = spotsigs.with_next(documents(rows), work).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == [("1", 5), ("1", 5), ("1", 5), ("None", 0), ("None", 3)]
+
+
+def test_spotsigs_near_pairs(documents, work):
+    rng = random.Random(9)
+    vocabulary = ["the", "of", "and", "is", *[f"v{k}" for k in range(60)]]
+    rows = []
+    for k in range(40):
+        base = rng.choices(vocabulary, k=60)
+        for c in range(4):
+            other = list(base)
+            for _ in range(c):
+                other[rng.randrange(60)] = f"n{rng.randrange(1000)}"
+            rows.append((10 * k + c, " ".join(other)))
+    rows += [(9000, ""), (9001, None), (9002, rows[0][1])]
+    pairs, members = spotsigs.near_pairs(documents(rows), work)
+    sets = {i: frozenset(plain_signatures(t)) for i, t in rows}
+    leader = {}
+    for i in sorted(sets):
+        leader.setdefault(sets[i], i)
+    assert {r.doc_id: r.class_id for r in members.collect()} == {i: leader[s] for i, s in sets.items()}
+    wanted = {
+        (a, b) for a, b in itertools.combinations(sorted(leader.values()), 2)
+        if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    }
+    assert {(r.a, r.b) for r in pairs.collect()} == wanted
+
+
+def plain_chunks(text):
+    lines = text.split("\n")
+    marks = hashing.piece_hashes([b"\x00" + x.encode() for x in lines], hashing.lut(b"\n"), hashing.SAME)[0]
+    ends = line_chunks.boundaries(marks).tolist()
+    return lines, list(zip([0, *ends[:-1]], ends, strict=True))
+
+
+def test_line_chunks(documents, work):
+    rng = random.Random(11)
+    shared = ["\n".join(f"shared {b} {rng.randrange(50)}" for _ in range(12)) for b in range(6)]
+    rows = []
+    for i in range(120):
+        own = [f"own {i} {k} {rng.randrange(9)}" for k in range(rng.randrange(1, 9))]
+        own.insert(rng.randrange(len(own) + 1), shared[i % 6])
+        rows.append((i, "\n".join(own)))
+    rows += [(500, rows[3][1]), (501, None), (502, ""), (503, "\n\n\n\n\n\n"), (504, "\n\n\n\n\n\n"), (505, "one line"), (506, "one line")]
+    rows += [(600, "same\n" * 500), (601, "x\n" + "same\n" * 500)]
+    seen, wanted = set(), {}
+    for i, text in sorted(rows):
+        lines, parts = plain_chunks(text or "")
+        kept, chunks = [], 0
+        for a, b in parts:
+            piece = "\n".join(lines[a:b])
+            if b - a >= line_chunks.LEAST_LINES and (b - a, piece) in seen:
+                chunks += 1
+            else:
+                kept += lines[a:b]
+            seen.add((b - a, piece))
+        wanted[i] = ("\n".join(kept), len(lines), len(lines) - len(kept), chunks)
+    got = {r.doc_id: (r.text, r.n_lines, r.removed_lines, r.removed_chunks) for r in line_chunks.without_repeats(documents(rows), work).collect()}
+    assert got == wanted
+    assert sum(w[3] for w in wanted.values()) > 100
+
+
+def test_line_chunks_of_odd_rows(documents, work):
+    assert line_chunks.without_repeats(documents([]), work).count() == 0
+    text = "\n".join(f"l{k}" for k in range(40))
+    rows = [(1, text), (1, text), (None, text), (0, None)]
+    got = sorted(((r.doc_id, r.removed_chunks > 0) for r in line_chunks.without_repeats(documents(rows), work).collect()), key=str)
+    assert got == sorted([(1, False), (1, False), (None, True), (0, False)], key=str)
+
+
+def test_boundaries_resist_shifts():
+    lines = hashing.mix(np.arange(400, dtype=np.uint64))
+    whole = set(line_chunks.boundaries(lines).tolist())
+    shifted = {e - 3 for e in line_chunks.boundaries(np.concatenate([hashing.mix(np.arange(9000, 9003, dtype=np.uint64)), lines])).tolist()}
+    assert len(whole & shifted) >= len(whole) - 3
+    same = line_chunks.boundaries(np.zeros(1000, np.uint64))
+    assert np.diff(same, prepend=0).max() <= line_chunks.MOST_LINES
