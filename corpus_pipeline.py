@@ -1,35 +1,69 @@
-"""Training-corpus pipeline: documents in, encoded training documents out."""
+"""Training-corpus pipeline: documents in, encoded training documents out.
+
+Every stage takes the rows that the one before kept and returns rows with the columns of ``documents``; the last one
+returns token ids. The stages' own docstrings say what they do with nulls, ties, repeated rows and empty tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import exact_dedup, mixing
+from lakemart.llm import exact_dedup, minhash, mixing, nbest, quality
 from lakemart.llm.tables import table, workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Rows that the classifier rejects go; it learns from the labels of the same folder."""
+    workspace(spark)
+    return quality.good_docs(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact_dedup.distinct_docs(docs, workspace(spark))
 
 
+def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One row of each group of near duplicates stays."""
+    return minhash.distinct_docs(docs, workspace(spark))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document as often as its source's weight asks for."""
+    """Every row as often as its source's weight asks for."""
     return mixing.mixed_docs(docs, workspace(spark))
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact), ("mixing", mixed)]
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, lang, source, ids and n_pieces of the best segmentation, scores of the n best."""
+    import public_tokenizers
+
+    workspace(spark)
+    found = nbest.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=("lang", "source"))
+    return found.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_pieces"), "scores")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", good),
+    ("exact_dedup", exact),
+    ("minhash_near_dedup", near),
+    ("mixing", mixed),
+    ("sentencepiece", encoded),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written and read again by the next."""
+    """All stages over ``documents``; each stage's rows are written, and read again by the next."""
     work = workspace(spark)
-    docs = table(spark, folder, "documents")
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = work.save(stage(spark, docs, folder), name)
+        if before:
+            work.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, folder)
