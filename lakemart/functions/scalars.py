@@ -11,10 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-PRICE = "decimal(12,2)"  # one unit
-AMOUNT = "decimal(18,2)"  # one line or document
-TOTAL = "decimal(28,2)"  # a sum of lines
-RATE = "decimal(5,4)"
+COUNT = "decimal(20,0)"  # any long
+PRICE = "decimal(18,2)"  # one unit; times any long it still fits AMOUNT
+AMOUNT = "decimal(38,2)"  # one line or document
+TOTAL = "decimal(38,2)"  # a sum of lines
+HOURS = "decimal(18,2)"
+RATE = "decimal(18,6)"
 
 # Characters that trimming removes (blank, tab, line feed, return, vertical tab, form feed).
 _BLANKS = r" \t\n\r\u000B\u000C"
@@ -46,6 +48,17 @@ def parse_decimal(name: str, to: str) -> str:
     return f"try_cast({quoted(name)} as {to})"
 
 
+def parse_or_zero(name: str, to: str) -> str:
+    """Number, or zero for a missing value or text that is none; a number beyond the type's range stays unknown."""
+    parsed = parse_decimal(name, to)
+    return f"if(try_cast({quoted(name)} as double) is null, cast(0 as {to}), {parsed})"
+
+
+def times(a: str, b: str, to: str) -> str:
+    """Exact product; null instead of a failed job where it does not fit."""
+    return f"try_cast(try_multiply({a}, {b}) as {to})"
+
+
 def parse_long(frame: DataFrame, name: str) -> str:
     """Whole number or null. Text that is no integer goes through double, so ``"12.0"`` and ``"1e3"`` are read too."""
     if _is_text(frame, name):
@@ -90,7 +103,7 @@ def ratio(numerator: str, denominator: str, digits: int) -> str:
 
 def hours_between(start: str, end: str) -> str:
     """Hours with two digits, exact to the microsecond before rounding."""
-    return f"cast({half_up(f'timestampdiff(MICROSECOND, {start}, {end}) / 3.6e9D', 2)} as {AMOUNT})"
+    return f"cast({half_up(f'timestampdiff(MICROSECOND, {start}, {end}) / 3.6e9D', 2)} as {HOURS})"
 
 
 def shift(unit: str, count: str, ts: str) -> str:

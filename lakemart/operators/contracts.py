@@ -1,7 +1,7 @@
 """Contract validation: clean rows, rejected rows and a row-level issue log.
 
-The rules a row breaks are kept as the bits of one long, so that clean rows, the bulk of every table, cost next to
-nothing; the log is spelled out for rejected rows only. Rules that look at other rows (unique, foreign key) are first
+The rules a row breaks are kept as the bits of one long (several beyond 63 rules), so that clean rows, the bulk of every
+table, cost next to nothing; the log is spelled out for rejected rows only. Rules that look at other rows (unique, foreign key) are first
 reduced to the small set of *offending keys* with narrow, map-side combined aggregates; the wide table then meets that
 set in a left join. Given a ``Workspace`` the key sets are written before use, so the planner knows their real size: it broadcasts
 the small ones, leaving the wide table unshuffled, and otherwise falls back to a sort-merge join that AQE splits on
@@ -11,6 +11,7 @@ hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -23,14 +24,15 @@ from lakemart.sources.model import TableContract
 
 ISSUES = "_issues"
 CLEAN = "_is_clean"
-_MAX_RULES = 63
+_BITS = 63
 
 
 @dataclass(frozen=True)
 class Validation:
     """One validated table; every view of it is derived from the same annotated frame.
 
-    Bit ``i`` of the issue column tells that a row breaks ``rules[i]``, a pair of column name and issue type.
+    Bit ``i % 63`` of issue column ``i // 63`` tells that a row breaks ``rules[i]``, a pair of column name and issue
+    type. ``unique`` names the columns that hold no value twice among the clean rows.
     """
 
     table: str
@@ -38,30 +40,38 @@ class Validation:
     row_order: tuple[str, ...]
     rules: tuple[tuple[str, str], ...] = ()
     missing_columns: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+
+    @property
+    def words(self) -> tuple[str, ...]:
+        return issue_columns(len(self.rules))
 
     def failed(self) -> str:
         if CLEAN in self.annotated.columns:
             return f"not {CLEAN}"
-        return "true" if self.missing_columns else f"{ISSUES} <> 0"
+        return "true" if self.missing_columns else self.broken()
+
+    def broken(self) -> str:
+        return " or ".join(f"{word} <> 0" for word in self.words)
 
     def clean(self) -> DataFrame:
-        return self.annotated.where(f"not ({self.failed()})").drop(ISSUES, CLEAN)
+        return self.annotated.where(f"not ({self.failed()})").drop(*self.words, CLEAN)
 
     def rejected(self) -> DataFrame:
-        rows = self.annotated.where(self.failed()).drop(ISSUES, CLEAN)
+        rows = self.annotated.where(self.failed()).drop(*self.words, CLEAN)
         return rows.selectExpr(f"{literal(self.table)} as rejected_from", "*")
 
     def issues(self, *keys: str) -> DataFrame:
         """One row per violated rule; ``keys`` names columns that tell the row (the row order if empty)."""
         keep = [quoted(name) for name in keys or self.row_order]
         entries = [
-            f"if(({ISSUES} & {1 << bit}L) <> 0, named_struct('column_name', {literal(name)}, 'issue_type',"
+            f"if(({self.words[bit // _BITS]} & {1 << bit % _BITS}L) <> 0, named_struct('column_name', {literal(name)}, 'issue_type',"
             f" {literal(kind)}, 'value', string({quoted(name)})), null)"
             for bit, (name, kind) in enumerate(self.rules)
         ]
         table = f"{literal(self.table)} as table_name"
         if entries:
-            rows = self.annotated.where(self.failed()).where(f"{ISSUES} <> 0")
+            rows = self.annotated.where(self.failed()).where(self.broken())
             listed_issues = rows.selectExpr(*keep, f"explode(array_compact(array({', '.join(entries)}))) as i")
             log = listed_issues.selectExpr(table, "i.column_name", "i.issue_type", *keep, "i.value")
         else:
@@ -81,7 +91,8 @@ class Validation:
 
     def summary(self) -> DataFrame:
         """Row counts and score of this table, in one pass over the annotated frame."""
-        found = f"bigint(coalesce(sum(bit_count({ISSUES})), 0) + {len(self.missing_columns)})"
+        bits = " + ".join(f"bit_count({word})" for word in self.words)
+        found = f"bigint(coalesce(sum({bits}), 0) + {len(self.missing_columns)})"
         counted = self.annotated.agg(
             F.count(F.lit(1)).alias("raw_rows"),
             F.expr(f"count_if(not ({self.failed()}))").alias("clean_rows"),
@@ -98,6 +109,11 @@ class Validation:
         )
 
 
+def issue_columns(rules: int) -> tuple[str, ...]:
+    """Names of the columns that hold the bits of so many rules."""
+    return tuple(ISSUES if k == 0 else f"{ISSUES}_{k}" for k in range(max(1, -(-rules // _BITS))))
+
+
 def annotate(
     frame: DataFrame,
     contract: TableContract,
@@ -110,20 +126,27 @@ def annotate(
     ``row_order`` names the columns whose values order the rows of the table totally (file position or a business
     order); it decides which copy of a duplicate key comes first.
     """
-    keys = offending_keys(frame, contract, parents, row_order)
+    keys = offending_keys(frame, contract, parents, row_order, workspace)
     if workspace:
         keys = workspace.save_all(keys)
     return mark(frame, contract, row_order, keys)
 
 
 def offending_keys(
-    frame: DataFrame, contract: TableContract, parents: Mapping[str, DataFrame], row_order: Sequence[str]
+    frame: DataFrame,
+    contract: TableContract,
+    parents: Mapping[str, DataFrame],
+    row_order: Sequence[str],
+    workspace: Workspace | None = None,
 ) -> dict[str, DataFrame]:
     """The key sets behind the rules that look at other rows, one narrow frame per rule."""
     found = {}
     for name in contract.unique:
         if name in frame.columns:
-            found[_set_name(contract, name, "repeated")] = repeated_keys(frame, name, row_order)
+            counts = repeated_counts(frame, name)
+            if workspace:
+                counts = workspace.save(counts, _set_name(contract, name, "counts"))
+            found[_set_name(contract, name, "repeated")] = first_positions(frame, name, counts, row_order)
     for name, (parent, column) in contract.foreign_keys.items():
         if name in frame.columns and parent in parents and column in parents[parent].columns:
             found[_set_name(contract, name, "orphans")] = missing_parents(frame, name, parents[parent], column)
@@ -146,15 +169,15 @@ def mark(
             wide, orphans[name] = _join_orphans(wide, missing, name)
 
     rules = _rules(frame, contract, repeats, orphans)
-    if len(rules) > _MAX_RULES:
-        raise ValueError(f"{contract.table}: {len(rules)} rules do not fit into one long; split the contract")
-    bits = [f"if({condition}, {1 << bit}L, 0L)" for bit, (_, _, condition) in enumerate(rules)]
-    columns = [quoted(name) for name in frame.columns]
-    annotated = wide.selectExpr(*columns, f"{' + '.join(bits) or '0L'} as {ISSUES}")
+    bits = [f"if({condition}, {1 << bit % _BITS}L, 0L)" for bit, (_, _, condition) in enumerate(rules)]
+    sums = [
+        f"{' + '.join(bits[k * _BITS : (k + 1) * _BITS]) or '0L'} as {word}"
+        for k, word in enumerate(issue_columns(len(rules)))
+    ]
+    annotated = wide.selectExpr(*[quoted(name) for name in frame.columns], *sums)
     absent = tuple(name for name in contract.required if name not in frame.columns)
-    return Validation(
-        contract.table, annotated, tuple(row_order), tuple((name, kind) for name, kind, _ in rules), absent
-    )
+    named = tuple((name, kind) for name, kind, _ in rules)
+    return Validation(contract.table, annotated, tuple(row_order), named, absent, tuple(repeats))
 
 
 def _rules(
@@ -191,10 +214,18 @@ def position(row_order: Sequence[str]) -> str:
     return quoted(row_order[0]) if len(row_order) == 1 else f"struct({', '.join(map(quoted, row_order))})"
 
 
-def repeated_keys(frame: DataFrame, name: str, row_order: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count and first position; nulls count as one key."""
+def repeated_counts(frame: DataFrame, name: str) -> DataFrame:
+    """Keys that occur more than once, with their count; nulls count as one key. A hash aggregate of longs."""
+    return frame.groupBy(name).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def first_positions(frame: DataFrame, name: str, counts: DataFrame, row_order: Sequence[str]) -> DataFrame:
+    """Add the first position of each repeated key. Only the rows of such keys are ordered, the others never are."""
+    keys = counts.toDF("_repeated", "copies")
+    few = frame.select(name, *[c for c in row_order if c != name])
+    few = few.join(keys, F.expr(f"{quoted(name)} <=> _repeated"))
     first = F.expr(f"min({position(row_order)})").alias("first")
-    return frame.groupBy(name).agg(F.count(F.lit(1)).alias("copies"), first).where("copies > 1")
+    return few.groupBy(name).agg(F.max("copies").alias("copies"), first)
 
 
 def _join_repeated(
@@ -239,7 +270,9 @@ def validate_all(
     done: dict[str, Validation] = {}
     clean: dict[str, DataFrame] = {}
     for tables in generations({name: contracts[name] for name in contracts if name in raw}):
-        keys = {t: offending_keys(raw[t], contracts[t], clean, row_order[t]) for t in tables}
+        with ThreadPoolExecutor(len(tables)) as pool:  # with a workspace, each call writes its counts
+            found = pool.map(lambda t: offending_keys(raw[t], contracts[t], clean, row_order[t], workspace), tables)
+            keys = dict(zip(tables, found, strict=True))
         if workspace:
             saved = workspace.save_all({name: frame for sets in keys.values() for name, frame in sets.items()})
             keys = {t: {name: saved[name] for name in keys[t]} for t in tables}
@@ -252,12 +285,22 @@ def validate_all(
 
 
 def generations(contracts: Mapping[str, TableContract]) -> list[list[str]]:
-    """Tables grouped so that every parent stands in an earlier group than its children."""
-    depth: dict[str, int] = {}
-    for name, contract in contracts.items():
-        parents = [parent for parent, _ in contract.foreign_keys.values()]
-        depth[name] = 1 + max((depth.get(parent, -1) for parent in parents), default=-1)
-    return [[name for name in depth if depth[name] == level] for level in sorted(set(depth.values()))]
+    """Tables grouped so that every parent stands in an earlier group than its children, in whatever order they come.
+
+    Parents that have no contract here are no tables of this run, and their rules are skipped. A cycle is an error.
+    """
+    left = {
+        name: {parent for parent, _ in contract.foreign_keys.values() if parent in contracts}
+        for name, contract in contracts.items()
+    }
+    groups: list[list[str]] = []
+    while left:
+        ready = [name for name, parents in left.items() if not parents & set(left)]
+        if not ready:
+            raise ValueError(f"foreign keys form a cycle: {', '.join(left)}")
+        groups.append(ready)
+        left = {name: parents for name, parents in left.items() if name not in ready}
+    return groups
 
 
 def settle(results: Sequence[Validation], store: Workspace) -> list[Validation]:

@@ -70,6 +70,10 @@ def top_inventory(inventory: DataFrame, limit: int = 75) -> DataFrame:
 
 
 def sql(spark: SparkSession, query: str, marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Any SELECT over the marts, registered as views under their names."""
+    """Any query over the marts, registered as views under their names.
+
+    The text is run as a subquery, where the grammar has no place for a command, so whatever would change or set
+    something is refused by the parser before anything runs.
+    """
     register_views(marts)
-    return spark.sql(query)
+    return spark.sql(f"select * from (\n{query.strip().rstrip(';')}\n)")

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalars import TOTAL, literal, ratio
+from lakemart.functions.scalars import COUNT, TOTAL, literal, ratio
 from lakemart.sources.lake import Workspace
 
 Tables = Mapping[str, DataFrame]
@@ -30,7 +30,7 @@ def revenue_daily(silver: Tables) -> DataFrame:
     items = silver["order_items"].select("order_id", "product_id", "quantity", "net_sales").join(costs, "product_id")
     per_order = items.groupBy("order_id").agg(
         _sum("net_sales").alias("net"),
-        _sum("net_sales - cast(quantity as decimal(10,0)) * unit_cost").alias("profit"),
+        _sum(f"net_sales - cast(quantity as {COUNT}) * unit_cost").alias("profit"),
         F.count("net_sales").alias("items"),
     )
     grouped = (
@@ -86,7 +86,7 @@ def product_performance(silver: Tables) -> DataFrame:
             "coalesce(orders, 0) as orders",
             "units_sold",
             "revenue",
-            f"cast(revenue - cast(units_sold as decimal(18,0)) * unit_cost as {TOTAL}) as gross_profit",
+            f"cast(revenue - cast(units_sold as {COUNT}) * unit_cost as {TOTAL}) as gross_profit",
             f"{ratio('discount', 'lines', 4)} as avg_discount_pct",
         )
     )

@@ -1,9 +1,14 @@
-"""Bronze, silver and gold as separate steps that hand over written tables; no step calls the one before it."""
+"""Bronze, silver and gold as separate steps that hand over written tables; no step calls the one before it.
+
+Zones of a lake: ``bronze`` holds the clean raw rows, ``silver`` the entities, ``gold`` the marts, ``stream`` the landed
+topics, ``observability`` rejects, issues, counts and checks. What people download lies as CSV below ``exports``.
+Intermediate tables lie in the session's work folder until ``Run.close``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +23,7 @@ from lakemart.operators.contracts import (
 from lakemart.plans import marts, quality, silver
 from lakemart.sources import lake
 from lakemart.sources.model import CONTRACTS, TABLES, TableContract, raw_schema
+from lakemart.streaming.landing import Landing
 
 
 @dataclass(frozen=True)
@@ -28,6 +34,7 @@ class Run:
     root: str
     profile: str
     run_date: str
+    _spaces: list[lake.Workspace] = field(default_factory=list, compare=False, repr=False)
 
     @property
     def partition(self) -> str:
@@ -46,7 +53,27 @@ class Run:
         return self.store(zone).save(frame, table)
 
     def workspace(self) -> lake.Workspace:
-        return lake.Workspace(self.spark)
+        space = lake.Workspace(self.spark)
+        self._spaces.append(space)
+        return space
+
+    def close(self) -> None:
+        """Delete the intermediate tables of this run; what the steps returned before silver can no longer be read."""
+        while self._spaces:
+            self._spaces.pop().close()
+
+    def export(self, frame: DataFrame, name: str) -> None:
+        lake.write_csv(frame, f"{self.root}/exports/{name}.csv")
+
+    def observe(self, frame: DataFrame, name: str) -> DataFrame:
+        """Write an observability table and its CSV export; returns the written table."""
+        written = self.write(frame, "observability", name)
+        self.export(written, name)
+        return written
+
+    def landing(self, topic: str = "commerce.events", table: str = "web_events") -> Landing:
+        """The landing of a topic, which goes on from run to run of the profile."""
+        return Landing(self.spark, f"{self.root}/lake/stream/profile={self.profile}/{table}", self.profile, topic)
 
 
 def latest_run(spark: SparkSession, root: str, zone: str, profile: str) -> Run:
@@ -57,7 +84,7 @@ def latest_run(spark: SparkSession, root: str, zone: str, profile: str) -> Run:
 
 def read_export(run: Run, mart: str) -> DataFrame:
     """The CSV export of a mart as text columns; empty when there is none."""
-    return lake.read_csv_or_empty(run.spark, f"{run.root}/exports/{mart}")
+    return lake.read_csv_or_empty(run.spark, f"{run.root}/exports/{mart}.csv")
 
 
 def land_raw(run: Run, batch_dir: str) -> tuple[dict[str, DataFrame], dict[str, Sequence[str]]]:
@@ -69,7 +96,15 @@ def land_raw(run: Run, batch_dir: str) -> tuple[dict[str, DataFrame], dict[str,
         else:
             rows = lake.read_csv(run.spark, f"{batch_dir}/{table}.csv")
         raw[table] = lake.with_position(rows)
-    return run.workspace().save_all(raw), dict.fromkeys(raw, (lake.ROW,))
+    return run.workspace().save_all(raw), dict.fromkeys(raw, lake.POSITION)
+
+
+def land_stream(run: Run, events: DataFrame, max_events: int | None = None) -> Landing:
+    """Consume what is new in a topic, at most ``max_events``, and record its freshness."""
+    landing = run.landing()
+    landing.consume(events, max_events)
+    run.observe(landing.freshness(), "streaming_freshness")
+    return landing
 
 
 def bronze(
@@ -78,13 +113,20 @@ def bronze(
     row_order: Mapping[str, Sequence[str]],
     contracts: Mapping[str, TableContract] = CONTRACTS,
 ) -> dict[str, Validation]:
-    """Validate every table into the bronze zone, each in one write with a clean and a rejected partition."""
+    """Validate every table; clean rows go to the bronze zone, rejects, issues and counts to observability.
+
+    Each table is validated once into a work table with a clean and a rejected partition, which keeps the row order for
+    silver. Key sets are deleted on return.
+    """
     tagged = {table: lake.ingest_metadata(frame, run.profile, run.run_date) for table, frame in raw.items()}
-    results = validate_all(tagged, contracts, row_order, run.workspace(), run.store("bronze"))
+    keys = lake.Workspace(run.spark)
+    results = validate_all(tagged, contracts, row_order, keys, run.workspace())
+    keys.close()
+    run.store("bronze").save_all({table: result.clean().drop(*lake.POSITION) for table, result in results.items()})
     found = list(results.values())
-    run.write(union_rejected(found), "observability", "rejected_rows")
-    run.write(issue_log(found, raw), "observability", "contract_issues")
-    run.write(summary(run, found), "observability", "contract_summary")
+    run.observe(union_rejected(found).drop(*lake.POSITION, *silver.METADATA), "rejected_rows")
+    run.observe(issue_log(found, raw), "contract_issues")
+    run.observe(summary(run, found), "contract_summary")
     return results
 
 
@@ -107,15 +149,18 @@ def issue_log(results: Sequence[Validation], raw: Mapping[str, DataFrame]) -> Da
 
 def build_silver(
     run: Run,
-    clean: Mapping[str, DataFrame],
+    results: Mapping[str, Validation],
     row_order: Mapping[str, Sequence[str]],
     stream: DataFrame | None = None,
     late_before: str = silver.LATE_BEFORE,
 ) -> dict[str, DataFrame]:
-    built = silver.build_all(clean, row_order, stream, late_before)
-    written = run.store("silver").save_all(built)
+    """Silver from validated tables; keys that their contract made unique are not deduplicated again."""
+    clean = {table: result.clean() for table, result in results.items()}
+    unique = {table: result.unique for table, result in results.items()}
+    built = silver.build_all(clean, row_order, stream, late_before, unique, run.profile)
+    written = run.store("silver").save_all({table: frame.drop(*lake.POSITION) for table, frame in built.items()})
     counts = lake.manifest(written, run.profile, run.partition, "table_name", "silver_rows")
-    run.write(counts, "observability", "silver_manifest")
+    run.observe(counts, "silver_manifest")
     return written
 
 
@@ -123,9 +168,9 @@ def build_gold(run: Run, entities: Mapping[str, DataFrame]) -> dict[str, DataFra
     """All marts; each is written once, and later marts, exports and counts read the written table."""
     gold = marts.build_all(entities, run.profile, run.partition, run.store("gold"))
     for name, frame in gold.items():
-        lake.write_csv(marts.ordered(frame, name), f"{run.root}/exports/{name}")
+        run.export(marts.ordered(frame, name), name)
     counts = lake.manifest(gold, run.profile, run.partition, "mart_name", "row_count")
-    run.write(counts, "observability", "gold_manifest")
+    run.observe(counts, "gold_manifest")
     return gold
 
 
@@ -135,7 +180,8 @@ def evaluate(run: Run, gold: Mapping[str, DataFrame], rules: quality.Rules = qua
     def observed(name: str) -> DataFrame:
         return run.spark.read.parquet(run.path("observability", name))
 
-    present = [name for name in rules.required_outputs if exists(run, name)]
+    absent = set(missing_outputs(run, rules.required_outputs))
+    present = [name for name in rules.required_outputs if name not in absent]
     results = quality.checks(
         observed("contract_summary"),
         observed("gold_manifest"),
@@ -145,16 +191,18 @@ def evaluate(run: Run, gold: Mapping[str, DataFrame], rules: quality.Rules = qua
         present,
         rules,
     )
-    written = run.write(results, "observability", "quality_checks")
-    card = run.write(quality.scorecard(written), "observability", "platform_scorecard")
+    written = run.observe(results, "quality_checks")
+    card = run.observe(quality.scorecard(written), "platform_scorecard")
     return {"quality_checks": written, "platform_scorecard": card, "failed_checks": quality.failed(written)}
 
 
-def exists(run: Run, name: str) -> bool:
-    """Whether a run has written the mart or observability table of that name (a metadata look-up)."""
-    zone = "gold" if name.startswith("mart_") else "observability"
-    try:
-        run.spark.read.parquet(run.path(zone, name))
-    except lake.AnalysisException:
-        return False
-    return True
+def missing_outputs(run: Run, names: Sequence[str]) -> list[str]:
+    """Those of the named exports that the lake does not hold (a look-up of names, no file is opened)."""
+    return [name for name in names if not lake.path_exists(run.spark, f"{run.root}/exports/{name}")]
+
+
+def require_outputs(run: Run, names: Sequence[str] = (*quality.Rules().required_outputs, "platform_scorecard.csv")) -> None:
+    """Raise if a finished run lacks one of its exports."""
+    absent = missing_outputs(run, names)
+    if absent:
+        raise FileNotFoundError(f"missing exports: {', '.join(absent)}")

@@ -19,13 +19,13 @@ class Rules:
     maximum_late_event_rate: float = 0.05
     minimum_gold_marts: int = 9
     required_outputs: tuple[str, ...] = (
-        "mart_revenue_daily",
-        "mart_customer_ltv",
-        "mart_funnel_conversion",
-        "mart_fulfillment_sla",
-        "contract_summary",
-        "silver_manifest",
-        "gold_manifest",
+        "mart_revenue_daily.csv",
+        "mart_customer_ltv.csv",
+        "mart_funnel_conversion.csv",
+        "mart_fulfillment_sla.csv",
+        "contract_summary.csv",
+        "silver_manifest.csv",
+        "gold_manifest.csv",
     )
 
 
@@ -40,7 +40,7 @@ def _row(name: str, passed: str, observed: str, expected: str) -> list[str]:
 
 def _number(value: str) -> str:
     """A number as plain text without trailing zeros."""
-    return f"regexp_replace(string(cast({value} as decimal(28,4))), '[.]?0+$', '')"
+    return f"regexp_replace(string(cast({value} as decimal(38,4))), '[.]?0+$', '')"
 
 
 def contract_floor(summary: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -50,7 +50,7 @@ def contract_floor(summary: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def required_outputs(spark: SparkSession, present: Sequence[str], rules: Rules = Rules()) -> DataFrame:
-    """One row per required output; ``present`` names the tables that exist (a list of names, not of rows)."""
+    """One row per required output; ``present`` names the exports that exist (a list of names, not of rows)."""
     rows = [(name, name in set(present)) for name in rules.required_outputs]
     return spark.createDataFrame(rows, "name string, found boolean").selectExpr(
         "concat('required_export:', name) as check_name",

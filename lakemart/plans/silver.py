@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from lakemart.functions.scalars import (
     AMOUNT,
+    COUNT,
     PRICE,
     RATE,
     assign,
@@ -24,13 +25,15 @@ from lakemart.functions.scalars import (
     parse_date,
     parse_decimal,
     parse_long,
+    parse_or_zero,
     parse_timestamp,
     pii_hash,
     quoted,
     ratio,
+    times,
 )
 from lakemart.operators.dedup import keep_first
-from lakemart.sources.model import CONTRACTS, KEYS, SUCCESSFUL_PAYMENTS
+from lakemart.sources.model import KEYS, SUCCESSFUL_PAYMENTS
 
 Order = Sequence[str] | None
 
@@ -93,11 +96,11 @@ def order_items(frame: DataFrame, order_by: Order = None) -> DataFrame:
         {
             "quantity": parse_long(frame, "quantity"),
             "unit_price": parse_decimal("unit_price", PRICE),
-            "discount_pct": f"coalesce({parse_decimal('discount_pct', RATE)}, cast(0 as {RATE}))",
+            "discount_pct": parse_or_zero("discount_pct", RATE),
         },
     )
-    gross = assign(typed, {"gross_sales": f"cast(cast(quantity as decimal(10,0)) * unit_price as {AMOUNT})"})
-    return assign(gross, {"net_sales": f"cast(gross_sales * (cast(1 as {RATE}) - discount_pct) as {AMOUNT})"})
+    gross = assign(typed, {"gross_sales": times(f"cast(quantity as {COUNT})", "unit_price", AMOUNT)})
+    return assign(gross, {"net_sales": times("gross_sales", f"(cast(1 as {RATE}) - discount_pct)", AMOUNT)})
 
 
 def payments(frame: DataFrame, order_by: Order = None) -> DataFrame:
@@ -154,32 +157,38 @@ def web_events(frame: DataFrame, late_before: str = LATE_BEFORE, order_by: Order
     )
 
 
-def union_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
+def union_stream(batch: DataFrame, stream: DataFrame, profile: str | None = None) -> DataFrame:
     """Batch events followed by streamed ones, on the batch columns; absent stream columns are null.
 
-    Stream rows have passed no contract. The added priority column makes the batch copy of an event id come first, the
-    offset column orders the copies within the stream by their batch.
+    Stream rows have passed no contract; they carry the profile of the run. The added priority column makes the batch
+    copy of an event id come first, the offset column orders the copies within the stream as the topic had them.
     """
     aligned = []
     for field in batch.schema:
         kind, name = field.dataType.simpleString(), quoted(field.name)
         if field.name == "ingest_run_date":
             aligned.append(f"'stream' as {name}")
+        elif field.name == "ingest_profile" and profile is not None:
+            aligned.append(f"{literal(profile)} as {name}")
         elif field.name in stream.columns:
             aligned.append(f"try_cast({name} as {kind}) as {name}")
         else:
             aligned.append(f"cast(null as {kind}) as {name}")
-    offset = "stream_offset_start" if "stream_offset_start" in stream.columns else "cast(null as bigint)"
+    offset = "stream_offset" if "stream_offset" in stream.columns else "cast(null as bigint)"
     first = batch.selectExpr("*", f"{BATCH} as {_PRIORITY}", f"cast(null as bigint) as {_OFFSET}")
     return first.unionByName(stream.selectExpr(*aligned, f"{STREAM} as {_PRIORITY}", f"{offset} as {_OFFSET}"))
 
 
 def web_events_with_stream(
-    batch: DataFrame, stream: DataFrame, row_order: Sequence[str], late_before: str = LATE_BEFORE
+    batch: DataFrame,
+    stream: DataFrame,
+    row_order: Sequence[str],
+    late_before: str = LATE_BEFORE,
+    profile: str | None = None,
 ) -> DataFrame:
-    """Union of both sources with exact deduplication by event id; the batch copy wins."""
-    both = union_stream(batch, stream)
-    order = (_PRIORITY, *row_order, _OFFSET, "event_ts")
+    """Union of both sources with exact deduplication by event id; the batch copy wins, then the earlier offset."""
+    both = union_stream(batch, stream, profile)
+    order = (_PRIORITY, _OFFSET, *row_order, "event_ts")
     return web_events(both, late_before, order_by=order).drop(_PRIORITY, _OFFSET)
 
 
@@ -202,13 +211,19 @@ def build_all(
     row_order: Mapping[str, Sequence[str]],
     stream: DataFrame | None = None,
     late_before: str = LATE_BEFORE,
+    unique: Mapping[str, Sequence[str]] | None = None,
+    profile: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Silver entities from contract-clean tables; only keys that no contract checks are deduplicated."""
+    """Silver entities from contract-clean tables.
+
+    Every table is deduplicated by its key, except where ``unique`` says that the contract in use has made that key
+    unique already.
+    """
     built = {}
     for table, frame in clean.items():
-        order = None if CONTRACTS[table].unique == KEYS[table] else row_order[table]
+        order = None if set(KEYS[table]) <= set((unique or {}).get(table, ())) and len(KEYS[table]) == 1 else row_order[table]
         if table == "web_events" and stream is not None:
-            built[table] = web_events_with_stream(frame, stream, row_order[table], late_before)
+            built[table] = web_events_with_stream(frame, stream, row_order[table], late_before, profile)
         elif table == "web_events":
             built[table] = web_events(frame, late_before, order_by=order)
         else:

@@ -21,18 +21,18 @@ _PARTS: dict[str, str] = {
                    case when length(cast(p_partkey as varchar)) < 6 then lpad(cast(p_partkey as varchar), 6, '0')
                         else cast(p_partkey as varchar) end as sku,
                p_type as category, p_brand as brand,
-               cast(cast(p_retailprice as decimal(12,2)) * 0.60::decimal(3,2) as decimal(12,2)) as unit_cost,
-               cast(p_retailprice as decimal(12,2)) as unit_price,
+               cast(cast(p_retailprice as decimal(18,2)) * 0.60::decimal(3,2) as decimal(18,2)) as unit_cost,
+               cast(p_retailprice as decimal(18,2)) as unit_price,
                p_partkey % 25 <> 0 as active
         from part""",
     "warehouses": """
-        select s_suppkey as warehouse_id, region, 25000 + (s_suppkey * 7919) % 155001 as capacity_units,
-               1 + s_suppkey % 3 as priority
+        select s_suppkey as warehouse_id, region, 1000 + (s_suppkey * 37) % 997 as capacity_units,
+               1 + s_suppkey % 5 as priority
         from supplier, places where s_nationkey = nation""",
     "inventory": """
         select l_suppkey as warehouse_id, l_partkey as product_id, cast(max(l_shipdate) as date) as snapshot_date,
-               (l_partkey * 31 + l_suppkey * 17) % 600 as on_hand_units,
-               25 + (l_partkey * 13 + l_suppkey * 7) % 226 as reorder_point
+               (l_partkey * 3 + l_suppkey * 7) % 211 as on_hand_units,
+               10 + (l_partkey * 5 + l_suppkey * 3) % 83 as reorder_point
         from lineitem group by l_suppkey, l_partkey""",
     "raw_orders": """
         select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as order_ts,
@@ -45,7 +45,7 @@ _PARTS: dict[str, str] = {
     "raw_items": """
         select l_orderkey || '-' || l_linenumber as order_item_id, l_orderkey as order_id, l_partkey as product_id,
                l_suppkey as warehouse_id, cast(l_quantity as bigint) as quantity,
-               cast(p_retailprice as decimal(12,2)) as unit_price, cast(l_discount as decimal(5,4)) as discount_pct,
+               cast(p_retailprice as decimal(18,2)) as unit_price, cast(l_discount as decimal(18,6)) as discount_pct,
                l_extendedprice as extended_price, l_returnflag as return_flag, l_shipdate as ship_date
         from lineitem left join part on l_partkey = p_partkey""",
     "numbered_items": """
@@ -53,29 +53,29 @@ _PARTS: dict[str, str] = {
                       order by ship_date, product_id, warehouse_id, extended_price, quantity) as copy_no
         from raw_items""",
     "items": """
-        select * exclude (copy_no), cast(quantity * unit_price as decimal(18,2)) as gross_sales,
-               cast(cast(quantity * unit_price as decimal(18,2)) * (1 - discount_pct) as decimal(18,2)) as net_sales
+        select * exclude (copy_no), cast(quantity * unit_price as decimal(38,2)) as gross_sales,
+               cast(cast(quantity * unit_price as decimal(38,2)) * (1 - discount_pct) as decimal(38,2)) as net_sales
         from numbered_items where copy_no = 1""",
     "payments": """
         select o_orderkey as payment_id, o_orderkey as order_id,
-               o_orderdate + to_minutes(cast(o_orderkey % 180 as int)) as payment_ts,
-               ['card', 'wallet', 'cash_on_delivery', 'bank_transfer'][1 + o_orderkey % 4] as payment_method,
-               case when o_orderkey % 100 < 8 then 'authorized' when o_orderkey % 100 < 90 then 'captured'
-                    when o_orderkey % 100 < 97 then 'failed' else 'refunded' end as payment_status,
-               cast(o_totalprice as decimal(18,2)) as amount
+               o_orderdate + to_minutes(cast(5 + o_orderkey % 50 as int)) as payment_ts,
+               ['voucher', 'transfer', 'invoice'][1 + o_orderkey % 3] as payment_method,
+               case when o_orderkey % 10 < 6 then 'captured' when o_orderkey % 10 < 8 then 'authorized'
+                    when o_orderkey % 10 < 9 then 'refunded' else 'failed' end as payment_status,
+               cast(o_totalprice as decimal(38,2)) as amount
         from orders""",
     "shipments": """
         select order_id as shipment_id, order_id, order_id % (select count(*) from supplier) as warehouse_id,
-               order_ts + to_hours(cast(4 + order_id % 69 as int)) as ship_ts,
-               order_ts + to_days(cast(2 + order_id % 4 as int)) as promised_delivery_ts,
-               order_ts + to_hours(cast(4 + order_id % 69 + 8 + (order_id * 7) % 113 as int)) as delivered_ts,
-               ['Bosta', 'Aramex', 'DHL', 'Internal Fleet'][1 + order_id % 4] as carrier,
-               cast(cast(2500 + order_id % 22501 as decimal(12,2)) * 0.01::decimal(3,2) as decimal(12,2))
+               order_ts + to_hours(cast(1 + order_id % 30 as int)) as ship_ts,
+               order_ts + to_days(cast(3 + order_id % 3 as int)) as promised_delivery_ts,
+               order_ts + to_hours(cast(1 + order_id % 30 + 20 + (order_id * 11) % 79 as int)) as delivered_ts,
+               ['north line', 'south line', 'east line'][1 + order_id % 3] as carrier,
+               cast(cast(300 + order_id % 1501 as decimal(18,2)) * 0.01::decimal(3,2) as decimal(18,2))
                    as shipping_cost
         from raw_orders where status in ('shipped', 'delivered', 'returned')""",
     "returns": """
-        select order_item_id as return_id, order_item_id, ship_date + to_days(7) as return_ts,
-               ['damaged', 'wrong_item', 'late_delivery', 'changed_mind', 'quality'][1 + product_id % 5] as reason,
+        select order_item_id as return_id, order_item_id, ship_date + to_days(10) as return_ts,
+               ['broken', 'too small', 'too large', 'other'][1 + product_id % 4] as reason,
                net_sales as refund_amount
         from items where return_flag = 'R'""",
     "web_events": """
@@ -83,9 +83,8 @@ _PARTS: dict[str, str] = {
                ts as event_ts,
                case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart'
                     when 'signup' then 'checkout_start' when 'error' then 'search' else event_type end as event_type,
-               event_id % 200 as product_id, ['ios', 'android', 'web', 'mobile_web'][1 + event_id % 4] as device,
-               ['organic', 'paid_search', 'social', 'email', 'partner', 'direct']
-                   [1 + cast(json_extract_string(props, '$.k') as bigint) % 6] as campaign
+               event_id % 200 as product_id, ['phone', 'tablet', 'desktop'][1 + event_id % 3] as device,
+               'campaign ' || (cast(json_extract_string(props, '$.k') as bigint) % 7) as campaign
         from events""",
     "silver_events": """
         select *, cast(event_ts as date) as event_date, strftime(event_ts, '%Y-%m') as event_month,
@@ -128,8 +127,8 @@ _PARTS: dict[str, str] = {
     # Marts, stated on the joined rows.
     "revenue_daily": """
         select cast(order_ts as date) as order_date, region, count(distinct o.order_id) as total_orders,
-               count(distinct customer_id) as active_customers, cast(sum(net_sales) as decimal(28,2)) as revenue,
-               cast(sum(net_sales - quantity * unit_cost) as decimal(28,2)) as gross_profit,
+               count(distinct customer_id) as active_customers, cast(sum(net_sales) as decimal(38,2)) as revenue,
+               cast(sum(net_sales - quantity * unit_cost) as decimal(38,2)) as gross_profit,
                floor(cast(sum(net_sales - quantity * unit_cost) as double)
                      / nullif(cast(sum(net_sales) as double), 0) * 1e4 + 0.5) / 1e4 as gross_margin_pct,
                floor(cast(sum(net_sales) as double) / count(net_sales) * 1e2 + 0.5) / 1e2 as avg_item_revenue
@@ -157,13 +156,13 @@ _PARTS: dict[str, str] = {
                floor(cast(sum(hours) as double) / count(hours) * 1e2 + 0.5) / 1e2 as avg_delivery_hours,
                floor(count_if(delivered_ts <= promised_delivery_ts)::double / count(*) * 1e4 + 0.5) / 1e4
                    as on_time_rate,
-               cast(sum(shipping_cost) as decimal(28,2)) as shipping_cost
+               cast(sum(shipping_cost) as decimal(38,2)) as shipping_cost
         from (select *, cast(datediff('second', ship_ts, delivered_ts) / 3600 as decimal(18,2)) as hours
               from shipments) s
         join raw_orders o on s.order_id = o.order_id group by 1, 2""",
     "ltv": """
         select c.customer_id, c.region, acquisition_channel, loyalty_tier, count(distinct o.order_id) as orders,
-               cast(coalesce(sum(net_sales), 0) as decimal(28,2)) as lifetime_revenue,
+               cast(coalesce(sum(net_sales), 0) as decimal(38,2)) as lifetime_revenue,
                coalesce(floor(cast(sum(net_sales) as double) / nullif(count(net_sales), 0) * 1e2 + 0.5) / 1e2, 0)
                    as avg_item_revenue,
                cast(max(order_ts) as date) as last_order_date
@@ -173,39 +172,42 @@ _PARTS: dict[str, str] = {
         group by 1, 2, 3, 4""",
     "product_performance": """
         select p.product_id, sku, category, count(distinct i.order_id) as orders,
-               cast(sum(quantity) as bigint) as units_sold, cast(sum(net_sales) as decimal(28,2)) as revenue,
-               cast(sum(net_sales - quantity * unit_cost) as decimal(28,2)) as gross_profit,
+               cast(sum(quantity) as bigint) as units_sold, cast(sum(net_sales) as decimal(38,2)) as revenue,
+               cast(sum(net_sales - quantity * unit_cost) as decimal(38,2)) as gross_profit,
                floor(cast(sum(discount_pct) as double) / nullif(count(discount_pct), 0) * 1e4 + 0.5) / 1e4
                    as avg_discount_pct
         from products p left join {sold_items} i on p.product_id = i.product_id group by 1, 2, 3""",
     "returns_mart": """
-        select category, reason, count(*) as returns, cast(sum(refund_amount) as decimal(28,2)) as refunded_amount,
+        select category, reason, count(*) as returns, cast(sum(refund_amount) as decimal(38,2)) as refunded_amount,
                floor(cast(sum(refund_amount) as double) / count(refund_amount) * 1e2 + 0.5) / 1e2 as avg_refund
         from returns r join items i on r.order_item_id = i.order_item_id
         join products p on i.product_id = p.product_id group by 1, 2""",
     "freshness": """
-        select 'star' as profile, 'run_date=2026-05-18' as run_partition, 'orders' as source_name,
+        select 'star' as profile, 'run_date=2024-02-01' as run_partition, 'orders' as source_name,
                max(o_orderdate) as max_observed_ts, count(*) as rows_loaded from orders
-        union all select 'star', 'run_date=2026-05-18', 'payments', max(payment_ts), count(*) from payments
-        union all select 'star', 'run_date=2026-05-18', 'web_events', max(ts), count(*) from events""",
+        union all select 'star', 'run_date=2024-02-01', 'payments', max(payment_ts), count(*) from payments
+        union all select 'star', 'run_date=2024-02-01', 'web_events', max(ts), count(*) from events""",
+    "gold_counts": """
+        {gold_counts}""",
     "checks": """
         select 'contract_quality_floor' as check_name, min(quality_score) >= 95 as passed,
-               regexp_replace(cast(cast(min(quality_score) as decimal(28,4)) as varchar), '\\.?0+$', '') as observed,
+               regexp_replace(cast(cast(min(quality_score) as decimal(38,4)) as varchar), '\\.?0+$', '') as observed,
                '>= 95' as expected
         from summary
         union all
-        select 'required_export:' || name, true, name, 'present'
-        from (select unnest(['mart_revenue_daily', 'mart_customer_ltv', 'mart_funnel_conversion',
-                             'mart_fulfillment_sla', 'contract_summary', 'silver_manifest', 'gold_manifest']) as name)
-        union all select 'gold_mart_count', true, '9', '>= 9'
+        select 'required_export:' || name || '.csv', name <> '{left_out}', name || '.csv', 'present'
+        from (select mart_name as name from gold_counts where mart_name in
+                  ('mart_revenue_daily', 'mart_customer_ltv', 'mart_funnel_conversion', 'mart_fulfillment_sla')
+              union all select unnest(['contract_summary', 'silver_manifest', 'gold_manifest']))
+        union all select 'gold_mart_count', count(*) >= 9, cast(count(*) as varchar), '>= 9' from gold_counts
         union all
         select 'late_event_rate', sum(late_events) / sum(events) <= 0.05,
                regexp_replace(cast(cast(floor(sum(late_events)::double / sum(events)::double * 1e4 + 0.5) / 1e4
-                                        as decimal(28,4)) as varchar), '\\.?0+$', ''), '<= 0.05'
+                                        as decimal(38,4)) as varchar), '\\.?0+$', ''), '<= 0.05'
         from funnel
         union all
         select 'positive_revenue', sum(revenue) > 0,
-               regexp_replace(cast(cast(sum(revenue) as decimal(28,4)) as varchar), '\\.?0+$', ''), '> 0'
+               regexp_replace(cast(cast(sum(revenue) as decimal(38,4)) as varchar), '\\.?0+$', ''), '> 0'
         from revenue_daily
         union all select 'sla_rate_bounds', bool_and(on_time_rate between 0 and 1), '0..1', 'all rows' from sla""",
 }
@@ -213,7 +215,20 @@ _PARTS: dict[str, str] = {
 
 def _statement(body: str, **choices: str) -> str:
     """``body`` below the building blocks it needs."""
-    fill = {"orders_since": "", "sold_items": "items", **choices}
+    marts = _counts(
+        "mart_name",
+        "row_count",
+        mart_revenue_daily="revenue_daily",
+        mart_product_performance="product_performance",
+        mart_inventory_risk="inventory_risk",
+        mart_customer_ltv="ltv",
+        mart_funnel_conversion="funnel",
+        mart_fulfillment_sla="sla",
+        mart_returns="returns_mart",
+        mart_data_freshness="freshness",
+        mart_pipeline_runs="(select 1)",
+    )
+    fill = {"orders_since": "", "sold_items": "items", "left_out": "", "gold_counts": marts, **choices}
     texts = {name: text.format(**fill) if "{" in text else text for name, text in _PARTS.items()}
 
     def mentioned(text: str) -> set[str]:
@@ -242,7 +257,7 @@ _DUPLICATES = _issue(
     "order_items", "order_item_id", "duplicate_key", _LINE_KEYS, "order_item_id", "numbered_items", "copy_no > 1"
 )
 _EVENT_COLUMNS = "event_id, customer_id, session_id, event_ts, event_type, product_id, device, campaign"
-_MANIFEST = "select 'star' as profile, 'run_date=2026-05-18' as run_partition, "
+_MANIFEST = "select 'star' as profile, 'run_date=2024-02-01' as run_partition, "
 
 
 def _counts(name_column: str, count_column: str, **sources: str) -> str:
@@ -274,26 +289,43 @@ _BODIES: dict[str, str] = {
     "latest_partition": """
         select *, strftime(order_ts, '%Y-%m') as run_date from raw_orders
         where strftime(order_ts, '%Y-%m') = (select max(strftime(order_ts, '%Y-%m')) from raw_orders)""",
-    "ingest_metadata": "select *, 'star' as ingest_profile, '2026-05-18' as ingest_run_date from products",
+    "scan_glob": """
+        select o.* exclude (region), strftime(order_ts, '%Y-%m') as run_date from raw_orders o
+        where month(order_ts) >= 10""",
+    "create_table": "select * from products where active",
+    "bronze_zone": "select *, 'star' as ingest_profile, '2024-02-01' as ingest_run_date from good_orders",
+    "silver_zone": """
+        select *, 'star' as ingest_profile, '2024-02-01' as ingest_run_date, cast(order_ts as date) as order_date,
+               strftime(order_ts, '%Y-%m') as order_month from good_orders""",
+    "observability_exports": """
+        select 'star' as profile, 'run_date=2024-02-01' as run_partition, * from summary
+        where table_name in ('customers', 'orders', 'payments')""",
+    "rejects_export": """
+        select table_name as rejected_from, rejected_rows as rows from summary
+        where table_name in ('customers', 'orders', 'payments') and rejected_rows > 0""",
+    "missing_outputs": """
+        select unnest(['mart_revenue_daily.csv', 'mart_customer_ltv.csv', 'mart_funnel_conversion.csv',
+                       'mart_fulfillment_sla.csv', 'silver_manifest.csv', 'gold_manifest.csv']) as output,
+               0::int as export_columns""",
+    "gold_zone": "select * from sla",
+    "mart_read_order": """
+        select product_id, revenue,
+               cast(row_number() over (order by revenue desc nulls last, product_id) as int) as place
+        from product_performance""",
+    "ingest_metadata": "select *, 'star' as ingest_profile, '2024-02-01' as ingest_run_date from products",
     "raw_manifest": _counts("table_name", "raw_rows", **_RAW),
     "silver_manifest": _counts("table_name", "silver_rows", **{**_RAW, "order_items": "items"}),
-    "gold_manifest": _counts(
-        "mart_name",
-        "row_count",
-        mart_revenue_daily="revenue_daily",
-        mart_product_performance="product_performance",
-        mart_inventory_risk="inventory_risk",
-        mart_customer_ltv="ltv",
-        mart_funnel_conversion="funnel",
-        mart_fulfillment_sla="sla",
-        mart_returns="returns_mart",
-        mart_data_freshness="freshness",
-        mart_pipeline_runs="(select 1)",
-    ),
+    "gold_manifest": "select * from gold_counts",
     # contracts
     "contract_missing_column": """
         select 'warehouses' as table_name, count(*) as raw_rows, 0::bigint as clean_rows, count(*) as rejected_rows,
                1::bigint as validation_issues, 0::double as quality_score from warehouses""",
+    "contract_missing_column_issue": """
+        select 'warehouses' as table_name, 'priority' as column_name, 'missing_required_column' as issue_type,
+               null::bigint as warehouse_id, null::varchar as value, count(*) as rejected_rows from warehouses""",
+    "contract_many_rules": """
+        select 'balance_' || k as column_name, count(*) as issues from customers, range(100) as r(k)
+        where account_balance < 100 * k group by k""",
     "contract_required": _issue(
         "orders",
         "currency",
@@ -339,8 +371,20 @@ _BODIES: dict[str, str] = {
     "rejected_union": """
         select 'customers' as rejected_from, * exclude (bad) from flagged_customers where bad
         union all by name select 'orders' as rejected_from, * exclude (bad) from flagged_orders where bad
+        union all by name select 'order_items' as rejected_from, * exclude (copy_no, repeated, orphan)
+            from flagged_items where repeated or orphan
         union all by name select 'payments' as rejected_from, * from payments
-            where order_id not in (select order_id from good_orders)""",
+            where order_id not in (select order_id from good_orders)
+        union all by name select 'shipments' as rejected_from, * from shipments
+            where order_id not in (select order_id from good_orders)
+        union all by name select 'returns' as rejected_from, * from returns
+            where order_item_id not in (select order_item_id from good_items)
+        union all by name select 'web_events' as rejected_from, * from web_events
+            where customer_id not in (select customer_id from good_customers)
+        union all by name select 'products' as rejected_from, * from products where unit_cost <= 0 or unit_price <= 0
+        union all by name select 'warehouses' as rejected_from, * from warehouses where capacity_units <= 0
+        union all by name select 'inventory' as rejected_from, * from inventory
+            where on_hand_units < 0 or reorder_point < 0""",
     "issue_counts": """
         select 'customers' as table_name, 'negative_value' as issue_type, count(*) as issues
             from flagged_customers where bad
@@ -364,6 +408,16 @@ _BODIES: dict[str, str] = {
     "silver_orders": """
         select *, cast(order_ts as date) as order_date, strftime(order_ts, '%Y-%m') as order_month from raw_orders""",
     "silver_order_items": "select * from items",
+    "silver_wide_values": """
+        select * exclude (quantity, unit_price, discount_pct, discount, gross), quantity, unit_price,
+               discount as discount_pct, gross as gross_sales,
+               cast(gross * (1 - discount) as decimal(38,2)) as net_sales
+        from (select * exclude (quantity, unit_price, copy_no), quantity * 4000000000 as quantity,
+                     cast(unit_price * 100000000 as decimal(18,2)) as unit_price,
+                     cast(quantity * 4000000000 * cast(unit_price * 100000000 as decimal(18,2)) as decimal(38,2)) as gross,
+                     cast(case when order_id % 7 = 0 then discount_pct + 15 when order_id % 11 = 0 or order_id % 13 = 0
+                               then 0 else discount_pct end as decimal(18,6)) as discount
+              from numbered_items where copy_no = 1) w""",
     "silver_payments": "select *, payment_status in ('authorized', 'captured') as is_successful_payment from payments",
     "silver_shipments": """
         select *, cast(datediff('second', ship_ts, delivered_ts) / 3600 as decimal(18,2)) as delivery_hours,
@@ -371,11 +425,11 @@ _BODIES: dict[str, str] = {
     "silver_returns": "select * from returns",
     "silver_web_events": "select * from silver_events",
     "silver_events_union": """
-        select * exclude (campaign), campaign, 'star' as ingest_profile, '2026-05-18' as ingest_run_date
+        select * exclude (campaign), campaign, 'star' as ingest_profile, '2024-02-01' as ingest_run_date
         from silver_events
         union all by name
         select * exclude (campaign, event_id), 2 * event_id as event_id, null as campaign,
-               null as ingest_profile, 'stream' as ingest_run_date
+               'star' as ingest_profile, 'stream' as ingest_run_date
         from silver_events where 2 * event_id not in (select event_id from events)""",
     # scalars and dedup
     "dedup_keep_first": """
@@ -386,7 +440,7 @@ _BODIES: dict[str, str] = {
         qualify row_number() over (partition by l_suppkey, l_partkey, cast(l_shipdate as date)
             order by l_orderkey, l_linenumber) = 1""",
     "fn_try_numeric": """
-        select *, try_cast(price_text as decimal(12,2)) as price from (
+        select *, try_cast(price_text as decimal(18,2)) as price from (
             select product_id, case when product_id % 5 = 0 then 'n/a' when product_id % 7 = 0 then ''
                    else cast(unit_price as varchar) end as price_text from products)""",
     "fn_try_date": """
@@ -396,9 +450,9 @@ _BODIES: dict[str, str] = {
     "fn_pii_hash": "select customer_id, sha256(lower(email)) as email_hash from customers",
     "fn_json_field": "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events",
     "fn_ts_add": """
-        select o_orderkey, o_orderdate + to_minutes(cast(o_orderkey % 180 as int)) as plus_minutes,
-               o_orderdate + to_hours(cast(o_orderkey % 113 as int)) as plus_hours,
-               o_orderdate + to_days(cast(o_orderkey % 5 as int)) as plus_days from orders""",
+        select o_orderkey, o_orderdate + to_minutes(cast(o_orderkey % 90 as int)) as plus_minutes,
+               o_orderdate + to_hours(cast(o_orderkey % 50 as int)) as plus_hours,
+               o_orderdate + to_days(cast(o_orderkey % 6 as int)) as plus_days from orders""",
     "fn_sku": "select product_id, sku from products",
     # filters and joins
     "shippable_orders": "select * from raw_orders where status in ('shipped', 'delivered', 'returned')",
@@ -412,7 +466,7 @@ _BODIES: dict[str, str] = {
         select l_orderkey, l_linenumber, l_partkey, l_shipdate, unit_price, unit_cost
         from lineitem left join products on l_partkey = product_id""",
     "order_net_totals": """
-        select order_id, cast(sum(quantity * unit_price * (1 - discount_pct)) as decimal(28,6)) as net_total
+        select order_id, cast(sum(quantity * unit_price * (1 - discount_pct)) as decimal(38,6)) as net_total
         from raw_items group by order_id""",
     # marts
     "mart_revenue_daily": "select * from revenue_daily",
@@ -426,9 +480,9 @@ _BODIES: dict[str, str] = {
     "mart_returns": "select * from returns_mart",
     "mart_data_freshness": "select * from freshness",
     "mart_pipeline_runs": """
-        select 'star' as profile, 'run_date=2026-05-18' as run_partition, (select count(*) from orders) as silver_orders,
+        select 'star' as profile, 'run_date=2024-02-01' as run_partition, (select count(*) from orders) as silver_orders,
                (select count(*) from events) as silver_events,
-               (select cast(sum(revenue) as decimal(28,2)) from revenue_daily) as gold_revenue,
+               (select cast(sum(revenue) as decimal(38,2)) from revenue_daily) as gold_revenue,
                (select count(*) from inventory where on_hand_units <= reorder_point) as inventory_risk_items,
                (select count(*) from funnel where late_events > 0) as late_event_partitions""",
     # console reads
@@ -438,9 +492,9 @@ _BODIES: dict[str, str] = {
                (select cast(count(*) as double) from customers) as customers,
                (select floor(cast(sum(cast(on_time_rate as decimal(9,4))) as double) / count(*) * 1e4 + 0.5) / 1e4
                 from sla) as on_time_rate,
-               100::double as platform_score""",
+               (select floor(count_if(passed) / count(*)::double * 100 * 100 + 0.5) / 100 from checks) as platform_score""",
     "daily_revenue": """
-        select order_date, cast(sum(revenue) as decimal(28,2)) as revenue from revenue_daily group by order_date""",
+        select order_date, cast(sum(revenue) as decimal(38,2)) as revenue from revenue_daily group by order_date""",
     "funnel_stages": """
         select 'product_views' as stage, cast(sum(product_views) as bigint) as events from funnel
         union all select 'add_to_cart', cast(sum(add_to_cart) as bigint) from funnel
@@ -456,20 +510,21 @@ _BODIES: dict[str, str] = {
         select * from inventory_risk order by inventory_risk desc, on_hand_units, warehouse_id, product_id limit 75""",
     "adhoc_sql": """
         select region, count(*) as days, max(total_orders) as most_orders,
-               cast(sum(revenue) as decimal(28,2)) as revenue,
+               cast(sum(revenue) as decimal(38,2)) as revenue,
                (select count(*) from customers c where c.region = r.region) as customers
         from revenue_daily r group by region""",
     # quality
     "quality_checks": "select * from checks",
+    "quality_checks_incomplete": "select * from checks where not passed",
     "platform_scorecard": """
         select count(*) as checks_total, count(*) filter (where passed) as checks_passed, count(*) filter (where not passed) as checks_failed,
                floor(count_if(passed) / count(*)::double * 100 * 100 + 0.5) / 100 as platform_score from checks""",
     "failed_checks": "select * from checks where not passed",
     "check_contract_floor": """
         select 'contract_quality_floor' as check_name, min(quality_score) >= 95 as passed,
-               regexp_replace(cast(cast(min(quality_score) as decimal(28,4)) as varchar), '\\.?0+$', '') as observed,
+               regexp_replace(cast(cast(min(quality_score) as decimal(38,4)) as varchar), '\\.?0+$', '') as observed,
                '>= 95' as expected
-        from summary where table_name in ('customers', 'orders', 'payments')""",
+        from summary""",
     "check_late_rate": "select * from checks where check_name = 'late_event_rate'",
     "check_sla_bounds": "select * from checks where check_name = 'sla_rate_bounds'",
     "not_null_test": """
@@ -480,10 +535,22 @@ _BODIES: dict[str, str] = {
     "stream_land": f"select {_EVENT_COLUMNS} from web_events",
     "stream_bronze_scan": f"select {_EVENT_COLUMNS} from web_events",
     "stream_capped": """
-        select event_type, count(*) as events, true as capped from web_events group by event_type""",
+        select cast(run as bigint) as run_id, upto - since as events_consumed, since as stream_offset_start,
+               upto as stream_offset_end
+        from (select run, least(since, n) as since, least(upto, n) as upto
+              from (values (0, 0::bigint, 300::bigint), (1, 300, 600), (2, 600, 850), (3, 850, 1000000000000)) as r(run, since, upto),
+                   (select count(*) as n from events)) where upto > since""",
+    "stream_rejects": """
+        select case when event_id % 10 = 3 then 'rejected' else 'landed' end as kind, count(*) as rows,
+               cast(sum(event_id) as bigint) as ids from events group by 1""",
+    "stream_compacted": """
+        select cast(least(place // 300, 2) as bigint) as run_id, count(*) as events, min(place) as first, max(place) as last
+        from (select row_number() over (order by event_id) - 1 as place from events) group by 1""",
     "stream_rerun_noop": "select 1::bigint as batches, count(*) as events_consumed from events",
     "stream_offsets": """
-        select 0::bigint as edge, 1::bigint as step union all select count(*), -1::bigint from events""",
+        select event_id, place as stream_offset, case when place < 400 then 0 else 400 end::bigint as stream_offset_start,
+               case when place < 400 then 400 else n end::bigint as stream_offset_end
+        from (select event_id, row_number() over (order by event_id) - 1 as place, count(*) over () as n from events)""",
     "stream_freshness": """
         select 'star' as profile, 'commerce.events' as topic, max(ts) as latest_event_ts,
                count(*) as events_consumed, count(*) as checkpoint from events""",
@@ -494,6 +561,7 @@ _BODIES: dict[str, str] = {
 }
 
 _CHOICES = {
+    "quality_checks_incomplete": {"left_out": "mart_funnel_conversion"},
     "mart_customer_ltv_recent": {"orders_since": "and order_ts >= timestamp '2001-01-01'"},
     "mart_product_performance_recent": {
         "sold_items": """(select * from items where order_id in

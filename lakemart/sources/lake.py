@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,12 +79,15 @@ class Workspace:
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV as text columns, with the usual null markers read as null.
 
-    The columns are those of the header, so a contract can report a missing one. ``multi_line`` allows line breaks in
-    quoted cells, at the price of files that cannot be split.
+    The columns are those of the header, so a contract can report a missing one. Files of one folder must agree on it:
+    one with other columns, or the same in another order, fails the read instead of being read by position.
+    ``multi_line`` allows line breaks in quoted cells, at the price of files that cannot be split.
     """
-    rows = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
-    )
+
+    def reader() -> DataFrameReader:
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+    rows = reader().option("enforceSchema", False).schema(reader().csv(path).schema).csv(path)
     return rows.select(*[_or_null(name) for name in rows.columns])
 
 
@@ -93,15 +96,20 @@ def _or_null(name: str) -> Column:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON object per line; blank lines are skipped."""
-    return spark.read.schema(schema).json(path)
+    """One JSON object per line; blank lines are skipped, and a line that is no JSON fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_glob(spark: SparkSession, base: str, pattern: str) -> DataFrame:
+    """All Parquet files below ``base`` that match a path pattern, as one table with its partition columns."""
+    return spark.read.option("basePath", base).parquet(f"{base}/{pattern}")
 
 
 def with_position(rows: DataFrame) -> DataFrame:
-    """Add the place of each row: source file, start of its split, and a rank that serves as the row order.
+    """Add the place of each row: source file, start of its split, and a rank that rises along the split.
 
-    The rank is one long, unique, and rises along every file; files follow each other in the order in which Spark
-    packed their splits. Write the result before use (``Workspace.save``), which fixes the values.
+    The three together (``POSITION``) order the rows of a table by file and place, however Spark cuts and packs the
+    files. Write the result before use (``Workspace.save``), which fixes the values.
     """
     return rows.select(
         "*",
@@ -145,13 +153,25 @@ def read_csv_or_empty(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], T.StructType([]))
 
 
-def latest_folder(spark: SparkSession, base: str, column: str = "run_date") -> str:
-    """Path of the greatest ``column=value`` folder below ``base``; only folder names are listed."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there. Like ``folders`` it asks Hadoop's file system, so it needs a classic session."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def folders(spark: SparkSession, base: str, column: str) -> list[str]:
+    """Values of the ``column=value`` folders below ``base``; only folder names are listed."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{column}=*")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(str(status.getPath().getName()).partition("=")[2] for status in found or [])
+
+
+def latest_folder(spark: SparkSession, base: str, column: str = "run_date") -> str:
+    """Path of the greatest ``column=value`` folder below ``base``."""
+    found = folders(spark, base, column)
     if not found:
         raise FileNotFoundError(f"no {column} folder below {base}")
-    return max(str(status.getPath()) for status in found)
+    return f"{base}/{column}={found[-1]}"
 
 
 def ingest_metadata(frame: DataFrame, profile: str, run_date: str) -> DataFrame:
@@ -168,10 +188,12 @@ def write_partition(frame: DataFrame, path: str, *partition_columns: str) -> Non
     )
 
 
-def latest_partition(table: DataFrame, column: str = "run_date") -> DataFrame:
-    """Rows of the greatest partition value; the scalar subquery prunes the other partitions at run time."""
-    newest = table.agg(F.max(column)).scalar()
-    return table.where(F.col(column) == newest)
+def latest_partition(
+    spark: SparkSession, path: str, column: str = "run_date", schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the greatest partition value, which the folder names tell; no file of another partition is opened."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.option("basePath", path).parquet(latest_folder(spark, path, column))
 
 
 def write_export(frame: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import AMOUNT, PRICE, RATE, listed, one_of, shift, sku
-from lakemart.sources.model import CHANNELS, CONTRACTS, SHIPPABLE_STATUSES, TableContract
+from lakemart.sources.model import CONTRACTS, SHIPPABLE_STATUSES, TableContract
 
 # First day and hour that counts as on time for the test events, which span January 2024.
 LATE_CUTOFF = "2024-01-02 00:00:00"
@@ -74,9 +74,8 @@ class StarTables:
 
     @cached_property
     def _regions(self) -> DataFrame:
-        # 25 nations and 5 regions at every scale, hence safe to broadcast.
-        named = self.table("nation").join(F.broadcast(self.table("region")), F.expr("n_regionkey = r_regionkey"))
-        return F.broadcast(named.selectExpr("n_nationkey", "r_name as region"))
+        named = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        return named.selectExpr("n_nationkey", "r_name as region")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -116,8 +115,8 @@ class StarTables:
             .selectExpr(
                 "s_suppkey as warehouse_id",
                 "region",
-                "25000 + s_suppkey * 7919 % 155001 as capacity_units",
-                "1 + s_suppkey % 3 as priority",
+                "1000 + s_suppkey * 37 % 997 as capacity_units",
+                "1 + s_suppkey % 5 as priority",
             )
         )
 
@@ -133,8 +132,8 @@ class StarTables:
             "warehouse_id",
             "product_id",
             "date(newest) as snapshot_date",
-            "(product_id * 31 + warehouse_id * 17) % 600 as on_hand_units",
-            "25 + (product_id * 13 + warehouse_id * 7) % 226 as reorder_point",
+            "(product_id * 3 + warehouse_id * 7) % 211 as on_hand_units",
+            "10 + (product_id * 5 + warehouse_id * 3) % 83 as reorder_point",
         )
 
     @cached_property
@@ -176,22 +175,22 @@ class StarTables:
 
     @cached_property
     def payments(self) -> DataFrame:
-        methods = ("card", "wallet", "cash_on_delivery", "bank_transfer")
+        methods = ("voucher", "transfer", "invoice")
         return self.table("orders").selectExpr(
             "o_orderkey as payment_id",
             "o_orderkey as order_id",
-            f"{shift('MINUTE', 'o_orderkey % 180', 'o_orderdate')} as payment_ts",
-            f"{one_of('o_orderkey % 4', methods)} as payment_method",
-            "case when o_orderkey % 100 < 8 then 'authorized' when o_orderkey % 100 < 90 then 'captured'"
-            " when o_orderkey % 100 < 97 then 'failed' else 'refunded' end as payment_status",
+            f"{shift('MINUTE', '5 + o_orderkey % 50', 'o_orderdate')} as payment_ts",
+            f"{one_of('o_orderkey % 3', methods)} as payment_method",
+            "case when o_orderkey % 10 < 6 then 'captured' when o_orderkey % 10 < 8 then 'authorized'"
+            " when o_orderkey % 10 < 9 then 'refunded' else 'failed' end as payment_status",
             f"cast(o_totalprice as {AMOUNT}) as amount",
         )
 
     @cached_property
     def shipments(self) -> DataFrame:
         suppliers = self.table("supplier").agg(F.count(F.lit(1))).scalar()
-        sent = shift("HOUR", "4 + o_orderkey % 69", "o_orderdate")
-        carriers = ("Bosta", "Aramex", "DHL", "Internal Fleet")
+        sent = shift("HOUR", "1 + o_orderkey % 30", "o_orderdate")
+        carriers = ("north line", "south line", "east line")
         return (
             self.table("orders")
             .where(f"{_STATUS} in ({listed(SHIPPABLE_STATUSES)})")
@@ -201,27 +200,27 @@ class StarTables:
                 "o_orderkey as order_id",
                 "warehouse_id",
                 f"{sent} as ship_ts",
-                f"{shift('DAY', '2 + o_orderkey % 4', 'o_orderdate')} as promised_delivery_ts",
-                f"{shift('HOUR', '8 + o_orderkey * 7 % 113', sent)} as delivered_ts",
-                f"{one_of('o_orderkey % 4', carriers)} as carrier",
-                f"cast(cast(2500 + o_orderkey % 22501 as {PRICE}) * 0.01BD as {PRICE}) as shipping_cost",
+                f"{shift('DAY', '3 + o_orderkey % 3', 'o_orderdate')} as promised_delivery_ts",
+                f"{shift('HOUR', '20 + o_orderkey * 11 % 79', sent)} as delivered_ts",
+                f"{one_of('o_orderkey % 3', carriers)} as carrier",
+                f"cast(cast(300 + o_orderkey % 1501 as {PRICE}) * 0.01BD as {PRICE}) as shipping_cost",
             )
         )
 
     def returns(self, items: DataFrame) -> DataFrame:
         """Returned lines of the deduplicated ``items``."""
-        reasons = ("damaged", "wrong_item", "late_delivery", "changed_mind", "quality")
+        reasons = ("broken", "too small", "too large", "other")
         return items.where("return_flag = 'R'").selectExpr(
             "order_item_id as return_id",
             "order_item_id",
-            f"{shift('DAY', '7', 'ship_date')} as return_ts",
-            f"{one_of('product_id % 5', reasons)} as reason",
+            f"{shift('DAY', '10', 'ship_date')} as return_ts",
+            f"{one_of('product_id % 4', reasons)} as reason",
             "net_sales as refund_amount",
         )
 
     @cached_property
     def web_events(self) -> DataFrame:
-        campaign = f"bigint(get_json_object(props, '$.k')) % {len(CHANNELS)}"
+        campaign = "concat('campaign ', bigint(get_json_object(props, '$.k')) % 7)"
         return self.table("events").selectExpr(
             "event_id",
             "user_id as customer_id",
@@ -230,6 +229,6 @@ class StarTables:
             "case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart'"
             " when 'signup' then 'checkout_start' when 'error' then 'search' else event_type end as event_type",
             "event_id % 200 as product_id",
-            f"{one_of('event_id % 4', ('ios', 'android', 'web', 'mobile_web'))} as device",
-            f"{one_of(campaign, CHANNELS)} as campaign",
+            f"{one_of('event_id % 3', ('phone', 'tablet', 'desktop'))} as device",
+            f"{campaign} as campaign",
         )

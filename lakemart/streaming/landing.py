@@ -1,17 +1,26 @@
-"""Exactly-once landing of an event topic, batch by batch.
+"""Exactly-once landing of an event topic, and release of landed events run by run.
 
-Each micro-batch overwrites its own ``batch_id`` folder, so a replay after a crash lands on the same files. A ledger row
-per batch, written after the data, holds the offsets and the newest event time; freshness and offset columns are read
-from it. Landing is stateless: late events are kept, repeated ones are left to the exact dedup in silver.
+A streaming query receives what is new into an inbox: one folder per micro-batch, named after the query and the batch,
+so a replay after a crash lands on the same files and a new query (after a lost checkpoint) never on those of an old
+one. Lines that are no JSON are kept apart. Every event has an offset, its position in the topic, counted over all
+batches. A run then releases the next events in offset order, at most as many as its cap, into a folder of its own and
+writes a ledger row for them; freshness and offset columns are read from the ledger. Landing is stateless: late events
+are kept, repeated ones are left to the exact dedup in silver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.sources.lake import read_or_empty
+from lakemart.session import delete_folder
+from lakemart.sources.lake import folders, path_exists, read_or_empty
+
+CORRUPT = "_corrupt_record"
+SOURCE, BLOCK, ROW = "_topic_source", "_topic_block", "_topic_row"
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -21,7 +30,15 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("events_consumed", T.LongType()),
         T.StructField("stream_offset_start", T.LongType()),
         T.StructField("stream_offset_end", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("run_id", T.LongType()),
+    ]
+)
+_INBOX_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_key", T.StringType()),
+        T.StructField("first_offset", T.LongType()),
+        T.StructField("next_offset", T.LongType()),
+        T.StructField("rejected", T.LongType()),
     ]
 )
 
@@ -29,17 +46,24 @@ LEDGER_SCHEMA = T.StructType(
 def file_topic(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, source: str = "json"
 ) -> DataFrame:
-    """Stream of the files dropped into a folder; ``max_files`` caps one micro-batch."""
-    reader = spark.readStream.schema(schema)
+    """Stream of the files dropped into a folder, with the place of each line; ``max_files`` caps one micro-batch."""
+    if source == "json":
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.format(source).load(path)
+    written = F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmss.SSS")
+    return reader.format(source).load(path).select(
+        "*",
+        F.concat_ws(" ", written, "_metadata.file_path").alias(SOURCE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+    )
 
 
 def kafka_topic(
     spark: SparkSession, servers: str, topic: str, schema: T.StructType, max_events: int | None = None
 ) -> DataFrame:
-    """Stream of JSON events from Kafka; ``max_events`` caps one micro-batch. Needs the Kafka connector package."""
+    """Stream of JSON events from Kafka, with partition and offset as their place. Needs the connector package."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -48,12 +72,21 @@ def kafka_topic(
     )
     if max_events is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_events)
-    events = reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("event"))
-    return events.select("event.*")
+    return parse_messages(reader.load(), schema)
+
+
+def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Events from rows with value, partition and offset; a value that is no JSON object is kept as corrupt."""
+    text = F.col("value").cast("string")
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    event = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    return messages.select(
+        event.alias("event"), F.lpad(F.col("partition").cast("string"), 6, "0").alias(SOURCE), F.col("offset").alias(BLOCK)
+    ).select("event.*", SOURCE, BLOCK)
 
 
 class Landing:
-    """Landed batches and their ledger below one folder."""
+    """Inbox, released events and their ledger below one folder."""
 
     def __init__(self, spark: SparkSession, folder: str, profile: str = "ci", topic: str = "commerce.events"):
         self.spark = spark
@@ -61,31 +94,97 @@ class Landing:
         self.profile = profile
         self.topic = topic
 
-    @property
-    def data_path(self) -> str:
-        return f"{self.folder}/events"
-
-    @property
-    def ledger_path(self) -> str:
-        return f"{self.folder}/ledger"
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
 
-    def consume(self, events: DataFrame) -> None:
-        """Land everything that is new since the last call, then stop; without new data nothing is written."""
+    def consume(self, events: DataFrame, max_events: int | None = None) -> int:
+        """Receive everything new, then release at most ``max_events``; returns the number of events released."""
         query = (
-            events.writeStream.foreachBatch(self.land)
-            .option("checkpointLocation", f"{self.folder}/checkpoint")
+            events.writeStream.foreachBatch(self.receive)
+            .option("checkpointLocation", self._path("checkpoint"))
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
+        return self.release(events.drop(CORRUPT, SOURCE, BLOCK).schema, max_events)
+
+    # --- inbox ---------------------------------------------------------------------------------------------------
+
+    def receive(self, batch: DataFrame, batch_id: int) -> None:
+        """Write one micro-batch with its offsets; called again for the same batch it writes the same place."""
+        key = f"{self._query_id()}-{batch_id:012d}"
+        marked = batch
+        for name, kind in ((CORRUPT, "string"), (SOURCE, "string"), (BLOCK, "bigint")):
+            if name not in batch.columns:
+                marked = marked.withColumn(name, F.lit(None).cast(kind))
+        raw = self._path(f"inbox/raw/batch_key={key}")
+        marked.withColumn(ROW, F.monotonically_increasing_id()).write.mode("overwrite").parquet(raw)
+        landed = self.spark.read.schema(marked.withColumn(ROW, F.lit(0).cast("bigint")).schema).parquet(raw)
+        first = self._received_before(key)
+        # Rows of one block are numbered without gaps, so blocks only (few rows) are ordered and added up.
+        good = landed.where(F.col(CORRUPT).isNull())
+        facts = landed.agg(F.count_if(F.col(CORRUPT).isNull()), F.count_if(F.col(CORRUPT).isNotNull())).first()
+        entry = [(key, first, first + facts[0], facts[1])]
+        if facts[0]:
+            self._number(good, first).write.mode("overwrite").parquet(self._path(f"inbox/events/batch_key={key}"))
+        if facts[1]:
+            bad = landed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), F.lit(key).alias("batch_key"))
+            bad.write.mode("overwrite").parquet(self._path(f"rejects/part={key}"))
+        entries = self.spark.createDataFrame(entry, _INBOX_SCHEMA)
+        entries.write.mode("overwrite").parquet(self._path(f"inbox/log/part={key}"))
+        delete_folder(self.spark, raw)
+
+    @staticmethod
+    def _number(rows: DataFrame, first: int) -> DataFrame:
+        """Add ``stream_offset``: the position by source, block and row, from ``first`` on."""
+        place = [F.col(SOURCE).asc_nulls_first(), F.col(BLOCK).asc_nulls_first()]
+        blocks = rows.groupBy(SOURCE, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+        ahead = F.sum("_n").over(Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1))
+        starts = blocks.select(F.col(SOURCE).alias("_s"), F.col(BLOCK).alias("_b"), F.coalesce(ahead, F.lit(0)).alias("_before"))
+        same = F.col(SOURCE).eqNullSafe(F.col("_s")) & F.col(BLOCK).eqNullSafe(F.col("_b"))
+        inside = F.row_number().over(Window.partitionBy(SOURCE, BLOCK).orderBy(ROW)) - 1
+        numbered = rows.withColumn("_inside", inside).join(starts, same)
+        offset = (F.lit(first) + F.col("_before") + F.col("_inside")).cast("bigint")
+        return numbered.withColumn("stream_offset", offset).drop(
+            "_s", "_b", "_before", "_inside", CORRUPT, SOURCE, BLOCK, ROW
+        )
 
-    def land(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = f"{self.data_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-        landed = spark.read.schema(batch.schema).parquet(target)
-        start = self._end_of(spark, batch_id - 1)
-        facts = landed.agg(
+    def _query_id(self) -> str:
+        """Id of the streaming query, from its checkpoint; ``direct`` where batches are handed over without one."""
+        path = self._path("checkpoint/metadata")
+        if not path_exists(self.spark, path):
+            return "direct"
+        return json.loads(self.spark.read.text(path).first()[0])["id"]
+
+    def _log(self) -> DataFrame:
+        return read_or_empty(self.spark, self._path("inbox/log"), _INBOX_SCHEMA)
+
+    def _received_before(self, key: str) -> int:
+        """The first offset of a batch: where it stood before if it is a replay, else behind all others."""
+        row = self._log().agg(
+            F.max(F.when(F.col("batch_key") == key, F.col("first_offset"))).alias("own"),
+            F.max(F.when(F.col("batch_key") != key, F.col("next_offset"))).alias("others"),
+        ).first()
+        return row["own"] if row["own"] is not None else row["others"] or 0
+
+    # --- release -------------------------------------------------------------------------------------------------
+
+    def release(self, schema: T.StructType, max_events: int | None = None) -> int:
+        """Hand the next received events over as one run; without any nothing is written."""
+        done = self.ledger().agg(F.max("stream_offset_end"), F.max("run_id")).first()
+        start, run = done[0] or 0, 0 if done[1] is None else done[1] + 1
+        received = self._log().agg(F.max("next_offset")).first()[0] or 0
+        end = received if max_events is None else min(received, start + max_events)
+        if end <= start:
+            return 0
+        numbered = T.StructType([*schema.fields, T.StructField("stream_offset", T.LongType())])
+        waiting = read_or_empty(self.spark, self._path("inbox/events"), numbered)
+        chosen = waiting.where(F.col("stream_offset").between(start, end - 1)).withColumns(
+            {"stream_offset_start": F.lit(start).cast("bigint"), "stream_offset_end": F.lit(end).cast("bigint")}
+        )
+        target = self._path(f"events/run_id={run}")
+        chosen.write.mode("overwrite").parquet(target)
+        facts = self.spark.read.parquet(target).agg(
             F.max(F.col("event_ts").try_cast("timestamp")).alias("latest_event_ts"),
             F.count(F.lit(1)).alias("events_consumed"),
         )
@@ -95,29 +194,72 @@ class Landing:
             "latest_event_ts",
             "events_consumed",
             F.lit(start).cast("bigint").alias("stream_offset_start"),
-            (F.lit(start) + F.col("events_consumed")).cast("bigint").alias("stream_offset_end"),
+            F.lit(end).cast("bigint").alias("stream_offset_end"),
         )
-        row.write.mode("overwrite").parquet(f"{self.ledger_path}/batch_id={batch_id}")
+        row.write.mode("overwrite").parquet(self._path(f"ledger/run_id={run}"))
+        self._forget(end)
+        return end - start
 
-    def _end_of(self, spark: SparkSession, batch_id: int) -> int:
-        """End offset of one earlier batch: a single row of its ledger folder."""
-        if batch_id < 0:
-            return 0
-        rows = spark.read.parquet(f"{self.ledger_path}/batch_id={batch_id}").select("stream_offset_end").head(1)
-        return rows[0][0]
+    def _forget(self, end: int) -> None:
+        """Delete inbox batches whose events have all been released; their log stays, for replays."""
+        waiting = set(folders(self.spark, self._path("inbox/events"), "batch_key"))
+        finished = self._log().where((F.col("next_offset") <= end) & F.col("batch_key").isin(sorted(waiting)))
+        for row in finished.select("batch_key").collect():  # at most the folders listed just before
+            delete_folder(self.spark, self._path(f"inbox/events/batch_key={row.batch_key}"))
+
+    def compact(self) -> None:
+        """Merge the folders of all finished runs into one, which counts from the moment it is complete."""
+        newest = self.ledger().agg(F.max("run_id")).first()[0]
+        merged = self._merged()
+        if newest is None or newest == merged:
+            return
+        parts = [f"run_id={k}" for k in range((-1 if merged is None else merged) + 1, newest + 1)]
+        for name in ("ledger", "events"):
+            paths = [self._path(f"{name}/{p}") for p in parts]
+            base = self._path(name)
+            rows = self.spark.read.option("basePath", base).parquet(*paths)
+            if merged is not None:
+                old = self.spark.read.parquet(self._path(f"{name}_merged/upto={merged}"))
+                rows = old.unionByName(rows, allowMissingColumns=True)
+            rows.hint("rebalance").write.mode("overwrite").parquet(self._path(f"{name}_merged/upto={newest}"))
+        for name in ("ledger", "events"):
+            for p in parts:
+                delete_folder(self.spark, self._path(f"{name}/{p}"))
+            if merged is not None:
+                delete_folder(self.spark, self._path(f"{name}_merged/upto={merged}"))
+
+    def _merged(self) -> int | None:
+        """The last run in the merged tables. Events are merged last, so a folder of theirs means both are complete."""
+        found = folders(self.spark, self._path("events_merged"), "upto")
+        whole = [v for v in found if path_exists(self.spark, self._path(f"events_merged/upto={v}/_SUCCESS"))]
+        return max(map(int, whole), default=None)
+
+    # --- reading -------------------------------------------------------------------------------------------------
+
+    def _runs(self, name: str, schema: T.StructType) -> DataFrame:
+        merged = self._merged()
+        rows = read_or_empty(self.spark, self._path(name), schema)
+        if merged is None:
+            return rows
+        old = self.spark.read.schema(schema).parquet(self._path(f"{name}_merged/upto={merged}"))
+        return old.unionByName(rows.where(F.col("run_id") > merged))
 
     def ledger(self) -> DataFrame:
-        return read_or_empty(self.spark, self.ledger_path, LEDGER_SCHEMA)
+        return self._runs("ledger", LEDGER_SCHEMA)
 
     def read(self, schema: T.StructType) -> DataFrame:
-        """All landed events with the offsets of their batch; no rows when nothing has landed."""
-        tagged = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        offsets = self.ledger().select("batch_id", "stream_offset_start", "stream_offset_end")
-        return read_or_empty(self.spark, self.data_path, tagged).join(offsets, "batch_id")
+        """All released events with their offset and the offsets of their run; no rows when nothing has landed."""
+        more = [T.StructField(n, T.LongType()) for n in ("stream_offset", "stream_offset_start", "stream_offset_end", "run_id")]
+        return self._runs("events", T.StructType([*schema.fields, *more]))
+
+    def rejects(self) -> DataFrame:
+        """Lines that were no JSON, as they stood in the topic."""
+        schema = T.StructType([T.StructField("line", T.StringType()), T.StructField("batch_key", T.StringType())])
+        return read_or_empty(self.spark, self._path("rejects"), schema)
 
     def freshness(self) -> DataFrame:
-        """The last batch that held events."""
-        last = F.max_by(F.struct("latest_event_ts", "events_consumed", "stream_offset_end"), "batch_id").alias("b")
+        """The last run that released events."""
+        last = F.max_by(F.struct("latest_event_ts", "events_consumed", "stream_offset_end"), "run_id").alias("b")
         return (
             self.ledger()
             .where(F.col("events_consumed") > 0)

@@ -1,3 +1,5 @@
+import pytest
+
 from lakemart.operators import contracts
 from lakemart.operators.contracts import annotate, generations, validate_all
 from lakemart.sources.lake import Workspace
@@ -168,3 +170,30 @@ def test_hot_key_and_hot_null_are_flagged_row_by_row(spark):
     result = annotate(frame, TableContract("t", unique=("k",)), {}, ["n"], Workspace(spark))
     assert result.clean().count() == 1000 + 2
     assert result.rejected().count() == 1998
+
+
+def test_generations_do_not_depend_on_the_order_of_the_mapping():
+    backwards = dict(reversed(CONTRACTS.items()))
+    level = {name: i for i, group in enumerate(generations(backwards)) for name in group}
+    for name, contract in CONTRACTS.items():
+        assert all(level[parent] < level[name] for parent, _ in contract.foreign_keys.values())
+    loop = {"a": TableContract("a", foreign_keys={"x": ("b", "x")}), "b": TableContract("b", foreign_keys={"x": ("a", "x")})}
+    with pytest.raises(ValueError, match="cycle"):
+        generations(loop)
+
+
+def test_child_listed_before_its_parent_is_checked(spark):
+    frames = {"items": spark.createDataFrame([(1, 7), (2, 8)], "n int, p int"), "parts": spark.createDataFrame([(7,)], "p int")}
+    rules = {"items": TableContract("items", foreign_keys={"p": ("parts", "p")}), "parts": TableContract("parts")}
+    done = validate_all(frames, rules, {"items": ("n",), "parts": ("p",)}, Workspace(spark))
+    assert [r.n for r in done["items"].clean().collect()] == [1]
+
+
+def test_more_rules_than_bits(spark):
+    names = [f"c{k}" for k in range(130)]
+    frame = spark.range(3).selectExpr("id", *[f"if(id = 1 and {k} >= 60, -1, 1) as {n}" for k, n in enumerate(names)])
+    result = annotate(frame, TableContract("t", non_negative=tuple(names)), {}, ["id"])
+    assert result.clean().columns == frame.columns
+    assert [r.id for r in result.rejected().collect()] == [1]
+    assert sorted(r.column_name for r in result.issues("id").collect()) == sorted(names[60:])
+    assert result.summary().first().validation_issues == 70

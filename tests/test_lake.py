@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def test_partition_overwrite_keeps_other_partitions_and_latest_is_the_greatest(s
     lake.write_partition(spark.createDataFrame([(3, "2026-05-18")], schema), path, "run_date")
     table = spark.read.schema(schema).parquet(path)
     assert rows(table) == [(1, "2026-05-17"), (3, "2026-05-18")]
-    assert rows(lake.latest_partition(table)) == [(3, "2026-05-18")]
+    assert rows(lake.latest_partition(spark, path, schema=table.schema)) == [(3, "2026-05-18")]
 
 
 def test_read_or_empty(spark, tmp_path):
@@ -100,17 +102,47 @@ def test_saved_tables_broadcast_by_their_real_size(spark):
     assert saved["none"].count() == 0
 
 
-def test_work_folder_needs_the_shared_setting_on_a_cluster(spark):
-    assert work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+def test_work_folder_lies_in_a_shared_place(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert work_folder(spark).startswith(base)
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        own = spark.newSession()
+        if own.conf.get("spark.checkpoint.dir", None) is None:
+            assert work_folder(own).startswith(own.conf.get("spark.sql.warehouse.dir"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", base)
+
+
+def test_files_with_another_header_fail_the_read(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "t/2.csv").write_text("b,a\nx,y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        lake.read_csv(spark, str(tmp_path / "t")).collect()
+
 
-    class Cluster:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return default
+def test_a_broken_json_line_fails_the_read(spark, tmp_path):
+    (tmp_path / "t.jsonl").write_text('{"a": "1"}\n\n{"a": \n')
+    schema = spark.createDataFrame([], "a string").schema
+    with pytest.raises(Exception, match="(?i)malformed"):
+        lake.read_jsonl(spark, str(tmp_path / "t.jsonl"), schema).collect()
+
+
+def test_glob_reads_the_matching_folders(spark, tmp_path):
+    spark.range(6).selectExpr("id", "id % 3 as part").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    assert rows(lake.read_glob(spark, str(tmp_path / "t"), "part=[12]"), "id") == [(1,), (2,), (4,), (5,)]
+
+
+def test_dropped_tables_and_closed_workspaces_are_gone(spark):
+    space = Workspace(spark)
+    space.save_all({"a": spark.range(3), "b": spark.range(3)})
+    space.drop("a", "never")
+    assert (lake.path_exists(spark, space.path("a")), lake.path_exists(spark, space.path("b"))) == (False, True)
+    space.close()
+    assert not lake.path_exists(spark, space.folder)
 
-        class sparkContext:
-            master = "yarn"
 
-    with pytest.raises(ValueError):
-        work_folder(Cluster)
+def test_no_machine_local_folders():
+    package = Path(lake.__file__).resolve().parents[1]
+    assert not [p for p in package.rglob("*.py") if "tempfile" in p.read_text()]

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException, ParseException
 
 from lakemart.plans import kpi, marts, quality
 from tests.conftest import rows
@@ -135,15 +136,15 @@ def test_empty_marts_give_zero_kpis_and_failing_checks(spark, silver):
     assert rows(kpi.executive(revenue, marts.customer_ltv(empty), sla, card)) == [(0.0, 0.0, 0.0, 0.0, 0.0)]
     summary = spark.createDataFrame([], "quality_score double")
     manifest = spark.createDataFrame([], "mart_name string")
-    checks = quality.checks(summary, manifest, revenue, funnel, sla, ["gold_manifest"])
+    checks = quality.checks(summary, manifest, revenue, funnel, sla, ["gold_manifest.csv"])
     got = {r.check_name: (r.passed, r.observed) for r in checks.collect()}
     assert got["contract_quality_floor"] == (False, "0")
     assert got["gold_mart_count"] == (False, "0")
     assert got["late_event_rate"] == (True, "0")
     assert got["positive_revenue"] == (False, "0")
     assert got["sla_rate_bounds"] == (False, "0..1")
-    assert got["required_export:gold_manifest"][0] is True
-    assert got["required_export:silver_manifest"][0] is False
+    assert got["required_export:gold_manifest.csv"][0] is True
+    assert got["required_export:silver_manifest.csv"][0] is False
 
 
 def test_checks_compare_the_unrounded_rate(spark):
@@ -179,3 +180,13 @@ def test_top_listings_and_sql(spark, silver):
     assert kpi.top_inventory(marts.inventory_risk(silver), 1).first().risk_band == "stockout"
     assert rows(kpi.daily_revenue(gold["mart_revenue_daily"])) == [(DAY, D("25.01"))]
     assert kpi.sql(spark, "select count(*) as n from mart_revenue_daily", gold).first().n == 1
+
+
+@pytest.mark.parametrize("text", [
+    "create table t as select 1", "insert into mart_x values (1)", "set spark.sql.shuffle.partitions = 3", "drop view mart_x",
+    "select 1; drop view mart_x", "cache table mart_x", "use default", "",
+])
+def test_only_queries_run(spark, text):
+    with pytest.raises((ParseException, AnalysisException)):
+        kpi.sql(spark, text, {"mart_x": spark.range(3)})
+    assert kpi.sql(spark, "with a as (select id from mart_x) select sum(id) as s from a -- all\n;", {}).first().s == 3

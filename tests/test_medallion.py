@@ -5,8 +5,9 @@ import json
 import pytest
 
 from lakemart.plans import medallion
-from lakemart.sources.model import stream_schema
-from lakemart.streaming.landing import Landing, file_topic
+from lakemart.sources import lake
+from lakemart.sources.model import RAW_COLUMNS, stream_schema
+from lakemart.streaming.landing import file_topic
 from tests.conftest import rows
 from tests.test_streaming import event
 
@@ -75,14 +76,12 @@ def done(spark, tmp_path_factory):
     batch(folder)
     topic = tmp_path_factory.mktemp("topic")
     (topic / "1.jsonl").write_text("".join(json.dumps(event(i)) + "\n" for i in range(30, 50)))
-    landing = Landing(spark, str(tmp_path_factory.mktemp("stream") / "web_events"))
-    landing.consume(file_topic(spark, str(topic), stream_schema()))
-
     run = medallion.Run(spark, str(tmp_path_factory.mktemp("lake")), "ci", "2026-05-18")
+    landing = medallion.land_stream(run, file_topic(spark, str(topic), stream_schema()))
     raw, order = medallion.land_raw(run, str(folder))
     results = medallion.bronze(run, raw, order)
-    clean = {table: result.clean() for table, result in results.items()}
-    entities = medallion.build_silver(run, clean, order, landing.read(stream_schema()))
+    entities = medallion.build_silver(run, results, order, landing.read(stream_schema()))
+    run.close()
     gold = medallion.build_gold(run, entities)
     return run, results, entities, gold, medallion.evaluate(run, gold)
 
@@ -119,7 +118,9 @@ def test_summary_and_rejects(done):
         ("customers", 1), ("order_items", 1), ("orders", 2), ("payments", 1), ("products", 1), ("returns", 1),
         ("shipments", 1),
     ]
-    assert results["customers"].clean().where("email = 'duplicate@example.com'").count() == 0
+    bronze = run.spark.read.parquet(run.path("bronze", "customers"))
+    assert bronze.where("email = 'duplicate@example.com'").count() == 0
+    assert bronze.count() == 30
 
 
 def test_silver_counts(done):
@@ -154,3 +155,91 @@ def test_latest_run_is_found_by_zone(done):
     assert medallion.latest_run(run.spark, run.root, "silver", "ci").run_date == "2026-05-18"
     with pytest.raises(FileNotFoundError):
         medallion.latest_run(run.spark, run.root, "silver", "other")
+
+
+LABELS = ["ingest_profile", "ingest_run_date"]
+SILVER_COLUMNS = {
+    "customers": ["customer_id", "email_hash", "region", "acquisition_channel", "signup_date", "loyalty_tier", *LABELS],
+    "products": [*RAW_COLUMNS["products"], *LABELS, "gross_margin_pct"],
+    "warehouses": [*RAW_COLUMNS["warehouses"], *LABELS],
+    "inventory": [*RAW_COLUMNS["inventory"], *LABELS, "inventory_risk"],
+    "orders": [*RAW_COLUMNS["orders"], *LABELS, "order_date", "order_month"],
+    "order_items": [*RAW_COLUMNS["order_items"], *LABELS, "gross_sales", "net_sales"],
+    "payments": [*RAW_COLUMNS["payments"], *LABELS, "is_successful_payment"],
+    "shipments": [*RAW_COLUMNS["shipments"], *LABELS, "delivery_hours", "delivered_on_time"],
+    "returns": [*RAW_COLUMNS["returns"], *LABELS],
+    "web_events": [*RAW_COLUMNS["web_events"], *LABELS, "event_date", "event_month", "is_late_event"],
+}
+
+
+@pytest.mark.parametrize("table", RAW_COLUMNS)
+def test_zones_hold_no_internal_columns(done, table):
+    run, _, entities, *_ = done
+    assert run.spark.read.parquet(run.path("bronze", table)).columns == [*RAW_COLUMNS[table], *LABELS]
+    assert entities[table].columns == SILVER_COLUMNS[table]
+
+
+def test_rejects_have_raw_columns_only(done):
+    run, *_ = done
+    raw = {name for columns in RAW_COLUMNS.values() for name in columns}
+    assert set(observed(run, "rejected_rows").columns) == {"rejected_from", *raw}
+
+
+def test_streamed_events_carry_the_profile(done):
+    _, _, entities, *_ = done
+    assert rows(entities["web_events"].groupBy("ingest_profile", "ingest_run_date").count()) == [
+        ("ci", "2026-05-18", 40), ("ci", "stream", 10),
+    ]
+
+
+def test_everything_is_exported(done):
+    run, *_ = done
+    medallion.require_outputs(run)
+    for name in ("contract_issues", "rejected_rows", "quality_checks", "streaming_freshness", "mart_returns"):
+        assert medallion.read_export(run, name).columns
+    with pytest.raises(FileNotFoundError, match="nothing.csv"):
+        medallion.require_outputs(run, ["nothing.csv", "gold_manifest.csv"])
+    assert medallion.read_export(run, "nothing").columns == []
+
+
+def test_bronze_leaves_no_key_sets(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    batch(tmp_path / "raw")
+    run = medallion.Run(spark, str(tmp_path / "lake"), "ci", "2026-05-18")
+    raw, order = medallion.land_raw(run, str(tmp_path / "raw"))
+    results = medallion.bronze(run, raw, order)
+    spaces = [space.folder for space in run._spaces]
+    entities = medallion.build_silver(run, results, order)
+    run.close()
+    assert len(spaces) == 2
+    assert not any(lake.path_exists(spark, folder) for folder in spaces)
+    assert entities["customers"].count() == 30
+
+
+def test_silver_deduplicates_what_the_contract_did_not(spark, tmp_path):
+    from lakemart.sources.model import TableContract
+
+    run = medallion.Run(spark, str(tmp_path), "ci", "2026-05-18")
+    rows_ = spark.createDataFrame([("w1", "Giza", "5", "1", 0), ("w1", "Giza", "6", "1", 1)], "warehouse_id string, region string, capacity_units string, priority string, n int")
+    results = medallion.bronze(run, {"warehouses": rows_}, {"warehouses": ("n",)}, {"warehouses": TableContract("warehouses")})
+    assert rows(medallion.build_silver(run, results, {"warehouses": ("n",)})["warehouses"], "capacity_units") == [(5,)]
+
+
+@pytest.mark.parametrize("size", ["2000", "128m"])
+def test_kept_copies_do_not_depend_on_the_splits(spark, tmp_path, size):
+    folder = tmp_path / "customers.csv"
+    folder.mkdir()
+    for part in range(2):
+        lines = [f"c{k % 400},{part}-{k:04d}@x,Giza,email,2024-05-01,gold" for k in range(800)]
+        (folder / f"part-{part}.csv").write_text("\n".join([",".join(RAW_COLUMNS["customers"]), *lines]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        raw = lake.Workspace(spark).save(lake.with_position(lake.read_csv(spark, str(folder))), "raw")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    from lakemart.operators.contracts import annotate
+    from lakemart.sources.model import CONTRACTS
+
+    kept = annotate(raw, CONTRACTS["customers"], {}, lake.POSITION).clean()
+    assert {r.email for r in kept.collect()} == {f"0-{k:04d}@x" for k in range(400)}

@@ -1,6 +1,6 @@
 import datetime as dt
 import hashlib
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 
@@ -136,3 +136,14 @@ def test_parse_helpers(spark):
 @pytest.mark.parametrize("value, digits, expected", [(("1", "8"), 2, 0.13), (("-1", "3"), 2, -0.33), (("2", "3"), 4, 0.6667)])
 def test_ratio_rounds_half_up(spark, value, digits, expected):
     assert spark.range(1).selectExpr(ratio(*value, digits)).first()[0] == expected
+
+
+def test_values_beyond_the_usual_survive(spark):
+    lines = [("a", "1", "10.00", "15"), ("b", "99999999999", "99999999999.5", None), ("c", "9223372036854775807", "9999999999999999.99", "0")]
+    frame = spark.createDataFrame(lines + [("d", "1", "10.00", "1e30")], "order_item_id string, quantity string, unit_price string, discount_pct string")
+    out = {r.order_item_id: r for r in silver.order_items(frame).collect()}
+    assert (out["a"].discount_pct, out["a"].net_sales) == (Decimal(15), Decimal("-140.00"))
+    assert out["b"].net_sales == Decimal("9999999999850000000000.50")
+    with localcontext(prec=50):
+        assert out["c"].gross_sales == Decimal("9223372036854775807") * Decimal("9999999999999999.99")
+    assert (out["d"].discount_pct, out["d"].gross_sales, out["d"].net_sales) == (None, Decimal("10.00"), None)
