@@ -6,6 +6,7 @@ of a backward search, so an A* search from the end of the text pops complete seg
 
 The lattice falls apart wherever no piece of the vocabulary holds the two neighbouring characters. Every such chunk is
 searched once per worker and remembered, and the n best segmentations of a text follow from the n best of its chunks.
+Scores are whole numbers (2**-20 of a nat), so sums are exact and ties are ties.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ N_BEST = 4
 SPACE = "▁"
 _LITERAL = "\U0010fffe"  # stands for U+2581 in a text, so that it is spelled in bytes and not read as a blank
 BATCH_CHARS = 1 << 20
+UNIT = 1 << 20
 KNOWN_CHUNKS = 1 << 20
 
 
@@ -54,8 +56,9 @@ class Pieces:
                 self.surface[number] = piece.replace(SPACE, " ").encode()
         weights = 1 / (np.arange(len(plain)) + 2.7)
         logs = np.log(weights / weights.sum())
-        self.pieces = {piece: (number, float(score)) for (number, piece), score in zip(plain, logs, strict=True)}
-        self.byte_score = float(logs[-1]) - 1
+        scores = np.rint(logs * UNIT).astype(np.int64).tolist()
+        self.pieces = {piece: (number, score) for (number, piece), score in zip(plain, scores, strict=True)}
+        self.byte_score = scores[-1] - UNIT
         self.longest = max(len(piece) for _, piece in plain)
         self._joins([piece for _, piece in plain])
 
@@ -71,7 +74,7 @@ class Pieces:
         for a, b in pairs:
             self.joined[place[a], place[b]] = True
 
-    def edges(self, text: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
+    def edges(self, text: str, end: int) -> Iterator[tuple[int, int, tuple[int, ...]]]:
         """(start, score, ids) of everything in the lattice that ends at ``end``."""
         for start in range(max(0, end - self.longest), end):
             found = self.pieces.get(text[start:end])
@@ -82,24 +85,30 @@ class Pieces:
             data = (SPACE if char == _LITERAL else char).encode()
             yield end - 1, self.byte_score * len(data), tuple(self.bytes[b] for b in data)
 
-    def n_best(self, text: str, n: int = N_BEST) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of a text, best first; equal scores by ids."""
-        best = [0.0] + [-np.inf] * len(text)
-        incoming: list[list[tuple[int, float, tuple[int, ...]]]] = [[]]
+    def n_best(self, text: str, n: int = N_BEST) -> list[tuple[int, tuple[int, ...]]]:
+        """The n best segmentations of a text, best first; of equal scores, those the search completes first.
+
+        Hypotheses are chains that share their ends, and among equal ones the search goes on with the longest, so a
+        text that many segmentations fit equally well takes time and memory in proportion to its length.
+        """
+        best = [0]
         for end in range(1, len(text) + 1):
-            own = list(self.edges(text, end))
-            incoming.append(own)
-            best[end] = max(best[start] + score for start, score, _ in own)
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(-best[-1], (), len(text), 0.0)]
+            best.append(max(best[start] + score for start, score, _ in self.edges(text, end)))
+        count = itertools.count()
+        heap: list[tuple[int, int, int, int, tuple | None]] = [(-best[-1], len(text), 0, 0, None)]
         out = []
         while heap and len(out) < n:
-            _, ids, end, after = heapq.heappop(heap)
+            _, end, _, after, chain = heapq.heappop(heap)
             if not end:
-                out.append((after, ids))
+                ids: list[int] = []
+                while chain:
+                    ids += chain[0]
+                    chain = chain[1]
+                out.append((after, tuple(ids)))
                 continue
-            for start, score, own in incoming[end]:
+            for start, score, own in self.edges(text, end):
                 total = after + score
-                heapq.heappush(heap, (-(best[start] + total), own + ids, start, total))
+                heapq.heappush(heap, (-(best[start] + total), start, next(count), total, (own, chain)))
         return out
 
     def cuts(self, codes: np.ndarray) -> np.ndarray:
@@ -119,10 +128,10 @@ class Segmenter:
 
     def _reset(self) -> None:
         self.known: dict[int, int] = {}
-        self.variants: list[list[tuple[float, tuple[int, ...]]]] = []  # only filled if others are wanted
+        self.variants: list[list[tuple[int, tuple[int, ...]]]] = []  # only filled if others are wanted
         self.ids = np.zeros(0, np.int32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.scores, self.losses = np.zeros(0), np.zeros((0, self.n - 1))
+        self.scores, self.losses = np.zeros(0, np.int64), np.zeros((0, self.n - 1))
 
     def _learn(self, hashes: list[int], chunks: list[str]) -> None:
         found = [self.pieces.n_best(chunk, self.n) for chunk in chunks]
@@ -138,7 +147,7 @@ class Segmenter:
         self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, np.array([i for v in found for i in v[0][1]], np.int32)])
-        self.scores = np.concatenate([self.scores, [v[0][0] for v in found]])
+        self.scores = np.concatenate([self.scores, np.array([v[0][0] for v in found], np.int64)])
         self.losses = np.concatenate([self.losses, losses])
 
     def _numbers(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +170,7 @@ class Segmenter:
 
         Only the n - 1 smallest single losses can occur in them, so all sums of those are enough.
         """
-        base = float(self.scores[numbers].sum())
+        base = int(self.scores[numbers].sum())
         losses = self.losses[numbers].ravel()
         few = min(self.n - 1, len(losses))
         chosen = np.sort(np.argpartition(losses, few - 1)[:few]) if few else np.empty(0, np.int64)
@@ -172,7 +181,7 @@ class Segmenter:
                 if len({place for _, (place, _) in group}) == r:
                     options.append((sum(loss for loss, _ in group), tuple(change for _, change in group)))
         options.sort()
-        return [base - loss for loss, _ in options[: self.n]], [changes for _, changes in options[: self.n]]
+        return [(base - loss) / UNIT for loss, _ in options[: self.n]], [changes for _, changes in options[: self.n]]
 
     def segment(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, list[float], list[np.ndarray]]]:
         """(best ids, scores of the n best, all n id lists) per text; an empty text has one empty segmentation."""

@@ -23,7 +23,7 @@ from lakemart.sources.lake import Workspace
 BLOCK_BITS = 10
 SHARD_IDS = 1 << 21
 FIRST_RULE = 1 << 17
-ROUNDS, RULES_A_ROUND, LEAST, SLOT_BITS = 6, 4096, 6, 20
+ROUNDS, RULES_A_ROUND, LEAST, SLOT_BITS, PASSES = 6, 4096, 6, 20, 5
 KNOWN_WORDS = 1 << 20
 END_ID = 1
 _MAGIC = b"RPG1"
@@ -52,6 +52,24 @@ def _frequent_places(symbols: np.ndarray, last: np.ndarray) -> tuple[np.ndarray,
     return found[order], places[own >= 0], own[own >= 0]
 
 
+def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the places to replace, so that no two overlap: in turns, those of better rank than both neighbours."""
+    touch = at[1:] == at[:-1] + 1
+    chosen, alive = np.zeros(len(at), bool), np.ones(len(at), bool)
+    for _ in range(PASSES):
+        meet = touch & alive[:-1] & alive[1:]
+        win = alive.copy()
+        win[1:] &= ~(meet & (rank[:-1] <= rank[1:]))
+        win[:-1] &= ~(meet & (rank[1:] < rank[:-1]))
+        chosen |= win
+        alive &= ~win
+        alive[1:] &= ~(touch & win[:-1])
+        alive[:-1] &= ~(touch & win[1:])
+        if not alive.any():
+            break
+    return chosen
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, symbols, end positions of the documents in them); no rule reaches over a document's end.
 
@@ -74,10 +92,8 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         index = np.arange(len(at))
         odd = (index - np.maximum.accumulate(np.where(same, 0, index))) % 2 == 1
         at, rank = at[~odd], rank[~odd]
-        follows = np.concatenate([[False], at[1:] == at[:-1] + 1])
-        lost = follows & np.concatenate([[False], rank[:-1] <= rank[1:]])
-        lost[:-1] |= follows[1:] & (rank[1:] < rank[:-1])
-        at, rank = at[~lost], rank[~lost]
+        chosen = _apart(at, rank)
+        at, rank = at[chosen], rank[chosen]
         uses = np.bincount(rank, minlength=len(best))
         worth = uses >= LEAST
         at, rank = at[worth[rank]], rank[worth[rank]]

@@ -63,9 +63,8 @@ def test_near_groups(documents, work):
 
 
 def test_links_between_components_of_one_band_are_found(documents, work, monkeypatch):
-    """With one-row bands nearly all documents share bands, so the rounds behind the hubs have the work to do."""
+    """Families whose members are linked to some of the others only, in blocks smaller than the families."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
-    monkeypatch.setattr(minhash, "QUOTAS", (1, None))
     rows = corpus()[:100] + [r for k in range(3) for r in family(90 + k, 500 + 100 * k, 40, 60, 6)]
     _, label = brute_near(rows)
     got = minhash.near_groups(documents(rows), work).collect()
