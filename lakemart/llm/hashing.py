@@ -112,11 +112,12 @@ def buffers(texts: Sequence[bytes], is_separator: np.ndarray, glue: bytes) -> It
 
 
 def piece_hashes(
-    texts: Sequence[bytes], is_separator: np.ndarray = IS_SPACE, fold: np.ndarray = LOWER
+    texts: Sequence[bytes], is_separator: np.ndarray = IS_SPACE, fold: np.ndarray = LOWER, most: int | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all pieces of all texts in order, and the number of pieces of each text.
 
-    ``fold`` maps bytes before hashing (A-Z to a-z by default). Equal pieces have equal hashes in every task.
+    ``fold`` maps bytes before hashing (A-Z to a-z by default). Equal pieces have equal hashes in every task. With
+    ``most``, only so many first bytes of a piece count.
     """
     glue = bytes([int(np.flatnonzero(is_separator)[0])])
     counts = np.zeros(len(texts), np.int64)
@@ -124,6 +125,8 @@ def piece_hashes(
     for data, ends in buffers(texts, is_separator, glue):
         buffer = fold[np.frombuffer(data, np.uint8)]
         starts, stops = piece_bounds(buffer, is_separator)
+        if most is not None:
+            stops = np.minimum(stops, starts + most)
         if len(buffer) <= CHUNK:
             out.append(bounds_hash(buffer, starts, stops))
         else:

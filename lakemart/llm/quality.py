@@ -23,7 +23,7 @@ PIECES = 1 << 16
 TRIGRAMS = 512
 SHARES = 12
 CUTOFF = 0.7
-LOSS, MOST_SHIFT = 0.004, 2.0
+LOSS, MOST_SHIFT = 0.0015, 2.5
 _CLASS = np.zeros(256, np.uint8)  # 0 symbol, 1 lower, 2 upper, 3 digit, 4 blank, 5 line end, 6 beyond ASCII, 7 full stop or comma
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 1, 2, 3
 _CLASS[[9, 11, 12, 32]], _CLASS[[10, 13]], _CLASS[128:], _CLASS[[44, 46]] = 4, 5, 6, 7

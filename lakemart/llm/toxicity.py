@@ -1,6 +1,6 @@
 """Toxicity categories by a chain of linear classifiers.
 
-The categories are learned in order. Every model sees hashed words and, for all categories before its own, the
+The categories are learned in order. Every model sees hashed words and beginnings of words and, for all categories before its own, the
 probabilities that earlier models give. In training these probabilities are out-of-fold: each comes from a model that
 did not see the row, so later models learn from errors like those they will meet. The fit runs on a bounded sample in
 the driver, scoring on all rows in the tasks.
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.hashing import lut, piece_hashes, utf8
+from lakemart.llm.hashing import lut, mix, piece_hashes, utf8
 from lakemart.llm.quality import held_out
 
 SAMPLE = 12_000
@@ -24,15 +24,21 @@ BUCKET_BITS = 18
 SELECTED = 2_000
 LEAST_DOCS = 5
 FOLDS = 4
+BEGINNINGS = (4, 5)
 CATEGORIES = ("toxic", "severe", "broad")
 _NO_LETTER = lut(bytes(c for c in range(128) if not chr(c).isalpha()))
 
 
 def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct word buckets of each text with their counts, the number of buckets and of words of each text."""
+    """Distinct buckets of each text with their counts, the number of buckets and of words of each text.
+
+    Every word has a bucket, and so has each of its beginnings, which words of one root share.
+    """
     words, counts = piece_hashes(texts, _NO_LETTER)
     rows = np.repeat(np.arange(len(texts)), counts)
-    codes, times = np.unique((rows << BUCKET_BITS) | (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), return_counts=True)
+    hashes = [words, *[piece_hashes(texts, _NO_LETTER, most=n)[0] ^ np.uint64(n << 40) for n in BEGINNINGS]]
+    places = [(rows << BUCKET_BITS) | (mix(h) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) for h in hashes]
+    codes, times = np.unique(np.concatenate(places), return_counts=True)
     own = np.bincount(codes >> BUCKET_BITS, minlength=len(texts))
     return (codes & ((1 << BUCKET_BITS) - 1)).astype(np.int32), times, own, counts
 
@@ -74,7 +80,7 @@ def margins(rows: Rows, extra: np.ndarray, weights: np.ndarray, bias: float) ->
     return np.bincount(rows.owners, weights[:width][rows.columns], n) + extra @ weights[width:] + bias
 
 
-def fit_linear(rows: Rows, extra: np.ndarray, y: np.ndarray, width: int, steps: int = 80) -> tuple[np.ndarray, float]:
+def fit_linear(rows: Rows, extra: np.ndarray, y: np.ndarray, width: int, steps: int = 250) -> tuple[np.ndarray, float]:
     """Logistic regression with a small ridge; the classes weigh alike. One class only: a constant."""
     n = len(y)
     if not n or y.min() == y.max():
@@ -124,6 +130,16 @@ def select(rows: Rows, y: np.ndarray, most: int = SELECTED) -> np.ndarray:
     return np.sort(best[chi[best] > 0])
 
 
+def best_cut(z: np.ndarray, y: np.ndarray) -> float:
+    """The margin that splits the rows with the fewest errors; of several, the middle one. 0 if there is one class."""
+    if not len(y) or y.min() == y.max():
+        return 0.0
+    order = np.argsort(z, kind="stable")
+    errors = np.append(0, np.cumsum(y[order])) + np.append(np.cumsum(1 - y[order][::-1])[::-1], 0)
+    edges = np.concatenate([[z.min() - 1], (z[order][1:] + z[order][:-1]) / 2, [z.max() + 1]])
+    return float(np.median(edges[errors == errors.min()]))
+
+
 def fit_chain(rows: Rows, targets: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
     """Fit the categories in the order of ``targets``; ``folds`` numbers the out-of-fold part of each row."""
     first = next(iter(targets.values()))
@@ -134,13 +150,15 @@ def fit_chain(rows: Rows, targets: dict[str, np.ndarray], folds: np.ndarray) ->
     extra = np.zeros((len(first), 0))
     models = []
     for y in targets.values():
-        models.append(fit_linear(used, extra, y, len(chosen)))
         outside = np.zeros(len(y))
         for fold in np.unique(folds):
             rest = folds != fold
             weights, bias = fit_linear(used.take(rest), extra[rest], y[rest], len(chosen))
-            outside[~rest] = _sigmoid(margins(used.take(~rest), extra[~rest], weights, bias))
-        extra = np.column_stack([extra, _logit(outside)])
+            outside[~rest] = margins(used.take(~rest), extra[~rest], weights, bias)
+        cut = best_cut(outside, y)  # a probability of one half is where unseen rows are split best
+        weights, bias = fit_linear(used, extra, y, len(chosen))
+        models.append((weights, bias - cut))
+        extra = np.column_stack([extra, _logit(_sigmoid(outside - cut))])
     return Chain(tuple(targets), place, tuple(models))
 
 
