@@ -94,7 +94,7 @@ def fit_linear(rows: Rows, extra: np.ndarray, y: np.ndarray, width: int, steps:
         slope = np.concatenate([np.bincount(rows.columns, residual[owners], width), extra.T @ residual, [residual.sum()]])
         slope[:-1] += 2e-4 * theta[:-1]
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-        theta -= 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        theta -= 0.2 * (1 - step / (steps + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
