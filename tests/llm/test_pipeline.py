@@ -31,7 +31,7 @@ def test_pipeline(spark, work):
     passed = {i for i, s in zip(ids, scores, strict=True) if s >= 0.7}
     assert {r.doc_id for r in good.collect()} == passed
     trusted = {r.doc_id for r in labels.where("quality = 1").collect()}
-    assert len(trusted - passed) <= 0.02 * len(trusted)
+    assert len(trusted - passed) <= 0.04 * len(trusted)
 
     first = {}
     for i in sorted(passed):
