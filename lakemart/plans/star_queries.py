@@ -157,8 +157,9 @@ def scan_glob(star: StarTables) -> DataFrame:
 @query
 def create_table(star: StarTables) -> DataFrame:
     """A catalog table that is created and then replaced by another query."""
-    lake.save_table(star.products.limit(1), "lakemart_products")
-    lake.save_table(star.products.where("active"), "lakemart_products")
+    place = Workspace(star.spark).path("products")
+    lake.save_table(star.products.where("not active"), "lakemart_products", place)
+    lake.save_table(star.products.where("active"), "lakemart_products", place)
     return star.spark.table("lakemart_products")
 
 

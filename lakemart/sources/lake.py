@@ -206,9 +206,10 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def save_table(frame: DataFrame, name: str) -> None:
-    """Create or replace a catalog table from a query."""
-    frame.write.mode("overwrite").saveAsTable(name)
+def save_table(frame: DataFrame, name: str, path: str | None = None) -> None:
+    """Create or replace a catalog table from a query, in the warehouse or at a path of its own."""
+    writer = frame.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
