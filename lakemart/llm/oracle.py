@@ -84,4 +84,31 @@ select conv_id, count(*) as n_turns,
 from long group by conv_id
 """
 
-ORACLES = {"op5_exact_dedup": _EXACT, "op9_mixing": _MIX, "op10_chat_format": _CHAT}
+_NEAR = f"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as words
+    from documents
+),
+s as (
+    select distinct doc_id, array_to_string(words[i : i + 4], ' ') as shingle
+    from w, unnest(generate_series(1, greatest(len(words) - 4, 1))) as u(i) where len(words) > 0
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from s x join s y on x.shingle = y.shingle and x.doc_id < y.doc_id group by 1, 2
+),
+links as (
+    select a, b from pairs join n na on a = na.doc_id join n nb on b = nb.doc_id
+    where 100 * common >= 85 * (na.n + nb.n - common)
+),
+edges as (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a),
+nearest as (select a, min(b) as b from reach group by a)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(b, w.doc_id)) as component_id,
+       w.doc_id = least(w.doc_id, coalesce(b, w.doc_id)) as kept
+from w left join n on w.doc_id = n.doc_id left join nearest on w.doc_id = a
+"""
+
+ORACLES = {"op1_minhash": _NEAR, "op5_exact_dedup": _EXACT, "op9_mixing": _MIX, "op10_chat_format": _CHAT}
