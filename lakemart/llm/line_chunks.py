@@ -1,13 +1,15 @@
 """Line deduplication with content-defined chunks.
 
 Every line has a hash, and a rolling hash over the last lines decides after which lines a chunk ends, so an inserted
-line shifts one boundary and not all that follow. Chunks of several lines that the corpus holds more than once are
-compared byte by byte with their first copy, and all but that copy are removed.
+line shifts one boundary and not all that follow. Chunks of several lines are grouped by the hashes of their lines; those
+that the corpus holds more than once are compared with their first copy, by SHA-256 of their bytes, and all but that
+copy are removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -68,8 +70,8 @@ def _chunk_digests(lines: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
 
 
 _KEYS = ["id", "mark"]
-_CHUNKS = "id long, mark long, late boolean, chunk int, from_line int, n_lines int, d1 long, d2 long"
-_KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+_CHUNKS = "id long, mark long, late boolean, chunk int, from_line int, n_lines int, d1 long, d2 long, proof binary"
+_KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def chunks(rows: DataFrame) -> DataFrame:
-    """The chunks of at least LEAST_LINES lines of every row, without their bytes."""
+    """The chunks of at least LEAST_LINES lines of every row; ``proof`` is the SHA-256 of a chunk's bytes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +91,8 @@ def chunks(rows: DataFrame) -> DataFrame:
                 part = batch.slice(at, 512)
                 keys = [part.column(c).to_pylist() for c in ("id", "mark", "late")]
                 columns: list[list] = [[] for _ in _KINDS]
-                for row, lines in enumerate(line_hashes(utf8(part.column("text").to_pylist()))):
+                texts = utf8(part.column("text").to_pylist())
+                for row, lines in enumerate(line_hashes(texts)):
                     ends = boundaries(lines)
                     starts = np.append(0, ends[:-1])
                     long = np.flatnonzero(ends - starts >= LEAST_LINES)
@@ -100,6 +103,8 @@ def chunks(rows: DataFrame) -> DataFrame:
                             columns[k] += [keys[k][row]] * len(long)
                         for k, values in enumerate(own, 3):
                             columns[k] += values.tolist()
+                        spelled = texts[row].split(b"\n")
+                        columns[8] += [sha256(b"\n".join(spelled[starts[k] : ends[k]])).digest() for k in long]
                 names = [f.split(" ")[0] for f in _CHUNKS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names)
 
@@ -109,21 +114,14 @@ def chunks(rows: DataFrame) -> DataFrame:
 def repeated_chunks(rows: DataFrame, work: Workspace) -> DataFrame:
     """(id, mark, from_line, n_lines) of every chunk that is byte for byte an earlier one, by id and place.
 
-    Digests are counted first with map-side combining, so a chunk that a third of all rows hold is one entry per
-    task. Then the bytes of repeated digests only are fetched, as SHA-256, and compared with those of the first copy.
+    Chunks are counted by their line hashes first, with map-side combining, so a chunk that a third of all rows hold is
+    one entry per task; the bytes of every repeated one are then compared with those of the first.
     """
     found = work.save(chunks(rows), "chunks")
-    order = F.struct("late", "id", "mark", "chunk")
-    groups = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
+    place = F.struct("late", "id", "mark", "chunk", "proof")
+    groups = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     groups = work.save(groups.select("d1", "d2", "first"), "groups")
-    places = work.save(found.join(groups.select("d1", "d2"), ["d1", "d2"], "left_semi"), "places")
-    cut = F.array_join(F.slice(F.split("text", "\n"), F.col("from_line") + 1, F.col("n_lines")), "\n")
-    proved = places.join(rows.select(*_KEYS, "text"), _KEYS).select(*places.columns, F.sha2(cut, 256).alias("proof"))
-    proved = work.save(proved, "proved")
-    here = F.struct("late", "id", "mark", "chunk")
-    marked = proved.join(groups, ["d1", "d2"]).withColumn("is_first", here == F.col("first"))
-    firsts = marked.where("is_first").select("d1", "d2", F.col("proof").alias("first_proof")).distinct()
-    same = marked.where("not is_first").join(firsts, ["d1", "d2"]).where("proof = first_proof")
+    same = found.join(groups, ["d1", "d2"]).where((F.col("proof") == F.col("first.proof")) & (place != F.col("first")))
     return same.select(*_KEYS, "from_line", "n_lines").distinct()
 
 
@@ -137,7 +135,8 @@ def without_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
     """
     rows = _keyed(docs)
     gone = repeated_chunks(rows, work).groupBy(*_KEYS).agg(F.collect_list(F.struct("from_line", "n_lines")).alias("gone"))
-    joined = rows.join(work.save(gone, "gone"), _KEYS, "left")
+    # The places grow with the corpus, so they are never broadcast: texts meet them in one shuffle at every size.
+    joined = rows.join(work.save(gone, "gone").hint("merge"), _KEYS, "left")
     joined = joined.select(F.when(~F.col("late"), F.col("id")).alias("doc_id"), "text", "gone")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
