@@ -22,9 +22,9 @@ def components(links: DataFrame, work: Workspace, name: str = "components") -> D
     step = 0
     while True:
         step += 1
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
-        near = near.agg(F.min("label").alias("near"))
-        moved = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label")
+        told = near.withColumn("own", F.lit(None).cast("long")).unionByName(labels.withColumn("own", F.col("label")))
+        moved = told.groupBy("node").agg(F.min("label").alias("label"), F.max("own").alias("old"))
         far = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
         moved = moved.join(far, "label").select("node", "old", F.least("label", "far").alias("label"))
         moved = work.save(moved, f"{name}_{step}")

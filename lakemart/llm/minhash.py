@@ -5,9 +5,10 @@ its rank; signature coordinate k is the smallest rank after the second permutati
 table serves all coordinates, and the coordinates of a shingle are a contiguous slice of it. Signatures are cut into
 bands; documents that share a band are candidates; links are confirmed on the full shingle sets.
 
-Candidates are never expanded into all pairs of a band. Documents with equal sets are one node. Every band first
-compares its members with its smallest node only; the components of the confirmed links leave few bands with more
-than one component, and only there members of different components are compared, the most similar signatures first.
+Candidates are never expanded into all pairs of a band. Documents with equal sets are one node, and all bands with the
+same smallest node, their hub, are one family. Every family first compares its members with the hub only, which joins
+most of them under one label; then only families with several labels are left, and there the members outside the most
+frequent label are compared with all others, in bounded blocks, through an index of their shingles.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 UNIVERSE_BITS = 20
 THRESHOLD = 85
-QUOTAS = (4, 64, None)
 BLOCK = 1024
 _U = np.uint64
 
@@ -88,7 +88,7 @@ def _fingerprint(shingles: np.ndarray) -> tuple[int, int]:
     return int(first.view(np.int64)), int(second.view(np.int64))
 
 
-_SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, signature binary"
+_SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
 _SETS = "n_shingles long, s1 long, s2 long, shingles binary"
 
 
@@ -98,7 +98,7 @@ def _arrow(ddl: str) -> pa.Schema:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Set size, set fingerprint, band keys and low signature bytes of every document."""
+    """Set size, set fingerprint and band keys of every document."""
     schema = _arrow(_SKETCH)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +108,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(utf8(part.column("text").to_pylist()))
                 marks = [_fingerprint(s) for s in sets]
                 full = [i for i, s in enumerate(sets) if len(s)]
-                bands, low = [[]] * len(sets), [b""] * len(sets)
+                bands: list[list[int]] = [[]] * len(sets)
                 if full:
-                    found = np.stack([signature(sets[i]) for i in full])
-                    for i, keys, own in zip(full, band_keys(found).tolist(), found.astype(np.uint8), strict=True):
-                        bands[i], low[i] = keys, own.tobytes()
+                    for i, keys in zip(full, band_keys(np.stack([signature(sets[i]) for i in full])).tolist(), strict=True):
+                        bands[i] = keys
                 columns = [part.column("doc_id").to_pylist(), [len(s) for s in sets], [m[0] for m in marks], [m[1] for m in marks]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip([*columns, bands, low], schema, strict=True)], schema=schema
+                    [pa.array(c, f.type) for c, f in zip([*columns, bands], schema, strict=True)], schema=schema
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, _SKETCH)
@@ -137,34 +136,6 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(task, _SETS)
 
 
-def _floor(threshold: int) -> int:
-    """Equal coordinates that a pair at the threshold misses with a chance of about 1e-7 (5.3 standard deviations)."""
-    p = threshold / 100
-    return int(COORDINATES * p - 5.3 * (COORDINATES * p * (1 - p)) ** 0.5)
-
-
-def _similar(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose set sizes and signatures allow a link."""
-    floor = _floor(threshold)
-    narrow = nodes.select("node", "n_shingles", "signature")
-    for side in ("a", "b"):
-        pairs = pairs.join(narrow.toDF(side, f"n_{side}", f"sig_{side}"), side)
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    pairs = pairs.where(100 * small >= threshold * large).select("a", "b", "sig_a", "sig_b")
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                left, right = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES)
-                    for c in ("sig_a", "sig_b")
-                )
-                keep = pa.array((left == right).sum(axis=1) >= floor)
-                yield batch.select(["a", "b"]).filter(keep)
-
-    return pairs.mapInArrow(task, "a long, b long")
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= threshold * union, on the full sets."""
     for side in ("a", "b"):
@@ -183,40 +154,69 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(task, "a long, b long")
 
 
-def _apart(members: DataFrame, threshold: int, quota: int | None) -> DataFrame:
-    """Pairs (a, b) that share a band but no component and have similar signatures.
+class _Index:
+    """Which of a few sets hold a shingle."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = np.array([len(x) for x in sets], np.int64)
+        flat = np.concatenate([np.empty(0, np.uint64), *sets])
+        order = np.argsort(flat, kind="stable")
+        self.keys, self.owners = flat[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        self.sizes = sizes
+
+    def links(self, shingles: np.ndarray, threshold: int) -> np.ndarray:
+        """Numbers of the sets that are linked with this one."""
+        low, high = np.searchsorted(self.keys, shingles, "left"), np.searchsorted(self.keys, shingles, "right")
+        counts = high - low
+        total = np.cumsum(counts)
+        places = np.repeat(low - (total - counts), counts) + np.arange(int(total[-1]) if len(total) else 0)
+        both = np.bincount(self.owners[places], minlength=len(self.sizes))
+        return np.flatnonzero(100 * both >= threshold * (self.sizes + len(shingles) - both))
 
-    ``members`` has key, node, label, n_shingles, signature of bands with several components. A large band is cut
-    into blocks, and every pair of blocks is one bounded group. ``quota`` keeps, for each node and component, only the
-    most similar partners.
+
+def _across(members: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between nodes of one family but not one label, enough to join all labels that links join.
+
+    ``members`` has hub, node, label, shingles of families with several labels. In each, the nodes outside the most
+    frequent label, in blocks, meet all nodes, in blocks, so the work grows with the nodes that are still apart and
+    every group is bounded. A block pair returns one link at most for each node and label.
     """
-    floor = _floor(threshold)
-    parts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = members.join(parts, "key").withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    of_label = members.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+    plan = of_label.groupBy("hub").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    plan = plan.select(
+        "hub",
+        "main",
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("asking_blocks"),
+    )
+    spot = F.xxhash64("node")
+    dealt = members.join(plan, "hub").select(
+        "hub", "node", "label", "shingles", "blocks", "asking_blocks",
+        (F.col("label") != F.col("main")).alias("asks"),
+        F.pmod(spot, F.col("blocks")).cast("int").alias("block"),
+        F.pmod(spot, F.col("asking_blocks")).cast("int").alias("asking"),
+    )
+    columns = ["hub", "node", "label", "shingles"]
+    answer = dealt.select(*columns, "block", F.explode(F.sequence(F.lit(0), F.col("asking_blocks") - 1)).alias("asking"), F.lit(False).alias("asks"))
+    ask = dealt.where("asks").select(*columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "asking", "asks")
 
     def group(table: pa.Table) -> pa.Table:
-        nodes, labels, sizes = (table.column(c).to_numpy() for c in ("node", "label", "n_shingles"))
-        marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        values, counts = np.unique(labels, return_counts=True)
-        out = set()
-        for i in np.flatnonzero(labels != values[counts.argmax()]):
-            near = (marks == marks[i]).sum(axis=1)
-            small, large = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
-            fit = np.flatnonzero((labels != labels[i]) & (near >= floor) & (100 * small >= threshold * large))
-            fit = fit[np.lexsort((nodes[fit], -near[fit], labels[fit]))]
-            if quota is not None and len(fit):
-                first = np.flatnonzero(np.concatenate([[True], labels[fit][1:] != labels[fit][:-1]]))
-                fit = fit[np.arange(len(fit)) - np.repeat(first, np.diff(np.append(first, len(fit)))) < quota]
-            out.update((min(int(nodes[i]), int(nodes[j])), max(int(nodes[i]), int(nodes[j]))) for j in fit)
-        pairs = sorted(out)
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
-
-    columns = ["key", "low", "high", "node", "label", "n_shingles", "signature"]
-    grouped = dealt.select(*columns).groupBy("key", "low", "high")
-    return grouped.applyInArrow(group, "a long, b long").distinct()
+        nodes, labels = table.column("node").to_numpy(), table.column("label").to_numpy()
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        here = np.flatnonzero(~asks)
+        index = _Index([sets[i] for i in here])
+        a, b = [], []
+        for i in np.flatnonzero(asks):
+            found = here[index.links(sets[i], threshold)]
+            found = found[labels[found] != labels[i]]
+            _, first = np.unique(labels[found], return_index=True)
+            a += [int(nodes[i])] * len(first)
+            b += nodes[found[first]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    both = answer.unionByName(ask).groupBy("hub", "block", "asking")
+    return both.applyInArrow(group, "a long, b long")
 
 
 def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) -> DataFrame:
@@ -232,67 +232,51 @@ def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) ->
     drawn = work.save(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
     mark = ["n_shingles", "s1", "s2"]
     nodes = drawn.where("n_shingles > 0").groupBy(*mark).agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
-    nodes = work.save(
-        nodes.join(drawn.select(F.col("row").alias("node"), "bands", "signature"), "node"), "nodes"
-    )
+    nodes = work.save(nodes.join(drawn.select(F.col("row").alias("node"), "bands"), "node"), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs = work.save(hubs.select("key", "a"), "hubs")
-    stars = banded.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    tried = work.save(_similar(stars, nodes, threshold), "tried")
-    sets = _needed_sets(docs, nodes, tried, None, work, "sets")
-    links = work.save(_confirmed(tried, sets, threshold), "links")
-    labels = components(links, work, "star")
-    for number, quota in enumerate(QUOTAS):
-        shared = banded.join(hubs.select("key"), "key", "left_semi").join(labels, "node", "left")
-        shared = shared.withColumn("label", F.coalesce("label", "node"))
-        mixed = shared.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        mixed = work.save(mixed.select("key"), f"mixed_{number}")
-        if mixed.isEmpty():
-            break
-        members = shared.join(mixed, "key", "left_semi")
-        members = members.join(nodes.select("node", "n_shingles", "signature"), "node")
-        fresh = _apart(members, threshold, quota).join(tried, ["a", "b"], "left_anti")
-        fresh = work.save(fresh, f"fresh_{number}")
-        if fresh.isEmpty():
-            continue
-        more = _needed_sets(docs, nodes, fresh, sets, work, f"sets_{number}")
-        sets = sets.unionByName(more)
-        found = work.save(_confirmed(fresh, sets, threshold), f"links_{number}")
-        tried = tried.unionByName(fresh)
-        links = links.unionByName(found)
-        labels = components(links, work, f"round_{number}")
-    labels = nodes.select(*mark, "node", "first_id").join(labels, "node", "left")
-    labels = labels.withColumn("label", F.coalesce("label", "node"))
-    firsts = labels.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    classes = work.save(labels.join(firsts, "label").select(*mark, "component_id"), "classes")
-    work.drop("nodes", "hubs", "sets", *[f"sets_{n}" for n in range(len(QUOTAS))])
-    named = drawn.select("doc_id", *mark).join(classes, mark, "left")
+    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = work.save(banded.join(hubs.select("key", "hub"), "key").select("hub", "node").distinct(), "shared")
+    sets = _sets_of(docs, nodes, shared.select("node").distinct(), work)
+    stars = shared.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = work.save(_confirmed(stars, sets, threshold), "links")
+    # A label is a linked hub, or that hub's own label: nodes under one label are connected, others may be.
+    near = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    far = near.select(F.col("node").alias("label"), F.col("label").alias("far"))
+    labels = near.join(far, "label", "left").select("node", F.coalesce("far", "label").alias("label"))
+    marked = shared.join(labels, "node", "left")
+    marked = work.save(marked.withColumn("label", F.coalesce("label", "node")), "marked")
+    several = marked.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    members = marked.join(several.select("hub"), "hub", "left_semi").join(sets, "node")
+    more = work.save(_across(members, threshold).distinct(), "more_links")
+    joined = components(links.unionByName(more), work)
+    named = nodes.select(*mark, "node", "first_id").join(joined, "node", "left")
+    named = named.withColumn("label", F.coalesce("label", "node"))
+    firsts = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    classes = work.save(named.join(firsts, "label").select(*mark, "component_id"), "classes")
+    work.drop("nodes", "shared", "wanted", "sets", "sets_once", "links", "marked", "more_links")
+    out = drawn.select("doc_id", *mark).join(classes, mark, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.select(
+    return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
-def _needed_sets(
-    docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame | None, work: Workspace, name: str
-) -> DataFrame:
-    """Full sets of the nodes in ``pairs`` that are not in ``known``, drawn again from the texts of those nodes only."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    if known is not None:
-        wanted = wanted.join(known, "node", "left_anti")
-    wanted = work.save(nodes.join(wanted, "node", "left_semi").select("node", "first_id", "n_shingles", "s1", "s2"), f"{name}_wanted")
-    ids = wanted.select(F.col("first_id").alias("id")).distinct()
+def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, work: Workspace) -> DataFrame:
+    """Full sets (node, shingles) of the wanted nodes, drawn again from the texts of those nodes only."""
+    wanted = nodes.join(wanted, "node", "left_semi").select("node", "first_id", "n_shingles", "s1", "s2")
+    wanted = work.save(wanted, "wanted")
+    # The ids grow with the corpus, so they are never broadcast: the plan is the same at every size.
+    ids = wanted.select(F.col("first_id").alias("id")).distinct().hint("merge")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["id"]), "left_semi")
     drawn = _sets(texts).join(wanted.drop("first_id"), ["n_shingles", "s1", "s2"])
-    found = work.save(drawn.select("node", "shingles"), name)
+    found = work.save(drawn.select("node", "shingles"), "sets")
     if found.count() > wanted.count():  # rows that repeat doc_id and text
-        found = work.save(found.dropDuplicates(["node"]), f"{name}_once")
+        found = work.save(found.dropDuplicates(["node"]), "sets_once")
     return found
 
 
 def distinct_docs(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns; rows without a doc_id cannot be named and all stay."""
     lost = work.save(near_groups(docs, work, threshold).where("not kept").select("doc_id"), "lost")
-    return docs.join(lost.distinct(), "doc_id", "left_anti")
+    return docs.join(lost.distinct().hint("merge"), "doc_id", "left_anti")
