@@ -128,25 +128,36 @@ def annotate(
     """
     keys = offending_keys(frame, contract, parents, row_order, workspace)
     if workspace:
-        keys = workspace.save_all(keys)
+        keys = _save_sets(workspace, keys)
     return mark(frame, contract, row_order, keys)
 
 
+def _save_sets(workspace: Workspace, keys: Mapping[str, DataFrame | None]) -> dict[str, DataFrame | None]:
+    """Write key sets side by side; a set without keys becomes None, so that its rule costs no join."""
+    saved = workspace.save_all({name: frame for name, frame in keys.items() if frame is not None})
+    if not saved:
+        return dict(keys)
+    with ThreadPoolExecutor(len(saved)) as pool:
+        empty = dict(zip(saved, pool.map(DataFrame.isEmpty, saved.values()), strict=True))
+    return {name: None if empty.get(name, True) else saved[name] for name in keys}
+
+
 def offending_keys(
     frame: DataFrame,
     contract: TableContract,
     parents: Mapping[str, DataFrame],
     row_order: Sequence[str],
     workspace: Workspace | None = None,
-) -> dict[str, DataFrame]:
-    """The key sets behind the rules that look at other rows, one narrow frame per rule."""
-    found = {}
+) -> dict[str, DataFrame | None]:
+    """The key sets behind the rules that look at other rows, one narrow frame per rule; None if no key offends."""
+    found: dict[str, DataFrame | None] = {}
     for name in contract.unique:
         if name in frame.columns:
             counts = repeated_counts(frame, name)
             if workspace:
                 counts = workspace.save(counts, _set_name(contract, name, "counts"))
-            found[_set_name(contract, name, "repeated")] = first_positions(frame, name, counts, row_order)
+            none = workspace is not None and counts.isEmpty()
+            found[_set_name(contract, name, "repeated")] = None if none else first_positions(frame, name, counts, row_order)
     for name, (parent, column) in contract.foreign_keys.items():
         if name in frame.columns and parent in parents and column in parents[parent].columns:
             found[_set_name(contract, name, "orphans")] = missing_parents(frame, name, parents[parent], column)
@@ -154,18 +165,22 @@ def offending_keys(
 
 
 def mark(
-    frame: DataFrame, contract: TableContract, row_order: Sequence[str], keys: Mapping[str, DataFrame]
+    frame: DataFrame, contract: TableContract, row_order: Sequence[str], keys: Mapping[str, DataFrame | None]
 ) -> Validation:
-    """Attach to every row the list of rules it breaks."""
+    """Attach to every row the list of rules it breaks; rules whose key set is not in ``keys`` do not apply."""
     wide = frame
     repeats, orphans = {}, {}
     for name in contract.unique:
-        repeated = keys.get(_set_name(contract, name, "repeated"))
-        if repeated is not None:
+        if (place := _set_name(contract, name, "repeated")) not in keys:
+            continue
+        repeats[name] = "false"
+        if (repeated := keys[place]) is not None:
             wide, repeats[name] = _join_repeated(wide, repeated, name, row_order)
     for name in contract.foreign_keys:
-        missing = keys.get(_set_name(contract, name, "orphans"))
-        if missing is not None:
+        if (place := _set_name(contract, name, "orphans")) not in keys:
+            continue
+        orphans[name] = f"{quoted(name)} is null"
+        if (missing := keys[place]) is not None:
             wide, orphans[name] = _join_orphans(wide, missing, name)
 
     rules = _rules(frame, contract, repeats, orphans)
@@ -274,7 +289,7 @@ def validate_all(
             found = pool.map(lambda t: offending_keys(raw[t], contracts[t], clean, row_order[t], workspace), tables)
             keys = dict(zip(tables, found, strict=True))
         if workspace:
-            saved = workspace.save_all({name: frame for sets in keys.values() for name, frame in sets.items()})
+            saved = _save_sets(workspace, {name: frame for sets in keys.values() for name, frame in sets.items()})
             keys = {t: {name: saved[name] for name in keys[t]} for t in tables}
         marked = [mark(raw[t], contracts[t], row_order[t], keys[t]) for t in tables]
         if workspace:

@@ -183,11 +183,11 @@ def silver_manifest(star: StarTables) -> DataFrame:
     return lake.manifest(Silver(star, order_region=False), PROFILE, RUN, "table_name", "silver_rows")
 
 
-def _gold(star: StarTables, space: Workspace) -> dict[str, DataFrame]:
-    """All marts, written once each, over order tables that are derived once."""
+def _gold(star: StarTables, space: Workspace) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All marts, written once each, over order tables that are derived once; also the entities."""
     entities = dict(Silver(star, space=space))
     entities["orders"] = space.save(entities["orders"], "silver_orders")
-    return marts.build_all(entities, PROFILE, RUN, space)
+    return marts.build_all(entities, PROFILE, RUN, space), entities
 
 
 def _star_run(star: StarTables) -> medallion.Run:
@@ -260,7 +260,7 @@ def mart_read_order(star: StarTables) -> DataFrame:
 
 @query
 def gold_manifest(star: StarTables) -> DataFrame:
-    gold = _gold(star, Workspace(star.spark))
+    gold, _ = _gold(star, Workspace(star.spark))
     return lake.manifest(gold, PROFILE, RUN, "mart_name", "row_count")
 
 
@@ -703,11 +703,11 @@ def adhoc_sql(star: StarTables) -> DataFrame:
 def _checked(star: StarTables, without: str = "") -> tuple[DataFrame, dict[str, DataFrame]]:
     """All checks of a run over the whole tables, and its marts; the export named ``without`` is left out."""
     run = _star_run(star)
-    gold = _gold(star, run.workspace())
+    gold, entities = _gold(star, run.workspace())
     observed = {
         "contract_summary": contract_summary(star),
         "gold_manifest": lake.manifest(gold, PROFILE, RUN, "mart_name", "row_count"),
-        "silver_manifest": silver_manifest(star),
+        "silver_manifest": lake.manifest(entities, PROFILE, RUN, "table_name", "silver_rows"),
     }
     written = run.store("observability").save_all(observed)
     for name, frame in {**gold, **written}.items():
