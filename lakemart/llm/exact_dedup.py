@@ -97,17 +97,19 @@ def exact_groups(
 def distinct_docs(docs: DataFrame, work: Workspace, counters: int = COUNTERS, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that share doc_id and text, one stays.
 
-    Losers are few and narrow, so texts meet a set of keys only; the rows of a null or repeated doc_id are told
-    apart by their digest.
+    Rows to drop, and rows that repeat both doc_id and text, are marked in one narrow table that texts meet in one
+    shuffle; it grows with the corpus and is never broadcast.
     """
     groups = exact_groups(docs, work, counters, share)
-    lost = work.save(groups.where("not kept").select("doc_id", F.unhex("text_sha256").alias("digest")), "lost")
-    rows = docs.select(F.struct("*").alias("row"), F.unhex(F.sha2(normalised(), 256)).alias("digest"))
-    same = rows["row.doc_id"].eqNullSafe(lost["doc_id"]) & (rows["digest"] == lost["digest"])
-    rows = rows.join(lost, same, "left_anti")
-    repeated = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
-    repeated = work.save(repeated.select("doc_id", F.unhex("text_sha256").alias("digest")), "repeated")
-    same = rows["row.doc_id"].eqNullSafe(repeated["doc_id"]) & (rows["digest"] == repeated["digest"])
-    single = rows.join(repeated, same, "left_anti").select("row.*")
-    doubled = rows.join(repeated, same, "left_semi").groupBy(F.col("row.doc_id").alias("id"), "digest")
-    return single.unionByName(doubled.agg(F.min("row").alias("row")).select("row.*"))
+    key = ["doc_id", F.unhex("text_sha256").alias("digest")]
+    lost = groups.where("not kept").select(*key, F.lit(True).alias("lost"))
+    again = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").select(*key, F.lit(False).alias("lost"))
+    marks = work.save(lost.unionByName(again).distinct(), "marks").hint("merge")
+    rows = docs.select(F.struct("*").alias("row"), F.unhex(F.sha2(normalised(), 256)).alias("hash"))
+    same = rows["row.doc_id"].eqNullSafe(marks["doc_id"]) & (rows["hash"] == marks["digest"])
+    rows = rows.join(marks, same, "left").where("lost is null or not lost")
+    single = rows.where("lost is null").select("row.*")
+    if again.isEmpty():
+        return single
+    doubled = rows.where("not lost").groupBy(F.col("row.doc_id").alias("id"), "hash").agg(F.min("row").alias("row"))
+    return single.unionByName(doubled.select("row.*"))
