@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.hashing import lut, mix, piece_hashes, utf8
 from lakemart.llm.quality import held_out
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 BUCKET_BITS = 18
 SELECTED = 2_000
 LEAST_DOCS = 5
@@ -217,9 +217,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     schema = "doc_id long, toxic long, words long, found binary, times binary"
     got = texts.select("doc_id", "toxic", "text").mapInArrow(task, schema).toPandas()
     got = got.sort_values(["doc_id", "words", "found"], ignore_index=True)
-    sizes = np.array([len(x) // 4 for x in got["found"]], np.int64)
-    rows = Rows(np.frombuffer(b"".join(got["found"]), np.int32), np.append(0, np.cumsum(sizes)).astype(np.int64))
-    times = np.frombuffer(b"".join(got["times"]), np.uint16).astype(np.float64)
+    owners = np.repeat(np.arange(len(got), dtype=np.int32), [len(x) // 4 for x in got["found"]])
+    columns, times = np.frombuffer(b"".join(got["found"]), np.int32), np.frombuffer(b"".join(got["times"]), np.uint16)
+    often = np.bincount(columns, minlength=1 << BUCKET_BITS)[columns] >= LEAST_DOCS  # the others are never selected
+    times = times[often].astype(np.float32)
+    rows = Rows(columns[often], np.append(0, np.cumsum(np.bincount(owners[often], minlength=len(got)))))
     toxic = (got["toxic"].to_numpy() == 1).astype(np.float64)
     targets = degrees(rows, times, got["words"].to_numpy(), toxic)
     return fit_chain(rows, targets, np.arange(len(toxic)) % FOLDS)
