@@ -4,6 +4,10 @@ Every line has a hash, and a rolling hash over the last lines decides after whic
 line shifts one boundary and not all that follow. Chunks of several lines are grouped by the hashes of their lines; those
 that the corpus holds more than once are compared with their first copy, by SHA-256 of their bytes, and all but that
 copy are removed.
+
+A passage that lies across chunk ends holds no whole chunk, or loses its edges. So there are passages too: every two
+neighbouring lines, and every single long line, are looked up by themselves, and a repeated run of any length goes
+from its first line to its last. Every repeated chunk is such a run.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from lakemart.sources.lake import Workspace
 
 WINDOW, DIVISOR = 2, 3
 LEAST_LINES, MOST_LINES = 2, 64
+LONG_WORDS = 50
 _U = np.uint64
 _LINE_END = lut(b"\n")
 
@@ -125,16 +130,76 @@ def repeated_chunks(rows: DataFrame, work: Workspace) -> DataFrame:
     return same.select(*_KEYS, "from_line", "n_lines").distinct()
 
 
-def without_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
+_PIECES = "id long, mark long, late boolean, line int, n_lines int, d1 long, d2 long"
+_PIECE_KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+
+
+def _pieces_of(text: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(line, number of lines, bytes) of every two neighbouring lines and of every line of more than LONG_WORDS words."""
+    start, before, number = 0, None, 0
+    while start <= len(text):
+        end = text.find(b"\n", start)
+        end = len(text) if end < 0 else end
+        if before is not None:
+            yield number - 1, 2, text[before:end]
+        if end - start > 2 * LONG_WORDS and len(text[start:end].split()) > LONG_WORDS:
+            yield number, 1, text[start:end]
+        start, before, number = end + 1, start, number + 1
+
+
+def pieces(rows: DataFrame) -> DataFrame:
+    """Pairs of neighbouring lines and single long lines of every row; d1 and d2 are half of the SHA-256 of their bytes."""
+    names = [f.split(" ")[0] for f in _PIECES.split(", ")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                owner, lines, sizes, digests = [], [], [], []
+                for row, text in enumerate(utf8(part.column("text").to_pylist())):
+                    for line, size, data in _pieces_of(text):
+                        owner.append(row)
+                        lines.append(line)
+                        sizes.append(size)
+                        digests.append(sha256(data).digest()[:16])
+                halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                keys = [part.column(c).take(pa.array(owner, pa.int64())) for c in ("id", "mark", "late")]
+                own = [pa.array(c, k) for c, k in zip((lines, sizes, halves[:, 0], halves[:, 1]), _PIECE_KINDS[3:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*keys, *own], names)
+
+    return rows.select("id", "mark", "late", "text").mapInArrow(task, _PIECES)
+
+
+def repeated_passages(rows: DataFrame, work: Workspace) -> DataFrame:
+    """(id, mark, from_line, n_lines) of every piece that is byte for byte an earlier one, by id and place.
+
+    The first place of a line is never in a repeated piece, so no line is lost everywhere. Two lines that overlap their
+    own first copy, as in a run of equal lines, are no second copy.
+    """
+    found = work.save(pieces(rows), "pieces")
+    place = F.struct("late", "id", "mark", "line")
+    groups = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
+    groups = work.save(groups.select("d1", "d2", "first"), "groups")
+    over = F.struct("late", "id", "mark", (F.col("line") - 1).alias("line")) == F.col("first")
+    same = found.join(groups, ["d1", "d2"]).where((place != F.col("first")) & ~((F.col("n_lines") == 2) & over))
+    return same.select(*_KEYS, F.col("line").alias("from_line"), "n_lines")
+
+
+def without_repeats(docs: DataFrame, work: Workspace, passages: bool = False) -> DataFrame:
     """doc_id, text, n_lines, removed_lines, removed_chunks for every row of ``docs`` (doc_id, text).
 
     Repeated chunks of at least two lines are taken out everywhere but at their first place in the corpus (smallest
     doc_id, nulls last); the lines left are joined again. Rows that repeat doc_id and text are one document and keep
     alike. Null texts count as empty; a text without line end is one line and never a chunk; a document of repeated
     chunks only has an empty text. An empty table gives no rows; other columns are ignored.
+
+    With ``passages``, every repeated run of two or more lines goes whole, wherever the chunks end, and so does every
+    repeated line of more than LONG_WORDS words, also one that is the whole text; removed_chunks then counts the runs
+    of lines that are gone.
     """
     rows = _keyed(docs)
-    gone = repeated_chunks(rows, work).groupBy(*_KEYS).agg(F.collect_list(F.struct("from_line", "n_lines")).alias("gone"))
+    repeats = repeated_passages(rows, work) if passages else repeated_chunks(rows, work)
+    gone = repeats.groupBy(*_KEYS).agg(F.collect_set(F.struct("from_line", "n_lines")).alias("gone"))
     # The places grow with the corpus, so they are never broadcast: texts meet them in one shuffle at every size.
     joined = rows.join(work.save(gone, "gone").hint("merge"), _KEYS, "left")
     joined = joined.select(F.when(~F.col("late"), F.col("id")).alias("doc_id"), "text", "gone")
@@ -152,7 +217,7 @@ def without_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
                     texts.append("\n".join(line for line, d in zip(lines, drop, strict=True) if not d) if gone else text)
                     sizes.append(len(lines))
                     lost.append(int(drop.sum()))
-                    times.append(len(gone or ()))
+                    times.append(int(np.diff(drop, prepend=False)[drop].sum()) if passages else len(gone or ()))
                 longs = [pa.array(x, pa.int64()) for x in (sizes, lost, times)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(texts, pa.string()), *longs],

@@ -19,7 +19,7 @@ def op2_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = line_chunks.without_repeats(table(spark, folder, "documents"), workspace(spark))
+    cleaned = line_chunks.without_repeats(table(spark, folder, "documents"), workspace(spark), passages=True)
     return cleaned.select(
         "doc_id",
         "n_lines",

@@ -242,6 +242,54 @@ def test_line_chunks_of_odd_rows(documents, work):
     assert got == sorted([(1, False), (1, False), (None, True), (0, False)], key=str)
 
 
+def plain_passages(rows):
+    """Every line that lies in a run of two lines, or is a long line, that an earlier place has too."""
+    seen, gone = {}, {}
+    for i, text in sorted(rows):
+        lines = (text or "").split("\n")
+        drop = [False] * len(lines)
+        for k in range(len(lines)):
+            for n in (1, 2):
+                piece = tuple(lines[k : k + n])
+                if len(piece) == n and (n == 2 or len(piece[0].split()) > 50):
+                    first = seen.setdefault(piece, (i, k))
+                    if first != (i, k) and not (n == 2 and first == (i, k - 1)):
+                        drop[k : k + n] = [True] * n
+        gone[i] = drop
+    return gone
+
+
+def test_repeated_passages_go_whole(documents, work):
+    """Shared runs of 1 to 12 lines with other lines around: recall 1 against brute force, and nothing else goes."""
+    rng = random.Random(4)
+    shared = ["\n".join(words(100 * k + j, 60 if k < 3 else 12, 9000) for j in range(1 + k // 3)) for k in range(36)]
+    rows = []
+    for i in range(180):
+        own = [f"own {i} {k} {words(i * 50 + k, 8)}" for k in range(rng.randrange(2, 9))]
+        own.insert(rng.randrange(1, len(own)), shared[i % len(shared)])
+        rows.append((i, "\n".join(own)))
+    rows += [(500, words(7, 60)), (501, words(7, 60)), (502, "short line"), (503, "short line"), (504, None), (505, "\n"), (506, "same\n" * 9 + "end")]
+    rows += [(507, "x\n" + "same\n" * 3 + "y"), (508, rows[3][1])]
+    got = {r.doc_id: r for r in line_chunks.without_repeats(documents(rows), work, passages=True).collect()}
+    for i, drop in plain_passages(rows).items():
+        lines = (dict(rows)[i] or "").split("\n")
+        assert got[i].text == "\n".join(x for x, d in zip(lines, drop, strict=True) if not d)
+        assert (got[i].n_lines, got[i].removed_lines) == (len(lines), sum(drop))
+        assert got[i].removed_chunks == sum(d and not b for b, d in itertools.pairwise([False, *drop]))
+    for i in range(len(shared), 180):  # every later copy of a passage is gone as a whole, its surroundings are not
+        assert got[i].removed_lines == len(shared[i % len(shared)].split("\n"))
+    assert (got[501].text, got[503].text, got[508].text) == ("", "short line", "")
+
+
+def test_op3_takes_out_repeated_passages(spark):
+    from lakemart.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = {r.doc_id: r.removed_lines for r in queries.QUERIES["op3_line_chunks"](spark, folder).collect()}
+    assert got == {i: sum(drop) for i, drop in plain_passages(rows).items()}
+
+
 def test_boundaries_resist_shifts():
     lines = hashing.mix(np.arange(400, dtype=np.uint64))
     whole = set(line_chunks.boundaries(lines).tolist())
