@@ -15,7 +15,7 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
-    return spotsigs.with_next(table(spark, folder, "documents"), workspace(spark))
+    return spotsigs.with_next(table(spark, folder, "documents"), workspace(spark), cover=True)
 
 
 def op3_line_chunks(spark: SparkSession, folder: str) -> DataFrame:

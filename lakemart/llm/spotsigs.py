@@ -1,8 +1,9 @@
 """SpotSigs fingerprints, with DataFrame functions only.
 
 Every common word (anchor) starts a chain of the next content words, whatever common words lie between; the chains of a
-text are its signatures, and two texts are as alike as their signature sets (Jaccard). Sets whose sizes differ too much
-cannot be alike, so near pairs are sought inside neighbouring partitions of set length, through the rarest signatures.
+text are its signatures, and two texts are as alike as their signature sets (Jaccard). Content words behind the last
+chain before the next common word can be covered too, by chains that end at content-defined words, so that all of a
+text counts. Sets whose sizes differ too much cannot be alike, so near pairs are sought inside neighbouring partitions of set length, through the rarest signatures.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from lakemart.llm.tables import running_total, text_or_empty
 from lakemart.sources.lake import Workspace
 
 CHAIN = 3
+DIVISOR = 4
 # Common words of English, French, German and Spanish, the anchors.
 ANCHORS = tuple(
     sorted(
@@ -35,11 +37,14 @@ _ANCHOR, _ANCHORED = "\x01", "\x01 "
 _CUT = r"[^\p{L}\p{N}]+"
 
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
+def signatures(text: Column, chain: int = CHAIN, cover: bool = False) -> Column:
     """Sorted distinct signatures of a text, as longs.
 
     Words are runs of letters and digits, lower-cased. The start of the text counts as an anchor. A text without
-    content words has one signature, that of the whole text; an empty text has none.
+    content words has one signature, that of the whole text; an empty text has none. With ``cover``, the words of a
+    stretch that no chain reaches (beyond ``chain`` words from the common word before) are cut behind every word whose
+    hash leaves 0 by DIVISOR, and every part is one more signature: each content word is in some signature, and an
+    edited word changes those of its own part only.
     """
     lower = F.lower(text)
     words = F.filter(F.split(lower, _CUT), lambda w: w != "")
@@ -52,7 +57,15 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
         spelled = F.transform(places, lambda i: F.translate(F.array_join(F.slice(c, i, chain), " "), _ANCHOR, ""))
         return F.transform(F.filter(spelled, lambda s: s != ""), lambda s: F.xxhash64(s))
 
+    def rest(stretch: Column) -> Column:
+        beyond = F.slice(F.filter(F.split(stretch, " "), lambda w: w != ""), chain + 1, 1 << 30)
+        ended = F.transform(beyond, lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(DIVISOR)) == 0, F.concat(w, F.lit(_ANCHOR))).otherwise(w))
+        parts = F.transform(F.split(F.array_join(ended, " "), _ANCHOR), lambda s: F.trim(s))
+        return F.transform(F.filter(parts, lambda s: s != ""), lambda s: F.xxhash64(s))
+
     found = F.transform(F.array(content), chains)[0]
+    if cover:
+        found = F.concat(found, F.flatten(F.transform(F.split(joined, _ANCHOR), rest)))
     found = F.transform(F.array(found), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(lower))))[0]
     none = F.array().cast("array<long>")
     return F.when(F.length(text) == 0, none).otherwise(F.array_sort(F.array_distinct(found)))
@@ -87,13 +100,14 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     return spread.select("late", "id", "digest", "copy", "text"), ["late", "id", "digest", "copy"]
 
 
-def with_next(docs: DataFrame, work: Workspace, chain: int = CHAIN) -> DataFrame:
+def with_next(docs: DataFrame, work: Workspace, chain: int = CHAIN, cover: bool = False) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness; see ``edited``.
 
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures for every row
     of ``docs`` (doc_id, text). The next document is that with the next smaller doc_id, after the smallest the largest;
     null doc_ids come last, rows with equal doc_id by digest. In a table of one row the next document is the row
-    itself. Null texts count as empty; an empty table gives no rows; other columns are ignored.
+    itself. Null texts count as empty; an empty table gives no rows; other columns are ignored. ``cover`` is that of
+    ``signatures``.
     """
     rows, keys = _keyed(docs)
     order = ["late", "down", *keys[2:]]
@@ -108,14 +122,14 @@ def with_next(docs: DataFrame, work: Workspace, chain: int = CHAIN) -> DataFrame
         *[F.col(f"to_{k}").alias(k) for k in keys],
         F.substring(F.col("text"), F.lit(1), F.col("third")).alias("head"),
         F.col("third").alias("third"),
-        signatures(F.col("text"), chain).alias("next_sigs"),
+        signatures(F.col("text"), chain, cover).alias("next_sigs"),
     )
     n = F.length("text")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.col("third")), F.col("head"))
     both = rows.join(lent, keys).select(
-        *keys, n.cast("long").alias("n_chars"), edited.alias("edited"), "next_sigs", signatures(F.col("text"), chain).alias("sigs")
+        *keys, n.cast("long").alias("n_chars"), edited.alias("edited"), "next_sigs", signatures(F.col("text"), chain, cover).alias("sigs")
     )
-    both = both.withColumn("edited_sigs", signatures(F.col("edited"), chain))
+    both = both.withColumn("edited_sigs", signatures(F.col("edited"), chain, cover))
     return both.select(
         F.when(~F.col("late"), F.col("id")).alias("doc_id"),
         "n_chars",

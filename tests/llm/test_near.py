@@ -166,6 +166,54 @@ def test_spotsigs_of_next(documents, work):
         assert (got[i].fingerprint == got[i].edited_fingerprint) == (own == new)
 
 
+def covering_signatures(text, ending):
+    """The plain signatures, and the parts of every stretch behind its first CHAIN content words."""
+    found, stretch, parts = plain_signatures(text), [], []
+    for w in [*(w for w in re.split(r"[^\w]|_", (text or "").lower()) if w), None]:
+        if w is None or w in spotsigs.ANCHORS:
+            part = []
+            for k, c in enumerate(stretch[spotsigs.CHAIN :], spotsigs.CHAIN + 1):
+                part.append(c)
+                if c in ending or k == len(stretch):
+                    parts.append(" ".join(part))
+                    part = []
+            stretch = []
+        else:
+            stretch.append(w)
+    return found | set(parts)
+
+
+def test_spotsigs_cover_all_of_a_text(spark, documents, work):
+    rng = random.Random(6)
+    vocabulary = ["the", "of", *[f"v{k}" for k in range(60)]]
+    rows = [(7 * k, t) for k, t in enumerate(PROSE)]
+    rows += [(1000 + k, " ".join(rng.choices(vocabulary[2 * (k % 2) :], k=rng.randrange(1, 90)))) for k in range(60)]
+    table = [f"v{k}" for k in range(40)]  # no common words; every copy differs in one word behind the third
+    rows += [(3000 + k, " ".join([*table[:k], "other", *table[k + 1 :]])) for k in range(3, 40)]
+    every = {w for _, t in rows for w in re.split(r"[^\w]|_", (t or "").lower())}
+    hashed = spark.createDataFrame([(w,) for w in every], "w string").selectExpr("w", f"pmod(xxhash64(w), {spotsigs.DIVISOR}) h").collect()
+    ending = {r.w for r in hashed if r.h == 0}
+    got = {r.doc_id: r for r in spotsigs.with_next(documents(rows), work, cover=True).collect()}
+    order = sorted(rows, reverse=True)
+    for (i, text), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        own, other = covering_signatures(text, ending), covering_signatures(after, ending)
+        assert got[i].n_signatures == len(own)
+        assert got[i].near_next == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
+    assert len({got[i].fingerprint for i in range(3003, 3040)}) == 37
+    assert all(0.4 < got[i].near_next < 1 for i in range(3004, 3040))
+
+
+def test_op2_reads_beyond_the_chains(spark):
+    from lakemart.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = {r.doc_id: r.n_signatures for r in queries.QUERIES["op2_spotsigs"](spark, folder).collect()}
+    plain = {i: len(plain_signatures(t)) for i, t in texts.items()}
+    assert all(got[i] >= n for i, n in plain.items())
+    assert sum(got.values()) > 1.2 * sum(plain.values())
+
+
 def test_spotsigs_of_odd_rows(documents, work):
     assert spotsigs.with_next(documents([]), work).count() == 0
     (one,) = spotsigs.with_next(documents([(1, "the only text here")]), work).collect()
