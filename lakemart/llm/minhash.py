@@ -97,9 +97,10 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split(" ") for field in ddl.split(", "))])
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """Set size, set fingerprint and band keys of every document."""
-    schema = _arrow(_SKETCH)
+def sketches(docs: DataFrame, *carry: str) -> DataFrame:
+    """Set size, set fingerprint and band keys of every document, and the long columns named in ``carry``."""
+    ddl = ", ".join([_SKETCH, *[f"{name} long" for name in carry]])
+    schema = _arrow(ddl)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,11 +114,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                     for i, keys in zip(full, band_keys(np.stack([signature(sets[i]) for i in full])).tolist(), strict=True):
                         bands[i] = keys
                 columns = [part.column("doc_id").to_pylist(), [len(s) for s in sets], [m[0] for m in marks], [m[1] for m in marks]]
+                columns += [bands, *[part.column(name).to_pylist() for name in carry]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip([*columns, bands], schema, strict=True)], schema=schema
+                    [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, _SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(task, ddl)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -219,6 +221,9 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
     return both.applyInArrow(group, "a long, b long")
 
 
+_MARK = ["n_shingles", "s1", "s2"]
+
+
 def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -230,8 +235,16 @@ def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) ->
     with a chance below 5e-7; all other steps are exact.
     """
     drawn = work.save(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    mark = ["n_shingles", "s1", "s2"]
-    nodes = drawn.where("n_shingles > 0").groupBy(*mark).agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
+    out = drawn.select("doc_id", *_MARK).join(_classes(docs, drawn, work, threshold), _MARK, "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+
+
+def _classes(docs: DataFrame, drawn: DataFrame, work: Workspace, threshold: int) -> DataFrame:
+    """Every set that is not empty (size and fingerprints) with its label, unlike in all components, and component_id."""
+    nodes = drawn.where("n_shingles > 0").groupBy(*_MARK).agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
     nodes = work.save(nodes.join(drawn.select(F.col("row").alias("node"), "bands"), "node"), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -249,16 +262,12 @@ def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) ->
     members = marked.join(several.select("hub"), "hub", "left_semi").join(sets, "node")
     more = work.save(_across(members, threshold).distinct(), "more_links")
     joined = components(links.unionByName(more), work)
-    named = nodes.select(*mark, "node", "first_id").join(joined, "node", "left")
+    named = nodes.select(*_MARK, "node", "first_id").join(joined, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))
     firsts = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    classes = work.save(named.join(firsts, "label").select(*mark, "component_id"), "classes")
+    classes = work.save(named.join(firsts, "label").select(*_MARK, "label", "component_id"), "classes")
     work.drop("nodes", "shared", "wanted", "sets", "sets_once", "links", "marked", "more_links")
-    out = drawn.select("doc_id", *mark).join(classes, mark, "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    return classes
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, work: Workspace) -> DataFrame:
@@ -277,6 +286,17 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, work: Workspa
 
 
 def distinct_docs(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; rows without a doc_id cannot be named and all stay."""
-    lost = work.save(near_groups(docs, work, threshold).where("not kept").select("doc_id"), "lost")
-    return docs.join(lost.distinct().hint("merge"), "doc_id", "left_anti")
+    """One row of each component of ``near_groups``, with all its columns; rows without shingles all stay.
+
+    Rows are told apart by doc_id and set, so a doc_id that occurs with several texts, or none at all, is no hindrance:
+    of a component the smallest doc_id stays (nulls last), of its texts the one with the smallest set fingerprint, and
+    of rows equal in both any one.
+    """
+    rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    drawn = work.save(sketches(rows, "_row").withColumnRenamed("_row", "row"), "sketches")
+    classes = _classes(docs, drawn, work, threshold)
+    sets = drawn.where("n_shingles > 0").select("row", F.col("doc_id").isNull().alias("late"), "doc_id", *_MARK).join(classes, _MARK)
+    first = F.min(F.struct("late", "doc_id", *_MARK, "row"))
+    kept = sets.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias("_row"))
+    kept = work.save(kept.unionByName(drawn.where("n_shingles = 0").select(F.col("row").alias("_row"))), "kept")
+    return rows.join(kept.hint("merge"), "_row", "left_semi").drop("_row")

@@ -90,6 +90,15 @@ def test_distinct_docs_leaves_one_of_each_group(documents, work):
     assert kept == {i for i, c in label.items() if i == c}
 
 
+def test_distinct_docs_of_odd_rows(documents, work):
+    """Rows are told apart by their texts where doc_ids repeat or are null, and one of each group stays."""
+    same, twin = words(1, 40), words(2, 40, 5000)
+    rows = [(3, same), (4, same), (4, twin), (None, words(3, 40)), (None, words(3, 40)), (5, same), (5, same), (None, same)]
+    rows += [(8, twin), (8, twin + " "), (None, None), (9, ""), (9, " ")]
+    got = [(r.doc_id, r.text and r.text.strip()) for r in minhash.distinct_docs(documents(rows), work).collect()]
+    assert sorted(got, key=str) == sorted([(3, same), (4, twin), (None, words(3, 40)), (None, None), (9, ""), (9, "")], key=str)
+
+
 def test_circulant_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     for share in (0.3, 0.85):
