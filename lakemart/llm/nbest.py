@@ -268,7 +268,14 @@ def encode(docs: DataFrame, path: str, n: int = N_BEST, others: bool = False, ca
                     pa.array(np.concatenate([f[0] for f in found]), pa.int32()),
                 )
                 scores = pa.array([f[1] for f in found], _ENCODED[1][1])
-                rest = pa.array([[x.tolist() for x in f[2][1:]] for f in found], _ENCODED[2][1])
+                lists = [x for f in found for x in f[2][1:]]
+                inner = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64)), pa.int32()),
+                    pa.array(np.concatenate([np.zeros(0, np.int32), *lists]), pa.int32()),
+                )
+                rest = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum([len(f[2]) - 1 for f in found])), pa.int32()), inner
+                )
                 columns = [part.column(name) for name in names]
                 yield pa.RecordBatch.from_arrays([*columns, ids, scores, rest], [*names, *[f[0] for f in _ENCODED]])
 
@@ -278,36 +285,47 @@ def encode(docs: DataFrame, path: str, n: int = N_BEST, others: bool = False, ca
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """Per document: n_pieces, ids_crc32, scores of the best, second and last segmentation, whether ids decode exactly."""
+    """Per document: n_pieces, ids_crc32, scores of the best, second and last segmentation, whether ids decode exactly.
+
+    n_lists counts the id lists at hand, the best first; lengths, crc32s and round_trips have one entry for each.
+    """
     import zlib
 
+    schema = "doc_id long, scores array<double>, lengths array<long>, crc32s array<long>, round_trips array<boolean>"
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surface = segmenter(path).pieces.surface
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lists, texts = part.column("ids"), part.column("text").to_pylist()
-                flat, offsets = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
-                own = [flat[a:b] for a, b in itertools.pairwise(offsets.tolist())]
+                lengths, crcs, exact = [], [], []
+                for ids, rest, text in zip(part.column("ids"), part.column("others"), part.column("text").to_pylist(), strict=True):
+                    own = [ids.values.to_numpy(), *(x.values.to_numpy() for x in rest)]
+                    lengths.append([len(x) for x in own])
+                    crcs.append([zlib.crc32(x.astype("<u4")) for x in own])
+                    exact.append([decode(x.tolist(), surface) == text for x in own])
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
-                        "n_pieces": pa.array([len(x) for x in own], pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(x.astype("<u4")) for x in own], pa.int64()),
                         "scores": part.column("scores"),
-                        "round_trip": pa.array([decode(x.tolist(), surface) == t for x, t in zip(own, texts, strict=True)], pa.bool_()),
+                        "lengths": pa.array(lengths, pa.list_(pa.int64())),
+                        "crc32s": pa.array(crcs, pa.list_(pa.int64())),
+                        "round_trips": pa.array(exact, pa.list_(pa.bool_())),
                     }
                 )
 
-    schema = "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean"
-    read = encoded.select("doc_id", "text", "ids", "scores").mapInArrow(task, schema)
+    read = encoded.select("doc_id", "text", "ids", "scores", "others").mapInArrow(task, schema)
     return read.select(
         "doc_id",
-        "n_pieces",
-        "ids_crc32",
+        F.get("lengths", F.lit(0)).alias("n_pieces"),
+        F.get("crc32s", F.lit(0)).alias("ids_crc32"),
         F.get("scores", F.lit(0)).alias("best_score"),
         F.get("scores", F.lit(1)).alias("second_score"),
         F.size("scores").alias("n_scores"),
         F.element_at("scores", -1).alias("last_score"),
-        "round_trip",
+        F.get("round_trips", F.lit(0)).alias("round_trip"),
+        F.size("lengths").alias("n_lists"),
+        "lengths",
+        "crc32s",
+        "round_trips",
     )

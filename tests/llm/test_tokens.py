@@ -143,3 +143,19 @@ def test_query_counts_all_documents(spark):
     got = queries.QUERIES["op8_nbest"](spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200
     assert all(r.round_trip and r.best_score >= r.second_score >= r.last_score for r in got)
+
+
+def test_query_gives_every_segmentation(spark):
+    """op8 reports all n id lists; they are those of a segmenter in this process, and every one decodes."""
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    own = nbest.segmenter(PIECE_PATH, nbest.N_BEST, True)
+    got = queries.QUERIES["op8_nbest"](spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ((_, scores, lists),) = own.segment([texts[r.doc_id]])
+        assert r.n_lists == r.n_scores == len(scores)
+        assert r.lengths == [len(x) for x in lists]
+        assert r.crc32s == [zlib.crc32(x.astype("<u4")) for x in lists]
+        assert all(r.round_trips)
+    assert sum(r.n_lists == nbest.N_BEST for r in got) > 190
