@@ -111,4 +111,82 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(b, w.d
 from w left join n on w.doc_id = n.doc_id left join nearest on w.doc_id = a
 """
 
-ORACLES = {"op1_minhash": _NEAR, "op5_exact_dedup": _EXACT, "op9_mixing": _MIX, "op10_chat_format": _CHAT}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DIVERGENCE = rf"""
+with d as (
+    select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all({_LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+    from documents
+),
+w as (select doc, lang, source, unnest(words) as term from d),
+counts as (select lang, source, term, count(*)::hugeint as n, count(distinct doc) as docs from w group by all),
+kept as (select lang, term, sum(n)::hugeint as n from counts group by all having sum(docs) >= 3),
+sizes as (select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by all),
+sources as (select distinct lang, source from d),
+full_counts as (
+    select s.lang, s.source, k.term, coalesce(c.n, 0)::hugeint as n, k.n as lang_n
+    from sources s join kept k on s.lang = k.lang
+    left join counts c on c.lang = s.lang and c.source = s.source and c.term = k.term
+),
+totals as (select lang, source, sum(n)::hugeint as total from full_counts group by all),
+p as (
+    select f.lang, f.source, f.term, f.n,
+           1 + (1000000000::hugeint * (f.n + 1)) // (t.total + z.v) as p,
+           1 + (1000000000::hugeint * (f.lang_n + 1)) // (z.total + z.v) as lang_p
+    from full_counts f join totals t on t.lang = f.lang and t.source = f.source join sizes z on z.lang = f.lang
+),
+summed as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term group by all
+),
+found as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+    from sources a join sources b on a.lang = b.lang and a.source <> b.source
+    left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source
+    union all
+    select lang, source, 'term', term, ((p - lang_p) * (p - lang_p) // lang_p)::bigint from p where n > 0 and p > lang_p
+),
+ranked as (
+    select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from found
+)
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
+_SEARCH = rf"""
+with d as (
+    select row_number() over () as doc, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as words
+    from documents
+),
+whole as (select count(*) filter (len(words) > 0) as docs, sum(len(words))::bigint as words from d),
+tfs as (select doc, term, count(*) as tf from (select doc, unnest(words) as term from d) group by all),
+dfs as (select term, count(*) as df from tfs group by all),
+queries as (
+    select item_id, term, count(*) as repeats
+    from (select item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+    group by all
+),
+weighted as (
+    select item_id, q.term, repeats * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as weight
+    from queries q join dfs f on q.term = f.term cross join whole
+),
+sizes as (select doc, doc_id, 25 + (75 * len(d.words) * w.docs) // w.words as m from d cross join whole w),
+scored as (
+    select item_id, doc, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+    from weighted w join tfs t on w.term = t.term join sizes s using (doc) group by all
+),
+ranked as (
+    select item_id, (row_number() over (partition by item_id order by score desc, doc_id nulls first))::int as rank, doc_id, score
+    from scored join d using (doc) where score > 0
+)
+select * from ranked where rank <= 10
+"""
+
+ORACLES = {
+    "op1_minhash": _NEAR,
+    "op5_exact_dedup": _EXACT,
+    "op9_mixing": _MIX,
+    "op10_chat_format": _CHAT,
+    "op11_divergence": _DIVERGENCE,
+    "op13_ball_search": _SEARCH,
+}

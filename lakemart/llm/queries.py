@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat_format, exact_dedup, line_chunks, minhash, mixing, nbest, quality, spotsigs, token_files, toxicity
+from lakemart.llm import (
+    ball_search,
+    byte_bpe,
+    chat_format,
+    divergence,
+    exact_dedup,
+    line_chunks,
+    minhash,
+    mixing,
+    nbest,
+    quality,
+    spotsigs,
+    token_files,
+    toxicity,
+)
 from lakemart.llm.oracle import ORACLES
 from lakemart.llm.tables import table, workspace
 
@@ -79,6 +93,23 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(written)
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"), workspace(spark))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    workspace(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return byte_bpe.digests(byte_bpe.encode(table(spark, folder, "documents"), path, decoded=True))
+
+
+def op13_ball_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return ball_search.search(docs, items, workspace(spark))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_spotsigs": op2_spotsigs,
@@ -90,4 +121,7 @@ QUERIES = {
     "op8_nbest": op8_nbest,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
+    "op11_divergence": op11_divergence,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_ball_search": op13_ball_search,
 }
