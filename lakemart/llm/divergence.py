@@ -21,7 +21,7 @@ from lakemart.sources.lake import Workspace
 NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 ONE = 1_000_000_000
 LEAST_DOCS, TOP = 3, 200
-SLICE_BYTES, HELD_ROWS, SHARD_CELLS, BLOCK_CELLS = 8 << 20, 1 << 20, 1 << 21, 1 << 20
+SLICE_BYTES, HELD_ROWS, SHARD_CELLS, BLOCK_CELLS = 8 << 20, 1 << 20, 1 << 18, 1 << 18
 
 _PARTIAL = pa.schema(
     [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]
