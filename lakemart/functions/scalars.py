@@ -17,6 +17,7 @@ AMOUNT = "decimal(38,2)"  # one line or document
 TOTAL = "decimal(38,2)"  # a sum of lines
 HOURS = "decimal(18,2)"
 RATE = "decimal(18,6)"
+SHARE = "decimal(18,4)"  # a discount or another share, which counts to four digits
 
 # Characters that trimming removes (blank, tab, line feed, return, vertical tab, form feed).
 _BLANKS = r" \t\n\r\u000B\u000C"

@@ -62,7 +62,8 @@ def revenue_daily(silver: Tables) -> DataFrame:
 def product_performance(silver: Tables) -> DataFrame:
     """Sales per product, cancelled orders included; products never sold stay with empty sums.
 
-    The unit cost is one value per product, so profit follows from the summed quantity after the aggregation.
+    The unit cost is one value per product, so profit follows from the summed quantity after the aggregation. A line
+    whose sales are unknown has no profit either, so its quantity costs nothing.
     """
     sold = (
         silver["order_items"]
@@ -70,6 +71,7 @@ def product_performance(silver: Tables) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("orders"),
             F.sum("quantity").alias("units_sold"),
+            F.expr("sum(if(net_sales is null, null, quantity))").alias("priced_units"),
             _sum("net_sales").alias("revenue"),
             F.sum("discount_pct").alias("discount"),
             F.count("discount_pct").alias("lines"),
@@ -86,7 +88,7 @@ def product_performance(silver: Tables) -> DataFrame:
             "coalesce(orders, 0) as orders",
             "units_sold",
             "revenue",
-            f"cast(revenue - cast(units_sold as {COUNT}) * unit_cost as {TOTAL}) as gross_profit",
+            f"cast(revenue - cast(priced_units as {COUNT}) * unit_cost as {TOTAL}) as gross_profit",
             f"{ratio('discount', 'lines', 4)} as avg_discount_pct",
         )
     )

@@ -15,6 +15,7 @@ from lakemart.functions.scalars import (
     COUNT,
     PRICE,
     RATE,
+    SHARE,
     assign,
     holds,
     hours_between,
@@ -90,13 +91,13 @@ def orders(frame: DataFrame, order_by: Order = None) -> DataFrame:
 
 
 def order_items(frame: DataFrame, order_by: Order = None) -> DataFrame:
-    """Net sales start from the rounded gross sales."""
+    """Net sales start from the rounded gross sales and the discount, rounded to four digits."""
     typed = assign(
         _first_copies(frame, "order_items", order_by),
         {
             "quantity": parse_long(frame, "quantity"),
             "unit_price": parse_decimal("unit_price", PRICE),
-            "discount_pct": parse_or_zero("discount_pct", RATE),
+            "discount_pct": f"try_cast({parse_or_zero('discount_pct', SHARE)} as {RATE})",
         },
     )
     gross = assign(typed, {"gross_sales": times(f"cast(quantity as {COUNT})", "unit_price", AMOUNT)})
