@@ -6,17 +6,22 @@ one. Lines that are no JSON are kept apart. Every event has an offset, its posit
 batches. A run then releases the next events in offset order, at most as many as its cap, into a folder of its own and
 writes a ledger row for them; freshness and offset columns are read from the ledger. Landing is stateless: late events
 are kept, repeated ones are left to the exact dedup in silver.
+
+A topic can be a folder into which finished files are dropped (``file_topic``), Kafka (``kafka_topic``), or a log that
+producers append to (``Landing.consume_log``), whose capped runs read no more lines than their cap.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.session import delete_folder
+from lakemart.sources import topic
 from lakemart.sources.lake import folders, path_exists, read_or_empty
 
 CORRUPT = "_corrupt_record"
@@ -46,7 +51,10 @@ _INBOX_SCHEMA = T.StructType(
 def file_topic(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, source: str = "json"
 ) -> DataFrame:
-    """Stream of the files dropped into a folder, with the place of each line; ``max_files`` caps one micro-batch."""
+    """Stream of the files dropped into a folder, with the place of each line; ``max_files`` caps one micro-batch.
+
+    Spark remembers whole files, so a file must be complete when it appears; ``Landing.consume_log`` reads growing ones.
+    """
     if source == "json":
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
@@ -77,12 +85,20 @@ def kafka_topic(
 
 def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Events from rows with value, partition and offset; a value that is no JSON object is kept as corrupt."""
-    text = F.col("value").cast("string")
+    source = F.lpad(F.col("partition").cast("string"), 6, "0")
+    return _parsed(messages, F.col("value").cast("string"), schema, source, F.col("offset"))
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Events from the lines of a topic log, whose place is their file and first byte."""
+    text = F.regexp_replace(F.col("value").cast("string"), r"[\r\n]+$", "")
+    return _parsed(lines, text, schema, F.col("file"), F.col("place"))
+
+
+def _parsed(rows: DataFrame, text: Column, schema: T.StructType, source: Column, block: Column) -> DataFrame:
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     event = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(
-        event.alias("event"), F.lpad(F.col("partition").cast("string"), 6, "0").alias(SOURCE), F.col("offset").alias(BLOCK)
-    ).select("event.*", SOURCE, BLOCK)
+    return rows.select(event.alias("event"), source.alias(SOURCE), block.alias(BLOCK)).select("event.*", SOURCE, BLOCK)
 
 
 class Landing:
@@ -108,6 +124,97 @@ class Landing:
         query.awaitTermination()
         return self.release(events.drop(CORRUPT, SOURCE, BLOCK).schema, max_events)
 
+    def consume_log(
+        self,
+        path: str,
+        schema: T.StructType,
+        max_events: int | None = None,
+        piece: int = topic.PIECE,
+        cell: int = topic.CELL_LINES,
+    ) -> int:
+        """Receive what was appended to a topic log, and release it; returns the number of events released.
+
+        ``path`` is a file of JSON lines or a folder of such files, taken in the order of their names; it need not be
+        there yet. With ``max_events`` the run reads just so many lines: the places of every ``cell``-th line are
+        indexed once, by Spark, so the byte behind the last admitted line is found without reading the backlog again.
+        A run that was killed is finished first, with the very lines it had planned, and admits no others.
+        """
+        known, complete = self._planned()
+        until = topic.finished(path, known) if complete else known
+        if complete and max_events is not None:
+            until = self._admitted(path, known, until, max_events, piece, cell)
+        if until != known or not complete:
+            lines = topic.line_stream(self.spark, path, known, until, piece)
+            return self.consume(parse_lines(lines, schema), max_events)
+        return self.release(schema, max_events)
+
+    def _planned(self) -> tuple[dict[str, int], bool]:
+        """Positions up to which batches have been planned, and whether the last of them is complete."""
+        planned = sorted(map(int, self._numbered("offsets")))
+        if not planned:
+            return {}, True
+        text = self.spark.read.text(self._path(f"checkpoint/offsets/{planned[-1]}"), wholetext=True).first()[0]
+        return json.loads(text.splitlines()[-1]), str(planned[-1]) in self._numbered("commits")
+
+    def _numbered(self, name: str) -> set[str]:
+        """Names of the numbered files in one folder of the checkpoint."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(f"checkpoint/{name}/[0-9]*"))
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return {str(status.getPath().getName()) for status in found or []}
+
+    def _admitted(
+        self, path: str, known: dict[str, int], ends: dict[str, int], most: int, piece: int, cell: int
+    ) -> dict[str, int]:
+        """Positions behind the next ``most`` lines, by the index of the lines that wait."""
+        cells = self._index(path, known, ends, piece, cell)
+        before = F.sum("lines").over(Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1))
+        # One row for ``cell`` lines that wait, and only those up to the cap come to the driver as one row per file.
+        placed = cells.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most)
+        whole = F.col("before") + F.col("lines") <= most
+        reached = placed.groupBy("file").agg(
+            F.max(F.when(whole, F.col("stop"))).alias("stop"),
+            F.max(F.when(~whole, F.struct("start", "stop", (F.lit(most) - F.col("before")).alias("lines")))).alias("cut"),
+        )
+        until = dict(known)
+        for row in reached.collect():
+            until[row.file] = max(row.stop or 0, until.get(row.file, 0))
+            if row.cut is not None:
+                start = max(row.cut.start, until[row.file])
+                until[row.file] = topic.place_after(path, row.file, start, row.cut.stop, row.cut.lines)
+        return {name: place for name, place in sorted(until.items()) if place}
+
+    def _index(self, path: str, known: dict[str, int], ends: dict[str, int], piece: int, cell: int) -> DataFrame:
+        """Cells of the lines that wait, the first of them cut at what has been read. Only new bytes are indexed."""
+        parts = folders(self.spark, self._path("index"), "part")
+        whole = [p for p in parts if path_exists(self.spark, self._path(f"index/part={p}/_SUCCESS"))]
+        paths = [self._path(f"index/part={p}") for p in whole]
+        cells = self.spark.read.schema(topic.CELLS).parquet(*paths) if paths else None
+        seen = dict(known)
+        if cells is not None:
+            for row in cells.groupBy("file").agg(F.max("stop").alias("stop")).collect():
+                seen[row.file] = max(row.stop, seen.get(row.file, 0))
+        if any(seen.get(name, 0) < end for name, end in ends.items()):
+            fresh = topic.line_cells(self.spark, path, seen, ends, piece, cell)
+            part = self._path(f"index/part={hashlib.sha256(json.dumps(seen, sort_keys=True).encode()).hexdigest()[:32]}")
+            fresh.write.mode("overwrite").parquet(part)
+            paths.append(part)
+        if not paths:
+            return self.spark.createDataFrame([], topic.CELLS)
+        cells = self.spark.read.schema(topic.CELLS).parquet(*paths)
+        read = self.spark.createDataFrame(sorted(known.items()), "file string, read long")
+        waiting = cells.join(read, "file", "left").where(F.col("stop") > F.coalesce("read", F.lit(0)))
+        return self._cut_cells(path, waiting)
+
+    def _cut_cells(self, path: str, waiting: DataFrame) -> DataFrame:
+        """Cells with the part that was read taken off: at most one a file has such a part."""
+        partly = F.coalesce(F.col("read") > F.col("start"), F.lit(False))
+        rows = []
+        for row in waiting.where(partly).collect():
+            lines = topic.count_lines(path, row.file, row.read, row.stop)
+            rows.append((row.file, row.read, row.stop, lines))
+        rest = waiting.where(~partly).select("file", "start", "stop", "lines")
+        return rest.unionByName(self.spark.createDataFrame(rows, topic.CELLS)) if rows else rest
+
     # --- inbox ---------------------------------------------------------------------------------------------------
 
     def receive(self, batch: DataFrame, batch_id: int) -> None:
@@ -136,17 +243,24 @@ class Landing:
 
     @staticmethod
     def _number(rows: DataFrame, first: int) -> DataFrame:
-        """Add ``stream_offset``: the position by source, block and row, from ``first`` on."""
-        place = [F.col(SOURCE).asc_nulls_first(), F.col(BLOCK).asc_nulls_first()]
-        blocks = rows.groupBy(SOURCE, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+        """Add ``stream_offset``: the position by source, block and row, from ``first`` on.
+
+        Neighbouring blocks (bytes of a file, offsets of a Kafka partition) are counted together, 65,536 at a time, so
+        the counts that one task adds up are few however many blocks there are.
+        """
+        rows = rows.withColumn("_stretch", F.shiftright(BLOCK, 16))
+        place = [F.col(SOURCE).asc_nulls_first(), F.col("_stretch").asc_nulls_first()]
+        counts = rows.groupBy(SOURCE, "_stretch").agg(F.count(F.lit(1)).alias("_n"))
         ahead = F.sum("_n").over(Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1))
-        starts = blocks.select(F.col(SOURCE).alias("_s"), F.col(BLOCK).alias("_b"), F.coalesce(ahead, F.lit(0)).alias("_before"))
-        same = F.col(SOURCE).eqNullSafe(F.col("_s")) & F.col(BLOCK).eqNullSafe(F.col("_b"))
-        inside = F.row_number().over(Window.partitionBy(SOURCE, BLOCK).orderBy(ROW)) - 1
+        starts = counts.select(
+            F.col(SOURCE).alias("_s"), F.col("_stretch").alias("_b"), F.coalesce(ahead, F.lit(0)).alias("_before")
+        )
+        same = F.col(SOURCE).eqNullSafe(F.col("_s")) & F.col("_stretch").eqNullSafe(F.col("_b"))
+        inside = F.row_number().over(Window.partitionBy(SOURCE, "_stretch").orderBy(BLOCK, ROW)) - 1
         numbered = rows.withColumn("_inside", inside).join(starts, same)
         offset = (F.lit(first) + F.col("_before") + F.col("_inside")).cast("bigint")
         return numbered.withColumn("stream_offset", offset).drop(
-            "_s", "_b", "_before", "_inside", CORRUPT, SOURCE, BLOCK, ROW
+            "_s", "_b", "_before", "_inside", "_stretch", CORRUPT, SOURCE, BLOCK, ROW
         )
 
     def _query_id(self) -> str:
@@ -244,6 +358,10 @@ class Landing:
         old = self.spark.read.schema(schema).parquet(self._path(f"{name}_merged/upto={merged}"))
         return old.unionByName(rows.where(F.col("run_id") > merged))
 
+    def received(self) -> DataFrame:
+        """One row per micro-batch: its offsets, and how many lines of it were no JSON."""
+        return self._log()
+
     def ledger(self) -> DataFrame:
         return self._runs("ledger", LEDGER_SCHEMA)
 
