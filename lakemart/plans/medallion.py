@@ -1,7 +1,8 @@
 """Bronze, silver and gold as separate steps that hand over written tables; no step calls the one before it.
 
 Zones of a lake: ``bronze`` holds the clean raw rows, ``silver`` the entities, ``gold`` the marts, ``stream`` the landed
-topics, ``observability`` rejects, issues, counts and checks. What people download lies as CSV below ``exports``.
+topics, ``observability`` rejects, issues, counts and checks. Zone tables are versioned, so a reader sees a step's
+result before or after a rerun and nothing in between. What people download lies as CSV below ``exports``.
 Intermediate tables lie in the session's work folder until ``Run.close``.
 """
 
@@ -23,6 +24,7 @@ from lakemart.operators.contracts import (
 from lakemart.plans import marts, quality, silver
 from lakemart.sources import lake
 from lakemart.sources.model import CONTRACTS, TABLES, TableContract, raw_schema
+from lakemart.sources.versions import PublishedSpace
 from lakemart.streaming.landing import Landing
 
 
@@ -46,8 +48,12 @@ class Run:
     def path(self, zone: str, table: str) -> str:
         return f"{self.zone(zone)}/{table}"
 
-    def store(self, zone: str) -> lake.Workspace:
-        return lake.Workspace(self.spark, self.zone(zone))
+    def store(self, zone: str) -> PublishedSpace:
+        """The tables of a zone; a step that runs again publishes new versions, and the ones before stay readable."""
+        return PublishedSpace(self.spark, self.zone(zone))
+
+    def read(self, zone: str, table: str, version: int | None = None) -> DataFrame:
+        return self.store(zone).table(table).read(version)
 
     def write(self, frame: DataFrame, zone: str, table: str) -> DataFrame:
         return self.store(zone).save(frame, table)
@@ -178,7 +184,7 @@ def evaluate(run: Run, gold: Mapping[str, DataFrame], rules: quality.Rules = qua
     """Quality checks and scorecard over the tables that the steps before have written."""
 
     def observed(name: str) -> DataFrame:
-        return run.spark.read.parquet(run.path("observability", name))
+        return run.read("observability", name)
 
     absent = set(missing_outputs(run, rules.required_outputs))
     present = [name for name in rules.required_outputs if name not in absent]

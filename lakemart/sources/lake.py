@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -207,9 +208,22 @@ def write_csv(frame: DataFrame, path: str) -> None:
 
 
 def save_table(frame: DataFrame, name: str, path: str | None = None) -> None:
-    """Create or replace a catalog table from a query, in the warehouse or at a path of its own."""
-    writer = frame.write.mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    """Create or replace a catalog table from a query, below the warehouse or a path of its own.
+
+    The rows go to a new folder, and then the table is pointed at it: one change of the catalog where the columns stay.
+    A query that fails leaves the table as it was, and readers that have begun keep the rows they began with. Folders
+    of earlier contents stay until they are deleted.
+    """
+    spark = frame.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}"
+    folder = f"{base}/{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    if spark.catalog.tableExists(name):
+        if [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in frame.schema]:
+            spark.sql(f"alter table {name} set location '{folder}'")
+            return
+        spark.sql(f"drop table {name}")
+    spark.catalog.createTable(name, path=folder, source="parquet", schema=frame.schema)
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -87,7 +87,7 @@ def done(spark, tmp_path_factory):
 
 
 def observed(run, name):
-    return run.spark.read.parquet(run.path("observability", name))
+    return run.read("observability", name)
 
 
 def test_planted_defects_are_logged_with_their_row_numbers(done):
@@ -118,7 +118,7 @@ def test_summary_and_rejects(done):
         ("customers", 1), ("order_items", 1), ("orders", 2), ("payments", 1), ("products", 1), ("returns", 1),
         ("shipments", 1),
     ]
-    bronze = run.spark.read.parquet(run.path("bronze", "customers"))
+    bronze = run.read("bronze", "customers")
     assert bronze.where("email = 'duplicate@example.com'").count() == 0
     assert bronze.count() == 30
 
@@ -175,7 +175,7 @@ SILVER_COLUMNS = {
 @pytest.mark.parametrize("table", RAW_COLUMNS)
 def test_zones_hold_no_internal_columns(done, table):
     run, _, entities, *_ = done
-    assert run.spark.read.parquet(run.path("bronze", table)).columns == [*RAW_COLUMNS[table], *LABELS]
+    assert run.read("bronze", table).columns == [*RAW_COLUMNS[table], *LABELS]
     assert entities[table].columns == SILVER_COLUMNS[table]
 
 
