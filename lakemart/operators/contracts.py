@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.scalars import half_up, holds, is_blank, listed, literal, number, quoted
 from lakemart.sources.lake import Workspace
@@ -276,27 +277,248 @@ def validate_all(
     workspace: Workspace | None = None,
     target: Workspace | None = None,
 ) -> dict[str, Validation]:
-    """Validate tables after their parents; children see only the clean rows of their parents.
+    """Validate tables and their parents; children see only the clean rows of their parents.
 
-    With a workspace, the key sets and then the tables of one generation are written side by side, which cuts the
-    lineage for their children. Tables go to ``target`` where given. Without a workspace the whole cascade stays one
-    lazy plan.
+    Without a workspace the whole cascade stays one lazy plan, table by table. With one, rejection travels as keys: one
+    pass over the key columns of all tables finds repeated keys and orphans (``key_ledger``), then only keys that a
+    parent lost travel down the foreign keys, and the wide tables are marked once, side by side, at the end. They go
+    to ``target`` where given.
     """
+    chosen = {name: contracts[name] for name in contracts if name in raw}
+    groups = generations(chosen)
+    if workspace:
+        keys = _travelled_keys(raw, chosen, row_order, groups, workspace)
+        marked = settle([mark(raw[t], chosen[t], row_order[t], keys[t]) for t in chosen], target or workspace)
+        return {result.table: result for result in marked}
     done: dict[str, Validation] = {}
     clean: dict[str, DataFrame] = {}
-    for tables in generations({name: contracts[name] for name in contracts if name in raw}):
-        with ThreadPoolExecutor(len(tables)) as pool:  # with a workspace, each call writes its counts
-            found = pool.map(lambda t: offending_keys(raw[t], contracts[t], clean, row_order[t], workspace), tables)
-            keys = dict(zip(tables, found, strict=True))
-        if workspace:
-            saved = _save_sets(workspace, {name: frame for sets in keys.values() for name, frame in sets.items()})
-            keys = {t: {name: saved[name] for name in keys[t]} for t in tables}
-        marked = [mark(raw[t], contracts[t], row_order[t], keys[t]) for t in tables]
-        if workspace:
-            marked = settle(marked, target or workspace)
-        done.update({result.table: result for result in marked})
-        clean.update({result.table: result.clean() for result in marked})
-    return {name: done[name] for name in contracts if name in done}
+    for table in (name for group in groups for name in group):
+        done[table] = annotate(raw[table], chosen[table], clean, row_order[table])
+        clean[table] = done[table].clean()
+    return {name: done[name] for name in chosen}
+
+
+# --- the cascade as travelling keys ------------------------------------------------------------------------------
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_PARENT = 0  # the row holds the key itself; other numbers are bits of the foreign keys that mention it
+
+
+@dataclass(frozen=True)
+class _Link:
+    """A foreign key whose parent is validated too."""
+
+    table: str
+    column: str
+    parent: str
+    parent_column: str
+
+    @property
+    def set_name(self) -> str:
+        return f"{self.table}_{self.column}_orphans"
+
+
+@dataclass(frozen=True)
+class _Domain:
+    """Keys that are compared with each other: a key column of a table, as whole numbers or as text."""
+
+    table: str
+    column: str
+    as_text: bool
+
+
+def _links(raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]) -> list[_Link]:
+    return [
+        _Link(table, column, parent, parent_column)
+        for table, contract in contracts.items()
+        for column, (parent, parent_column) in contract.foreign_keys.items()
+        if column in raw[table].columns and parent in contracts and parent_column in raw[parent].columns
+    ]
+
+
+def _kind(frame: DataFrame, column: str) -> T.DataType:
+    return frame.schema[column].dataType
+
+
+def _key_text(frame: DataFrame, column: str) -> str:
+    """A key as text; both zeros of a floating number are one."""
+    zero = " + 0.0D" if isinstance(_kind(frame, column), (T.FloatType, T.DoubleType)) else ""
+    return f"string({quoted(column)}{zero})"
+
+
+def _domains(
+    raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract], links: Sequence[_Link]
+) -> tuple[dict[tuple[str, str], _Domain], dict[_Link, _Domain]]:
+    """The domain of every unique column, by table and column, and of every foreign key."""
+
+    def whole(table: str, column: str) -> bool:
+        return isinstance(_kind(raw[table], column), _WHOLE)
+
+    unique = {
+        (table, column): _Domain(table, column, not whole(table, column))
+        for table, contract in contracts.items()
+        for column in contract.unique
+        if column in raw[table].columns
+    }
+    of_links = {
+        link: _Domain(
+            link.parent, link.parent_column, not (whole(link.table, link.column) and whole(link.parent, link.parent_column))
+        )
+        for link in links
+    }
+    return unique, of_links
+
+
+def key_ledger(raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]) -> DataFrame:
+    """domain, number or text of a key, copies (rows that hold it), mentions (bits of the foreign keys that name it).
+
+    Every table is read once, for its key columns only; its rows are spread over the domains and counted before the
+    shuffle, so hot keys travel once a task. Domains and bits are numbered as in ``_Numbers``.
+    """
+    numbers = _Numbers(raw, contracts)
+    parts = []
+    for table, frame in raw.items():
+        if entries := numbers.entries(table, frame):
+            parts.append(frame.selectExpr(f"inline(array({', '.join(entries)}))").where("domain is not null"))
+    if not parts:
+        spark = next(iter(raw.values())).sparkSession
+        return spark.createDataFrame([], "domain int, number long, text string, copies long, mentions long")
+    keys = reduce(DataFrame.unionByName, parts)
+    return keys.groupBy("domain", "number", "text").agg(
+        F.count_if(F.col("side") == _PARENT).alias("copies"), F.bit_or("side").alias("mentions")
+    )
+
+
+class _Numbers:
+    """Numbers of domains, and of the foreign keys inside their domain."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]):
+        self.links = _links(raw, contracts)
+        self.unique, self.of_links = _domains(raw, contracts, self.links)
+        self.domains = list(dict.fromkeys([*self.unique.values(), *self.of_links.values()]))
+        self.bits: dict[_Link, int] = {}
+        for domain in self.domains:
+            own = [link for link in self.links if self.of_links[link] == domain]
+            if len(own) > _BITS:
+                raise ValueError(f"more than {_BITS} foreign keys on {domain.table}.{domain.column}")
+            self.bits.update({link: 1 << k for k, link in enumerate(own)})
+
+    def entries(self, table: str, frame: DataFrame) -> list[str]:
+        """One struct per domain to which a row of the table has something to say."""
+        wanted = [(self.domains.index(d), d.column, d.as_text, _PARENT) for d in self.domains if d.table == table]
+        for link in self.links:
+            if link.table == table:
+                domain = self.of_links[link]
+                wanted.append((self.domains.index(domain), link.column, domain.as_text, self.bits[link]))
+        out = []
+        for domain, column, as_text, side in wanted:
+            number = "cast(null as bigint)" if as_text else f"bigint({quoted(column)})"
+            text = _key_text(frame, column) if as_text else "cast(null as string)"
+            there = f"if({quoted(column)} is null, null, {domain})" if side else str(domain)
+            out.append(f"named_struct('domain', {there}, 'number', {number}, 'text', {text}, 'side', {side}L)")
+        return out
+
+
+def _typed(domain: _Domain, kind: T.DataType) -> str:
+    """The key of a ledger row in the type of a column."""
+    return f"cast({'text' if domain.as_text else 'number'} as {kind.simpleString()})"
+
+
+def _travelled_keys(
+    raw: Mapping[str, DataFrame],
+    contracts: Mapping[str, TableContract],
+    row_order: Mapping[str, Sequence[str]],
+    groups: Sequence[Sequence[str]],
+    space: Workspace,
+) -> dict[str, dict[str, DataFrame | None]]:
+    """The key sets behind all unique and foreign-key rules, by table and set name; None if no key offends.
+
+    Orphans of the raw parents come from the ledger. A parent's rejected rows add the keys that no clean row of it
+    holds, generation by generation; only tables that others mention are looked at, and only their key columns.
+    """
+    numbers = _Numbers(raw, contracts)
+    ledger = key_ledger(raw, contracts)
+    unique = [numbers.domains.index(domain) for domain in numbers.unique.values()]
+    twice = (F.col("copies") > 1) & F.col("domain").isin(unique)
+    kinds = F.when(twice, "repeated").when((F.col("copies") == 0) & (F.col("mentions") != 0), "orphan")
+    offenders = ledger.withColumn("kind", kinds).where("kind is not null")
+    offenders = space.save(offenders, "key_offenders", ("domain", "kind"))
+    found = {
+        (row.domain, row.kind): row.mentions
+        for row in offenders.groupBy("domain", "kind").agg(F.bit_or("mentions").alias("mentions")).collect()
+    }
+
+    def of(domain: _Domain, kind: str) -> DataFrame:
+        return offenders.where((F.col("domain") == numbers.domains.index(domain)) & (F.col("kind") == kind))
+
+    keys: dict[str, dict[str, DataFrame | None]] = {table: {} for table in contracts}
+    ordered: dict[str, DataFrame] = {}
+    for (table, column), domain in numbers.unique.items():
+        name = _set_name(contracts[table], column, "repeated")
+        keys[table][name] = None
+        if (numbers.domains.index(domain), "repeated") in found:
+            typed = f"{_typed(domain, _kind(raw[table], column))} as {quoted(column)}"
+            counts = of(domain, "repeated").selectExpr(typed, "copies")
+            ordered[name] = first_positions(raw[table], column, counts, row_order[table])
+    for name, frame in space.save_all(ordered).items():
+        table = next(t for t in keys if name in keys[t])
+        keys[table][name] = frame
+    for link in numbers.links:
+        domain, bit = numbers.of_links[link], numbers.bits[link]
+        keys[link.table][link.set_name] = None
+        if found.get((numbers.domains.index(domain), "orphan"), 0) & bit:
+            typed = f"{_typed(domain, _kind(raw[link.table], link.column))} as {quoted(link.column)}"
+            keys[link.table][link.set_name] = of(domain, "orphan").where(f"(mentions & {bit}L) <> 0").selectExpr(typed)
+
+    for group in groups:
+        lost = {}
+        for table in group:
+            below = list(dict.fromkeys(link.parent_column for link in numbers.links if link.parent == table))
+            if below and _can_reject(contracts[table], raw[table], keys[table]):
+                judged = mark(raw[table], contracts[table], row_order[table], keys[table])
+                lost.update({(table, column): _lost_keys(judged, contracts[table], column) for column in below})
+        names = {place: f"{place[0]}_{place[1]}_lost" for place in lost}
+        written = space.save_all({names[place]: frame for place, frame in lost.items()})
+        for place, frame in zip(lost, written.values(), strict=True):
+            if not frame.isEmpty():
+                for link in numbers.links:
+                    if (link.parent, link.parent_column) == place:
+                        _add_lost(keys, link, frame, raw)
+    return keys
+
+
+def _can_reject(contract: TableContract, frame: DataFrame, keys: Mapping[str, DataFrame | None]) -> bool:
+    """Whether any rule may reject a row at all."""
+    rules = contract.required or contract.positive or contract.non_negative or contract.allowed or keys
+    return bool(rules)
+
+
+def _lost_keys(judged: Validation, contract: TableContract, column: str) -> DataFrame:
+    """Keys of a parent that rejected rows hold and no clean row does."""
+    failed = f"({judged.failed()})"
+    rows = judged.annotated.where(f"{quoted(column)} is not null")
+    if (column, "duplicate_key") in judged.rules:  # the first copy decides
+        bit = judged.rules.index((column, "duplicate_key"))
+        first = f"({judged.words[bit // _BITS]} & {1 << bit % _BITS}L) = 0"
+        return rows.where(f"{failed} and {first}").select(column)
+    candidates = rows.where(failed).select(column).distinct()
+    held = rows.where(f"not {failed}").select(column)
+    return candidates.join(held, column, "left_anti")
+
+
+def _add_lost(
+    keys: dict[str, dict[str, DataFrame | None]], link: _Link, lost: DataFrame, raw: Mapping[str, DataFrame]
+) -> None:
+    """Keys that a parent lost, in the type of the child; no child key can be both lost and an orphan before."""
+    kind = _kind(raw[link.table], link.column)
+    if kind == _kind(raw[link.parent], link.parent_column):
+        lost = lost.selectExpr(f"{quoted(link.parent_column)} as {quoted(link.column)}")
+    else:
+        text = _key_text(lost, link.parent_column)
+        typed = f"try_cast({text} as {kind.simpleString()})"
+        lost = lost.where(f"string({typed}) = {text}").selectExpr(f"{typed} as {quoted(link.column)}").distinct()
+    before = keys[link.table][link.set_name]
+    keys[link.table][link.set_name] = lost if before is None else before.union(lost)
 
 
 def generations(contracts: Mapping[str, TableContract]) -> list[list[str]]:
