@@ -293,6 +293,13 @@ _BODIES: dict[str, str] = {
         select o.* exclude (region), strftime(order_ts, '%Y-%m') as run_date from raw_orders o
         where month(order_ts) >= 10""",
     "create_table": "select * from products where active",
+    "table_versions": """
+        select v.version, status, count(*) as orders, cast(sum(order_id) as bigint) as ids,
+               cast(sum(customer_id) as bigint) as customers
+        from raw_orders, (values (0), (1), (2), (3)) as v(version)
+        where case v.version when 0 then status = 'paid' when 1 then true
+                   else status <> 'shipped' or order_id % 2 = 0 end
+        group by v.version, status""",
     "bronze_zone": "select *, 'star' as ingest_profile, '2024-02-01' as ingest_run_date from good_orders",
     "silver_zone": """
         select *, 'star' as ingest_profile, '2024-02-01' as ingest_run_date, cast(order_ts as date) as order_date,
@@ -416,7 +423,8 @@ _BODIES: dict[str, str] = {
                      cast(unit_price * 100000000 as decimal(18,2)) as unit_price,
                      cast(quantity * 4000000000 * cast(unit_price * 100000000 as decimal(18,2)) as decimal(38,2)) as gross,
                      cast(case when order_id % 7 = 0 then discount_pct + 15 when order_id % 11 = 0 or order_id % 13 = 0
-                               then 0 else discount_pct end as decimal(18,6)) as discount
+                               then 0 else cast(discount_pct + cast(order_id % 10000 as decimal(10,0)) * 0.00000001::decimal(9,8)
+                                               as decimal(18,4)) end as decimal(18,6)) as discount
               from numbered_items where copy_no = 1) w""",
     "silver_payments": "select *, payment_status in ('authorized', 'captured') as is_successful_payment from payments",
     "silver_shipments": """
@@ -472,6 +480,19 @@ _BODIES: dict[str, str] = {
     "mart_revenue_daily": "select * from revenue_daily",
     "mart_product_performance": "select * from product_performance",
     "mart_product_performance_recent": "select * from product_performance",
+    "mart_product_performance_dirty": """
+        select p.product_id, any_value(sku) as sku, any_value(category) as category,
+               count(distinct order_id) as orders, cast(sum(quantity) as bigint) as units_sold,
+               cast(sum(net) as decimal(38,2)) as revenue,
+               cast(sum(net - quantity * unit_cost) as decimal(38,2)) as gross_profit,
+               floor(cast(sum(discount) as double) / nullif(count(discount), 0) * 1e4 + 0.5) / 1e4 as avg_discount_pct
+        from products p left join (
+            select *, cast(cast(quantity * price as decimal(38,2)) * (1 - discount) as decimal(38,2)) as net
+            from (select order_id, product_id, quantity,
+                         case when order_id % 5 <> 0 and order_id % 17 <> 0 then unit_price end as price,
+                         cast(discount_pct + cast(order_id % 10000 as decimal(10,0)) * 0.00000001::decimal(9,8) as decimal(18,4)) as discount
+                  from numbered_items where copy_no = 1) x) i
+        on p.product_id = i.product_id group by p.product_id""",
     "mart_inventory_risk": "select * from inventory_risk",
     "mart_customer_ltv": "select * from ltv",
     "mart_customer_ltv_recent": "select * from ltv",
@@ -551,6 +572,18 @@ _BODIES: dict[str, str] = {
         select event_id, place as stream_offset, case when place < 400 then 0 else 400 end::bigint as stream_offset_start,
                case when place < 400 then 400 else n end::bigint as stream_offset_end
         from (select event_id, row_number() over (order by event_id) - 1 as place, count(*) over () as n from events)""",
+    "stream_append": """
+        select event_id, event_id % 2 as run_id,
+               case when event_id % 2 = 0 then count(*) filter (event_id % 2 = 0) over () else count(*) over () end
+                   as stream_offset_end from events""",
+    "stream_log_capped": """
+        select cast(run as bigint) as run_id, upto - since as events_consumed, since as stream_offset_start,
+               upto - since as lines_read
+        from (select run, least(since, n) as since, least(upto, n) as upto
+              from (values (0, 0::bigint, 300::bigint), (1, 300, 600), (2, 600, 850), (3, 850, 1000000000000)) as r(run, since, upto),
+                   (select count(*) as n from events)) where upto > since""",
+    "stream_missing_topic": """
+        select count(*) as consumed, 1::bigint as runs, 0::int as consumed_early, 0::int as traces from events""",
     "stream_freshness": """
         select 'star' as profile, 'commerce.events' as topic, max(ts) as latest_event_ts,
                count(*) as events_consumed, count(*) as checkpoint from events""",

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalars
 from lakemart.operators import contracts, joins
 from lakemart.operators.contracts import Validation
 from lakemart.operators.dedup import keep_first
+from lakemart.operators.rank import placed
 from lakemart.plans import kpi, marts, medallion, quality, silver
-from lakemart.sources import lake
+from lakemart.sources import lake, topic
 from lakemart.sources.lake import Workspace
 from lakemart.sources.model import CONTRACTS, EVENT_TYPES, SHIPPABLE_STATUSES, TABLES, TableContract, stream_schema
 from lakemart.sources.star import LATE_CUTOFF, ROW_ORDER, STAR_CONTRACTS, StarTables
+from lakemart.sources.versions import VersionedTable
 from lakemart.streaming.landing import Landing, file_topic
 
 PROFILE, RUN_DATE = "star", "2024-02-01"
@@ -158,9 +162,25 @@ def scan_glob(star: StarTables) -> DataFrame:
 def create_table(star: StarTables) -> DataFrame:
     """A catalog table that is created and then replaced by another query."""
     place = Workspace(star.spark).path("products")
-    lake.save_table(star.products.where("not active"), "lakemart_products", place)
-    lake.save_table(star.products.where("active"), "lakemart_products", place)
-    return star.spark.table("lakemart_products")
+    name = f"lakemart_products_{uuid.uuid4().hex}"
+    lake.save_table(star.products.where("not active"), name, place)
+    lake.save_table(star.products.where("active"), name, place)
+    return star.spark.table(name)
+
+
+@query
+def table_versions(star: StarTables) -> DataFrame:
+    """Orders by status in four versions: paid ones, others added, shipped ones replaced, and all compacted."""
+    table = VersionedTable(star.spark, Workspace(star.spark).path("orders"))
+    orders = star.placed_orders.select("order_id", "customer_id", "status")
+    table.replace_partitions(orders.where("status = 'paid'"), "status")
+    table.append(orders.where("status <> 'paid'"), ("status",))
+    table.replace_partitions(orders.where("status = 'shipped' and order_id % 2 = 0"), "status")
+    table.compact()
+    versions = [table.read(v).withColumn("version", F.lit(v)) for v in table.versions()]
+    return reduce(DataFrame.unionByName, versions).groupBy("version", "status").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("order_id").alias("ids"), F.sum("customer_id").alias("customers")
+    )
 
 
 @query
@@ -168,8 +188,10 @@ def ingest_metadata(star: StarTables) -> DataFrame:
     space = Workspace(star.spark)
     tagged = lake.ingest_metadata(star.products, PROFILE, RUN_DATE)
     target = space.path("bronze_products")
-    lake.write_partition(tagged, target, "ingest_profile", "ingest_run_date")
-    return star.spark.read.schema(tagged.schema).parquet(target)
+    table = VersionedTable(star.spark, target)
+    table.replace_partitions(tagged.where("not active"), "ingest_profile", "ingest_run_date")
+    table.replace_partitions(tagged, "ingest_profile", "ingest_run_date")
+    return table.read()
 
 
 @query
@@ -207,14 +229,14 @@ def _bronze_run(star: StarTables) -> tuple[medallion.Run, dict[str, Validation]]
 def bronze_zone(star: StarTables) -> DataFrame:
     """What a user finds in the bronze zone: clean rows with the labels of the run."""
     run, _ = _bronze_run(star)
-    return star.spark.read.parquet(run.path("bronze", "orders"))
+    return run.read("bronze", "orders")
 
 
 @query
 def silver_zone(star: StarTables) -> DataFrame:
     run, results = _bronze_run(star)
     medallion.build_silver(run, results, ROW_ORDER)
-    return star.spark.read.parquet(run.path("silver", "orders"))
+    return run.read("silver", "orders")
 
 
 @query
@@ -247,15 +269,16 @@ def gold_zone(star: StarTables) -> DataFrame:
     """The fulfilment mart of a run, from the gold zone."""
     run = _star_run(star)
     medallion.build_gold(run, dict(Silver(star, space=Workspace(star.spark))))
-    return star.spark.read.parquet(run.path("gold", "mart_fulfillment_sla"))
+    return run.read("gold", "mart_fulfillment_sla")
 
 
 @query
 def mart_read_order(star: StarTables) -> DataFrame:
     """Place of every product in the read order of its mart, which its export has too."""
     mart = marts.product_performance(Silver(star, order_region=False))
-    keys = Window.orderBy(*marts.sort_keys("mart_product_performance"))
-    return mart.select("product_id", "revenue", F.row_number().over(keys).alias("place"))
+    keys = marts.sort_keys("mart_product_performance")
+    ranked = placed(mart.select("product_id", "revenue"), keys, Workspace(star.spark), "ordered")
+    return ranked.withColumn("place", F.col("place").cast("int"))
 
 
 @query
@@ -439,7 +462,7 @@ def silver_wide_values(star: StarTables) -> DataFrame:
             "quantity": "string(quantity * 4000000000)",
             "unit_price": "string(unit_price * 100000000)",
             "discount_pct": "case when order_id % 7 = 0 then string(discount_pct + 15) when order_id % 11 = 0 then 'n/a'"
-            " when order_id % 13 = 0 then null else string(discount_pct) end",
+            " when order_id % 13 = 0 then null else string(discount_pct + decimal(order_id % 10000) * 0.00000001BD) end",
         },
     )
     return silver.order_items(wide, ROW_ORDER["order_items"])
@@ -578,6 +601,23 @@ def mart_product_performance(star: StarTables) -> DataFrame:
     return marts.product_performance(Silver(star))
 
 
+@query
+def mart_product_performance_dirty(star: StarTables) -> DataFrame:
+    """Lines as raw text: some prices are no numbers, some are missing, and discounts have up to eight digits."""
+    dirty = scalars.assign(
+        star.order_items,
+        {
+            "quantity": "string(quantity)",
+            "unit_price": "case when order_id % 5 = 0 then 'unknown' when order_id % 17 = 0 then null"
+            " else string(unit_price) end",
+            "discount_pct": "string(discount_pct + decimal(order_id % 10000) * 0.00000001BD)",
+        },
+    )
+    products = silver.products(star.products, ROW_ORDER["products"])
+    lines = silver.order_items(dirty, ROW_ORDER["order_items"])
+    return marts.product_performance({"products": products, "order_items": lines})
+
+
 @query
 def mart_product_performance_recent(star: StarTables) -> DataFrame:
     """Only lines of the newest orders, which leaves most products unsold."""
@@ -811,17 +851,55 @@ def stream_rerun_noop(star: StarTables) -> DataFrame:
 
 @query
 def stream_offsets(star: StarTables) -> DataFrame:
-    """Offset of every event in a topic of one file, ordered by event id, with the offsets of its run."""
+    """Offset of every event in a topic log ordered by event id, with the offsets of its run."""
     space = Workspace(star.spark)
-    ordered = _event_lines(star).orderBy(F.col("event_id").cast("bigint")).coalesce(1)
+    ordered = _event_lines(star).orderBy(F.col("event_id").cast("bigint"))
     landing = Landing(star.spark, space.path("landing"), PROFILE)
-    stream = file_topic(star.spark, _topic(star, space, ordered), stream_schema())
+    place = _topic(star, space, ordered)
     for cap in (400, None):
-        landing.consume(stream, cap)
+        landing.consume_log(place, stream_schema(), cap)
     events = landing.read(stream_schema())
     return events.selectExpr("bigint(event_id) as event_id", "stream_offset", "stream_offset_start", "stream_offset_end")
 
 
+@query
+def stream_append(star: StarTables) -> DataFrame:
+    """Producers append the odd events to files that the first run has read; the run of every event."""
+    space = Workspace(star.spark)
+    events = _event_lines(star).repartition(int(star.spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    landing = Landing(star.spark, space.path("landing"), PROFILE)
+    for odd in (0, 1):
+        part = events.where(F.col("event_id").cast("bigint") % 2 == odd)
+        topic.append_lines(part.select(F.to_json(F.struct(*part.columns)).alias("line")), space.path("topic"))
+        landing.consume_log(space.path("topic"), stream_schema())
+    return landing.read(stream_schema()).selectExpr("bigint(event_id) as event_id", "run_id", "stream_offset_end")
+
+
+@query
+def stream_log_capped(star: StarTables) -> DataFrame:
+    """Lines read and events released by runs with a cap of 300, 300 and 250 over a log that holds more."""
+    space = Workspace(star.spark)
+    place = _topic(star, space)
+    landing = Landing(star.spark, space.path("landing"), PROFILE)
+    for cap in (300, 300, 250, None):
+        landing.consume_log(place, stream_schema(), cap, cell=128)
+    read = landing.received().select("first_offset", (F.col("next_offset") - F.col("first_offset")).alias("lines_read"))
+    runs = landing.ledger().select("run_id", "events_consumed", "stream_offset_start")
+    return runs.join(read, runs["stream_offset_start"] == read["first_offset"]).drop("first_offset")
+
+
+@query
+def stream_missing_topic(star: StarTables) -> DataFrame:
+    """Runs over a topic that is not there yet consume nothing and leave nothing; once it is there, all of it."""
+    space = Workspace(star.spark)
+    landing = Landing(star.spark, space.path("landing"), PROFILE)
+    early = [landing.consume_log(space.path("topic"), stream_schema(), cap) for cap in (None, 100)]
+    traces = int(lake.path_exists(star.spark, landing.folder))
+    landing.consume_log(_topic(star, space), stream_schema())
+    consumed = landing.ledger().agg(F.sum("events_consumed").alias("consumed"), F.count(F.lit(1)).alias("runs"))
+    return consumed.withColumns({"consumed_early": F.lit(sum(early)), "traces": F.lit(traces)})
+
+
 @query
 def stream_rejects(star: StarTables) -> DataFrame:
     """Every tenth line of the topic is cut short; such lines are kept apart and the others land."""
