@@ -11,7 +11,7 @@ hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -452,45 +452,47 @@ def _travelled_keys(
         return offenders.where((F.col("domain") == numbers.domains.index(domain)) & (F.col("kind") == kind))
 
     keys: dict[str, dict[str, DataFrame | None]] = {table: {} for table in contracts}
-    ordered: dict[str, DataFrame] = {}
-    for (table, column), domain in numbers.unique.items():
-        name = _set_name(contracts[table], column, "repeated")
-        keys[table][name] = None
-        if (numbers.domains.index(domain), "repeated") in found:
-            typed = f"{_typed(domain, _kind(raw[table], column))} as {quoted(column)}"
-            counts = of(domain, "repeated").selectExpr(typed, "copies")
-            ordered[name] = first_positions(raw[table], column, counts, row_order[table])
-    for name, frame in space.save_all(ordered).items():
-        table = next(t for t in keys if name in keys[t])
-        keys[table][name] = frame
-    for link in numbers.links:
-        domain, bit = numbers.of_links[link], numbers.bits[link]
-        keys[link.table][link.set_name] = None
-        if found.get((numbers.domains.index(domain), "orphan"), 0) & bit:
-            typed = f"{_typed(domain, _kind(raw[link.table], link.column))} as {quoted(link.column)}"
-            keys[link.table][link.set_name] = of(domain, "orphan").where(f"(mentions & {bit}L) <> 0").selectExpr(typed)
-
-    for group in groups:
-        lost = {}
-        for table in group:
-            below = list(dict.fromkeys(link.parent_column for link in numbers.links if link.parent == table))
-            if below and _can_reject(contracts[table], raw[table], keys[table]):
+    with ThreadPoolExecutor(max(1, len(numbers.unique))) as pool:
+        # First copies of repeated keys are looked up while the tables that need none of them are judged.
+        ordered: dict[str, dict[str, Future[DataFrame]]] = {table: {} for table in contracts}
+        for (table, column), domain in numbers.unique.items():
+            name = _set_name(contracts[table], column, "repeated")
+            keys[table][name] = None
+            if (numbers.domains.index(domain), "repeated") in found:
+                typed = f"{_typed(domain, _kind(raw[table], column))} as {quoted(column)}"
+                counts = of(domain, "repeated").selectExpr(typed, "copies")
+                firsts = first_positions(raw[table], column, counts, row_order[table])
+                ordered[table][name] = pool.submit(space.save, firsts, name)
+        for link in numbers.links:
+            domain, bit = numbers.of_links[link], numbers.bits[link]
+            keys[link.table][link.set_name] = None
+            if found.get((numbers.domains.index(domain), "orphan"), 0) & bit:
+                typed = f"{_typed(domain, _kind(raw[link.table], link.column))} as {quoted(link.column)}"
+                named = of(domain, "orphan").where(f"(mentions & {bit}L) <> 0")
+                keys[link.table][link.set_name] = named.selectExpr(typed)
+
+        mentioned = {link.parent for link in numbers.links}
+        for group in groups:
+            lost = {}
+            for table in [t for t in group if t in mentioned and _can_reject(contracts[t], keys[t])]:
+                keys[table].update({name: future.result() for name, future in ordered.pop(table).items()})
                 judged = mark(raw[table], contracts[table], row_order[table], keys[table])
-                lost.update({(table, column): _lost_keys(judged, contracts[table], column) for column in below})
-        names = {place: f"{place[0]}_{place[1]}_lost" for place in lost}
-        written = space.save_all({names[place]: frame for place, frame in lost.items()})
-        for place, frame in zip(lost, written.values(), strict=True):
-            if not frame.isEmpty():
-                for link in numbers.links:
-                    if (link.parent, link.parent_column) == place:
+                for column in dict.fromkeys(link.parent_column for link in numbers.links if link.parent == table):
+                    lost[table, column] = _lost_keys(judged, contracts[table], column)
+            written = space.save_all({f"{table}_{column}_lost": frame for (table, column), frame in lost.items()})
+            for place, frame in zip(lost, written.values(), strict=True):
+                children = [link for link in numbers.links if (link.parent, link.parent_column) == place]
+                if not frame.isEmpty():
+                    for link in children:
                         _add_lost(keys, link, frame, raw)
+        for table, futures in ordered.items():
+            keys[table].update({name: future.result() for name, future in futures.items()})
     return keys
 
 
-def _can_reject(contract: TableContract, frame: DataFrame, keys: Mapping[str, DataFrame | None]) -> bool:
+def _can_reject(contract: TableContract, keys: Mapping[str, DataFrame | None]) -> bool:
     """Whether any rule may reject a row at all."""
-    rules = contract.required or contract.positive or contract.non_negative or contract.allowed or keys
-    return bool(rules)
+    return bool(contract.required or contract.positive or contract.non_negative or contract.allowed or keys)
 
 
 def _lost_keys(judged: Validation, contract: TableContract, column: str) -> DataFrame:

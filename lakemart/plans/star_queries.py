@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,16 +90,15 @@ def raw_table(star: StarTables, table: str) -> DataFrame:
 def validated(star: StarTables, *tables: str) -> dict[str, Validation]:
     """The named tables and their parents, validated table by table through the shared work folder.
 
-    Raw order lines, which a join derives and five rules read, are written first.
+    Raw order lines and returns, which joins derive and several rules read, are written first, side by side.
     """
     chosen = {name: STAR_CONTRACTS[name] for name in STAR_CONTRACTS if name in tables}
     space = Workspace(star.spark)
     raw = {name: getattr(star, name) for name in chosen if name != "returns"}
-    if "order_items" in raw:
-        raw["order_items"] = space.save(raw["order_items"], "raw_order_items")
+    derived = {f"raw_{name}": raw[name] for name in ("order_items",) if name in raw}
     if "returns" in chosen:
-        lines = raw.get("order_items", star.order_items)
-        raw["returns"] = space.save(star.returns(silver.order_items(lines, ROW_ORDER["order_items"])), "raw_returns")
+        derived["raw_returns"] = raw_table(star, "returns")
+    raw.update({name.removeprefix("raw_"): frame for name, frame in space.save_all(derived).items()})
     return contracts.validate_all({name: raw[name] for name in chosen}, chosen, ROW_ORDER, space)
 
 
@@ -740,19 +740,40 @@ def adhoc_sql(star: StarTables) -> DataFrame:
 # --- quality -----------------------------------------------------------------------------------------------------
 
 
+_BUILT: dict[tuple[str, str], tuple[dict[str, DataFrame], dict[str, DataFrame]]] = {}
+
+
+def _built(star: StarTables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Marts and counts of a run over the whole tables, built once per session and folder; all checks read them.
+
+    The contracts and the marts do not depend on each other, so they are built side by side.
+    """
+    key = (star.spark.sparkContext.applicationId, star.folder)
+    if key not in _BUILT:
+        space = Workspace(star.spark)
+        with ThreadPoolExecutor(2) as pool:
+            made = pool.submit(_gold, star, space)
+            summary = pool.submit(lambda: space.save(contract_summary(star), "contract_summary"))
+            gold, entities = made.result()
+            observed = {
+                "gold_manifest": lake.manifest(gold, PROFILE, RUN, "mart_name", "row_count"),
+                "silver_manifest": lake.manifest(entities, PROFILE, RUN, "table_name", "silver_rows"),
+            }
+            written = space.save_all(observed)
+            _BUILT[key] = gold, written | {"contract_summary": summary.result()}
+    return _BUILT[key]
+
+
 def _checked(star: StarTables, without: str = "") -> tuple[DataFrame, dict[str, DataFrame]]:
     """All checks of a run over the whole tables, and its marts; the export named ``without`` is left out."""
     run = _star_run(star)
-    gold, entities = _gold(star, run.workspace())
-    observed = {
-        "contract_summary": contract_summary(star),
-        "gold_manifest": lake.manifest(gold, PROFILE, RUN, "mart_name", "row_count"),
-        "silver_manifest": lake.manifest(entities, PROFILE, RUN, "table_name", "silver_rows"),
-    }
-    written = run.store("observability").save_all(observed)
-    for name, frame in {**gold, **written}.items():
-        if f"{name}.csv" in quality.Rules().required_outputs and name != without:
-            run.export(frame, name)
+    gold, observed = _built(star)
+    wanted = {f"{name}.csv" for name in (*gold, *observed)} & set(quality.Rules().required_outputs) - {f"{without}.csv"}
+    with ThreadPoolExecutor(8) as pool:
+        stored = pool.submit(run.store("observability").save_all, observed)
+        exports = [pool.submit(run.export, f, name) for name, f in {**gold, **observed}.items() if f"{name}.csv" in wanted]
+        for future in (stored, *exports):
+            future.result()
     return medallion.evaluate(run, gold)["quality_checks"], gold
 
 
