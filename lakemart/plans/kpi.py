@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import TOTAL, ratio
+from lakemart.plans import readonly
 from lakemart.plans.marts import sort_keys
 from lakemart.sources.lake import register_views
 
@@ -70,10 +71,6 @@ def top_inventory(inventory: DataFrame, limit: int = 75) -> DataFrame:
 
 
 def sql(spark: SparkSession, query: str, marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Any query over the marts, registered as views under their names.
-
-    The text is run as a subquery, where the grammar has no place for a command, so whatever would change or set
-    something is refused by the parser before anything runs.
-    """
+    """Any query over the marts, registered as views under their names, and nothing but a query (``readonly``)."""
     register_views(marts)
-    return spark.sql(f"select * from (\n{query.strip().rstrip(';')}\n)")
+    return readonly.query(spark, query, marts)
