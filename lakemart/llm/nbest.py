@@ -4,15 +4,16 @@ The lattice of a text holds every piece of the vocabulary that matches somewhere
 that no piece covers. Forward Viterbi gives the best score of every prefix; these scores are the exact remaining cost
 of a backward search, so an A* search from the end of the text pops complete segmentations in order of score.
 
-The lattice falls apart wherever no piece of the vocabulary holds the two neighbouring characters. Every such chunk is
-searched once per worker and remembered, and the n best segmentations of a text follow from the n best of its chunks.
-Scores are whole numbers (2**-20 of a nat), so sums are exact and ties are ties.
+The lattice falls apart wherever no piece of the vocabulary holds the two neighbouring characters. Equal chunks are
+searched once per batch, short ones are remembered while there is room, and the n best segmentations of a text follow
+from the n best of its chunks. Scores are whole numbers (2**-20 of a nat), so sums are exact and ties are ties.
 """
 
 from __future__ import annotations
 
 import heapq
 import itertools
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,9 +27,9 @@ from lakemart.llm.tables import text_or_empty
 N_BEST = 4
 SPACE = "▁"
 _LITERAL = "\U0010fffe"  # stands for U+2581 in a text, so that it is spelled in bytes and not read as a blank
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 UNIT = 1 << 20
-KNOWN_CHUNKS = 1 << 20
+KNOWN_CHUNKS, KNOWN_IDS, LONG_CHUNK = 1 << 19, 1 << 24, 48
 
 
 class Pieces:
@@ -59,8 +60,16 @@ class Pieces:
         scores = np.rint(logs * UNIT).astype(np.int64).tolist()
         self.pieces = {piece: (number, score) for (number, piece), score in zip(plain, scores, strict=True)}
         self.byte_score = scores[-1] - UNIT
-        self.longest = max(len(piece) for _, piece in plain)
+        self.backwards: dict = {}  # trie of the pieces from their last character on; "" leads to (id, score)
+        for piece, found in self.pieces.items():
+            node = self.backwards
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[""] = found
         self._joins([piece for _, piece in plain])
+        self.widths = np.array([len(b) for b in self.surface], np.int64)
+        self.offsets = np.cumsum(self.widths) - self.widths
+        self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
 
     def _joins(self, pieces: list[str]) -> None:
         """Which characters stand next to each other inside some piece."""
@@ -74,16 +83,22 @@ class Pieces:
         for a, b in pairs:
             self.joined[place[a], place[b]] = True
 
-    def edges(self, text: str, end: int) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+    def edges(self, text: str, end: int) -> list[tuple[int, int, tuple[int, ...]]]:
         """(start, score, ids) of everything in the lattice that ends at ``end``."""
-        for start in range(max(0, end - self.longest), end):
-            found = self.pieces.get(text[start:end])
-            if found:
-                yield start, found[1], (found[0],)
+        out, node, start = [], self.backwards, end
+        while start:
+            start -= 1
+            node = node.get(text[start])
+            if node is None:
+                break
+            found = node.get("")
+            if found is not None:
+                out.append((start, found[1], (found[0],)))
         char = text[end - 1]
         if char not in self.pieces:
             data = (SPACE if char == _LITERAL else char).encode()
-            yield end - 1, self.byte_score * len(data), tuple(self.bytes[b] for b in data)
+            out.append((end - 1, self.byte_score * len(data), tuple(self.bytes[b] for b in data)))
+        return out
 
     def n_best(self, text: str, n: int = N_BEST) -> list[tuple[int, tuple[int, ...]]]:
         """The n best segmentations of a text, best first; of equal scores, those the search completes first.
@@ -91,24 +106,34 @@ class Pieces:
         Hypotheses are chains that share their ends, and among equal ones the search goes on with the longest, so a
         text that many segmentations fit equally well takes time and memory in proportion to its length.
         """
-        best = [0]
+        best, into = [0], [[]]
         for end in range(1, len(text) + 1):
-            best.append(max(best[start] + score for start, score, _ in self.edges(text, end)))
-        count = itertools.count()
+            edges = self.edges(text, end)
+            into.append(edges)
+            top = None
+            for start, score, _ in edges:
+                score += best[start]
+                if top is None or score > top:
+                    top = score
+            best.append(top)
+        serial, push, pop = 0, heapq.heappush, heapq.heappop
         heap: list[tuple[int, int, int, int, tuple | None]] = [(-best[-1], len(text), 0, 0, None)]
         out = []
-        while heap and len(out) < n:
-            _, end, _, after, chain = heapq.heappop(heap)
+        while heap:
+            _, end, _, after, chain = pop(heap)
             if not end:
                 ids: list[int] = []
                 while chain:
                     ids += chain[0]
                     chain = chain[1]
                 out.append((after, tuple(ids)))
+                if len(out) == n:
+                    break
                 continue
-            for start, score, own in self.edges(text, end):
+            for start, score, own in into[end]:
+                serial += 1
                 total = after + score
-                heapq.heappush(heap, (-(best[start] + total), start, next(count), total, (own, chain)))
+                push(heap, (-best[start] - total, start, serial, total, (own, chain)))
         return out
 
     def cuts(self, codes: np.ndarray) -> np.ndarray:
@@ -120,58 +145,81 @@ class Pieces:
 
 
 class Segmenter:
-    """n-best segmentation of texts with remembered chunks."""
+    """n-best segmentation of texts.
+
+    Segmentation k of chunk c is entry ``c * width + k`` of flat arrays, so an id list is a row of entries and all lists
+    of a batch are put together in one step. What is remembered is bounded by number and ids of the chunks.
+    """
 
     def __init__(self, path: str, n: int = N_BEST, others: bool = True):
         self.pieces, self.n, self.others = Pieces(path), n, others
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known: dict[int, int] = {}
-        self.variants: list[list[tuple[int, tuple[int, ...]]]] = []  # only filled if others are wanted
+        self.width = n if others else 1
+        self.known: dict[str, int] = {}
         self.ids = np.zeros(0, np.int32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.scores, self.losses = np.zeros(0, np.int64), np.zeros((0, self.n - 1))
+        self.ends = np.zeros(1, np.int64)  # of the entries; the first entry starts at 0
+        self.scores, self.losses = np.zeros(0, np.int64), np.zeros((0, n - 1))
 
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+    def _search(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """ids, sizes of the entries, scores and losses (of the 2nd to n-th best against the best) of new chunks."""
         found = [self.pieces.n_best(chunk, self.n) for chunk in chunks]
-        for number, value in enumerate(hashes, len(self.scores)):
-            self.known[value] = number
-        if self.others:
-            self.variants += found
-        sizes = np.array([len(v[0][1]) for v in found], np.int64)
         losses = np.full((len(found), self.n - 1), np.inf)
-        for k, v in enumerate(found):
-            losses[k, : len(v) - 1] = [v[0][0] - other[0] for other in v[1:]]
-        first = len(self.ids)
-        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.array([i for v in found for i in v[0][1]], np.int32)])
-        self.scores = np.concatenate([self.scores, np.array([v[0][0] for v in found], np.int64)])
-        self.losses = np.concatenate([self.losses, losses])
-
-    def _numbers(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The remembered number of every chunk of a text, and where the chunks begin."""
+        sizes = np.zeros((len(found), self.width), np.int64)
+        ids: list[int] = []
+        for k, variants in enumerate(found):
+            for j, (score, own) in enumerate(variants):
+                if j:
+                    losses[k, j - 1] = variants[0][0] - score
+                if j < self.width:
+                    sizes[k, j] = len(own)
+                    ids += own
+        scores = np.array([v[0][0] for v in found], np.int64)
+        return np.array(ids, np.int32), sizes.ravel(), scores, losses
+
+    def _remember(self, chunks: list[str], first: int, ends: np.ndarray, arrays: tuple) -> None:
+        """Keep the short ones among the new chunks while there is room; the frequent ones come early."""
+        ids, scores, losses = arrays
+        kept = [k for k, chunk in enumerate(chunks) if len(chunk) <= LONG_CHUNK]
+        room = min(KNOWN_CHUNKS - len(self.known), KNOWN_CHUNKS if len(self.ids) < KNOWN_IDS else 0)
+        kept = kept[: max(0, room)]
+        if not kept:
+            return
+        for k in kept:
+            self.known[chunks[k]] = len(self.known)
+        entries = (np.array(kept)[:, None] * self.width + np.arange(self.width) + first * self.width).ravel()
+        sizes = ends[entries + 1] - ends[entries]
+        self.ids = np.concatenate([self.ids, ids[_ranges(ends[entries], sizes)]])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        chosen = np.array(kept) + first
+        self.scores = np.concatenate([self.scores, scores[chosen]])
+        self.losses = np.concatenate([self.losses, losses[chosen]])
+
+    def _distinct(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct chunks of a text, which of them every chunk is, and where the chunks begin.
+
+        Chunks are told apart by hashes, and then every chunk is compared with the one that its hash stands for.
+        """
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         starts = np.flatnonzero(self.pieces.cuts(codes))
-        stops = np.append(starts[1:], len(codes))
-        inside = np.arange(len(codes)) - np.repeat(starts, stops - starts)
+        sizes = np.diff(starts, append=len(codes))
+        inside = np.arange(len(codes)) - np.repeat(starts, sizes)
         parts = mix((codes.astype(np.uint64) << np.uint64(32)) | inside.astype(np.uint64))
-        sums = mix(np.add.reduceat(parts, starts) + (stops - starts).astype(np.uint64))
-        hashes, first, inverse = np.unique(sums, return_index=True, return_inverse=True)
-        values = hashes.tolist()
-        missing = [k for k, value in enumerate(values) if value not in self.known]
-        if missing:
-            self._learn([values[k] for k in missing], [text[starts[f] : stops[f]] for f in first[missing].tolist()])
-        return np.fromiter(map(self.known.__getitem__, values), np.int64, len(values))[inverse], starts
-
-    def _best_of(self, numbers: np.ndarray) -> tuple[list[float], list[tuple[tuple[int, int], ...]]]:
+        sums = mix(np.add.reduceat(parts, starts) + sizes.astype(np.uint64))
+        _, first, inverse = np.unique(sums, return_index=True, return_inverse=True)
+        same = (sizes[first][inverse] == sizes).all()
+        if not (same and (codes[np.repeat(starts[first][inverse], sizes) + inside] == codes).all()):
+            names = [text[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            place = {name: k for k, name in enumerate(dict.fromkeys(names))}
+            return list(place), np.array([place[name] for name in names], np.int64), starts
+        stops = starts + sizes
+        return [text[starts[f] : stops[f]] for f in first.tolist()], inverse, starts
+
+    def _best_of(self, scores: np.ndarray, losses: np.ndarray) -> tuple[list[float], list[tuple[tuple[int, int], ...]]]:
         """Scores of the n best, and for each which chunks (by position) use which variant instead of their best.
 
         Only the n - 1 smallest single losses can occur in them, so all sums of those are enough.
         """
-        base = int(self.scores[numbers].sum())
-        losses = self.losses[numbers].ravel()
+        base = int(scores.sum())
+        losses = losses.ravel()
         few = min(self.n - 1, len(losses))
         chosen = np.sort(np.argpartition(losses, few - 1)[:few]) if few else np.empty(0, np.int64)
         single = [(float(losses[k]), (int(k) // (self.n - 1), int(k) % (self.n - 1) + 1)) for k in chosen if losses[k] < np.inf]
@@ -183,49 +231,66 @@ class Segmenter:
         options.sort()
         return [(base - loss) / UNIT for loss, _ in options[: self.n]], [changes for _, changes in options[: self.n]]
 
-    def segment(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, list[float], list[np.ndarray]]]:
-        """(best ids, scores of the n best, all n id lists) per text; an empty text has one empty segmentation."""
+    def batches(self, texts: Sequence[str]) -> Iterator[tuple[list[list[float]], np.ndarray, np.ndarray]]:
+        """For so many texts at a time: the scores of each, all id lists in a row, and where each list ends.
+
+        A text has as many lists as scores if others are wanted, else one; an empty text has one empty list.
+        """
         marked = [SPACE + t.replace(SPACE, _LITERAL).replace(" ", SPACE) if t else "" for t in texts]
         at = 0
         while at < len(marked):
-            if len(self.known) > KNOWN_CHUNKS:
-                self._reset()
             upto, size = at, 0
             while upto < len(marked) and (upto == at or size + len(marked[upto]) <= BATCH_CHARS):
                 size += len(marked[upto])
                 upto += 1
-            yield from self._batch(marked[at:upto])
+            yield self._batch(marked[at:upto])
             at = upto
 
-    def _batch(self, texts: list[str]) -> Iterator[tuple[np.ndarray, list[float], list[np.ndarray]]]:
+    def segment(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, list[float], list[np.ndarray]]]:
+        """(best ids, scores of the n best, all n id lists) per text; an empty text has one empty segmentation."""
+        for scores, ids, ends in self.batches(texts):
+            lists = iter(np.split(ids, ends[:-1]))
+            for own in scores:
+                found = [next(lists) for _ in range(len(own) if self.others else 1)]
+                yield found[0], own, found
+
+    def _batch(self, texts: list[str]) -> tuple[list[list[float]], np.ndarray, np.ndarray]:
         # U+10FFFF, a character that no piece holds, keeps the texts apart and is itself a chunk
-        numbers, starts = self._numbers("\U0010ffff".join([*texts, ""]))
-        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1).tolist()
-        at = 0
-        for end in ends:
-            own = numbers[at:end]
-            at = end + 1
-            if not len(own):
-                yield np.zeros(0, np.int32), [0.0], [np.zeros(0, np.int32)]
-                continue
-            scores, changes = self._best_of(own)
-            best = self._ids(own, {})
-            yield best, scores, [best, *[self._ids(own, dict(c)) for c in changes[1:]]] if self.others else [best]
-
-    def _ids(self, numbers: np.ndarray, changed: dict[int, int]) -> np.ndarray:
-        if not changed:
-            sizes = self.sizes[numbers]
-            total = np.cumsum(sizes)
-            return self.ids[np.repeat(self.starts[numbers] - (total - sizes), sizes) + np.arange(int(total[-1]))]
-        parts, at = [], 0
-        for place in sorted(changed):
-            if place > at:
-                parts.append(self._ids(numbers[at:place], {}))
-            parts.append(np.array(self.variants[numbers[place]][changed[place]][1], np.int32))
-            at = place + 1
-        if at < len(numbers):
-            parts.append(self._ids(numbers[at:], {}))
-        return np.concatenate(parts)
+        chunks, inverse, starts = self._distinct("\U0010ffff".join([*texts, ""]))
+        first = len(self.scores)
+        fresh = [chunk for chunk in chunks if chunk not in self.known]
+        new_ids, new_sizes, new_scores, new_losses = self._search(fresh)
+        ids = np.concatenate([self.ids, new_ids])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(new_sizes)])
+        all_scores, losses = np.concatenate([self.scores, new_scores]), np.concatenate([self.losses, new_losses])
+        place = {chunk: first + k for k, chunk in enumerate(fresh)}
+        numbers = np.array([self.known[c] if c in self.known else place[c] for c in chunks], np.int64)[inverse]
+
+        stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1).tolist()
+        found, rows, lengths, at = [], [], [], 0
+        for stop in stops:
+            own = numbers[at:stop]
+            at = stop + 1
+            scores, changes = self._best_of(all_scores[own], losses[own])
+            found.append(scores)
+            for change in changes if self.others else changes[:1]:
+                row = own * self.width
+                for where, variant in change:
+                    row[where] += variant
+                rows.append(row)
+                lengths.append(len(row))
+        entries = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        sizes = ends[entries + 1] - ends[entries]
+        upto = np.append(0, np.cumsum(sizes))
+        out = ids[_ranges(ends[entries], sizes)]
+        self._remember(fresh, first, ends, (ids, all_scores, losses))
+        return found, out, upto[np.cumsum(lengths, dtype=np.int64)]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers from each start on, ``sizes`` of them, in a row."""
+    total = np.cumsum(sizes)
+    return np.repeat(starts - (total - sizes), sizes) + np.arange(int(total[-1]) if len(total) else 0)
 
 
 def decode(ids: Sequence[int], surface: Sequence[bytes]) -> str:
@@ -233,6 +298,14 @@ def decode(ids: Sequence[int], surface: Sequence[bytes]) -> str:
     return b"".join(map(surface.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
+def decode_lists(ids: np.ndarray, ends: np.ndarray, pieces: Pieces) -> list[bytes]:
+    """The same for many id lists in a row, as UTF-8."""
+    widths = pieces.widths[ids]
+    data = pieces.flat[_ranges(pieces.offsets[ids], widths)].tobytes()
+    edges = np.append(0, np.cumsum(widths))[np.append(0, ends)].tolist()
+    return [data[a + 1 : b] for a, b in itertools.pairwise(edges)]
+
+
 _SEGMENTERS: dict[tuple[str, int, bool], Segmenter] = {}
 
 
@@ -284,38 +357,44 @@ def encode(docs: DataFrame, path: str, n: int = N_BEST, others: bool = False, ca
     return rows.mapInArrow(task, f"{kinds}, ids array<int>, scores array<double>, others array<array<int>>")
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """Per document: n_pieces, ids_crc32, scores of the best, second and last segmentation, whether ids decode exactly.
+_DIGESTED = "doc_id long, scores array<double>, lengths array<long>, crc32s array<long>, round_trips array<boolean>"
 
-    n_lists counts the id lists at hand, the best first; lengths, crc32s and round_trips have one entry for each.
-    """
-    import zlib
 
-    schema = "doc_id long, scores array<double>, lengths array<long>, crc32s array<long>, round_trips array<boolean>"
+def digests(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
+    """Per row of ``docs``: n_pieces, ids_crc32, scores of the best, second and last segmentation, whether ids decode exactly.
+
+    All n id lists are made, decoded and compared with the text where they are made, so none of them leaves its task.
+    n_lists counts them, the best first; lengths, crc32s and round_trips have one entry for each. Odd rows are those of
+    ``encode``.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surface = segmenter(path).pieces.surface
+        own = segmenter(path, n, True)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lengths, crcs, exact = [], [], []
-                for ids, rest, text in zip(part.column("ids"), part.column("others"), part.column("text").to_pylist(), strict=True):
-                    own = [ids.values.to_numpy(), *(x.values.to_numpy() for x in rest)]
-                    lengths.append([len(x) for x in own])
-                    crcs.append([zlib.crc32(x.astype("<u4")) for x in own])
-                    exact.append([decode(x.tolist(), surface) == text for x in own])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "scores": part.column("scores"),
-                        "lengths": pa.array(lengths, pa.list_(pa.int64())),
-                        "crc32s": pa.array(crcs, pa.list_(pa.int64())),
-                        "round_trips": pa.array(exact, pa.list_(pa.bool_())),
-                    }
-                )
-
-    read = encoded.select("doc_id", "text", "ids", "scores", "others").mapInArrow(task, schema)
-    return read.select(
+                texts = part.column("text").to_pylist()
+                columns: dict[str, list] = {"scores": [], "lengths": [], "crc32s": [], "round_trips": []}
+                done = 0
+                for scores, ids, ends in own.batches(texts):
+                    read = decode_lists(ids, ends, own.pieces)
+                    small = ids.astype("<u4")
+                    edges = np.append(0, ends).tolist()
+                    k = 0
+                    for values, text in zip(scores, texts[done : done + len(scores)], strict=True):
+                        lists, wanted = range(k, k + len(values)), text.encode()
+                        columns["scores"].append(values)
+                        columns["lengths"].append([edges[j + 1] - edges[j] for j in lists])
+                        columns["crc32s"].append([zlib.crc32(small[edges[j] : edges[j + 1]]) for j in lists])
+                        columns["round_trips"].append([read[j] == wanted for j in lists])
+                        k += len(values)
+                    done += len(scores)
+                kinds = (pa.float64(), pa.int64(), pa.int64(), pa.bool_())
+                arrays = [pa.array(v, pa.list_(kind)) for v, kind in zip(columns.values(), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], ["doc_id", *columns])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(task, _DIGESTED).select(
         "doc_id",
         F.get("lengths", F.lit(0)).alias("n_pieces"),
         F.get("crc32s", F.lit(0)).alias("ids_crc32"),

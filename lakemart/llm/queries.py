@@ -73,8 +73,7 @@ def op8_nbest(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     workspace(spark)
-    encoded = nbest.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), others=True)
-    return nbest.digests(encoded, public_tokenizers.path("piece_bpe_32k.model"))
+    return nbest.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_no_documents(spark, documents, work):
     token_files.write_shards(documents([]), WORD_PATH, work.path("none"))
     shards = spark.read.schema(token_files.SHARD_ROWS).parquet(work.path("none"))
     assert token_files.read_documents(shards, work).count() == 0
-    assert nbest.digests(nbest.encode(documents([]), PIECE_PATH), PIECE_PATH).count() == 0
+    assert nbest.digests(documents([]), PIECE_PATH).count() == 0
 
 
 def test_large_blocks_take_several_shards(spark, documents, work, monkeypatch):
@@ -131,7 +131,7 @@ def test_many_equal_segmentations(full):
 
 def test_segmentation_of_odd_rows(documents):
     rows = [(k, t) for k, t in enumerate(ODD)] + [(None, "x▁y"), (50, "long " * 200_000), (51, "z" * 5_000), (51, "z" * 5_000)]
-    got = nbest.digests(nbest.encode(documents(rows), PIECE_PATH), PIECE_PATH).collect()
+    got = nbest.digests(documents(rows), PIECE_PATH).collect()
     assert len(got) == len(rows)
     assert all(r.round_trip for r in got)
     assert {r.n_pieces for r in got if r.doc_id in (0, 1)} == {0}
@@ -139,6 +139,26 @@ def test_segmentation_of_odd_rows(documents):
     assert {len(r.others) for r in kept.where("doc_id = 2").collect()} == {3}
 
 
+def test_remembering_changes_nothing(monkeypatch):
+    monkeypatch.setattr(nbest, "KNOWN_CHUNKS", 10)
+    small, full = nbest.Segmenter(PIECE_PATH), nbest.segmenter(PIECE_PATH, nbest.N_BEST, True)
+    for seed in range(6):
+        texts = [words(seed, 60), "", "x" * 200, "the cat " + words(seed + 9, 5)]
+        found, wanted = list(small.segment(texts)), list(full.segment(texts))
+        assert [f[1] for f in found] == [w[1] for w in wanted]
+        assert [[x.tolist() for x in f[2]] for f in found] == [[x.tolist() for x in w[2]] for w in wanted]
+    assert len(small.known) == len(small.scores) == 10
+    assert "x" * 200 not in small.known
+
+
+def test_chunks_of_one_hash_are_told_apart(monkeypatch):
+    own, texts = nbest.Segmenter(PIECE_PATH), ["cat hat bat", "one two"]
+    wanted = [[x.tolist() for x in f[2]] for f in own.segment(texts)]
+    monkeypatch.setattr(nbest, "mix", lambda x: x * 0)
+    found = [[x.tolist() for x in f[2]] for f in nbest.Segmenter(PIECE_PATH).segment(texts)]
+    assert found == wanted
+
+
 def test_query_counts_all_documents(spark):
     got = queries.QUERIES["op8_nbest"](spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200
