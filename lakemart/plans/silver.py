@@ -43,6 +43,7 @@ BATCH, STREAM = 0, 1
 # Fixed value: events before this moment count as late.
 LATE_BEFORE = "2025-01-01 00:00:00"
 _PRIORITY, _OFFSET = "_source_priority", "_stream_offset"
+EVENT_ORDER = (_PRIORITY, _OFFSET)  # of the copies of an event, before the order of their table
 
 
 def _first_copies(frame: DataFrame, table: str, order_by: Order) -> DataFrame:
@@ -189,8 +190,8 @@ def web_events_with_stream(
 ) -> DataFrame:
     """Union of both sources with exact deduplication by event id; the batch copy wins, then the earlier offset."""
     both = union_stream(batch, stream, profile)
-    order = (_PRIORITY, _OFFSET, *row_order, "event_ts")
-    return web_events(both, late_before, order_by=order).drop(_PRIORITY, _OFFSET)
+    order = (*EVENT_ORDER, *row_order, "event_ts")
+    return web_events(both, late_before, order_by=order).drop(*EVENT_ORDER)
 
 
 ENTITIES = {

@@ -439,6 +439,13 @@ _BODIES: dict[str, str] = {
         select * exclude (campaign, event_id), 2 * event_id as event_id, null as campaign,
                'star' as ingest_profile, 'stream' as ingest_run_date
         from silver_events where 2 * event_id not in (select event_id from events)""",
+    "silver_events_incremental": """
+        select * exclude (campaign), campaign, 'star' as ingest_profile, '2024-02-01' as ingest_run_date
+        from silver_events
+        union all by name
+        select * exclude (campaign, event_id), 2 * event_id as event_id, null as campaign,
+               'star' as ingest_profile, 'stream' as ingest_run_date
+        from silver_events where 2 * event_id not in (select event_id from events)""",
     # scalars and dedup
     "dedup_keep_first": """
         select * from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber
@@ -522,6 +529,12 @@ _BODIES: dict[str, str] = {
         union all select 'checkout_starts', cast(sum(checkout_starts) as bigint) from funnel
         union all select 'purchase_events', cast(sum(purchase_events) as bigint) from funnel""",
     "risk_band_counts": "select risk_band, count(*) as size from inventory_risk group by risk_band",
+    "active_customers_monthly": """
+        select strftime(order_ts, '%Y-%m') as order_month, count(distinct customer_id) as active_customers
+        from raw_orders group by 1""",
+    "sessions_weekly": """
+        select cast(date_trunc('week', event_ts) as date) as week, count(distinct session_id) as sessions
+        from web_events group by 1""",
     "top_revenue_days": """
         select order_date, region, revenue, gross_margin_pct from revenue_daily
         order by order_date desc, revenue desc, region limit 25""",

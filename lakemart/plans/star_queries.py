@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalars
-from lakemart.operators import contracts, joins
+from lakemart.operators import contracts, distincts, joins
 from lakemart.operators.contracts import Validation
 from lakemart.operators.dedup import keep_first
 from lakemart.operators.rank import placed
 from lakemart.plans import kpi, marts, medallion, quality, silver
+from lakemart.plans.incremental import EventBuckets
 from lakemart.sources import lake, topic
 from lakemart.sources.lake import Workspace
 from lakemart.sources.model import CONTRACTS, EVENT_TYPES, SHIPPABLE_STATUSES, TABLES, TableContract, stream_schema
@@ -497,6 +498,19 @@ def silver_events_union(star: StarTables) -> DataFrame:
     return silver.web_events_with_stream(batch, stream, ROW_ORDER["web_events"], LATE_CUTOFF, PROFILE)
 
 
+@query
+def silver_events_incremental(star: StarTables) -> DataFrame:
+    """The union of batch and stream, taken in by three runs in which stream copies come before and after batch ones."""
+    batch = lake.ingest_metadata(star.web_events, PROFILE, RUN_DATE)
+    doubled = scalars.assign(star.web_events, {"event_id": "event_id * 2", "event_source": "'stream'"}).drop("campaign")
+    store = EventBuckets(star.spark, Workspace(star.spark).path("events"), 16)
+    for run in range(3):
+        added = batch.where(F.pmod("event_id", F.lit(3)) == run)
+        streamed = doubled.where(F.pmod(F.col("event_id") + 1, F.lit(3)) == run)
+        store.merge_batch(added, streamed, ROW_ORDER["web_events"], PROFILE)
+    return store.read(LATE_CUTOFF)
+
+
 # --- scalars and dedup -------------------------------------------------------------------------------------------
 
 
@@ -703,6 +717,26 @@ def risk_band_counts(star: StarTables) -> DataFrame:
     return kpi.risk_band_counts(marts.inventory_risk(Silver(star)))
 
 
+@query
+def active_customers_monthly(star: StarTables) -> DataFrame:
+    """Customers who ordered in a month, from the customer sets of its days."""
+    orders = silver.orders(star.placed_orders, ROW_ORDER["orders"])
+    days = Workspace(star.spark).save(distincts.id_sets(orders, ("order_date",), "customer_id"), "customers_of_days")
+    months = days.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    return distincts.counted(months, ("order_month",), "active_customers")
+
+
+@query
+def sessions_weekly(star: StarTables) -> DataFrame:
+    """Sessions of a week, from the session sets of its days; sessions are text, so a dictionary numbers them."""
+    space = Workspace(star.spark)
+    events = silver.web_events(star.web_events, LATE_CUTOFF, ROW_ORDER["web_events"]).select("session_id", "event_date")
+    named = events.join(distincts.numbered(events, "session_id", space, "sessions", "session"), "session_id")
+    days = space.save(distincts.id_sets(named, ("event_date",), "session"), "sessions_of_days")
+    weeks = days.withColumn("week", F.to_date(F.date_trunc("week", "event_date")))
+    return distincts.counted(weeks, ("week",), "sessions")
+
+
 @query
 def top_revenue_days(star: StarTables) -> DataFrame:
     return kpi.top_revenue_days(marts.revenue_daily(Silver(star)))

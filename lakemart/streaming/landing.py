@@ -101,6 +101,13 @@ def _parsed(rows: DataFrame, text: Column, schema: T.StructType, source: Column,
     return rows.select(event.alias("event"), source.alias(SOURCE), block.alias(BLOCK)).select("event.*", SOURCE, BLOCK)
 
 
+Segment = tuple[int, int, str]  # first and last run of a folder, and its path
+
+
+def _is_merged(path: str) -> bool:
+    return path.split("/")[0].endswith("_merged")
+
+
 class Landing:
     """Inbox, released events and their ledger below one folder."""
 
@@ -321,42 +328,86 @@ class Landing:
         for row in finished.select("batch_key").collect():  # at most the folders listed just before
             delete_folder(self.spark, self._path(f"inbox/events/batch_key={row.batch_key}"))
 
-    def compact(self) -> None:
-        """Merge the folders of all finished runs into one, which counts from the moment it is complete."""
-        newest = self.ledger().agg(F.max("run_id")).first()[0]
-        merged = self._merged()
-        if newest is None or newest == merged:
-            return
-        parts = [f"run_id={k}" for k in range((-1 if merged is None else merged) + 1, newest + 1)]
-        for name in ("ledger", "events"):
-            paths = [self._path(f"{name}/{p}") for p in parts]
-            base = self._path(name)
-            rows = self.spark.read.option("basePath", base).parquet(*paths)
-            if merged is not None:
-                old = self.spark.read.parquet(self._path(f"{name}_merged/upto={merged}"))
-                rows = old.unionByName(rows, allowMissingColumns=True)
-            rows.hint("rebalance").write.mode("overwrite").parquet(self._path(f"{name}_merged/upto={newest}"))
-        for name in ("ledger", "events"):
-            for p in parts:
-                delete_folder(self.spark, self._path(f"{name}/{p}"))
-            if merged is not None:
-                delete_folder(self.spark, self._path(f"{name}_merged/upto={merged}"))
-
-    def _merged(self) -> int | None:
-        """The last run in the merged tables. Events are merged last, so a folder of theirs means both are complete."""
-        found = folders(self.spark, self._path("events_merged"), "upto")
-        whole = [v for v in found if path_exists(self.spark, self._path(f"events_merged/upto={v}/_SUCCESS"))]
-        return max(map(int, whole), default=None)
+    def compact(self, fan: int | None = None) -> None:
+        """Merge the folders of finished runs; a merged folder counts from the moment it is complete.
+
+        Without ``fan`` all runs become one folder. With it, whenever ``fan`` neighbouring folders hold runs of the same
+        order of magnitude (1, fan, fan * fan ...), these become one, so over n runs an event is rewritten log(n) times
+        and a reader meets fan * log(n) folders at most.
+        """
+        for name in ("events", "ledger"):
+            while chosen := self._mergeable(self._segments(name), fan):
+                first, last = chosen[0][0], chosen[-1][1]
+                schema = self._read_segments(name, chosen).schema
+                merged = self._read_segments(name, chosen, schema).hint("rebalance")
+                merged.write.mode("overwrite").parquet(self._path(f"{name}_merged/runs={first}-{last}"))
+            covered = self._segments(name)
+            for _, _, path in self._complete(name):
+                if path not in {p for _, _, p in covered}:
+                    delete_folder(self.spark, self._path(path))
+
+    @staticmethod
+    def _mergeable(segments: list[Segment], fan: int | None) -> list[Segment]:
+        """Neighbouring segments to merge next, none if there is nothing to do."""
+        if fan is None:
+            return segments if len(segments) > 1 or any(not _is_merged(path) for _, _, path in segments) else []
+
+        def level(segment: Segment) -> int:
+            runs, found = segment[1] - segment[0] + 1, 0
+            while runs >= fan:
+                runs, found = runs // fan, found + 1
+            return found
+
+        for k in range(len(segments) - fan + 1):
+            part = segments[k : k + fan]
+            if len({level(segment) for segment in part}) == 1:
+                return part
+        return []
+
+    def _names(self, pattern: str) -> list[str]:
+        """Parent folders of the files that match a pattern below this landing, relative to it."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(pattern))
+        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place)
+        return ["/".join(str(s.getPath().getParent().toString()).rsplit("/", 2)[1:]) for s in found or []]
+
+    def _complete(self, name: str) -> list[Segment]:
+        """Complete folders of single and merged runs. Events count once their run stands in the ledger."""
+        out = []
+        for path in self._names(f"{name}/run_id=*/_SUCCESS"):
+            run = int(path.rpartition("=")[2])
+            out.append((run, run, path))
+        for path in self._names(f"{name}_merged/runs=*/_SUCCESS"):
+            first, last = path.rpartition("=")[2].split("-")
+            out.append((int(first), int(last), path))
+        if name == "events":
+            known = [(first, last) for first, last, _ in self._complete("ledger")]
+            out = [s for s in out if _is_merged(s[2]) or any(a <= s[0] and s[1] <= b for a, b in known)]
+        return out
+
+    def _segments(self, name: str) -> list[Segment]:
+        """The folders that hold every run once, the widest ones first chosen, in the order of runs."""
+        out, after = [], -1
+        for first, last, path in sorted(self._complete(name), key=lambda s: (s[0], -s[1])):
+            if first > after:
+                out.append((first, last, path))
+                after = last
+        return out
+
+    def _read_segments(self, name: str, segments: list[Segment], schema: T.StructType | None = None) -> DataFrame:
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        merged = [self._path(path) for _, _, path in segments if _is_merged(path)]
+        single = [self._path(path) for _, _, path in segments if not _is_merged(path)]
+        parts = [reader.parquet(*merged)] if merged else []
+        if single:
+            parts.append(reader.option("basePath", self._path(name)).parquet(*single))
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        return rows.withColumn("run_id", F.col("run_id").cast("bigint"))
 
     # --- reading -------------------------------------------------------------------------------------------------
 
     def _runs(self, name: str, schema: T.StructType) -> DataFrame:
-        merged = self._merged()
-        rows = read_or_empty(self.spark, self._path(name), schema)
-        if merged is None:
-            return rows
-        old = self.spark.read.schema(schema).parquet(self._path(f"{name}_merged/upto={merged}"))
-        return old.unionByName(rows.where(F.col("run_id") > merged))
+        segments = self._segments(name)
+        return self._read_segments(name, segments, schema) if segments else self.spark.createDataFrame([], schema)
 
     def received(self) -> DataFrame:
         """One row per micro-batch: its offsets, and how many lines of it were no JSON."""

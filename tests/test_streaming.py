@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakemart.plans import silver
@@ -171,3 +172,57 @@ def test_stream_flows_into_silver_once_per_event(spark, tmp_path):
     assert rows(out, "event_id", "device", "ingest_profile", "ingest_run_date") == [
         ("e00", "batch", "ci", "2026-05-18"), ("e01", "web", "ci", "stream"), ("e02", "web", "ci", "stream"),
     ]
+
+
+def sizes_of(folder):
+    return {p: p.stat().st_size for p in folder.rglob("*.parquet")}
+
+
+def test_tiers_rewrite_each_event_a_few_times(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "landing"))
+    written, fan, runs = 0, 4, 16
+    for k in range(runs):
+        landing.receive(spark.createDataFrame([(f"e{j}", None) for j in range(5 * k, 5 * k + 5)], BATCH), k)
+        assert landing.release(spark.createDataFrame([], BATCH).schema) == 5
+        before = set(sizes_of(tmp_path / "landing/events_merged"))
+        landing.compact(fan)
+        fresh = set(sizes_of(tmp_path / "landing/events_merged")) - before
+        written += sum(spark.read.parquet(str(p)).count() for p in fresh)
+        assert len(landing._segments("events")) <= (fan - 1) * 3
+    assert written <= 5 * runs * 2  # log to the base of 4 of 16
+    got = landing.read(spark.createDataFrame([], BATCH).schema)
+    assert rows(got, "event_id", "stream_offset", "run_id") == rows(
+        spark.createDataFrame([(f"e{j}", j, j // 5) for j in range(5 * runs)], "event_id string, stream_offset long, run_id long")
+    )
+    assert consumed(landing) == [(5, 5 * k, 5 * k + 5) for k in range(runs)]
+    assert len(landing._segments("events")) == 1
+
+
+def test_a_merge_that_was_cut_off_changes_nothing(spark, tmp_path, monkeypatch):
+    landing = Landing(spark, str(tmp_path / "landing"))
+    for k in range(4):
+        landing.receive(spark.createDataFrame([(f"e{k}", None)], BATCH), k)
+        landing.release(spark.createDataFrame([], BATCH).schema)
+    schema = spark.createDataFrame([], BATCH).schema
+    before = rows(landing.read(schema))
+    with monkeypatch.context() as broken:
+        broken.setattr("lakemart.streaming.landing.delete_folder", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            landing.compact(2)
+    assert rows(landing.read(schema)) == before
+    (tmp_path / "landing/events_merged/runs=0-9").mkdir()  # a merge that never ended has no _SUCCESS
+    assert rows(landing.read(schema)) == before
+    landing.compact(2)
+    assert rows(landing.read(schema)) == before
+    assert not list((tmp_path / "landing").glob("events/run_id=*"))
+
+
+def test_events_count_once_their_run_stands_in_the_ledger(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "landing"))
+    schema = spark.createDataFrame([], BATCH).schema
+    landing.receive(spark.createDataFrame([("a", None)], BATCH), 0)
+    landing.release(schema)
+    ledger = tmp_path / "landing/ledger/run_id=0"
+    ledger.rename(tmp_path / "aside")
+    assert landing.read(schema).count() == 0
+    assert landing.release(schema) in (0, 1)
