@@ -10,6 +10,7 @@ from collections.abc import Collection, Iterator
 from typing import Any
 
 from py4j.java_gateway import JavaObject, is_instance_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _CATALYST = "org.apache.spark.sql.catalyst"
@@ -88,9 +89,12 @@ REFUSED_EXPRESSIONS = frozenset(
 )
 
 
-class ReadOnlyError(ValueError):
+class ReadOnlyError(AnalysisException):
     """The text would do more than read the views."""
 
+    def __init__(self, message: str):
+        super().__init__(message=message)
+
 
 def query(spark: SparkSession, text: str, views: Collection[str]) -> DataFrame:
     """The result of one query over the named temporary views; anything else raises ``ReadOnlyError``.

@@ -189,4 +189,5 @@ def test_top_listings_and_sql(spark, silver):
 def test_only_queries_run(spark, text):
     with pytest.raises((ParseException, AnalysisException)):
         kpi.sql(spark, text, {"mart_x": spark.range(3)})
-    assert kpi.sql(spark, "with a as (select id from mart_x) select sum(id) as s from a -- all\n;", {}).first().s == 3
+    marts_ = {"mart_x": spark.range(3)}
+    assert kpi.sql(spark, "with a as (select id from mart_x) select sum(id) as s from a -- all\n;", marts_).first().s == 3
