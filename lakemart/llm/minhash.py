@@ -13,6 +13,7 @@ frequent label are compared with all others, in bounded blocks, through an index
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,20 +27,29 @@ from lakemart.llm.hashing import mix, piece_hashes, utf8
 from lakemart.sources.lake import Workspace
 
 SHINGLE = 5
-BANDS, ROWS = 25, 5
-COORDINATES = BANDS * ROWS
-UNIVERSE_BITS = 20
+ROWS = 5
+MISS = 5e-7  # chance that a pair at the threshold shares no band
+UNIVERSE_BITS = 23
 THRESHOLD = 85
-BLOCK = 1024
+BLOCK, SALT = 1024, 32
 _U = np.uint64
 
 
+def bands_for(threshold: int) -> int:
+    """Bands of ``ROWS`` coordinates that a pair at the threshold misses altogether with a chance of ``MISS`` at most."""
+    if not 0 < threshold <= 100:
+        raise ValueError(f"threshold {threshold} is no percentage above 0")
+    share = (threshold / 100) ** ROWS
+    return 1 if share == 1 else math.ceil(math.log(MISS) / math.log(1 - share))
+
+
 @cache
-def _shifted() -> np.ndarray:
-    """Row i holds the ranks of place i under all shifts: a window view on one permutation."""
-    ranks = np.random.Generator(np.random.PCG64(0xC1C)).permutation(1 << UNIVERSE_BITS).astype(np.uint32)
-    ring = np.concatenate([ranks, ranks[: COORDINATES - 1]])
-    return np.lib.stride_tricks.sliding_window_view(ring, COORDINATES)
+def _shifted(coordinates: int) -> np.ndarray:
+    """Row i holds the ranks of place i under so many shifts: a window view on one permutation."""
+    ranks = np.arange(1 << UNIVERSE_BITS, dtype=np.uint32)
+    np.random.Generator(np.random.PCG64(0xC1C)).shuffle(ranks)
+    ring = np.concatenate([ranks, ranks[: coordinates - 1]])
+    return np.lib.stride_tricks.sliding_window_view(ring, coordinates)
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -65,10 +75,10 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     """All coordinates of one set; the work array is bounded whatever the set holds."""
     places = (mix(shingles ^ _U(0xA5A5A5A5)) >> _U(64 - UNIVERSE_BITS)).astype(np.int64)
-    table, least = _shifted(), None
+    table, least = _shifted(coordinates), None
     for at in range(0, len(places), 2048):
         part = table[places[at : at + 2048]].min(axis=0)
         least = part if least is None else np.minimum(least, part)
@@ -77,8 +87,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of each signature; equal rows of the same band give equal keys."""
-    rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    salted = rows + (np.arange(COORDINATES, dtype=np.uint64) << _U(32)).reshape(BANDS, ROWS)
+    rows = signatures.reshape(len(signatures), -1, ROWS).astype(np.uint64)
+    salted = rows + (np.arange(signatures.shape[1], dtype=np.uint64) << _U(32)).reshape(-1, ROWS)
     return mix(mix(salted).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
 
@@ -97,9 +107,10 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split(" ") for field in ddl.split(", "))])
 
 
-def sketches(docs: DataFrame, *carry: str) -> DataFrame:
-    """Set size, set fingerprint and band keys of every document, and the long columns named in ``carry``."""
-    ddl = ", ".join([_SKETCH, *[f"{name} long" for name in carry]])
+def sketches(docs: DataFrame, threshold: int = THRESHOLD, carry: str | None = None) -> DataFrame:
+    """Set size, set fingerprint and band keys of every document, and as ``row`` the long column ``carry``."""
+    coordinates = bands_for(threshold) * ROWS
+    ddl = f"{_SKETCH}, row long" if carry else _SKETCH
     schema = _arrow(ddl)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,15 +122,16 @@ def sketches(docs: DataFrame, *carry: str) -> DataFrame:
                 full = [i for i, s in enumerate(sets) if len(s)]
                 bands: list[list[int]] = [[]] * len(sets)
                 if full:
-                    for i, keys in zip(full, band_keys(np.stack([signature(sets[i]) for i in full])).tolist(), strict=True):
+                    for i, keys in zip(full, band_keys(np.stack([signature(sets[i], coordinates) for i in full])).tolist(), strict=True):
                         bands[i] = keys
                 columns = [part.column("doc_id").to_pylist(), [len(s) for s in sets], [m[0] for m in marks], [m[1] for m in marks]]
-                columns += [bands, *[part.column(name).to_pylist() for name in carry]]
+                columns += [bands, *([part.column("row").to_pylist()] if carry else [])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(task, ddl)
+    row = [F.col(carry).alias("row")] if carry else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row).mapInArrow(task, ddl)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -181,7 +193,8 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
 
     ``members`` has hub, node, label, shingles of families with several labels. In each, the nodes outside the most
     frequent label, in blocks, meet all nodes, in blocks, so the work grows with the nodes that are still apart and
-    every group is bounded. A block pair returns one link at most for each node and label.
+    every group is bounded. A block pair returns one link at most for each node and label. Block pairs are dealt out one
+    by one, and the members of a family meet its plan in ``SALT`` parts, so no task has a whole family.
     """
     of_label = members.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
     plan = of_label.groupBy("hub").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
@@ -192,7 +205,9 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
         F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("asking_blocks"),
     )
     spot = F.xxhash64("node")
-    dealt = members.join(plan, "hub").select(
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SALT)).cast("int"))
+    plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    dealt = salted.join(plan.hint("merge"), ["hub", "salt"]).select(
         "hub", "node", "label", "shingles", "blocks", "asking_blocks",
         (F.col("label") != F.col("main")).alias("asks"),
         F.pmod(spot, F.col("blocks")).cast("int").alias("block"),
@@ -217,8 +232,9 @@ def _across(members: DataFrame, threshold: int) -> DataFrame:
             b += nodes[found[first]].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    both = answer.unionByName(ask).groupBy("hub", "block", "asking")
-    return both.applyInArrow(group, "a long, b long")
+    # Without the exchange Spark would go on with the partitions by hub that the joins have left.
+    both = answer.unionByName(ask).repartition("hub", "block", "asking")
+    return both.groupBy("hub", "block", "asking").applyInArrow(group, "a long, b long")
 
 
 _MARK = ["n_shingles", "s1", "s2"]
@@ -231,10 +247,11 @@ def near_groups(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD) ->
     component_id is the smallest doc_id that links reach, and the row with that doc_id is kept. Null, empty and
     blank texts have no shingles and are linked with nothing: their component is their own doc_id. A null doc_id
     counts only where no other is in the component, and is then kept. Rows with equal doc_id are told apart by
-    their texts. An empty table gives no rows; other columns are ignored. A pair at the threshold shares no band
-    with a chance below 5e-7; all other steps are exact.
+    their texts. An empty table gives no rows; other columns are ignored. The number of bands follows from the threshold,
+    so that a pair there shares no band with a chance of 5e-7 at most; all other steps are exact.
     """
-    drawn = work.save(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    drawn = sketches(docs, threshold).withColumn("row", F.monotonically_increasing_id())
+    drawn = work.save(drawn, "sketches")
     out = drawn.select("doc_id", *_MARK).join(_classes(docs, drawn, work, threshold), _MARK, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
@@ -292,11 +309,14 @@ def distinct_docs(docs: DataFrame, work: Workspace, threshold: int = THRESHOLD)
     of a component the smallest doc_id stays (nulls last), of its texts the one with the smallest set fingerprint, and
     of rows equal in both any one.
     """
-    rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    drawn = work.save(sketches(rows, "_row").withColumnRenamed("_row", "row"), "sketches")
+    mark = "_row"
+    while mark in docs.columns:
+        mark += "_"
+    rows = work.save(docs.withColumn(mark, F.monotonically_increasing_id()), "rows")
+    drawn = work.save(sketches(rows, threshold, mark), "sketches")
     classes = _classes(docs, drawn, work, threshold)
     sets = drawn.where("n_shingles > 0").select("row", F.col("doc_id").isNull().alias("late"), "doc_id", *_MARK).join(classes, _MARK)
     first = F.min(F.struct("late", "doc_id", *_MARK, "row"))
-    kept = sets.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias("_row"))
-    kept = work.save(kept.unionByName(drawn.where("n_shingles = 0").select(F.col("row").alias("_row"))), "kept")
-    return rows.join(kept.hint("merge"), "_row", "left_semi").drop("_row")
+    kept = sets.groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias(mark))
+    kept = work.save(kept.unionByName(drawn.where("n_shingles = 0").select(F.col("row").alias(mark))), "kept")
+    return rows.join(kept.hint("merge"), mark, "left_semi").drop(mark)

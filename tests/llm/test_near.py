@@ -109,15 +109,16 @@ def test_circulant_signature_estimates_similarity():
             a = np.concatenate([both[: 400 - n], rng.integers(0, 2**63, n, dtype=np.uint64)])
             b = np.concatenate([both[: 400 - n], rng.integers(0, 2**63, n, dtype=np.uint64)])
             true = (400 - n) / (400 + n)
-            errors.append((minhash.signature(a) == minhash.signature(b)).mean() - true)
+            errors.append((minhash.signature(a, 125) == minhash.signature(b, 125)).mean() - true)
         assert abs(np.mean(errors)) < 0.02
         assert np.std(errors) < 0.06
 
 
 def test_shift_is_circular():
-    table = minhash._shifted()
+    table = minhash._shifted(125)
     size = 1 << minhash.UNIVERSE_BITS
-    assert (table[:-1, 1:] == table[1:, :-1]).all()
+    some = np.arange(0, size - 1, 1021)
+    assert (table[some, 1:] == table[some + 1, :-1]).all()
     assert table[size - 1, 1] == table[0, 0]
     assert len(np.unique(table[:, 0])) == size
 
@@ -354,3 +355,48 @@ def test_boundaries_resist_shifts():
     assert len(whole & shifted) >= len(whole) - 3
     same = line_chunks.boundaries(np.zeros(1000, np.uint64))
     assert np.diff(same, prepend=0).max() <= line_chunks.MOST_LINES
+
+
+def test_bands_follow_the_threshold():
+    assert [minhash.bands_for(t) for t in (100, 85, 80, 60)] == [1, 25, 37, 180]
+    for threshold in (50, 80, 85, 95):
+        share = (threshold / 100) ** minhash.ROWS
+        assert (1 - share) ** minhash.bands_for(threshold) <= minhash.MISS
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 90])
+def test_groups_at_other_thresholds(documents, work, threshold):
+    rows = corpus()
+    sets, label = brute_near(rows, threshold)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(documents(rows), work, threshold).collect()}
+    assert got == {i: (len(sets[i]), label[i]) for i, _ in rows}
+
+
+def test_unrelated_long_texts_share_no_band():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 600_000, dtype=np.uint64)) for _ in range(2)]
+    signatures = np.stack([minhash.signature(s, 125) for s in sets])
+    assert (signatures[0] == signatures[1]).mean() < 0.12
+    assert not (minhash.band_keys(signatures)[0] == minhash.band_keys(signatures)[1]).any()
+
+
+def test_blocks_of_one_family_are_dealt_to_many_tasks(spark):
+    members = spark.range(50).selectExpr("1L as hub", "id as node", "id % 3 as label", "cast('x' as binary) as shingles")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = minhash._across(members, 85)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.splitlines()
+    group = next(k for k, line in enumerate(lines) if "FlatMapGroupsInArrow" in line)
+    below = next(line for line in lines[group:] if "Exchange" in line)
+    assert all(f"{name}#" in below for name in ("hub", "block", "asking"))
+    assert sum("hashpartitioning(" in line and "salt#" in line for line in lines) >= 2
+
+
+def test_a_column_named_like_the_row_mark_survives(spark, work):
+    docs = spark.createDataFrame([(1, "a b c d e f", "keep"), (2, "a b c d e f", "drop")], "doc_id long, text string, _row string")
+    kept = minhash.distinct_docs(docs, work)
+    assert kept.columns == ["doc_id", "text", "_row"]
+    assert [tuple(r) for r in kept.collect()] == [(1, "a b c d e f", "keep")]
