@@ -1,18 +1,22 @@
 """Token-id files with Re-Pair grammar compression.
 
-Documents are encoded in ascending doc_id order and stored in shards. In each shard the most frequent pairs of ids are
-replaced by nonterminals, round after round, until no pair is frequent enough. A shard holds its rules, their expansion
-lengths, the symbols left, and where each document starts, so any document, or any id of it, is read without the rest.
+Documents are encoded in ascending doc_id order and stored in shards of about two million ids. In each shard the most
+frequent pairs of ids are replaced by nonterminals, thousands of pairs a round, until no pair is left that occurs
+``LEAST`` times. A shard holds its rules, their expansion lengths, the symbols left, and where each document starts, so
+any document, or any id of it, is read without the rest.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +24,12 @@ from lakemart.llm.hashing import CHUNK, IS_SPACE, bounds_hash, buffers
 from lakemart.llm.tables import running_total, text_or_empty
 from lakemart.sources.lake import Workspace
 
-BLOCK_BITS = 10
 SHARD_IDS = 1 << 21
 FIRST_RULE = 1 << 17
-ROUNDS, RULES_A_ROUND, LEAST, SLOT_BITS, PASSES = 6, 4096, 6, 20, 5
+RULES_A_ROUND, LEAST, SLOT_BITS, PASSES = 1 << 14, 6, 20, 5
 KNOWN_WORDS = 1 << 20
+FEW_PLACES = 1 << 16
+SPELLED = 1 << 23
 END_ID = 1
 _MAGIC = b"RPG1"
 
@@ -32,20 +37,51 @@ _MAGIC = b"RPG1"
 # ---------------------------------------------------------------- grammar
 
 
-def _frequent_places(symbols: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent pairs: (codes, most frequent first; places where one starts, ascending; its rank there).
+Places = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-    Pairs are counted in hashed buckets first; only those in buckets that are full enough are counted exactly.
+
+def _ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs to replace in this round, the most frequent first."""
+    order = np.lexsort((codes, -counts))
+    return order[counts[order] >= LEAST][:RULES_A_ROUND]
+
+
+def _frequent_places(symbols: np.ndarray, places: np.ndarray, turn: int) -> Places:
+    """The most frequent pairs among those that start at ``places``: (codes, most frequent first; places where one starts,
+    ascending; its rank there).
+
+    Pairs are counted in hashed slots. A slot counts one pair only, so a frequent pair whose slot another one has
+    taken is put off to a later turn, which hashes in another way.
     """
-    slots = (symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SLOT_BITS)
+    a, b = np.uint32((0x9E3779B1 + 0x632BE5AA * turn) & 0xFFFFFFFF | 1), np.uint32((0x85EBCA6B + 0x3C6EF372 * turn) & 0xFFFFFFFF | 1)
+    slots = (symbols[places] * a + symbols[places + 1] * b) >> np.uint32(32 - SLOT_BITS)
     rough = np.bincount(slots, minlength=1 << SLOT_BITS)
     at_least = np.cumsum(np.bincount(np.minimum(rough, 4095), minlength=4096)[::-1])[::-1]
     floor = max(LEAST, int(np.searchsorted(-at_least, -RULES_A_ROUND, "right")) - 1)
-    places = np.flatnonzero((rough >= floor)[slots] & ~last[:-1])
-    codes = (symbols[places].astype(np.int64) << 32) | symbols[places + 1]
-    found, inverse, counts = np.unique(codes, return_inverse=True, return_counts=True)
-    order = np.lexsort((found, -counts))
-    order = order[counts[order] >= LEAST][:RULES_A_ROUND]
+    hot = (rough >= floor)[slots]
+    places, slots = places[hot], slots[hot]
+    codes = _codes(symbols, places)
+    owner = np.zeros(1 << SLOT_BITS, np.int64)
+    owner[slots] = codes
+    own = owner[slots] == codes
+    places, slots = places[own], slots[own]
+    counts = np.bincount(slots, minlength=1 << SLOT_BITS)
+    full = np.flatnonzero(counts >= LEAST)
+    order = full[_ranked(owner[full], counts[full])]
+    rank = np.full(1 << SLOT_BITS, -1, np.int64)
+    rank[order] = np.arange(len(order))
+    here = rank[slots]
+    return owner[order], places[here >= 0], here[here >= 0]
+
+
+def _codes(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (symbols[places].astype(np.int64) << 32) | symbols[places + 1]
+
+
+def _sorted_places(symbols: np.ndarray, places: np.ndarray) -> Places:
+    """The same without hashing."""
+    found, inverse, counts = np.unique(_codes(symbols, places), return_inverse=True, return_counts=True)
+    order = _ranked(found, counts)
     rank = np.full(len(found), -1, np.int64)
     rank[order] = np.arange(len(order))
     own = rank[inverse]
@@ -70,39 +106,49 @@ def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _replaced(best: np.ndarray, at: np.ndarray, rank: np.ndarray) -> Places:
+    """The pairs that are worth a rule, and the places that use one: no two overlap, and every rule is used LEAST times."""
+    follows = np.concatenate([[False], at[1:] == at[:-1] + 1]) if len(at) else np.zeros(0, bool)
+    same = follows & np.concatenate([[False], rank[1:] == rank[:-1]]) if len(at) else follows
+    index = np.arange(len(at))
+    odd = (index - np.maximum.accumulate(np.where(same, 0, index))) % 2 == 1 if len(at) else follows
+    at, rank = at[~odd], rank[~odd]
+    chosen = _apart(at, rank)
+    at, rank = at[chosen], rank[chosen]
+    worth = np.bincount(rank, minlength=len(best)) >= LEAST
+    at, rank = at[worth[rank]], rank[worth[rank]]
+    return best[worth], at, (np.cumsum(worth) - 1)[rank]
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, symbols, end positions of the documents in them); no rule reaches over a document's end.
 
     Rule k is symbol FIRST_RULE + k and may use earlier rules only. Of overlapping occurrences the more frequent pair
-    is replaced, in runs of one symbol every second pair; what is left over is counted anew in the next round.
+    is replaced, in runs of one symbol every second pair. A round after another counts pairs with the newest symbols
+    only, as no other pair has become more frequent; where it finds none, all pairs are counted. Every round makes a
+    rule and takes symbols away, so the rounds end; copies of a text halve in each.
     """
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
     rules = [np.empty((0, 2), np.uint32)]
-    made = 0
-    for _ in range(ROUNDS):
-        if len(symbols) < 2 * LEAST:
-            break
-        best, at, rank = _frequent_places(symbols, last)
+    made, turn, fresh = 0, 0, 0
+    while len(symbols) >= 2 * LEAST:
+        places = np.flatnonzero(~last[:-1] & ((symbols[:-1] >= fresh) | (symbols[1:] >= fresh)) if fresh else ~last[:-1])
+        if turn and (len(places) <= FEW_PLACES or not fresh):
+            best, at, rank = _replaced(*_sorted_places(symbols, places))
+        else:
+            best, at, rank = _replaced(*_frequent_places(symbols, places, turn))
         if not len(at):
-            break
-        follows = np.concatenate([[False], at[1:] == at[:-1] + 1])
-        same = follows & np.concatenate([[False], rank[1:] == rank[:-1]])
-        index = np.arange(len(at))
-        odd = (index - np.maximum.accumulate(np.where(same, 0, index))) % 2 == 1
-        at, rank = at[~odd], rank[~odd]
-        chosen = _apart(at, rank)
-        at, rank = at[chosen], rank[chosen]
-        uses = np.bincount(rank, minlength=len(best))
-        worth = uses >= LEAST
-        at, rank = at[worth[rank]], rank[worth[rank]]
-        if not len(at):
-            break
-        number = made + np.cumsum(worth) - 1
-        rules.append(np.stack([best[worth] >> 32, best[worth] & 0xFFFFFFFF], axis=1).astype(np.uint32))
-        made += int(worth.sum())
-        symbols[at] = FIRST_RULE + number[rank]
+            if turn and not fresh:  # all pairs have been counted, by sorting
+                break
+            turn, fresh = turn + 1, 0
+            continue
+        turn += 1
+        rules.append(np.stack([best >> 32, best & 0xFFFFFFFF], axis=1).astype(np.uint32))
+        fresh = FIRST_RULE + made
+        symbols[at] = fresh + rank
+        made += len(best)
         last[at] = last[at + 1]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
@@ -112,24 +158,41 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(rules), symbols, np.maximum.accumulate(symbol_ends)
 
 
-def expansion_lengths(rules: np.ndarray) -> np.ndarray:
-    """How many ids each rule stands for."""
-    lengths = np.ones(len(rules), np.int64)
-    todo = np.arange(len(rules))
+def _levels(rules: np.ndarray) -> list[np.ndarray]:
+    """Numbers of the rules, those first that need ids only, then those that need these, and so on."""
+    out, todo = [], np.arange(len(rules))
     known = np.zeros(len(rules) + 1, bool)
     while len(todo):
         sides = rules[todo].astype(np.int64) - FIRST_RULE
         ready = ((sides < 0) | known[np.maximum(sides, 0)]).all(axis=1)
-        done = todo[ready]
-        own = sides[ready]
-        lengths[done] = np.where(own < 0, 1, lengths[np.maximum(own, 0)]).sum(axis=1)
-        known[done] = True
+        out.append(todo[ready])
+        known[todo[ready]] = True
         todo = todo[~ready]
+    return out
+
+
+def expansion_lengths(rules: np.ndarray) -> np.ndarray:
+    """How many ids each rule stands for."""
+    lengths = np.ones(len(rules), np.int64)
+    for level in _levels(rules):
+        sides = rules[level].astype(np.int64) - FIRST_RULE
+        lengths[level] = np.where(sides < 0, 1, lengths[np.maximum(sides, 0)]).sum(axis=1)
     return lengths
 
 
+def _spelled(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Ids of symbols whose rules are spelled out in ``flat``."""
+    inner = symbols >= FIRST_RULE
+    rule = np.where(inner, symbols.astype(np.int64) - FIRST_RULE, 0)
+    sizes = np.where(inner, lengths[rule], 1)
+    ends = np.cumsum(sizes)
+    out = flat[np.repeat(starts[rule] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    out[(ends - sizes)[~inner]] = symbols[~inner]
+    return out
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """The ids that the symbols stand for."""
+    """The ids that a few symbols stand for; only the rules that they need are looked at."""
     out = symbols.astype(np.uint32)
     while True:
         inner = out >= FIRST_RULE
@@ -143,6 +206,18 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
         out = wider
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The same for all symbols of a shard: every rule is spelled out once, level by level, where that is not much."""
+    if not len(rules) or int(lengths.sum()) > SPELLED:
+        return expand(symbols, rules)
+    starts, flat = np.cumsum(lengths) - lengths, np.zeros(int(lengths.sum()), np.uint32)
+    for level in _levels(rules):
+        ends = np.cumsum(lengths[level])
+        places = np.repeat(starts[level] - (ends - lengths[level]), lengths[level]) + np.arange(int(ends[-1]))
+        flat[places] = _spelled(rules[level].ravel(), starts, lengths, flat)
+    return _spelled(symbols.astype(np.uint32), starts, lengths, flat)
+
+
 class Shard:
     """One stored shard: documents by position, decoded on demand."""
 
@@ -159,7 +234,7 @@ class Shard:
         self.rules = flat.reshape(-1, 2)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules)
+        return expand_all(self.symbols, self.rules, self.lengths)
 
     def document(self, k: int) -> np.ndarray:
         start = self.symbol_ends[k - 1] if k else 0
@@ -194,18 +269,52 @@ _KIND[[9, 10, 11, 12, 13, 32]] = _BLANK
 _PLAIN = {chr(c) for c in range(128)} - {"'"} | {chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and c != 0x130}
 
 
+# How a tokenizer must normalise and cut texts so that its words can be encoded one by one.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_CUT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordEncoder:
     """The library's encoding, with every distinct word encoded once.
 
     The tokenizer lower-cases, drops white space and cuts a text into runs of letters, single digits and runs of other
     signs before it looks at pairs, so a text's ids are those of its words in a row. Texts with characters for which
-    that cut is not plain are given to the library whole.
+    that cut is not plain are given to the library whole, and so are all texts of a tokenizer that cuts in another way.
+    The library stays on the one core that Spark gives the task.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        model = spec["model"]
+        self.by_words = (
+            spec["normalizer"] == _NORMALIZER
+            and spec["pre_tokenizer"] == _CUT
+            and model["type"] == "BPE"
+            and not model["dropout"]
+            and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+        )
         self._reset()
 
     def _reset(self) -> None:
@@ -253,7 +362,7 @@ class WordEncoder:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         plain, other = [], []
         for number, text in enumerate(texts):
-            ok = "<|" not in text and (text.isascii() and "'" not in text or not set(text) - _PLAIN)
+            ok = self.by_words and "<|" not in text and (text.isascii() and "'" not in text or not set(text) - _PLAIN)
             (plain if ok else other).append(number)
         for number, encoded in zip(other, self.tokenizer.encode_batch([texts[k] for k in other], add_special_tokens=False), strict=True):
             out[number].append(np.array(encoded.ids, np.uint32))
@@ -282,55 +391,60 @@ def _encoder(path: str) -> WordEncoder:
 
 # ---------------------------------------------------------------- files
 
-SHARD_ROWS = "late boolean, block long, part int, n_ids long, payload binary"
-_SHARDS = pa.schema([("late", pa.bool_()), ("block", pa.int64()), ("part", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
+SHARD_ROWS = "range int, part int, first_id long, last_id long, n_ids long, payload binary"
+_SHARDS = pa.schema(
+    [
+        ("range", pa.int32()),
+        ("part", pa.int32()),
+        ("first_id", pa.int64()),
+        ("last_id", pa.int64()),
+        ("n_ids", pa.int64()),
+        ("payload", pa.binary()),
+    ]
+)
+LATE = (1 << 63) - 1  # stands for a null doc_id
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID) -> None:
     """Encode ``docs`` (doc_id, text) and write their shards to ``path``.
 
-    A block is the documents of 1,024 neighbouring ids (null ids come last, as one block); it has one shard, or
-    several of about two million ids each. Null texts are empty; every document ends with ``end_id``, so an empty one
-    is that id alone. Rows with equal doc_id follow each other by text. An empty table writes no shard.
+    Documents are dealt out by ranges of doc_id, nulls last, and rows of one doc_id by the hash of their text, so a
+    repeated or missing id that holds much of the table is spread too. Files in the order of their names, shards in
+    them and documents in these ascend by doc_id; a shard ends at two million ids or with its range. Null texts are
+    empty; every document ends with ``end_id``, so an empty one is that id alone. An empty table writes no shard. The
+    greatest long stands for null and cannot be a doc_id.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
-        key, part = None, 0
+        place, part, size = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int] = []
         held: list[np.ndarray] = []
-        size = 0
 
         def shard() -> pa.RecordBatch:
             ends = np.cumsum([len(x) for x in held])
             payload = pack(doc_ids, np.concatenate(held), ends)
-            row = [[key[0]], [key[1]], [part], [size], [payload]]
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _SHARDS, strict=True)], schema=_SHARDS)
+            row = [place, part, doc_ids[0], doc_ids[-1], size, payload]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SHARDS, strict=True)], schema=_SHARDS)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256).to_pydict()
-                for late, block, doc_id, ids in zip(rows["late"], rows["block"], rows["doc_id"], encoder.encode(rows["text"]), strict=True):
-                    if key != (late, block) or size >= SHARD_IDS:
-                        if held:
-                            yield shard()
-                        part = part + 1 if key == (late, block) else 0
-                        key, doc_ids, held, size = (late, block), [], [], 0
-                    doc_ids.append(0 if doc_id is None else doc_id)
+                for doc_id, ids in zip(rows["doc_id"], encoder.encode(rows["text"]), strict=True):
+                    if size >= SHARD_IDS:
+                        yield shard()
+                        part, size, doc_ids, held = part + 1, 0, [], []
+                    doc_ids.append(doc_id)
                     held.append(np.append(ids, np.uint32(end_id)))
                     size += len(ids) + 1
         if held:
             yield shard()
 
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(
-        doc_id.isNull().alias("late"),
-        F.coalesce(F.shiftright(doc_id, BLOCK_BITS), F.lit(0)).cast("long").alias("block"),
-        doc_id.alias("doc_id"),
-        text_or_empty().alias("text"),
-    )
-    ordered = rows.repartition("late", "block").sortWithinPartitions("late", "block", "doc_id", "text")
-    shards = ordered.mapInArrow(task, SHARD_ROWS)
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc_id")
+    rows = docs.select(doc_id, text_or_empty().alias("text"))
+    order = ("doc_id", "_hash")
+    ordered = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    shards = ordered.select("doc_id", "text").mapInArrow(task, SHARD_ROWS)
     shards.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -339,7 +453,7 @@ def read_documents(shards: DataFrame, work: Workspace) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for late, block, part, data in zip(*(batch.column(k) for k in ("late", "block", "part", "payload")), strict=True):
+            for place, part, data in zip(*(batch.column(k) for k in ("range", "part", "payload")), strict=True):
                 shard = Shard(data.as_py())
                 ids = shard.all_ids().astype("<u4")
                 ends = shard.id_ends.tolist()
@@ -348,24 +462,45 @@ def read_documents(shards: DataFrame, work: Workspace) -> DataFrame:
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([late.as_py()] * n, pa.bool_()),
-                        pa.array([block.as_py()] * n, pa.int64()),
+                        pa.array([place.as_py()] * n, pa.int32()),
                         pa.array([part.as_py()] * n, pa.int32()),
                         pa.array(shard.doc_ids, pa.int64()),
                         pa.array(begins, pa.int64()),
                         pa.array(np.diff(shard.id_ends, prepend=0), pa.int64()),
                         pa.array(crcs, pa.int64()),
                     ],
-                    ["late", "block", "part", "doc_id", "inside", "n_tokens", "ids_crc32"],
+                    ["range", "part", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    schema = "late boolean, block long, part int, doc_id long, inside long, n_tokens long, ids_crc32 long"
-    documents = shards.select("late", "block", "part", "payload").mapInArrow(task, schema)
-    keys = ["late", "block", "part"]
+    schema = "range int, part int, doc_id long, inside long, n_tokens long, ids_crc32 long"
+    documents = shards.select("range", "part", "payload").mapInArrow(task, schema)
+    keys = ["range", "part"]
     starts = running_total(shards.select(*keys, "n_ids"), keys, "n_ids", "before", work, "starts").drop("n_ids")
     return documents.join(starts, keys).select(
-        F.when(~F.col("late"), F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("doc_id") != LATE, F.col("doc_id")).alias("doc_id"),
         (F.col("before") + F.col("inside")).alias("start"),
         "n_tokens",
         "ids_crc32",
     )
+
+
+def ids_of(shards: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
+    """doc_id and ids of a few documents: only shards that may hold one are read, and of them only those documents.
+
+    A doc_id that is stored several times gives several rows, one that is not stored gives none.
+    """
+    wanted = np.unique(np.array(list(doc_ids), np.int64))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("payload"):
+                shard = Shard(data.as_py())
+                places = np.flatnonzero(np.isin(shard.doc_ids, wanted)).tolist()
+                ids = pa.array([shard.document(k).astype(np.int32) for k in places], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids[places], pa.int64()), ids], ["doc_id", "ids"])
+
+    if not len(wanted):
+        return shards.sparkSession.createDataFrame([], "doc_id long, ids array<int>")
+    near = shards.where((F.col("first_id") <= int(wanted[-1])) & (F.col("last_id") >= int(wanted[0])))
+    holds = F.exists(F.lit(wanted.tolist()), lambda i: i.between(F.col("first_id"), F.col("last_id")))
+    return near.where(holds).select("payload").mapInArrow(task, "doc_id long, ids array<int>")

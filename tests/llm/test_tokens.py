@@ -1,9 +1,12 @@
 """Token files and n-best segmentation: exact round trips and brute force."""
 
+import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,6 +45,7 @@ def test_shard_round_trip(documents_ids):
     ids, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
     shard = token_files.Shard(token_files.pack(range(len(docs)), ids, ends))
     assert (shard.all_ids() == ids).all()
+    assert (token_files.expand(shard.symbols, shard.rules) == ids).all()
     assert all((shard.document(k) == d).all() for k, d in enumerate(docs))
     for start, stop in ((0, len(ids)), (len(ids) // 3, len(ids) // 2 + 1)):
         if start < stop <= len(ids):
@@ -61,13 +65,89 @@ def test_token_files(spark, documents, work, monkeypatch):
     rows = [(k * 700, words(k, 300)) for k in range(40)] + [(100_000 + k, t) for k, t in enumerate(ODD)] + [(5, "twin b"), (5, "twin a"), (None, "lost"), (-3, "below")]
     token_files.write_shards(documents(rows), WORD_PATH, work.path("files"))
     got = token_files.read_documents(spark.read.parquet(work.path("files")), work).collect()
-    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-    start, wanted = 0, []
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    stored = sorted(map(tuple, got), key=lambda r: r[1])
+    assert [r[0] for r in stored] == [doc_id for doc_id, _ in order]
+    assert [r[1] for r in stored] == np.cumsum([0, *[r[2] for r in stored]])[:-1].tolist()
+    wanted = []
     for (doc_id, _), ids in zip(order, library([t for _, t in order]), strict=True):
         own = np.array([*ids, 1], "<u4")
-        wanted.append((doc_id, start, len(own), zlib.crc32(own)))
-        start += len(own)
-    assert sorted(map(tuple, got), key=lambda r: r[1]) == wanted
+        wanted.append((doc_id, len(own), zlib.crc32(own)))
+    assert sorted([(r[0], r[2], r[3]) for r in stored], key=str) == sorted(wanted, key=str)
+
+    shards = spark.read.schema(token_files.SHARD_ROWS).parquet(work.path("files"))
+    asked = token_files.ids_of(shards, [700, 5, 100_004, 77])
+    assert sorted((r.doc_id, tuple(r.ids)) for r in asked.collect()) == sorted(
+        (doc_id, (*ids, 1)) for (doc_id, _), ids in zip(order, library([t for _, t in order]), strict=True) if doc_id in (700, 5, 100_004)
+    )
+    assert token_files.ids_of(shards, []).count() == 0
+
+
+def test_files_ascend_by_name_and_spread_ids_share_shards(spark, documents, work):
+    import random
+
+    rng = random.Random(1)
+    spread = [rng.randrange(-(2**60), 2**60) for _ in range(300)]
+    for name, ids in (("dense", range(300)), ("spread", spread)):
+        token_files.write_shards(documents([(i, words(3, 20)) for i in ids]), WORD_PATH, work.path(name))
+        files = sorted(f for f in os.listdir(work.path(name)) if f.endswith(".parquet"))
+        found = []
+        for file in files:
+            for row in pq.read_table(f"{work.path(name)}/{file}").to_pylist():
+                found += token_files.Shard(row["payload"]).doc_ids.tolist()
+        assert found == sorted(ids)
+        assert spark.read.parquet(work.path(name)).count() <= 4  # shuffle partitions of the tests
+
+
+def test_a_hot_or_missing_id_is_spread(spark, documents, work):
+    rows = [(None if k % 2 else 7, words(k, 30)) for k in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_shards(documents(rows), WORD_PATH, work.path("hot"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(work.path("hot"))
+    assert parts.select("range").distinct().count() >= 3
+    assert token_files.read_documents(parts, work).where("doc_id is null").count() == 200
+
+
+def test_copies_end_as_one_symbol_each():
+    one = np.random.default_rng(2).integers(0, 5000, 2000).astype(np.uint32)
+    ids = np.tile(np.append(one, np.uint32(9)), 200)
+    rules, symbols, ends = token_files.compress(ids, np.arange(1, 201) * 2001)
+    assert len(symbols) == 200
+    assert (token_files.expand(symbols, rules) == ids).all()
+    assert ends.tolist() == list(range(1, 201))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=400), st.integers(1, 5))
+def test_no_frequent_pair_is_left(ids, documents_):
+    ends = np.sort(np.append(np.random.default_rng(len(ids)).integers(0, len(ids) + 1, documents_ - 1), len(ids)))
+    rules, symbols, stops = token_files.compress(np.array(ids, np.uint32), ends)
+    assert (token_files.expand(symbols, rules) == np.array(ids)).all()
+    pairs = Counter()
+    for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+        own, k = symbols[a:b].tolist(), 0
+        seen = set()
+        while k + 1 < len(own):  # occurrences that do not overlap
+            pair = (own[k], own[k + 1])
+            if pair[0] != pair[1] or k - 1 not in seen:
+                pairs[pair] += 1
+                seen.add(k)
+            k += 1
+    assert max(pairs.values(), default=0) < 2 * token_files.LEAST
+
+
+def test_other_tokenizers_are_given_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = token_files.WordEncoder(path)
+    assert not other.by_words and token_files.WordEncoder(WORD_PATH).by_words
+    texts = ["Two  Words\n", "it's 12 34", ""]
+    wanted = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in other.encode(texts)] == wanted
 
 
 def test_no_documents(spark, documents, work):
