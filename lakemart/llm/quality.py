@@ -129,7 +129,10 @@ def fit_calibrated(positive: np.ndarray, unlabelled: np.ndarray, prior: float, c
 
 
 def _sample_features(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents with these (bounded, sampled) ids, collected as one array."""
+    """Features of the documents with these (bounded, sampled) ids, collected as one array, one row for each id.
+
+    Of rows that repeat an id the one whose text has the smallest hash counts, so the bound holds whatever repeats.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,6 +141,7 @@ def _sample_features(docs: DataFrame, ids: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_pydict({"x": pa.array([row.tobytes() for row in found], pa.binary())})
 
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = texts.select("text").mapInArrow(task, "x binary").toArrow().column("x").to_pylist()
     return np.frombuffer(b"".join(sorted(rows)), np.float32).reshape(-1, TRIGRAMS + SHARES)
 
