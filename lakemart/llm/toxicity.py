@@ -8,7 +8,7 @@ the driver, scoring on all rows in the tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +20,7 @@ from lakemart.llm.hashing import lut, mix, piece_hashes, utf8
 from lakemart.llm.quality import held_out
 
 SAMPLE = 8_000
+MOST_BUCKETS = 4_096
 BUCKET_BITS = 18
 SELECTED = 2_000
 LEAST_DOCS = 5
@@ -185,11 +186,29 @@ def degrees(rows: Rows, times: np.ndarray, words: np.ndarray, toxic: np.ndarray)
     }
 
 
+def bounded(
+    found: np.ndarray, times: np.ndarray, own: Sequence[int], words: Sequence[int], most: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, Sequence[int]]:
+    """What ``buckets`` returns, with at most ``most`` buckets a text."""
+    most = most or MOST_BUCKETS
+    own = np.asarray(own, np.int64)
+    if not len(own) or own.max() <= most:
+        return found, times, own, words
+    keep = np.ones(len(found), bool)
+    ends = np.cumsum(own)
+    for end, n in zip(ends[own > most].tolist(), own[own > most].tolist(), strict=True):
+        order = np.lexsort((found[end - n : end], -times[end - n : end].astype(np.int64)))
+        keep[end - n + order[most:]] = False
+    return found[keep], times[keep], np.minimum(own, most), words
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """Fit the chain on at most ``sample`` labelled documents, half of them toxic where there are so many.
 
-    They are chosen by hash of the id; held-out rows are never learned from. Without labelled rows all scores are
-    close to 0.
+    They are chosen by hash of the id; held-out rows are never learned from. Of rows that repeat an id the one whose
+    text has the smallest hash counts, and of a text with more than ``MOST_BUCKETS`` different buckets the most frequent
+    ones (at ties the smaller numbers), so what the driver fits on is bounded in bytes. Scores read whole texts. Without
+    labelled rows all scores are close to 0.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -200,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found, times, own, words = buckets(utf8(part.column("text").to_pylist()))
+                found, times, own, words = bounded(*buckets(utf8(part.column("text").to_pylist())))
                 ends = np.cumsum(own)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -214,6 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
                 )
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     schema = "doc_id long, toxic long, words long, found binary, times binary"
     got = texts.select("doc_id", "toxic", "text").mapInArrow(task, schema).toPandas()
     got = got.sort_values(["doc_id", "words", "found"], ignore_index=True)
