@@ -29,7 +29,7 @@ from lakemart.sources.lake import Workspace
 SHINGLE = 5
 ROWS = 5
 MISS = 5e-7  # chance that a pair at the threshold shares no band
-UNIVERSE_BITS = 23
+UNIVERSE_BITS = 22
 THRESHOLD = 85
 BLOCK, SALT = 1024, 32
 _U = np.uint64
