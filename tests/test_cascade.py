@@ -56,6 +56,39 @@ def test_keys_travel_as_in_the_plain_plan(spark, seed):
         assert fast[table].unique == plain[table].unique
 
 
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_many_repeated_keys_are_ranked_like_few_are_looked_up(spark, monkeypatch, hot):
+    raw = tables(spark, 1)
+    plain = validate_all(raw, CONTRACTS, ORDER)
+    monkeypatch.setattr(contracts, "_FEW", 0)
+    monkeypatch.setattr(contracts, "_HOT", hot)
+    fast = validate_all(raw, CONTRACTS, ORDER, Workspace(spark))
+    for table in CONTRACTS:
+        assert rows(fast[table].clean()) == rows(plain[table].clean()), table
+        assert rows(fast[table].issues()) == rows(plain[table].issues()), table
+    strict = contracts.annotate(raw["lines"], CONTRACTS["lines"], {}, ["order_id", "n"], Workspace(spark))
+    lazy = contracts.annotate(raw["lines"], CONTRACTS["lines"], {}, ["order_id", "n"])
+    assert rows(strict.issues()) == rows(lazy.issues())
+
+
+def test_a_wide_table_with_many_repeated_keys_is_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(contracts, "_FEW", 0)
+    space = Workspace(spark)
+    lines = space.save(spark.range(2000).selectExpr("id as at", "id % 700 as id", "'x' as wide"), "lines")
+    notes = space.save(spark.range(50).selectExpr("id as at", "id % 9 as line"), "notes")
+    chosen = {
+        "lines": TableContract("lines", unique=("id",)),
+        "notes": TableContract("notes", foreign_keys={"line": ("lines", "id")}),
+    }
+    seen = []
+    settle = contracts.settle
+    monkeypatch.setattr(contracts, "settle", lambda results, store: seen.extend(results) or settle(results, store))
+    validate_all({"lines": lines, "notes": notes}, chosen, {"lines": ["at"], "notes": ["at"]}, Workspace(spark))
+    assert [result.table for result in seen] == ["lines", "notes"]
+    plan = seen[0].annotated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+
+
 def test_a_parent_without_a_required_column_loses_all_keys(spark):
     raw = tables(spark, 3) | {"people": tables(spark, 3)["people"].drop("kind")}
     strict = CONTRACTS | {"people": TableContract("people", required=("id", "kind"), unique=("id",))}
