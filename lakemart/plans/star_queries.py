@@ -991,8 +991,8 @@ def stream_freshness(star: StarTables) -> DataFrame:
 @query
 def stream_dedup(star: StarTables) -> DataFrame:
     """The topic is landed twice from two folders; silver keeps each event once."""
-    landing, _ = _landed(star)
-    replay, _ = _landed(star)
+    with ThreadPoolExecutor(2) as pool:  # neither waits for the other
+        landing, replay = (landed for landed, _ in pool.map(_landed, [star, star]))
     both = landing.read(stream_schema()).unionByName(replay.read(stream_schema()))
     return silver.web_events(_typed_events(both), LATE_CUTOFF, ("event_ts",))
 

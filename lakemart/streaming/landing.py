@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,16 +232,23 @@ class Landing:
             if name not in batch.columns:
                 marked = marked.withColumn(name, F.lit(None).cast(kind))
         raw = self._path(f"inbox/raw/batch_key={key}")
-        marked.withColumn(ROW, F.monotonically_increasing_id()).write.mode("overwrite").parquet(raw)
+        # Events and rejects are counted as they are written, so the batch is read back for its numbers only.
+        counted = Observation()
+        placed = marked.withColumn(ROW, F.monotonically_increasing_id()).observe(
+            counted,
+            F.count_if(F.col(CORRUPT).isNull()).alias("events"),
+            F.count_if(F.col(CORRUPT).isNotNull()).alias("rejects"),
+        )
+        placed.write.mode("overwrite").parquet(raw)
+        events, rejects = counted.get["events"], counted.get["rejects"]
         landed = self.spark.read.schema(marked.withColumn(ROW, F.lit(0).cast("bigint")).schema).parquet(raw)
         first = self._received_before(key)
         # Rows of one block are numbered without gaps, so blocks only (few rows) are ordered and added up.
         good = landed.where(F.col(CORRUPT).isNull())
-        facts = landed.agg(F.count_if(F.col(CORRUPT).isNull()), F.count_if(F.col(CORRUPT).isNotNull())).first()
-        entry = [(key, first, first + facts[0], facts[1])]
-        if facts[0]:
+        entry = [(key, first, first + events, rejects)]
+        if events:
             self._number(good, first).write.mode("overwrite").parquet(self._path(f"inbox/events/batch_key={key}"))
-        if facts[1]:
+        if rejects:
             bad = landed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), F.lit(key).alias("batch_key"))
             bad.write.mode("overwrite").parquet(self._path(f"rejects/part={key}"))
         entries = self.spark.createDataFrame(entry, _INBOX_SCHEMA)

@@ -226,3 +226,18 @@ def test_events_count_once_their_run_stands_in_the_ledger(spark, tmp_path):
     ledger.rename(tmp_path / "aside")
     assert landing.read(schema).count() == 0
     assert landing.release(schema) in (0, 1)
+
+
+def test_a_batch_is_read_back_for_its_numbers_only(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "landing"))
+    batch = spark.range(6).selectExpr(
+        "string(id) as event_id", "if(id = 4, 'cut', null) as _corrupt_record", "'a' as _topic_source", "0L as _topic_block"
+    )
+    spark.sparkContext.setJobGroup("receive", "one batch")
+    try:
+        landing.receive(batch, 0)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("receive")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 10  # 12 with a count over what was written
+    assert [tuple(r) for r in landing.received().select("first_offset", "next_offset", "rejected").collect()] == [(0, 5, 1)]
