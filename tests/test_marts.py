@@ -191,3 +191,27 @@ def test_only_queries_run(spark, text):
         kpi.sql(spark, text, {"mart_x": spark.range(3)})
     marts_ = {"mart_x": spark.range(3)}
     assert kpi.sql(spark, "with a as (select id from mart_x) select sum(id) as s from a -- all\n;", marts_).first().s == 3
+
+
+def test_stock_is_not_shuffled_for_small_written_tables(spark, tmp_path):
+    from lakemart.plans import star_queries
+    from lakemart.sources.star import _SCHEMAS
+
+    day = dt.datetime(2024, 1, 1)
+    data = {
+        "region": [(0, "north")],
+        "nation": [(0, "a", 0)],
+        "customer": [(1, "c", 0, 1.0, "m")],
+        "supplier": [(1, "s", 0, 1.0)],
+        "part": [(1, "p", "b", "t", 1, 1.0)],
+        "orders": [(1, 1, "O", 1.0, day, "1-URGENT")],
+        "lineitem": [(1, 1, 1, k, 1.0, 1.0, 0.0, 0.0, "R", "O", day) for k in range(3)],
+    }
+    for name, table in data.items():
+        spark.createDataFrame(table, _SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    star = star_queries.StarTables(spark, str(tmp_path))
+    entities = star_queries._read_often(star_queries.Silver(star), star_queries.work(star))
+    stock = marts.inventory_risk(entities)
+    plan = stock._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert stock.count() == 1
