@@ -205,6 +205,7 @@ def test_stock_is_not_shuffled_for_small_written_tables(spark, tmp_path):
         "supplier": [(1, "s", 0, 1.0)],
         "part": [(1, "p", "b", "t", 1, 1.0)],
         "orders": [(1, 1, "O", 1.0, day, "1-URGENT")],
+        "events": [(1, day, 1, "view", 1.0, "{}")],
         "lineitem": [(1, 1, 1, k, 1.0, 1.0, 0.0, 0.0, "R", "O", day) for k in range(3)],
     }
     for name, table in data.items():
