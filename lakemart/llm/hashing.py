@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SPACES = b" \t\n\x0b\x0c\r"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)

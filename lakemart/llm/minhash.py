@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
 from lakemart.llm.hashing import mix, piece_hashes, utf8
+from lakemart.llm.held import held, release
 from lakemart.sources.lake import Workspace
 
 SHINGLE = 5
@@ -43,9 +43,12 @@ def bands_for(threshold: int) -> int:
     return 1 if share == 1 else math.ceil(math.log(MISS) / math.log(1 - share))
 
 
-@cache
 def _shifted(coordinates: int) -> np.ndarray:
     """Row i holds the ranks of place i under so many shifts: a window view on one permutation."""
+    return held(("ranks", coordinates), lambda: _drawn_ranks(coordinates))
+
+
+def _drawn_ranks(coordinates: int) -> np.ndarray:
     ranks = np.arange(1 << UNIVERSE_BITS, dtype=np.uint32)
     np.random.Generator(np.random.PCG64(0xC1C)).shuffle(ranks)
     ring = np.concatenate([ranks, ranks[: coordinates - 1]])
@@ -138,6 +141,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     schema = _arrow(_SETS)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 sets = shingle_sets(utf8(batch.slice(at, 512).column("text").to_pylist()))
@@ -156,6 +160,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         pairs = pairs.join(sets.toDF(side, f"set_{side}"), side)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             keep = []
             for one, other in zip(batch.column("set_a"), batch.column("set_b"), strict=True):

@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.hashing import mix
+from lakemart.llm.held import held
 from lakemart.llm.tables import text_or_empty
 
 N_BEST = 4
 SPACE = "▁"
 _LITERAL = "\U0010fffe"  # stands for U+2581 in a text, so that it is spelled in bytes and not read as a blank
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 17
 UNIT = 1 << 20
 KNOWN_CHUNKS, KNOWN_IDS, LONG_CHUNK = 1 << 19, 1 << 24, 48
 
@@ -257,14 +258,19 @@ class Segmenter:
     def _batch(self, texts: list[str]) -> tuple[list[list[float]], np.ndarray, np.ndarray]:
         # U+10FFFF, a character that no piece holds, keeps the texts apart and is itself a chunk
         chunks, inverse, starts = self._distinct("\U0010ffff".join([*texts, ""]))
-        first = len(self.scores)
-        fresh = [chunk for chunk in chunks if chunk not in self.known]
+        known = np.array([self.known.get(chunk, -1) for chunk in chunks], np.int64)
+        told = known >= 0
+        fresh = [chunks[k] for k in np.flatnonzero(~told).tolist()]
+        # Of what is remembered, only the chunks of this batch are copied; the new ones follow them.
+        old = known[told]
+        entries = (old[:, None] * self.width + np.arange(self.width)).ravel()
+        old_sizes = self.ends[entries + 1] - self.ends[entries]
         new_ids, new_sizes, new_scores, new_losses = self._search(fresh)
-        ids = np.concatenate([self.ids, new_ids])
-        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(new_sizes)])
-        all_scores, losses = np.concatenate([self.scores, new_scores]), np.concatenate([self.losses, new_losses])
-        place = {chunk: first + k for k, chunk in enumerate(fresh)}
-        numbers = np.array([self.known[c] if c in self.known else place[c] for c in chunks], np.int64)[inverse]
+        ids = np.concatenate([self.ids[_ranges(self.ends[entries], old_sizes)], new_ids])
+        ends = np.append(0, np.cumsum(np.concatenate([old_sizes, new_sizes])))
+        all_scores = np.concatenate([self.scores[old], new_scores])
+        losses = np.concatenate([self.losses[old], new_losses])
+        numbers = np.where(told, np.cumsum(told) - 1, len(old) + np.cumsum(~told) - 1)[inverse]
 
         stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1).tolist()
         found, rows, lengths, at = [], [], [], 0
@@ -283,7 +289,7 @@ class Segmenter:
         sizes = ends[entries + 1] - ends[entries]
         upto = np.append(0, np.cumsum(sizes))
         out = ids[_ranges(ends[entries], sizes)]
-        self._remember(fresh, first, ends, (ids, all_scores, losses))
+        self._remember(fresh, len(old), ends, (ids, all_scores, losses))
         return found, out, upto[np.cumsum(lengths, dtype=np.int64)]
 
 
@@ -306,15 +312,9 @@ def decode_lists(ids: np.ndarray, ends: np.ndarray, pieces: Pieces) -> list[byte
     return [data[a + 1 : b] for a, b in itertools.pairwise(edges)]
 
 
-_SEGMENTERS: dict[tuple[str, int, bool], Segmenter] = {}
-
-
 def segmenter(path: str, n: int = N_BEST, others: bool = False) -> Segmenter:
-    """One per Python worker, so chunks found in one task serve the next."""
-    key = path, n, others
-    if key not in _SEGMENTERS:
-        _SEGMENTERS[key] = Segmenter(*key)
-    return _SEGMENTERS[key]
+    """One per Python worker, so chunks found in one task serve the next; another operator's tasks drop it."""
+    return held(("segmenter", path, n, others), lambda: Segmenter(path, n, others))
 
 
 _ENCODED = [("ids", pa.list_(pa.int32())), ("scores", pa.list_(pa.float64())), ("others", pa.list_(pa.list_(pa.int32())))]

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.hashing import piece_hashes, utf8
+from lakemart.llm.held import release
 
 SAMPLE = 10_000
 PIECES = 1 << 16
@@ -135,6 +136,7 @@ def _sample_features(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 found = features(utf8(batch.slice(at, 256).column("text").to_pylist()))
@@ -182,6 +184,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -201,6 +204,7 @@ def good_docs(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFram
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
+        release()
         parts = [model.score(features(utf8(texts[i : i + 256]))) for i in range(0, len(texts), 256)]
         return pd.Series(np.concatenate([np.empty(0), *parts]))
 
