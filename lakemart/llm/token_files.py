@@ -13,6 +13,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ Places = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Numbers of the pairs to replace in this round, the most frequent first."""
-    order = np.lexsort((codes, -counts))
-    return order[counts[order] >= LEAST][:RULES_A_ROUND]
+    full = np.flatnonzero(counts >= LEAST)
+    return full[np.lexsort((codes[full], -counts[full]))][:RULES_A_ROUND]
 
 
 def _frequent_places(symbols: np.ndarray, places: np.ndarray, turn: int) -> Places:
@@ -54,21 +55,22 @@ def _frequent_places(symbols: np.ndarray, places: np.ndarray, turn: int) -> Plac
     taken is put off to a later turn, which hashes in another way.
     """
     a, b = np.uint32((0x9E3779B1 + 0x632BE5AA * turn) & 0xFFFFFFFF | 1), np.uint32((0x85EBCA6B + 0x3C6EF372 * turn) & 0xFFFFFFFF | 1)
-    slots = (symbols[places] * a + symbols[places + 1] * b) >> np.uint32(32 - SLOT_BITS)
+    slots = ((symbols[:-1] * a + symbols[1:] * b) >> np.uint32(32 - SLOT_BITS))[places]
     rough = np.bincount(slots, minlength=1 << SLOT_BITS)
     at_least = np.cumsum(np.bincount(np.minimum(rough, 4095), minlength=4096)[::-1])[::-1]
     floor = max(LEAST, int(np.searchsorted(-at_least, -RULES_A_ROUND, "right")) - 1)
-    hot = (rough >= floor)[slots]
-    places, slots = places[hot], slots[hot]
+    hot = rough >= floor
+    number = np.cumsum(hot, dtype=np.int32) - np.int32(1)  # of a hot slot
+    stay = hot[slots]
+    places, slots = places[stay], number[slots[stay]]
     codes = _codes(symbols, places)
-    owner = np.zeros(1 << SLOT_BITS, np.int64)
+    owner = np.zeros(int(number[-1]) + 1, np.int64)
     owner[slots] = codes
     own = owner[slots] == codes
     places, slots = places[own], slots[own]
-    counts = np.bincount(slots, minlength=1 << SLOT_BITS)
-    full = np.flatnonzero(counts >= LEAST)
-    order = full[_ranked(owner[full], counts[full])]
-    rank = np.full(1 << SLOT_BITS, -1, np.int64)
+    counts = np.bincount(slots, minlength=len(owner))
+    order = _ranked(owner, counts)
+    rank = np.full(len(owner), -1, np.int64)
     rank[order] = np.arange(len(order))
     here = rank[slots]
     return owner[order], places[here >= 0], here[here >= 0]
@@ -80,12 +82,30 @@ def _codes(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def _sorted_places(symbols: np.ndarray, places: np.ndarray) -> Places:
     """The same without hashing."""
-    found, inverse, counts = np.unique(_codes(symbols, places), return_inverse=True, return_counts=True)
-    order = _ranked(found, counts)
-    rank = np.full(len(found), -1, np.int64)
-    rank[order] = np.arange(len(order))
-    own = rank[inverse]
-    return found[order], places[own >= 0], own[own >= 0]
+    codes = _codes(symbols, places)
+    order = _order(codes)
+    in_order = codes[order]
+    firsts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])) if len(places) else order
+    counts = np.diff(firsts, append=len(places))
+    best = _ranked(in_order[firsts], counts)
+    rank = np.full(len(firsts), -1, np.int64)
+    rank[best] = np.arange(len(best))
+    own = np.empty(len(places), np.int64)
+    own[order] = np.repeat(rank, counts)
+    return in_order[firsts[best]], places[own >= 0], own[own >= 0]
+
+
+def _order(codes: np.ndarray) -> np.ndarray:
+    """Places of the codes in ascending order.
+
+    Where a code's two symbols and its place fit into one number, those numbers are sorted, which is faster by far.
+    """
+    high = int(codes.max() >> 32 | (codes & 0xFFFFFFFF).max()).bit_length() if len(codes) else 0
+    bits = len(codes).bit_length()
+    if 2 * high + bits > 63:
+        return np.argsort(codes, kind="stable")
+    short = ((codes >> 32 << high) | (codes & 0xFFFFFFFF)) << bits
+    return np.sort(short | np.arange(len(codes))) & ((1 << bits) - 1)
 
 
 def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -120,6 +140,14 @@ def _replaced(best: np.ndarray, at: np.ndarray, rank: np.ndarray) -> Places:
     return best[worth], at, (np.cumsum(worth) - 1)[rank]
 
 
+def _beside(at: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Places of the pairs that hold one of the symbols ``at`` these places, ascending."""
+    places = np.stack([at - 1, at], axis=1).ravel()
+    places = places[np.append(True, places[1:] != places[:-1])]
+    places = places[(places >= 0) & (places < len(last) - 1)]
+    return places[~last[places]]
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, symbols, end positions of the documents in them); no rule reaches over a document's end.
 
@@ -133,8 +161,9 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last[ends[ends > 0] - 1] = True
     rules = [np.empty((0, 2), np.uint32)]
     made, turn, fresh = 0, 0, 0
+    at = np.zeros(0, np.int64)
     while len(symbols) >= 2 * LEAST:
-        places = np.flatnonzero(~last[:-1] & ((symbols[:-1] >= fresh) | (symbols[1:] >= fresh)) if fresh else ~last[:-1])
+        places = _beside(at, last) if fresh else np.flatnonzero(~last[:-1])
         if turn and (len(places) <= FEW_PLACES or not fresh):
             best, at, rank = _replaced(*_sorted_places(symbols, places))
         else:
@@ -153,6 +182,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols, last = symbols[stay], last[stay]
+        at = at - np.arange(len(at))  # where the newest symbols are now
     symbol_ends = np.zeros(len(ends), np.int64)
     symbol_ends[np.diff(ends, prepend=0) > 0] = np.flatnonzero(last) + 1
     return np.concatenate(rules), symbols, np.maximum.accumulate(symbol_ends)
@@ -269,6 +299,10 @@ _KIND[[9, 10, 11, 12, 13, 32]] = _BLANK
 _PLAIN = {chr(c) for c in range(128)} - {"'"} | {chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and c != 0x130}
 
 
+# Byte-level tokenizers write a byte that is no visible Latin-1 sign as the next character from U+0100 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
 # How a tokenizer must normalise and cut texts so that its words can be encoded one by one.
 _NORMALIZER = {
     "type": "Sequence",
@@ -292,6 +326,51 @@ _CUT = {
 }
 
 
+class _Numbers:
+    """Numbers of 64-bit hashes, looked up many at a time: the hash's first bits say where to look, else one place on."""
+
+    def __init__(self, most: int):
+        self.bits = max(4, (2 * most).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.numbers = np.full(1 << self.bits, -1, np.int32)
+        self.size = 0
+
+    def _home(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it has none."""
+        spots = self._home(hashes)
+        out = self.numbers[spots]
+        todo = np.flatnonzero((self.keys[spots] != hashes) & (out >= 0))
+        while len(todo):
+            spots[todo] = (spots[todo] + 1) & (len(self.keys) - 1)
+            out[todo] = self.numbers[spots[todo]]
+            todo = todo[(self.keys[spots[todo]] != hashes[todo]) & (out[todo] >= 0)]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number new hashes, all different, on from the last number."""
+        numbers = np.arange(self.size, self.size + len(hashes), dtype=np.int32)
+        self.size += len(hashes)
+        spots, todo = self._home(hashes), np.arange(len(hashes))
+        while len(todo):
+            free = todo[self.numbers[spots[todo]] < 0]
+            self.numbers[spots[free]] = numbers[free]  # of several that want one place, one gets it
+            won = free[self.numbers[spots[free]] == numbers[free]]
+            self.keys[spots[won]] = hashes[won]
+            todo = todo[self.numbers[spots[todo]] != numbers[todo]]
+            spots[todo] = (spots[todo] + 1) & (len(self.keys) - 1)
+
+
+def _grown(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` after its first ``used`` entries; room is doubled where it ends."""
+    if used + len(more) > len(held):
+        held = np.concatenate([held[:used], np.empty(max(used, len(more)), held.dtype)])
+    held[used : used + len(more)] = more
+    return held
+
+
 class WordEncoder:
     """The library's encoding, with every distinct word encoded once.
 
@@ -317,21 +396,42 @@ class WordEncoder:
         )
         self._reset()
 
-    def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+    def _reset(self, most: int = KNOWN_WORDS) -> None:
+        self.known, self.most, self.n_ids = _Numbers(most), most, 0
         self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        sizes = np.array([len(f) for f in found], np.int64)
-        first = len(self.ids)
-        for number, value in enumerate(hashes, len(self.sizes)):
-            self.known[value] = number
-        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.uint32)])
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of lower-cased words in UTF-8.
+
+        Nothing before the model changes letters or visible signs but for their spelling in byte characters, so those
+        words go to the model; words with control characters take the whole way.
+        """
+        spelled = self.tokenizer.model.tokenize
+        out, other = [], []
+        for word in words:
+            text = word.decode("latin-1")
+            if not word.isascii():
+                out.append([t.id for t in spelled(text.translate(_SPELLED))])
+            elif text.isprintable():
+                out.append([t.id for t in spelled(text)])
+            else:
+                other.append(len(out))
+                out.append([])
+        for k, found in zip(other, self.tokenizer.encode_batch([words[k].decode() for k in other], add_special_tokens=False), strict=True):
+            out[k] = found.ids
+        return out
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        found = self._words(words)
+        sizes = np.array([len(f) for f in found], np.int32)
+        first, upto = self.known.size, np.cumsum(sizes, dtype=np.int64)
+        self.known.add(hashes)
+        self.starts = _grown(self.starts, first, self.n_ids + upto - sizes)
+        self.sizes = _grown(self.sizes, first, sizes)
+        self.ids = _grown(self.ids, self.n_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(upto[-1])))
+        self.n_ids += int(upto[-1])
 
     def _buffer(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words in a buffer, where each word starts, and its number of ids."""
@@ -343,18 +443,21 @@ class WordEncoder:
         stops = np.append(edges[1:], len(buffer))
         real = kind[edges] != _BLANK
         starts, stops = edges[real], stops[real]
-        hashes, first, inverse = np.unique(bounds_hash(buffer, starts, stops), return_index=True, return_inverse=True)
-        if len(self.known) > KNOWN_WORDS:
-            self._reset()
-        values = hashes.tolist()
-        missing = [k for k, value in enumerate(values) if value not in self.known]
-        if missing:
-            words = [data[starts[f] : stops[f]].decode() for f in first[missing].tolist()]
-            self._learn([values[k] for k in missing], words)
-        numbers = np.fromiter(map(self.known.__getitem__, values), np.int64, len(values))[inverse]
+        hashes = bounds_hash(buffer, starts, stops)
+        numbers = self.known.find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            if self.known.size + len(missing) > self.most:
+                self._reset(max(KNOWN_WORDS, len(hashes)))
+                missing = np.arange(len(hashes))
+            fresh, first = np.unique(hashes[missing], return_index=True)
+            ends = stops[missing[first]].tolist()
+            self._learn(fresh, [data[a:b] for a, b in zip(starts[missing[first]].tolist(), ends, strict=True)])
+            numbers[missing] = self.known.find(hashes[missing])
         sizes = self.sizes[numbers]
-        total = np.cumsum(sizes)
-        where = np.repeat(self.starts[numbers] - (total - sizes), sizes) + np.arange(int(total[-1]) if len(total) else 0)
+        total = np.cumsum(sizes, dtype=np.int64)
+        where = np.repeat(self.starts[numbers] - (total - sizes), sizes)
+        where += np.arange(len(where))
         return self.ids[where], starts, sizes
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
@@ -362,7 +465,7 @@ class WordEncoder:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         plain, other = [], []
         for number, text in enumerate(texts):
-            ok = self.by_words and "<|" not in text and (text.isascii() and "'" not in text or not set(text) - _PLAIN)
+            ok = self.by_words and "<|" not in text and (text.isascii() and "'" not in text or _PLAIN.issuperset(text))
             (plain if ok else other).append(number)
         for number, encoded in zip(other, self.tokenizer.encode_batch([texts[k] for k in other], add_special_tokens=False), strict=True):
             out[number].append(np.array(encoded.ids, np.uint32))
