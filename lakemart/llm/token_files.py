@@ -29,7 +29,7 @@ SHARD_IDS = 1 << 21
 FIRST_RULE = 1 << 17
 RULES_A_ROUND, LEAST, SLOT_BITS, PASSES = 1 << 14, 6, 20, 5
 KNOWN_WORDS = 1 << 20
-FEW_PLACES = 1 << 16
+FEW_PLACES, SORT_BITS = 1 << 16, 18
 SPELLED = 1 << 23
 END_ID = 1
 _MAGIC = b"RPG1"
@@ -81,31 +81,36 @@ def _codes(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _sorted_places(symbols: np.ndarray, places: np.ndarray) -> Places:
-    """The same without hashing."""
-    codes = _codes(symbols, places)
-    order = _order(codes)
-    in_order = codes[order]
-    firsts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])) if len(places) else order
+    """The same without putting any pair off: those of slots that are frequent enough are sorted."""
+    slots = (symbols[places] * np.uint32(0x9E3779B1) + symbols[places + 1] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SORT_BITS)
+    places = places[(np.bincount(slots, minlength=1 << SORT_BITS) >= LEAST)[slots]]
+    if not len(places):
+        return np.zeros(0, np.int64), places, places
+    in_order, order = _sorted_codes(_codes(symbols, places))
+    firsts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
     counts = np.diff(firsts, append=len(places))
     best = _ranked(in_order[firsts], counts)
-    rank = np.full(len(firsts), -1, np.int64)
-    rank[best] = np.arange(len(best))
-    own = np.empty(len(places), np.int64)
-    own[order] = np.repeat(rank, counts)
-    return in_order[firsts[best]], places[own >= 0], own[own >= 0]
+    rank = np.repeat(np.arange(len(best)), counts[best])
+    inside = np.arange(len(rank)) - np.repeat(np.cumsum(counts[best]) - counts[best], counts[best])
+    own = np.full(len(places), -1, np.int32)
+    own[order[firsts[best][rank] + inside]] = rank
+    here = np.flatnonzero(own >= 0)
+    return in_order[firsts[best]], places[here], own[here].astype(np.int64)
 
 
-def _order(codes: np.ndarray) -> np.ndarray:
-    """Places of the codes in ascending order.
+def _sorted_codes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes in ascending order, and the place of each.
 
     Where a code's two symbols and its place fit into one number, those numbers are sorted, which is faster by far.
     """
-    high = int(codes.max() >> 32 | (codes & 0xFFFFFFFF).max()).bit_length() if len(codes) else 0
+    high = int((codes >> 32 | (codes & 0xFFFFFFFF)).max()).bit_length()
     bits = len(codes).bit_length()
     if 2 * high + bits > 63:
-        return np.argsort(codes, kind="stable")
-    short = ((codes >> 32 << high) | (codes & 0xFFFFFFFF)) << bits
-    return np.sort(short | np.arange(len(codes))) & ((1 << bits) - 1)
+        order = np.argsort(codes, kind="stable")
+        return codes[order], order
+    short = np.sort(((codes >> 32 << high) | (codes & 0xFFFFFFFF)) << bits | np.arange(len(codes)))
+    found = short >> bits
+    return (found >> high << 32) | (found & ((1 << high) - 1)), short & ((1 << bits) - 1)
 
 
 def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -128,11 +133,12 @@ def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 def _replaced(best: np.ndarray, at: np.ndarray, rank: np.ndarray) -> Places:
     """The pairs that are worth a rule, and the places that use one: no two overlap, and every rule is used LEAST times."""
-    follows = np.concatenate([[False], at[1:] == at[:-1] + 1]) if len(at) else np.zeros(0, bool)
-    same = follows & np.concatenate([[False], rank[1:] == rank[:-1]]) if len(at) else follows
-    index = np.arange(len(at))
-    odd = (index - np.maximum.accumulate(np.where(same, 0, index))) % 2 == 1 if len(at) else follows
-    at, rank = at[~odd], rank[~odd]
+    same = np.flatnonzero((at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])) + 1  # in a run, after its first
+    if len(same):
+        index = np.arange(len(same))
+        begins = np.append(True, same[1:] != same[:-1] + 1)
+        odd = same[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
+        at, rank = np.delete(at, odd), np.delete(rank, odd)
     chosen = _apart(at, rank)
     at, rank = at[chosen], rank[chosen]
     worth = np.bincount(rank, minlength=len(best)) >= LEAST
