@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -27,9 +28,10 @@ from lakemart.sources.lake import Workspace
 
 SHARD_IDS = 1 << 21
 FIRST_RULE = 1 << 17
-RULES_A_ROUND, LEAST, SLOT_BITS, PASSES = 1 << 14, 6, 20, 5
+RULES_A_ROUND, LEAST, PASSES = 1 << 14, 6, 5
+OPEN, RARE, LAST = 0, 1, 2  # a pair that may be replaced, one too rare, one that would reach over a document's end
+FEW_PLACES = 1 << 11
 KNOWN_WORDS = 1 << 20
-FEW_PLACES, SORT_BITS = 1 << 16, 18
 SPELLED = 1 << 23
 END_ID = 1
 _MAGIC = b"RPG1"
@@ -41,117 +43,120 @@ _MAGIC = b"RPG1"
 Places = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _ranked(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Numbers of the pairs to replace in this round, the most frequent first."""
-    full = np.flatnonzero(counts >= LEAST)
-    return full[np.lexsort((codes[full], -counts[full]))][:RULES_A_ROUND]
-
-
-def _frequent_places(symbols: np.ndarray, places: np.ndarray, turn: int) -> Places:
+def _sorted_places(symbols: np.ndarray, places: np.ndarray, state: np.ndarray | None = None) -> Places:
     """The most frequent pairs among those that start at ``places``: (codes, most frequent first; places where one starts,
-    ascending; its rank there).
-
-    Pairs are counted in hashed slots. A slot counts one pair only, so a frequent pair whose slot another one has
-    taken is put off to a later turn, which hashes in another way.
+    ascending; its rank there). In ``state``, places of pairs that occur less than LEAST times are noted as RARE.
     """
-    a, b = np.uint32((0x9E3779B1 + 0x632BE5AA * turn) & 0xFFFFFFFF | 1), np.uint32((0x85EBCA6B + 0x3C6EF372 * turn) & 0xFFFFFFFF | 1)
-    slots = ((symbols[:-1] * a + symbols[1:] * b) >> np.uint32(32 - SLOT_BITS))[places]
-    rough = np.bincount(slots, minlength=1 << SLOT_BITS)
-    at_least = np.cumsum(np.bincount(np.minimum(rough, 4095), minlength=4096)[::-1])[::-1]
-    floor = max(LEAST, int(np.searchsorted(-at_least, -RULES_A_ROUND, "right")) - 1)
-    hot = rough >= floor
-    number = np.cumsum(hot, dtype=np.int32) - np.int32(1)  # of a hot slot
-    stay = hot[slots]
-    places, slots = places[stay], number[slots[stay]]
-    codes = _codes(symbols, places)
-    owner = np.zeros(int(number[-1]) + 1, np.int64)
-    owner[slots] = codes
-    own = owner[slots] == codes
-    places, slots = places[own], slots[own]
-    counts = np.bincount(slots, minlength=len(owner))
-    order = _ranked(owner, counts)
-    rank = np.full(len(owner), -1, np.int64)
-    rank[order] = np.arange(len(order))
-    here = rank[slots]
-    return owner[order], places[here >= 0], here[here >= 0]
-
-
-def _codes(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (symbols[places].astype(np.int64) << 32) | symbols[places + 1]
-
-
-def _sorted_places(symbols: np.ndarray, places: np.ndarray) -> Places:
-    """The same without putting any pair off: those of slots that are frequent enough are sorted."""
-    slots = (symbols[places] * np.uint32(0x9E3779B1) + symbols[places + 1] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SORT_BITS)
-    places = places[(np.bincount(slots, minlength=1 << SORT_BITS) >= LEAST)[slots]]
+    none = np.zeros(0, np.int64)
     if not len(places):
-        return np.zeros(0, np.int64), places, places
-    in_order, order = _sorted_codes(_codes(symbols, places))
-    firsts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
+        return none, none, none
+    in_order, order, high = _sorted_codes(symbols, places)
+    firsts = np.flatnonzero(in_order[1:] != in_order[:-1])
+    firsts += 1
+    firsts = np.append(0, firsts)
     counts = np.diff(firsts, append=len(places))
-    best = _ranked(in_order[firsts], counts)
-    rank = np.repeat(np.arange(len(best)), counts[best])
-    inside = np.arange(len(rank)) - np.repeat(np.cumsum(counts[best]) - counts[best], counts[best])
-    own = np.full(len(places), -1, np.int32)
-    own[order[firsts[best][rank] + inside]] = rank
-    here = np.flatnonzero(own >= 0)
-    return in_order[firsts[best]], places[here], own[here].astype(np.int64)
-
-
-def _sorted_codes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes in ascending order, and the place of each.
-
-    Where a code's two symbols and its place fit into one number, those numbers are sorted, which is faster by far.
+    full = np.flatnonzero(counts >= LEAST)
+    full = full[np.argsort(-counts[full], kind="stable")]  # the most frequent first, equal ones by code
+    ranks = np.full(len(firsts), -1, np.int32)
+    ranks[full] = np.arange(len(full), dtype=np.int32)
+    own = np.empty(len(places), np.int32)
+    own[order] = np.repeat(ranks, counts)
+    if state is not None:
+        state[places[np.flatnonzero(own < 0)]] = RARE
+    best = in_order[firsts[full[:RULES_A_ROUND]]]
+    here = np.flatnonzero(own.view(np.uint32) < len(best))  # below 0 is above all
+    return (best >> high << 32) | (best & ((1 << high) - 1)), places[here], own[here]
+
+
+def _sorted_codes(symbols: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes of the pairs at ``places`` in ascending order, the number of each one's place, and the bits of a code's
+    second half.
+
+    Where a pair's two symbols and the number of its place fit into one number, those are sorted, which is faster by far.
     """
-    high = int((codes >> 32 | (codes & 0xFFFFFFFF)).max()).bit_length()
-    bits = len(codes).bit_length()
+    high, bits = int(symbols.max()).bit_length(), len(places).bit_length()
+    if 2 * len(places) > len(symbols):
+        codes = symbols[:-1].astype(np.int64)
+        codes <<= high
+        codes |= symbols[1:]
+        codes = codes[places]
+    else:
+        codes = symbols[places].astype(np.int64)
+        codes <<= high
+        codes |= symbols[places + 1]
     if 2 * high + bits > 63:
         order = np.argsort(codes, kind="stable")
-        return codes[order], order
-    short = np.sort(((codes >> 32 << high) | (codes & 0xFFFFFFFF)) << bits | np.arange(len(codes)))
-    found = short >> bits
-    return (found >> high << 32) | (found & ((1 << high) - 1)), short & ((1 << bits) - 1)
+        return codes[order], order, high
+    codes <<= bits
+    codes |= np.arange(len(codes))
+    codes.sort()
+    order = codes & ((1 << bits) - 1)
+    codes >>= bits
+    return codes, order, high
 
 
 def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Which of the places to replace, so that no two overlap: in turns, those of better rank than both neighbours."""
+    """Numbers of the places to replace, so that no two overlap: in turns, those of better rank than both neighbours, and
+    in a run of one pair every second place from its first."""
     touch = at[1:] == at[:-1] + 1
-    chosen, alive = np.zeros(len(at), bool), np.ones(len(at), bool)
-    for _ in range(PASSES):
-        meet = touch & alive[:-1] & alive[1:]
-        win = alive.copy()
-        win[1:] &= ~(meet & (rank[:-1] <= rank[1:]))
-        win[:-1] &= ~(meet & (rank[1:] < rank[:-1]))
-        chosen |= win
-        alive &= ~win
-        alive[1:] &= ~(touch & win[:-1])
-        alive[:-1] &= ~(touch & win[1:])
-        if not alive.any():
+    repeats = np.flatnonzero(touch & (rank[1:] == rank[:-1])) + 1  # in a run, after its first
+    index = np.arange(len(repeats))
+    begins = np.append(True, repeats[1:] != repeats[:-1] + 1)[: len(repeats)]
+    odd = repeats[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
+    touch[odd - 1] = False
+    touch[odd[odd < len(touch)]] = False
+    chosen, alive = np.zeros(0, np.int64), np.arange(0)
+    for turn in range(PASSES):
+        first = rank[:-1] <= rank[1:]
+        win = np.ones(len(at), bool)
+        win[1:] = ~(touch & first)
+        win[:-1] &= first | ~touch
+        stay = ~win
+        stay[1:] &= ~(touch & win[:-1])
+        stay[:-1] &= ~(touch & win[1:])
+        if not turn:
+            win[odd] = stay[odd] = False
+        won, stay = np.flatnonzero(win), np.flatnonzero(stay)
+        chosen, alive = (np.append(chosen, alive[won]), alive[stay]) if turn else (won, stay)
+        if not len(alive):
             break
-    return chosen
+        at, rank = at[stay], rank[stay]
+        touch = at[1:] == at[:-1] + 1
+    return np.sort(chosen)
 
 
 def _replaced(best: np.ndarray, at: np.ndarray, rank: np.ndarray) -> Places:
     """The pairs that are worth a rule, and the places that use one: no two overlap, and every rule is used LEAST times."""
-    same = np.flatnonzero((at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])) + 1  # in a run, after its first
-    if len(same):
-        index = np.arange(len(same))
-        begins = np.append(True, same[1:] != same[:-1] + 1)
-        odd = same[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
-        at, rank = np.delete(at, odd), np.delete(rank, odd)
     chosen = _apart(at, rank)
     at, rank = at[chosen], rank[chosen]
     worth = np.bincount(rank, minlength=len(best)) >= LEAST
-    at, rank = at[worth[rank]], rank[worth[rank]]
-    return best[worth], at, (np.cumsum(worth) - 1)[rank]
+    if worth.all():
+        return best, at, rank
+    used = np.flatnonzero(worth[rank])
+    return best[worth], at[used], (np.cumsum(worth, dtype=np.int32) - np.int32(1))[rank[used]]
 
 
-def _beside(at: np.ndarray, last: np.ndarray) -> np.ndarray:
+def _beside(at: np.ndarray, state: np.ndarray) -> np.ndarray:
     """Places of the pairs that hold one of the symbols ``at`` these places, ascending."""
+    if len(at) > len(state) // 16:
+        beside = np.zeros(len(state) + 1, bool)
+        beside[at] = beside[at - 1] = True  # the one before the first is the last of all
+        return np.flatnonzero(beside[:-1] & (state != LAST))
     places = np.stack([at - 1, at], axis=1).ravel()
     places = places[np.append(True, places[1:] != places[:-1])]
-    places = places[(places >= 0) & (places < len(last) - 1)]
-    return places[~last[places]]
+    places = places[places >= 0]
+    return places[state[places] != LAST]
+
+
+def _without(places: np.ndarray, *arrays: np.ndarray) -> list[np.ndarray]:
+    """The arrays without these places; where they are few, the runs between them are copied whole."""
+    if len(places) > FEW_PLACES:
+        stay = np.ones(len(arrays[0]), bool)
+        stay[places] = False
+        stay = np.flatnonzero(stay)
+        return [values[stay] for values in arrays]
+    runs = list(zip([0, *(places + 1).tolist()], [*places.tolist(), len(arrays[0])], strict=True))
+    return [np.concatenate([values[a:b] for a, b in runs]) for values in arrays]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,38 +164,33 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     Rule k is symbol FIRST_RULE + k and may use earlier rules only. Of overlapping occurrences the more frequent pair
     is replaced, in runs of one symbol every second pair. A round after another counts pairs with the newest symbols
-    only, as no other pair has become more frequent; where it finds none, all pairs are counted. Every round makes a
-    rule and takes symbols away, so the rounds end; copies of a text halve in each.
+    only, as no other pair has become more frequent; where it finds none, all pairs are counted but those that were
+    rare before. Every round makes a rule and takes symbols away, so the rounds end; copies of a text halve in each.
     """
     symbols = ids.astype(np.uint32)
-    last = np.zeros(len(symbols), bool)
-    last[ends[ends > 0] - 1] = True
+    state = np.full(len(symbols), OPEN, np.uint8)  # of the pair that starts at a place
+    state[ends[ends > 0] - 1] = LAST
     rules = [np.empty((0, 2), np.uint32)]
-    made, turn, fresh = 0, 0, 0
+    made, fresh = 0, 0
     at = np.zeros(0, np.int64)
     while len(symbols) >= 2 * LEAST:
-        places = _beside(at, last) if fresh else np.flatnonzero(~last[:-1])
-        if turn and (len(places) <= FEW_PLACES or not fresh):
-            best, at, rank = _replaced(*_sorted_places(symbols, places))
-        else:
-            best, at, rank = _replaced(*_frequent_places(symbols, places, turn))
+        places = _beside(at, state) if fresh else np.flatnonzero(state == OPEN)
+        state[places] = OPEN
+        best, at, rank = _replaced(*_sorted_places(symbols, places, state))
         if not len(at):
-            if turn and not fresh:  # all pairs have been counted, by sorting
+            if not fresh:  # all pairs have been counted
                 break
-            turn, fresh = turn + 1, 0
+            fresh = 0
             continue
-        turn += 1
         rules.append(np.stack([best >> 32, best & 0xFFFFFFFF], axis=1).astype(np.uint32))
         fresh = FIRST_RULE + made
-        symbols[at] = fresh + rank
+        symbols[at] = rank + np.uint32(fresh)
         made += len(best)
-        last[at] = last[at + 1]
-        stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
-        symbols, last = symbols[stay], last[stay]
+        state[at] = state[at + 1]
+        symbols, state = _without(at + 1, symbols, state)
         at = at - np.arange(len(at))  # where the newest symbols are now
     symbol_ends = np.zeros(len(ends), np.int64)
-    symbol_ends[np.diff(ends, prepend=0) > 0] = np.flatnonzero(last) + 1
+    symbol_ends[np.diff(ends, prepend=0) > 0] = np.flatnonzero(state == LAST) + 1
     return np.concatenate(rules), symbols, np.maximum.accumulate(symbol_ends)
 
 
@@ -216,15 +216,13 @@ def expansion_lengths(rules: np.ndarray) -> np.ndarray:
     return lengths
 
 
-def _spelled(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """Ids of symbols whose rules are spelled out in ``flat``."""
-    inner = symbols >= FIRST_RULE
-    rule = np.where(inner, symbols.astype(np.int64) - FIRST_RULE, 0)
-    sizes = np.where(inner, lengths[rule], 1)
-    ends = np.cumsum(sizes)
-    out = flat[np.repeat(starts[rule] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    out[(ends - sizes)[~inner]] = symbols[~inner]
-    return out
+def _spelled(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Ids of symbols, each of which is spelled out in ``flat``."""
+    many = sizes[symbols]
+    ends = np.cumsum(many)
+    where = np.repeat(starts[symbols] - (ends - many), many)
+    where += np.arange(len(where))
+    return flat[where]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
@@ -246,12 +244,16 @@ def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> n
     """The same for all symbols of a shard: every rule is spelled out once, level by level, where that is not much."""
     if not len(rules) or int(lengths.sum()) > SPELLED:
         return expand(symbols, rules)
-    starts, flat = np.cumsum(lengths) - lengths, np.zeros(int(lengths.sum()), np.uint32)
+    # An id is spelled by itself, the rules stand behind all ids.
+    sizes = np.append(np.ones(FIRST_RULE, np.int64), lengths)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.empty(FIRST_RULE + int(lengths.sum()), np.uint32)
+    flat[:FIRST_RULE] = np.arange(FIRST_RULE, dtype=np.uint32)
     for level in _levels(rules):
         ends = np.cumsum(lengths[level])
-        places = np.repeat(starts[level] - (ends - lengths[level]), lengths[level]) + np.arange(int(ends[-1]))
-        flat[places] = _spelled(rules[level].ravel(), starts, lengths, flat)
-    return _spelled(symbols.astype(np.uint32), starts, lengths, flat)
+        places = np.repeat(starts[level + FIRST_RULE] - (ends - lengths[level]), lengths[level]) + np.arange(int(ends[-1]))
+        flat[places] = _spelled(rules[level].ravel(), starts, sizes, flat)
+    return _spelled(symbols, starts, sizes, flat)
 
 
 class Shard:
@@ -301,13 +303,18 @@ _KIND = np.full(256, _OTHER, np.uint8)
 _KIND[97:123] = _KIND[128:] = _LETTER
 _KIND[48:58] = _DIGIT
 _KIND[[9, 10, 11, 12, 13, 32]] = _BLANK
+_KINDS = _KIND.tobytes()
 # Characters whose lower case and composed form are one plain letter, and ASCII without the apostrophe (contractions).
 _PLAIN = {chr(c) for c in range(128)} - {"'"} | {chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and c != 0x130}
+_NOT_PLAIN = re.compile(f"[^{re.escape(''.join(sorted(_PLAIN)))}]")
 
 
 # Byte-level tokenizers write a byte that is no visible Latin-1 sign as the next character from U+0100 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SPELLED = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SPELLED = np.arange(256, dtype="<u2")
+_SPELLED[[b for b in range(256) if b not in _VISIBLE]] = np.arange(0x100, 0x200 - len(_VISIBLE))
+_SPELLED[10] = 10  # in no word, between words here
+_CONTROL = np.isin(np.arange(256), [*range(10), *range(11, 32), 127])
 
 # How a tokenizer must normalise and cut texts so that its words can be encoded one by one.
 _NORMALIZER = {
@@ -408,47 +415,45 @@ class WordEncoder:
         self.sizes = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def _words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of lower-cased words in UTF-8.
+    def _words(self, buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the lower-cased words between these places of a UTF-8 buffer, one word after another, and their numbers.
 
-        Nothing before the model changes letters or visible signs but for their spelling in byte characters, so those
-        words go to the model; words with control characters take the whole way.
+        Nothing before the model changes letters or visible signs but for their spelling in byte characters, so words go
+        to the model in that spelling; words with control characters take the whole way.
         """
         spelled = self.tokenizer.model.tokenize
-        out, other = [], []
-        for word in words:
-            text = word.decode("latin-1")
-            if not word.isascii():
-                out.append([t.id for t in spelled(text.translate(_SPELLED))])
-            elif text.isprintable():
-                out.append([t.id for t in spelled(text)])
-            else:
-                other.append(len(out))
-                out.append([])
-        for k, found in zip(other, self.tokenizer.encode_batch([words[k].decode() for k in other], add_special_tokens=False), strict=True):
-            out[k] = found.ids
-        return out
-
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        found = self._words(words)
-        sizes = np.array([len(f) for f in found], np.int32)
-        first, upto = self.known.size, np.cumsum(sizes, dtype=np.int64)
+        ends = np.cumsum(stops - starts + 1)
+        where = np.repeat(stops + 1 - ends, stops - starts + 1) + np.arange(ends[-1])
+        letters = buffer.take(where, mode="clip")
+        letters[ends - 1] = 10
+        words = _SPELLED[letters[:-1]].tobytes().decode("utf-16-le").split("\n")
+        other = np.unique(np.searchsorted(ends, np.flatnonzero(_CONTROL[letters]), "right")).tolist()
+        found = [[t.id for t in spelled(word)] for word in words]
+        texts = [buffer[starts[k] : stops[k]].tobytes().decode() for k in other]
+        for k, whole in zip(other, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            found[k] = whole.ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _learn(self, hashes: np.ndarray, buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> None:
+        ids, sizes = self._words(buffer, starts, stops)
+        first, upto = self.known.size, np.cumsum(sizes)
         self.known.add(hashes)
         self.starts = _grown(self.starts, first, self.n_ids + upto - sizes)
-        self.sizes = _grown(self.sizes, first, sizes)
-        self.ids = _grown(self.ids, self.n_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(upto[-1])))
-        self.n_ids += int(upto[-1])
+        self.sizes = _grown(self.sizes, first, sizes.astype(np.int32))
+        self.ids = _grown(self.ids, self.n_ids, ids)
+        self.n_ids += len(ids)
 
     def _buffer(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words in a buffer, where each word starts, and its number of ids."""
         buffer = np.frombuffer(data, np.uint8)
-        kind = _KIND[buffer]
+        kind = np.frombuffer(data.translate(_KINDS), np.uint8)
         cut = np.ones(len(buffer), bool)
         cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
-        edges = np.flatnonzero(cut)
-        stops = np.append(edges[1:], len(buffer))
-        real = kind[edges] != _BLANK
-        starts, stops = edges[real], stops[real]
+        real = kind != _BLANK
+        starts, stops = np.flatnonzero(cut & real), np.flatnonzero(cut[1:] & real[:-1]) + 1
+        if len(starts) > len(stops):  # the last word ends with the buffer
+            stops = np.append(stops, len(buffer))
         hashes = bounds_hash(buffer, starts, stops)
         numbers = self.known.find(hashes)
         missing = np.flatnonzero(numbers < 0)
@@ -457,8 +462,7 @@ class WordEncoder:
                 self._reset(max(KNOWN_WORDS, len(hashes)))
                 missing = np.arange(len(hashes))
             fresh, first = np.unique(hashes[missing], return_index=True)
-            ends = stops[missing[first]].tolist()
-            self._learn(fresh, [data[a:b] for a, b in zip(starts[missing[first]].tolist(), ends, strict=True)])
+            self._learn(fresh, buffer, starts[missing[first]], stops[missing[first]])
             numbers[missing] = self.known.find(hashes[missing])
         sizes = self.sizes[numbers]
         total = np.cumsum(sizes, dtype=np.int64)
@@ -471,7 +475,7 @@ class WordEncoder:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         plain, other = [], []
         for number, text in enumerate(texts):
-            ok = self.by_words and "<|" not in text and (text.isascii() and "'" not in text or _PLAIN.issuperset(text))
+            ok = self.by_words and "<|" not in text and ("'" not in text if text.isascii() else not _NOT_PLAIN.search(text))
             (plain if ok else other).append(number)
         for number, encoded in zip(other, self.tokenizer.encode_batch([texts[k] for k in other], add_special_tokens=False), strict=True):
             out[number].append(np.array(encoded.ids, np.uint32))
