@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_statement(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("benchmark", "documents", "conversations"):
         duck.execute(f"create view {t} as select * from read_parquet('{FOLDER}/{t}.parquet')")
     frame = queries.QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
