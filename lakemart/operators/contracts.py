@@ -5,8 +5,9 @@ table, cost next to nothing; the log is spelled out for rejected rows only. Rule
 reduced to the small set of *offending keys* with narrow, map-side combined aggregates; the wide table then meets that
 set in a left join. Given a ``Workspace`` the key sets are written before use, so the planner knows their real size: it broadcasts
 the small ones, leaving the wide table unshuffled, and otherwise falls back to a sort-merge join that AQE splits on
-hot keys. Where many keys are repeated, their copies are ranked in the one shuffle of the wide table instead; only the
-hot ones, whose rows are spread over all tasks, are looked up.
+hot keys. Many whole-number keys are packed as the bits of words, 64 neighbouring numbers to a word; while the words are few,
+they go to every task and the wide table stays where it is. Where many keys are repeated, their copies are ranked in the
+one shuffle of the wide table instead; only the hot ones, whose rows are spread over all tasks, are looked up.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ ISSUES = "_issues"
 CLEAN = "_is_clean"
 _BITS = 63
 _FEW = 100_000  # repeated keys up to which they are all looked up
+_WORDS = 1 << 20  # words of packed keys up to which they are broadcast (some 40 MB in memory)
 _HOT = 10_000  # beyond that, copies from which the rows of a key are spread over tasks instead of ranked in one
 
 
@@ -125,7 +127,14 @@ class Repeats:
     ranked: bool
 
 
-KeySets = Mapping[str, "DataFrame | Repeats | None"]
+@dataclass(frozen=True)
+class Packed:
+    """Whole-number keys as bits: bit ``k % 64`` of the word numbered ``k // 64``. The frame holds number and bits."""
+
+    words: DataFrame
+
+
+KeySets = Mapping[str, "DataFrame | Repeats | Packed | None"]
 
 
 def issue_columns(rules: int) -> tuple[str, ...]:
@@ -316,7 +325,41 @@ def missing_parents(child: DataFrame, name: str, parent: DataFrame, parent_colum
     return keys.join(known, F.expr(same), "left_anti")
 
 
-def _join_orphans(wide: DataFrame, missing: DataFrame, name: str) -> tuple[DataFrame, str]:
+def _packed(keys: DataFrame, space: Workspace, name: str) -> DataFrame | Packed:
+    """Keys of one column as words if they are many whole numbers that lie close enough, else as they are.
+
+    What is broadcast is bounded by ``_WORDS``, whatever the keys are; keys that lie apart stay with the join.
+    """
+    (column,) = keys.columns
+    if not isinstance(_kind(keys, column), _WHOLE):
+        return keys
+    number = f"bigint({quoted(column)})"
+    word = F.expr(f"shiftright({number}, 6)")
+    found, words = keys.agg(F.count(F.lit(1)), F.approx_count_distinct(word, 0.02)).first()
+    if found <= _FEW or words > _WORDS:
+        return keys
+    bits = F.expr(f"bit_or(shiftleft(1L, int({number} & 63)))")
+    return Packed(space.save(keys.groupBy(word.alias("word")).agg(bits.alias("bits")), name))
+
+
+def _pack_sets(
+    keys: dict[str, dict[str, DataFrame | Repeats | Packed | None]], group: Sequence[str], space: Workspace
+) -> None:
+    """Pack the key sets of a generation, side by side."""
+    sets = [(table, name) for table in group for name, found in keys[table].items() if isinstance(found, DataFrame)]
+    with ThreadPoolExecutor(8) as pool:
+        done = pool.map(lambda place: _packed(keys[place[0]][place[1]], space, f"{place[1]}_words"), sets)
+        for (table, name), packed in zip(sets, done, strict=True):
+            keys[table][name] = packed
+
+
+def _join_orphans(wide: DataFrame, missing: DataFrame | Packed, name: str) -> tuple[DataFrame, str]:
+    if isinstance(missing, Packed):
+        word, bits = f"_word_{name}", f"_bits_{name}"
+        number = f"bigint({quoted(name)})"
+        near = F.expr(f"shiftright({number}, 6) = {quoted(word)}")
+        joined = wide.join(F.broadcast(missing.words.toDF(word, bits)), near, "left")
+        return joined, holds(f"{quoted(name)} is null or (shiftright({quoted(bits)}, int({number} & 63)) & 1L) = 1L")
     key = f"_orphan_{name}"
     joined = wide.join(missing.toDF(key), F.expr(f"{quoted(name)} = {quoted(key)}"), "left")
     return joined, f"{quoted(name)} is null or {quoted(key)} is not null"
@@ -503,7 +546,7 @@ def _by_travelled_keys(
     def of(domain: _Domain, kind: str) -> DataFrame:
         return offenders.where((F.col("domain") == numbers.domains.index(domain)) & (F.col("kind") == kind))
 
-    keys: dict[str, dict[str, DataFrame | Repeats | None]] = {table: {} for table in contracts}
+    keys: dict[str, dict[str, DataFrame | Repeats | Packed | None]] = {table: {} for table in contracts}
     known: dict[tuple[str, str], DataFrame] = {}
     for (table, column), domain in numbers.unique.items():
         row = found.get((numbers.domains.index(domain), "repeated"))
@@ -532,6 +575,7 @@ def _by_travelled_keys(
     done: dict[str, Validation] = {}
     mentioned = {link.parent for link in numbers.links}
     for group in groups:
+        _pack_sets(keys, group, space)
         marked = settle([mark(raw[table], contracts[table], row_order[table], keys[table]) for table in group], target)
         done.update({result.table: result for result in marked})
         lost = {}
@@ -566,7 +610,7 @@ def _lost_keys(judged: Validation, contract: TableContract, column: str) -> Data
 
 
 def _add_lost(
-    keys: dict[str, dict[str, DataFrame | Repeats | None]], link: _Link, lost: DataFrame, raw: Mapping[str, DataFrame]
+    keys: dict[str, dict[str, DataFrame | Repeats | Packed | None]], link: _Link, lost: DataFrame, raw: Mapping[str, DataFrame]
 ) -> None:
     """Keys that a parent lost, in the type of the child; no child key can be both lost and an orphan before."""
     kind = _kind(raw[link.table], link.column)

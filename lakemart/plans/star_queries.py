@@ -89,6 +89,12 @@ def work(star: StarTables) -> Workspace:
     return Workspace(star.spark, codec="zstd")
 
 
+def written(star: StarTables, space: Workspace) -> StarTables:
+    """The same tables; raw order lines, which a join derives and several steps read, are written and read from there."""
+    lines = space.save(star.order_items, "raw_order_items")
+    return StarTables(star.spark, star.folder, {"order_items": lines})
+
+
 def raw_table(star: StarTables, table: str, lines: DataFrame | None = None) -> DataFrame:
     """A raw entity; returns are taken from deduplicated lines."""
     if table == "returns":
@@ -99,17 +105,17 @@ def raw_table(star: StarTables, table: str, lines: DataFrame | None = None) -> D
 def validated(star: StarTables, *tables: str, lines: DataFrame | None = None) -> dict[str, Validation]:
     """The named tables and their parents, validated table by table through the shared work folder.
 
-    Raw order lines and returns, which joins derive and several rules read, are written first, side by side. ``lines``
-    are the deduplicated lines, where they are there already.
+    Raw order lines, unless they are there already, and the returns taken from them are written first. ``lines`` are the
+    deduplicated lines, where they are there already.
     """
     chosen = {name: STAR_CONTRACTS[name] for name in STAR_CONTRACTS if name in tables}
     space = work(star)
-    raw = {name: getattr(star, name) for name in chosen if name != "returns"}
-    derived = {f"raw_{name}": raw[name] for name in ("order_items",) if name in raw}
+    if "order_items" in chosen and "order_items" not in star.known:
+        star = written(star, space)
+    raw = {name: raw_table(star, name, lines) for name in chosen}
     if "returns" in chosen:
-        derived["raw_returns"] = raw_table(star, "returns", lines)
-    raw.update({name.removeprefix("raw_"): frame for name, frame in space.save_all(derived).items()})
-    return contracts.validate_all({name: raw[name] for name in chosen}, chosen, ROW_ORDER, space)
+        raw["returns"] = space.save(raw["returns"], "raw_returns")
+    return contracts.validate_all(raw, chosen, ROW_ORDER, space)
 
 
 # --- scans, sinks, manifests -------------------------------------------------------------------------------------
@@ -807,6 +813,7 @@ def _built(star: StarTables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]
     key = (star.spark.sparkContext.applicationId, star.folder)
     if key not in _BUILT:
         space = work(star)
+        star = written(star, space)
         entities = Silver(star, space=space)
         lines = entities["order_items"]
         with ThreadPoolExecutor(2) as pool:

@@ -6,6 +6,7 @@ deterministic expressions. Business columns that later steps need (row order, re
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 from functools import cached_property
 
@@ -63,11 +64,13 @@ _STATUS = """
 
 
 class StarTables:
-    """Lazy raw entities over one folder of star-schema Parquet tables."""
+    """Lazy raw entities over one folder of star-schema Parquet tables; ``known`` holds those written before."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, known: Mapping[str, DataFrame] | None = None):
         self.spark = spark
         self.folder = folder
+        self.known = dict(known or {})
+        self.__dict__.update(self.known)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")

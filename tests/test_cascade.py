@@ -1,5 +1,6 @@
 """The cascade of travelling keys against the plain table-by-table plan."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -122,3 +123,55 @@ def test_the_ledger_counts_hot_keys_before_its_shuffle(spark):
     assert plan.count("HashAggregate") == 2
     assert plan.count("FileScan") == 2
     assert "at#" not in "".join(line for line in plan.splitlines() if "ReadSchema" in line)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packed_keys_reject_the_same_rows(spark, monkeypatch, seed):
+    raw = tables(spark, seed)
+    plain = validate_all(raw, CONTRACTS, ORDER)
+    monkeypatch.setattr(contracts, "_FEW", 0)
+    packed = validate_all(raw, CONTRACTS, ORDER, Workspace(spark))
+    for table in CONTRACTS:
+        assert rows(packed[table].issues()) == rows(plain[table].issues()), table
+
+
+def test_packed_keys_leave_the_wide_table_where_it_is(spark, monkeypatch):
+    ids = [-(2**63), -65, -64, -1, 0, 1, 62, 63, 64, 2**40, 2**63 - 1]
+    lost = spark.createDataFrame([(k,) for k in ids[::2]], "owner long")
+    frame = spark.createDataFrame([(n, k) for n, k in enumerate([*ids, None, 2])], "n int, owner long")
+    contract = TableContract("t", foreign_keys={"owner": ("p", "id")})
+    assert contracts._packed(lost, Workspace(spark), "few") is lost  # few keys are left to the planner
+    monkeypatch.setattr(contracts, "_FEW", 0)
+    packed = contracts._packed(lost, Workspace(spark), "packed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = contracts.mark(frame, contract, ["n"], {"t_owner_orphans": packed})
+        plan = result.annotated._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan
+        assert rows(result.rejected(), "n") == [(n,) for n in (0, 10, 11, 2, 4, 6, 8)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(contracts, "_WORDS", 3)
+    assert contracts._packed(lost, Workspace(spark), "apart") is lost  # too many words to be sent to every task
+
+
+def test_returns_are_taken_from_written_lines(spark, tmp_path):
+    from lakemart.plans import star_queries
+    from lakemart.sources.star import _SCHEMAS
+
+    day = dt.datetime(2024, 1, 1)
+    data = {
+        "part": [(1, "p", "b", "t", 1, 1.0), (2, "p", "b", "t", 1, 2.0), (2, "p", "b", "t", 1, 2.0)],
+        "lineitem": [
+            (k % 3, k % 4, 1, k % 2, 1.0, 1.0, 0.0, 0.0, flag, "O", day) for k in range(6) for flag in ("R", "N")
+        ],
+    }
+    for name, table in data.items():
+        spark.createDataFrame(table, _SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    star = star_queries.StarTables(spark, str(tmp_path))
+    lines = star_queries.written(star, Workspace(spark))
+    returns = star_queries.raw_table(lines, "returns")
+    assert all("raw_order_items" in name for name in returns.inputFiles())
+    assert "Join" not in returns._jdf.queryExecution().executedPlan().toString()
+    assert rows(lines.order_items) == rows(star.order_items)
+    assert returns.count() == star_queries.raw_table(star, "returns").count()
