@@ -24,10 +24,27 @@ def _sum(value: str) -> Column:
     return F.expr(f"cast(sum({value}) as {TOTAL})")
 
 
+COSTED = "_costed"
+_PARTS = 4  # tasks over which the lines of one product are spread
+
+
+def costed(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows by product with its unit cost; ``_costed`` is true where the product is known, and null elsewhere.
+
+    Order lines that carry these columns need no join by product for their revenue.
+    """
+    costs = products.select("product_id", "unit_cost", F.lit(True).alias(COSTED))
+    return rows.join(costs, "product_id", "left").select(*rows.columns, "unit_cost", COSTED)
+
+
 def revenue_daily(silver: Tables) -> DataFrame:
     """Revenue, profit and reach per order date and region, without cancelled orders."""
-    costs = silver["products"].select("product_id", "unit_cost")
-    items = silver["order_items"].select("order_id", "product_id", "quantity", "net_sales").join(costs, "product_id")
+    items = silver["order_items"]
+    if COSTED in items.columns:
+        items = items.where(COSTED).select("order_id", "quantity", "net_sales", "unit_cost")
+    else:
+        costs = silver["products"].select("product_id", "unit_cost")
+        items = items.select("order_id", "product_id", "quantity", "net_sales").join(costs, "product_id")
     per_order = items.groupBy("order_id").agg(
         _sum("net_sales").alias("net"),
         _sum(f"net_sales - cast(quantity as {COUNT}) * unit_cost").alias("profit"),
@@ -64,10 +81,22 @@ def product_performance(silver: Tables) -> DataFrame:
 
     The unit cost is one value per product, so profit follows from the summed quantity after the aggregation. A line
     whose sales are unknown has no profit either, so its quantity costs nothing.
+
+    Pairs of product and order hardly ever repeat, so folding them on the map side would only make rows wider. Lines
+    travel once, narrow, dealt out by product and a part of its orders: an order lies in one part, so distinct orders
+    add up, and a hot product has several tasks.
     """
-    sold = (
-        silver["order_items"]
-        .groupBy("product_id")
+    lines = silver["order_items"].select(
+        "product_id",
+        "order_id",
+        "quantity",
+        "net_sales",
+        "discount_pct",
+        F.expr(f"pmod(hash(order_id), {_PARTS})").alias("_part"),
+    )
+    parts = (
+        lines.repartition("product_id", "_part")
+        .groupBy("product_id", "_part")
         .agg(
             F.count_distinct("order_id").alias("orders"),
             F.sum("quantity").alias("units_sold"),
@@ -77,6 +106,14 @@ def product_performance(silver: Tables) -> DataFrame:
             F.count("discount_pct").alias("lines"),
         )
     )
+    sold = parts.groupBy("product_id").agg(
+        F.sum("orders").alias("orders"),
+        F.sum("units_sold").alias("units_sold"),
+        F.sum("priced_units").alias("priced_units"),
+        _sum("revenue").alias("revenue"),
+        F.sum("discount").alias("discount"),
+        F.sum("lines").alias("lines"),
+    )
     return (
         silver["products"]
         .select("product_id", "sku", "category", "unit_cost")

@@ -69,7 +69,8 @@ class Run:
             self._spaces.pop().close()
 
     def export(self, frame: DataFrame, name: str) -> None:
-        lake.write_csv(frame, f"{self.root}/exports/{name}.csv")
+        """Whole tables go out as text, so the parts of an export are compressed; ``read_export`` reads them as they are."""
+        lake.write_csv(frame, f"{self.root}/exports/{name}.csv", codec="gzip")
 
     def observe(self, frame: DataFrame, name: str) -> DataFrame:
         """Write an observability table and its CSV export; returns the written table."""

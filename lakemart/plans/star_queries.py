@@ -49,7 +49,8 @@ def query(build: Callable[[StarTables], DataFrame]) -> Callable[[StarTables], Da
 class Silver(Mapping):
     """Silver entities over the star tables, each deduplicated by its key and built when first asked for.
 
-    With a workspace, order lines are written once, because returns are derived from them and joined back to them.
+    With a workspace, order lines are written once, because returns are derived from them and joined back to them. They
+    meet price and cost of their product in one join, behind their deduplication.
     Plans that do not read the region of an order leave it out and save the join that derives it.
     """
 
@@ -72,9 +73,12 @@ class Silver(Mapping):
 
     def _build(self, table: str) -> DataFrame:
         order = ROW_ORDER[table]
+        if table == "order_items" and self._space:
+            known = self._space.save(marts.costed(self._star.prices, self["products"]), "product_prices")
+            lines = silver.order_items(self._star.first_items(known))
+            return self._space.save(lines.drop(*UNREAD), "silver_order_items")
         if table == "order_items":
-            lines = silver.order_items(self._star.order_items, order)
-            return self._space.save(lines.drop(*UNREAD), "silver_order_items") if self._space else lines
+            return silver.order_items(self._star.order_items, order)
         if table == "returns":
             return silver.returns(self._star.returns(self["order_items"]), order)
         if table == "web_events":

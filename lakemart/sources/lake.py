@@ -205,8 +205,8 @@ def write_export(frame: DataFrame, path: str) -> None:
     write_csv(frame, f"{path}/csv")
 
 
-def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(frame: DataFrame, path: str, codec: str = "none") -> None:
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').option("compression", codec).csv(path)
 
 
 def save_table(frame: DataFrame, name: str, path: str | None = None) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import AMOUNT, PRICE, RATE, listed, one_of, shift, sku
+from lakemart.operators.dedup import keep_first
 from lakemart.sources.model import CONTRACTS, SHIPPABLE_STATUSES, TableContract
 
 # First day and hour that counts as on time for the test events, which span January 2024.
@@ -33,6 +34,9 @@ ROW_ORDER = {
     "web_events": ("event_id",),
 }
 
+# Order and line number, whose text is the id of an order line.
+LINE_KEY = ("_order", "_line")
+
 # The plain contracts plus a balance rule, which the test customers break in about one row of twelve.
 STAR_CONTRACTS: dict[str, TableContract] = {
     **CONTRACTS,
@@ -125,9 +129,11 @@ class StarTables:
 
     @cached_property
     def inventory(self) -> DataFrame:
+        # Dealt out by product, on which stock is joined later: the pairs need not travel again.
         stocked = (
             self.table("lineitem")
             .selectExpr("l_suppkey as warehouse_id", "l_partkey as product_id", "l_shipdate")
+            .repartition("product_id")
             .groupBy("warehouse_id", "product_id")
             .agg(F.max("l_shipdate").alias("newest"))
         )
@@ -157,25 +163,43 @@ class StarTables:
         return self.placed_orders.join(homes, F.expr("customer_id = home_of"), "left").select(*columns)
 
     @cached_property
-    def order_items(self) -> DataFrame:
-        prices = self.products.selectExpr("product_id as priced", "unit_price")
-        return (
-            self.table("lineitem")
-            .join(prices, F.expr("l_partkey = priced"), "left")
-            .selectExpr(
-                "concat(l_orderkey, '-', l_linenumber) as order_item_id",
-                "l_orderkey as order_id",
-                "l_partkey as product_id",
-                "l_suppkey as warehouse_id",
-                "bigint(l_quantity) as quantity",
-                "unit_price",
-                f"cast(l_discount as {RATE}) as discount_pct",
-                "l_extendedprice as extended_price",
-                "l_returnflag as return_flag",
-                "l_shipdate as ship_date",
-            )
+    def unpriced_items(self) -> DataFrame:
+        """Order lines before they meet their price; ``LINE_KEY`` is equal where the id is, null where the id is."""
+        return self.table("lineitem").selectExpr(
+            "if(l_linenumber is null, null, l_orderkey) as _order",
+            "if(l_orderkey is null, null, l_linenumber) as _line",
+            "l_orderkey as order_id",
+            "l_partkey as product_id",
+            "l_suppkey as warehouse_id",
+            "bigint(l_quantity) as quantity",
+            f"cast(l_discount as {RATE}) as discount_pct",
+            "l_extendedprice as extended_price",
+            "l_returnflag as return_flag",
+            "l_shipdate as ship_date",
+        )
+
+    def priced(self, lines: DataFrame, prices: DataFrame) -> DataFrame:
+        """Raw order lines from unpriced ones and from what is known by product: the price, and columns that ride along."""
+        known = prices.withColumnRenamed("product_id", "_priced")
+        carried = [name for name in prices.columns if name not in ("product_id", "unit_price")]
+        columns = "product_id, warehouse_id, quantity, unit_price, discount_pct, extended_price, return_flag, ship_date"
+        return lines.join(known, F.expr("product_id = _priced"), "left").selectExpr(
+            "concat(_order, '-', _line) as order_item_id", "order_id", *columns.split(", "), *carried
         )
 
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self.priced(self.unpriced_items, self.products.select("product_id", "unit_price"))
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        """One price by product."""
+        return self.products.groupBy("product_id").agg(F.min("unit_price").alias("unit_price"))
+
+    def first_items(self, prices: DataFrame) -> DataFrame:
+        """The first copy of every order line, which is found before the lines meet their price: it does not depend on it."""
+        return self.priced(keep_first(self.unpriced_items, LINE_KEY, ROW_ORDER["order_items"]), prices)
+
     @cached_property
     def payments(self) -> DataFrame:
         methods = ("voucher", "transfer", "invoice")

@@ -163,7 +163,9 @@ def test_returns_are_taken_from_written_lines(spark, tmp_path):
     data = {
         "part": [(1, "p", "b", "t", 1, 1.0), (2, "p", "b", "t", 1, 2.0), (2, "p", "b", "t", 1, 2.0)],
         "lineitem": [
-            (k % 3, k % 4, 1, k % 2, 1.0, 1.0, 0.0, 0.0, flag, "O", day) for k in range(6) for flag in ("R", "N")
+            (k % 3, k % 4, 1, k % 2, 1.0, price, 0.0, 0.0, flag, "O", day)
+            for k in range(6)
+            for price, flag in ((1.0 + k, "R"), (9.0 + k, "N"))
         ],
     }
     for name, table in data.items():

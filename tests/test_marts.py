@@ -216,3 +216,92 @@ def test_stock_is_not_shuffled_for_small_written_tables(spark, tmp_path):
     plan = stock._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
     assert stock.count() == 1
+
+
+def _star(spark, folder, **data):
+    from lakemart.plans import star_queries
+    from lakemart.sources.star import _SCHEMAS
+
+    day = dt.datetime(2024, 1, 1)
+    plain = {
+        "region": [(0, "north")],
+        "nation": [(0, "a", 0)],
+        "customer": [(1, "c", 0, 1.0, "m")],
+        "supplier": [(1, "s", 0, 1.0)],
+        "part": [(k, "p", "b", "t", 1, 10.0 * k) for k in (1, 2, 3, 3)],
+        "orders": [(k, 1, "O", 1.0, day, "1-URGENT") for k in range(4)],
+        "events": [(1, day, 1, "view", 1.0, "{}")],
+        "lineitem": [
+            (order, product, 1, line, 2.0, price, 0.1, 0.0, flag, "O", day)
+            for order, line in ((1, 1), (1, 2), (2, 1), (3, None), (None, 1), (None, None))
+            for product, price, flag in ((1, 5.0, "R"), (3, 3.0, "R"), (9, 4.0, "N"), (None, 9.0, "R"))
+        ],
+    }
+    for name, table in {**plain, **data}.items():
+        spark.createDataFrame(table, _SCHEMAS[name]).write.parquet(str(folder / f"{name}.parquet"))
+    return star_queries.StarTables(spark, str(folder))
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_deduplicated_before_they_are_priced_are_the_same(spark, tmp_path):
+    from lakemart.plans import silver as entities
+    from lakemart.plans import star_queries
+
+    star = _star(spark, tmp_path)
+    order = star_queries.ROW_ORDER["order_items"]
+    before = entities.order_items(star.order_items, order)
+    lines = star_queries.Silver(star, space=star_queries.work(star))["order_items"]
+    same = [name for name in before.columns if name not in star_queries.UNREAD]
+    assert rows(lines.select(same)) == rows(before.select(same))
+    assert len(rows(lines)) == 4  # three ids, and all lines without one
+
+
+def test_revenue_of_costed_lines_needs_no_products(spark, tmp_path):
+    from lakemart.plans import star_queries
+
+    star = _star(spark, tmp_path)
+    plain = star_queries.Silver(star)
+    written = star_queries.Silver(star, space=star_queries.work(star))
+    assert rows(marts.revenue_daily(written)) == rows(marts.revenue_daily(plain))
+    none = {**written, "products": None}
+    assert rows(marts.revenue_daily(none)) == rows(marts.revenue_daily(plain))
+
+
+def test_stock_is_dealt_out_by_product_once(spark, tmp_path):
+    from lakemart.plans import star_queries
+
+    star = _star(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stock = star.inventory.join(star.products.select("product_id", "category"), "product_id")
+        assert _plan(stock).count("Exchange hashpartitioning") == 2  # order lines and products
+        assert stock.count() == 3  # product 3 is there twice
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_product_has_several_tasks(spark):
+    lines = spark.range(4000).selectExpr(
+        "if(id % 10 < 9, 1, id) as product_id", "id div 2 as order_id", "bigint(1) as quantity",
+        "cast(1 as decimal(18,2)) as net_sales", "cast(0 as decimal(5,4)) as discount_pct",
+    )
+    products = spark.range(1, 10).selectExpr("id as product_id", "'s' as sku", "'c' as category", "1BD as unit_cost")
+    frame = marts.product_performance({"order_items": lines, "products": products})
+    text = _plan(frame)
+    assert "hashpartitioning(product_id" in text and "_part" in text
+    assert "order_id" not in "".join(part for part in text.splitlines() if "Exchange" in part)  # pairs do not travel twice
+    hot = frame.where("product_id = 1").first()
+    assert (hot.orders, hot.units_sold, hot.revenue) == (2000, 3600, D("3600.00"))
+
+
+def test_exports_are_compressed_and_read_back(spark, tmp_path):
+    from lakemart.plans import medallion
+
+    run = medallion.Run(spark, str(tmp_path), "p", "2024-01-01")
+    run.export(spark.createDataFrame([(1, 'a "b", c'), (2, None)], "n int, x string"), "t")
+    parts = [path.name for path in (tmp_path / "exports/t.csv").iterdir() if path.name.startswith("part-")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
+    assert rows(medallion.read_export(run, "t")) == [("1", 'a "b", c'), ("2", None)]
