@@ -305,3 +305,50 @@ def test_exports_are_compressed_and_read_back(spark, tmp_path):
     parts = [path.name for path in (tmp_path / "exports/t.csv").iterdir() if path.name.startswith("part-")]
     assert parts and all(name.endswith(".csv.gz") for name in parts)
     assert rows(medallion.read_export(run, "t")) == [("1", 'a "b", c'), ("2", None)]
+
+
+def _found(star):
+    from lakemart.plans import star_queries
+    from lakemart.sources.model import TABLES
+
+    lines = star_queries.written(star, star_queries.work(star))
+    results = star_queries.validated(lines, *[table for table in TABLES if table != "returns"])
+    return lines, results, star_queries._first_copies(results)
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_first_copies_of_the_contracts_are_those_of_the_deduplication(spark, tmp_path, monkeypatch, few):
+    from lakemart.operators import contracts
+    from lakemart.plans import star_queries
+
+    monkeypatch.setattr(contracts, "_FEW", few)
+    day = dt.datetime(2024, 1, 1)
+    lines = [
+        (order, product, 1, 1 + k % 2, -1.0 if product == 2 else 2.0, 7.0 + k, 0.1, 0.0, "RN"[k % 2], "O", day)
+        for order in (1, 2, 9)
+        for k, product in enumerate((3, 2, 1, 2, 1))
+    ]
+    parts = [(k, "p", "b", "t", 1, 10.0 * k) for k in (1, 2, 3)]
+    star = _star(spark, tmp_path, lineitem=lines, part=parts)
+    written, results, firsts = _found(star)
+    assert {"order_items", "orders", "customers", "payments", "shipments", "web_events"} <= set(firsts)
+    results["returns"] = star_queries._returns(written, results, star_queries.Silver(written, firsts=firsts)["order_items"])
+    firsts.update(star_queries._first_copies({"returns": results["returns"]}))
+    plain, known = star_queries.Silver(star), star_queries.Silver(written, firsts=firsts)
+    for table in plain:
+        assert rows(known[table].select(plain[table].columns)) == rows(plain[table]), table
+    assert all(word not in _plan(known["order_items"]) for word in ("Window", "Exchange", "Join"))
+    together = star_queries.validated(star, *plain)
+    for table, result in together.items():
+        assert rows(results[table].summary()) == rows(result.summary()), table
+
+
+def test_copies_that_share_a_place_are_left_to_the_deduplication(spark, tmp_path):
+    from lakemart.plans import star_queries
+
+    star = _star(spark, tmp_path)  # product 3 is there twice, and lines have nulls in their order
+    written, _, firsts = _found(star)
+    assert "products" not in firsts and "order_items" not in firsts and "orders" in firsts
+    plain, known = star_queries.Silver(star), star_queries.Silver(written, firsts=firsts)
+    for table in ("products", "order_items", "orders", "returns"):
+        assert rows(known[table].select(plain[table].columns)) == rows(plain[table]), table
