@@ -352,3 +352,19 @@ def test_copies_that_share_a_place_are_left_to_the_deduplication(spark, tmp_path
     plain, known = star_queries.Silver(star), star_queries.Silver(written, firsts=firsts)
     for table in ("products", "order_items", "orders", "returns"):
         assert rows(known[table].select(plain[table].columns)) == rows(plain[table]), table
+
+
+def test_keys_of_lines_are_read_without_their_prices(spark, tmp_path):
+    from lakemart.plans import star_queries
+    from lakemart.sources.lake import Workspace
+
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    parts = [(k, "p", "b", "t", 1, 10.0 * k) for k in (1, 2, 3)]
+    star = _star(spark, tmp_path / "a", part=parts)
+    late = star_queries.joined_late(star, Workspace(spark)).order_items
+    assert "Join" not in _plan(late.select("order_item_id", "order_id", "product_id"))
+    assert rows(late) == rows(star.order_items)
+    twice = _star(spark, tmp_path / "b")  # product 3 has two prices, and its lines are there twice
+    lines = star_queries.joined_late(twice, Workspace(spark)).order_items
+    assert all("raw_order_items" in name for name in lines.inputFiles())
+    assert rows(lines) == rows(twice.order_items)
