@@ -151,6 +151,8 @@ def test_packed_keys_leave_the_wide_table_where_it_is(spark, monkeypatch):
         assert rows(result.rejected(), "n") == [(n,) for n in (0, 10, 11, 2, 4, 6, 8)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    twice = lost.union(lost)
+    assert contracts._packed(twice, Workspace(spark), "twice") is twice  # bits do not tell that a key is there twice
     monkeypatch.setattr(contracts, "_WORDS", 3)
     assert contracts._packed(lost, Workspace(spark), "apart") is lost  # too many words to be sent to every task
 

@@ -338,9 +338,30 @@ def test_first_copies_of_the_contracts_are_those_of_the_deduplication(spark, tmp
     for table in plain:
         assert rows(known[table].select(plain[table].columns)) == rows(plain[table]), table
     assert all(word not in _plan(known["order_items"]) for word in ("Window", "Exchange", "Join"))
-    together = star_queries.validated(star, *plain)
-    for table, result in together.items():
-        assert rows(results[table].summary()) == rows(result.summary()), table
+    for table, result in _at_once(star).items():
+        assert rows(results[table].rejected()) == rows(result.rejected()), table
+
+
+def _at_once(star):
+    from lakemart.operators import contracts
+    from lakemart.plans import star_queries
+    from lakemart.sources.model import TABLES
+
+    raw = {table: star_queries.raw_table(star, table) for table in TABLES}
+    order = star_queries.ROW_ORDER
+    return contracts.validate_all(raw, star_queries.STAR_CONTRACTS, order, star_queries.work(star))
+
+
+def test_rejects_are_the_same_where_copies_share_a_place(spark, tmp_path):
+    from lakemart.plans import star_queries
+
+    day = dt.datetime(2024, 1, 1)
+    lines = [(1, 1, 1, 1, -1.0, 5.0, 0.1, 0.0, "R", "O", day)] * 2 + [(2, 2, 1, 1, 2.0, 5.0, 0.1, 0.0, "R", "O", day)]
+    star = _star(spark, tmp_path, lineitem=lines, orders=[(2, 1, "O", 1.0, day, "1-URGENT")] * 2)
+    behind = star_queries.validated(star, *star_queries.TABLES)
+    for table, result in _at_once(star).items():
+        assert rows(behind[table].rejected()) == rows(result.rejected()), table
+    assert behind["returns"].rejected().count() > 0
 
 
 def test_copies_that_share_a_place_are_left_to_the_deduplication(spark, tmp_path):
